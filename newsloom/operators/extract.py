@@ -45,24 +45,24 @@ EXTRACTED_DDL = (
 OUTPUT_BYTES = 16 << 20
 
 
+def _texts(node: markup.Node) -> Iterator[str]:
+    for child in node.children:
+        if isinstance(child, markup.Node):
+            yield from _texts(child)
+        elif not isinstance(child, markup.Comment):
+            yield child
+
+
 def _node_text(node: markup.Node, mode: str, through_link: bool = False) -> str | None:
-    """Text of the first child (or first text below); None when there is none."""
+    """First text below the node, or what its first child is; None when empty."""
     if mode == "first_text":
-        while node.children:
-            first = node.children[0]
-            if isinstance(first, str):
-                return str(first)
-            text = _node_text(first, mode)
-            if text is not None:
-                return text
-            rest = [c for c in node.children[1:]]
-            node = markup.Node(node.tag, node.attrs, None)
-            node.children = rest
-        return None
+        return next(_texts(node), None)
     first = node.children[0] if node.children else None
-    if through_link and isinstance(first, markup.Node) and first.tag == "a":
+    if not isinstance(first, markup.Node):
+        return first
+    if through_link and first.tag == "a":
         return _node_text(first, mode)
-    return first.tag if isinstance(first, markup.Node) else first and str(first)
+    return first.tag
 
 
 def _clean_content(content: markup.Node, page_url: str, warnings: list[str]) -> str:
