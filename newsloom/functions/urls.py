@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.-]*):"
 AUTHORITY = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
 ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
-DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` written once.
+
+    Catalyst inlines column definitions into filters it pushes down; an
+    expression that mentions its input many times, on top of another one that
+    does, would grow exponentially. A lambda variable keeps it linear.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def scheme(url: Column) -> Column:
@@ -118,14 +127,15 @@ def apply_query_rule(url: Column, ignore_all: Column, listed: Column) -> Column:
 
 def canonical(url: Column, ignore_all: Column, listed: Column) -> Column:
     """The URL under which a page is compared, filtered and stored."""
-    return encode_non_ascii(
-        apply_query_rule(lower_scheme(strip_fragment(url)), ignore_all, listed)
-    )
+    plain = let(strip_fragment(url), lower_scheme)
+    ruled = let(plain, lambda u: apply_query_rule(u, ignore_all, listed))
+    return let(ruled, encode_non_ascii)
 
 
 def remove_dot_segments(path: Column) -> Column:
-    """RFC 3986 5.2.4 for a path that starts with ``/``."""
+    """RFC 3986 5.2.4 for a path that starts with ``/``; other paths stay."""
     segments = F.split(F.substring(path, F.lit(2), F.length(path)), "/")
+    last = F.substring_index(path, "/", -1)
 
     def step(done: Column, s: Column) -> Column:
         return (
@@ -136,35 +146,70 @@ def remove_dot_segments(path: Column) -> Column:
 
     done = F.aggregate(segments, F.array().cast("array<string>"), step)
     # a last "." or ".." leaves a directory, hence a closing slash
-    closed = F.when(
-        F.element_at(segments, -1).isin(".", ".."), F.concat(done, F.array(F.lit("")))
-    ).otherwise(done)
-    return F.when(path.rlike(DOT_SEGMENT), F.concat(F.lit("/"), F.array_join(closed, "/"))).otherwise(
-        path
+    closing = F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(F.array())
+    cleaned = F.concat(F.lit("/"), F.array_join(F.concat(done, closing), "/"))
+    return F.when(path.rlike(r"^/(.*/)?\.\.?(/|$)"), cleaned).otherwise(path)
+
+
+def base_parts(base: Column) -> Column:
+    """What resolving needs of a page URL; worth computing once per page."""
+    split = let(
+        strip_fragment(base),
+        lambda u: F.struct(
+            u.alias("whole"),
+            drop_query(u).alias("page"),
+            F.regexp_extract(u, ORIGIN, 1).alias("origin"),
+        ),
     )
 
+    def with_directory(s: Column) -> Column:
+        path = F.substring(s["page"], F.length(s["origin"]) + 1, F.length(s["page"]))
+        directory = F.regexp_extract(path, r"^(.*/)", 1)
+        return F.struct(
+            s["whole"].alias("whole"),
+            s["page"].alias("page"),
+            s["origin"].alias("origin"),
+            F.when(directory == "", "/").otherwise(directory).alias("directory"),
+        )
+
+    return let(split, with_directory)
+
 
 def resolve(base: Column, ref: Column) -> Column:
-    """Absolute form of ``ref`` found on the page ``base`` (RFC 3986 5.2)."""
-    base_clean = strip_fragment(base)
-    base_page = drop_query(base_clean)
-    origin = F.regexp_extract(base, ORIGIN, 1)
-    base_path = F.substring(base_page, F.length(origin) + 1, F.length(base_page))
-    directory = F.regexp_extract(base_path, r"^(.*/)", 1)
-
-    path = F.regexp_extract(ref, r"^([^?#]*)", 1)
-    tail = F.substring(ref, F.length(path) + 1, F.length(ref))
-    merged = F.concat(F.when(directory == "", F.lit("/")).otherwise(directory), path)
-
-    with_authority = F.regexp_extract(ref, r"^((?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)", 1)
-    own_path = F.substring(path, F.length(with_authority) + 1, F.length(path))
-    hierarchical = F.concat(with_authority, remove_dot_segments(own_path), tail)
-
-    return encode_non_ascii(
-        F.when(ref.rlike(SCHEME), F.when(with_authority != "", hierarchical).otherwise(ref))
-        .when(ref.startswith("//"), F.concat(F.regexp_extract(base, SCHEME, 0), hierarchical))
-        .when(ref.startswith("/"), F.concat(origin, remove_dot_segments(path), tail))
-        .when(path != "", F.concat(origin, remove_dot_segments(merged), tail))
-        .when(tail.startswith("?"), F.concat(base_page, tail))
-        .otherwise(F.concat(base_clean, tail))
-    )
+    """Absolute form of ``ref`` on the page with ``base_parts`` ``base`` (RFC 3986 5.2)."""
+
+    def split(r: Column) -> Column:
+        return F.struct(
+            r.alias("ref"),
+            F.regexp_extract(r, r"^([^?#]*)", 1).alias("path"),
+            F.regexp_extract(r, r"^((?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)", 1).alias("host"),
+            F.rlike(r, F.lit(SCHEME)).alias("has_scheme"),
+        )
+
+    def place(p: Column) -> Column:
+        ref, path, authority = p["ref"], p["path"], p["host"]
+        opaque = p["has_scheme"] & (authority == "")
+        tail = F.substring(ref, F.length(path) + 1, F.length(ref))
+        prefix = (
+            F.when(opaque, "")
+            .when(ref.startswith("//"), F.concat(scheme(base["origin"]), F.lit(":"), authority))
+            .when(authority != "", authority)
+            .when((path == "") & tail.startswith("?"), base["page"])
+            .when(path == "", base["whole"])
+            .otherwise(base["origin"])
+        )
+        rest = (
+            F.when(opaque | (path == ""), path)
+            .when(authority != "", F.substring(path, F.length(authority) + 1, F.length(path)))
+            .when(path.startswith("/"), path)
+            .otherwise(F.concat(base["directory"], path))
+        )
+        return F.struct(
+            prefix.alias("prefix"), rest.alias("rest"), tail.alias("tail"), opaque.alias("opaque")
+        )
+
+    def join(q: Column) -> Column:
+        path = F.when(q["opaque"], q["rest"]).otherwise(remove_dot_segments(q["rest"]))
+        return F.concat(q["prefix"], path, q["tail"])
+
+    return let(let(let(let(ref, split), place), join), encode_non_ascii)

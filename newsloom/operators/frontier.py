@@ -19,9 +19,8 @@ BUCKET_DIGITS = 3
 
 def with_canonical_url(pages: DataFrame) -> DataFrame:
     """Add ``canonical_url`` from ``url`` by the rules of the row's site."""
-    return pages.withColumn(
-        "canonical_url", urls.canonical(F.col("url"), F.col("ignore_all"), F.col("listed_keys"))
-    )
+    url = urls.canonical(F.col("url"), F.col("ignore_all"), F.col("listed_keys"))
+    return pages.withColumn("canonical_url", url)
 
 
 def passes_restrict(url: Column, restrict: Column) -> Column:
@@ -34,10 +33,11 @@ def passes_exclude(url: Column, exclude: Column) -> Column:
 
 def filter_reason(url: Column) -> Column:
     """Reject reason of the per-row URL tests, null when all pass."""
-    return (
-        F.when(~urls.has_article_scheme(url), "bad_scheme")
-        .when(~passes_restrict(url, F.col("restrict")), "restrict")
-        .when(~passes_exclude(url, F.col("exclude")), "exclude")
+    return urls.let(
+        url,
+        lambda u: F.when(~urls.has_article_scheme(u), "bad_scheme")
+        .when(~passes_restrict(u, F.col("restrict")), "restrict")
+        .when(~passes_exclude(u, F.col("exclude")), "exclude"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import urls
 from newsloom.operators.frontier import filter_reason, unseen, within_budget
+from newsloom.scratch import materialize, scratch_path
 
 
 def harvest(read: DataFrame) -> DataFrame:
@@ -16,9 +17,16 @@ def harvest(read: DataFrame) -> DataFrame:
     ``website``, ``from_url``, ``href``, ``to_url``; only http and https targets,
     fragments removed.
     """
-    listed = read.select("website", F.col("url").alias("from_url"), F.explode("links").alias("href"))
-    return listed.withColumn(
-        "to_url", urls.strip_fragment(urls.resolve(F.col("from_url"), F.btrim("href")))
+    pages = read.select(
+        "website",
+        F.col("url").alias("from_url"),
+        urls.base_parts(F.col("url")).alias("base"),
+        "links",
+    )
+    listed = pages.withColumn("href", F.explode("links"))
+    target = urls.resolve(F.col("base"), F.btrim("href"))
+    return listed.select(
+        "website", "from_url", "href", urls.strip_fragment(target).alias("to_url")
     ).filter(urls.has_article_scheme(F.col("to_url")))
 
 
@@ -57,48 +65,51 @@ def reachable(
     the URL filters. Already stored pages are not entered. The budget of a site
     is spent level by level, in URL-hash order inside a level.
 
-    All sites advance together, one round of jobs per depth. Each round's result
-    goes to the checkpoint folder, so lineage stays short and lost executors cost
-    one round at most. Out: ``website``, ``url``, ``depth``.
+    All sites advance together, one round of jobs per depth. Every level is a
+    partition of one table in the shared scratch folder: lineage and plans stay
+    short, lost executors cost one round at most, and real sizes decide how the
+    next round joins. A small level is broadcast against edges and visited pages,
+    which are then scanned but never shuffled. Out: ``website``, ``url``, ``depth``.
     """
-    key = ["website", "url"]
+    spark, key = edges.sparkSession, ["website", "url"]
     allowed = page_urls.select(*key)
     if stored is not None:
         allowed = unseen(allowed, key, stored)
+    targets = allowed.withColumnRenamed("url", "to_url")
+    hops = materialize(edges.join(targets, ["website", "to_url"], "left_semi"), "edges")
     start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
-    seeds = sites.select("website", start.alias("url"), "max_visits")
-    budget = sites.select("website", "max_visits")
-    hops = edges.join(allowed.withColumnRenamed("url", "to_url"), ["website", "to_url"], "left_semi")
-    hops = hops.checkpoint()
-
-    depth = 0
-    level = seeds.join(page_urls.select(*key), key, "left_semi")
-    level = level.select(*key, F.lit(0).alias("depth")).checkpoint()
-    visited = level
-    while not level.isEmpty():
-        depth += 1
-        found = (
-            level.select("website", F.col("url").alias("from_url"))
+    seeds = sites.select("website", start.alias("url"))
+    limits = sites.filter(F.col("max_visits") > 0).select("website", "max_visits")
+    limited = not limits.isEmpty()
+
+    folder, depth = scratch_path(spark, "levels"), 0
+    level_path = lambda: f"{folder}/depth={depth}"
+    read_level = lambda: spark.read.schema("website string, url string").parquet(level_path())
+    seeds.join(page_urls.select(*key), key, "left_semi").distinct().write.parquet(level_path())
+    visited = lambda: spark.read.schema("website string, url string, depth int").parquet(folder)
+    while not read_level().isEmpty():
+        found = materialize(
+            read_level()
+            .select("website", F.col("url").alias("from_url"))
             .join(hops, ["website", "from_url"])
             .select("website", F.col("to_url").alias("url"))
-            .distinct()
-        )
-        spent = visited.groupBy("website").agg(F.count("*").alias("_spent"))
-        rest = F.col("max_visits") - F.col("_spent")
-        left = budget.join(spent, "website").select(
-            "website",
-            F.when(F.coalesce("max_visits", F.lit(0)) > 0, rest).otherwise(None).alias("max_visits"),
-        )
-        fresh = (
-            unseen(found, key, visited)
-            .join(left, "website")
-            # a spent budget is 0 here, which must not read as unlimited
-            .filter(F.col("max_visits").isNull() | (F.col("max_visits") > 0))
+            .distinct(),
+            "found",
         )
-        level = (
-            within_budget(fresh, url="url")
-            .select(*key, F.lit(depth).alias("depth"))
-            .checkpoint()
-        )
-        visited = visited.unionByName(level)
-    return visited
+        fresh = found.join(visited().join(found, key, "left_semi"), key, "left_anti")
+        if limited:
+            fresh = _spend(fresh, limits, visited())
+        depth += 1
+        fresh.write.parquet(level_path())
+    return visited()
+
+
+def _spend(fresh: DataFrame, limits: DataFrame, visited: DataFrame) -> DataFrame:
+    """New pages that what is left of each site's budget allows."""
+    spent = visited.groupBy("website").agg(F.count("*").alias("_spent"))
+    rest = F.coalesce(F.col("max_visits") - F.col("_spent"), F.col("max_visits"))
+    left = limits.join(spent, "website", "left").select("website", rest.alias("max_visits"))
+    # no limit is null here: a spent budget is 0 and must not read as unlimited
+    open_sites = F.col("max_visits").isNull() | (F.col("max_visits") > 0)
+    allowed = fresh.join(left, "website", "left").filter(open_sites)
+    return within_budget(allowed, url="url").select("website", "url")

@@ -78,9 +78,9 @@ def read_articles(
     return extract.to_articles(read.join(rules.drop("sel"), "website"), on_bad_date)
 
 
-def _is_start(sites: DataFrame) -> DataFrame:
+def _start_pages(sites: DataFrame) -> DataFrame:
     start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
-    return sites.select("website", start.alias("canonical_url"))
+    return sites.select("website", start.alias("canonical_url"), F.lit(True).alias("_start"))
 
 
 def _follow(read: DataFrame, decisions: DataFrame, sites: DataFrame) -> DataFrame:
@@ -117,10 +117,9 @@ def run_ingest(
         if not follow_links:
             return decided
         # start points are entered whatever the filters say
-        start = _is_start(sites).withColumn("_start", F.lit(True))
         entered = F.col("_start").isNotNull() & (F.col("reason") != "seen")
         return (
-            decided.join(start, ["website", "canonical_url"], "left")
+            decided.join(_start_pages(sites), ["website", "canonical_url"], "left")
             .withColumn("reason", F.when(~F.coalesce(entered, F.lit(False)), F.col("reason")))
             .withColumn("accepted", F.col("reason").isNull())
             .drop("_start")
@@ -164,9 +163,9 @@ def run_ingest(
     def outcome() -> DataFrame:
         seq = F.struct("page_id", "website").alias("seq")
         good = articles.filter(F.col("reason").isNull())
-        flags = [F.col(c).isNull().alias(c) for c in ("title", "content", "date")]
-        narrow = good.select(seq, "website", "url", *[F.when(~f, 1).alias(c) for f, c in
-                                                     zip(flags, ("title", "content", "date"))])
+        # the checks need to know whether a field is there, not what it holds
+        present = [F.when(F.col(c).isNotNull(), 1).alias(c) for c in ("title", "content", "date")]
+        narrow = good.select(seq, "website", "url", *present)
         verdicts = store.write_verdicts(narrow, article_store.read())
         verdicts = verdicts.select(
             "seq.page_id", "seq.website", F.col("reason").alias("write_reason")
