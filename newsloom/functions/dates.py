@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsloom.functions.urls import let
+
 # English names as printed in dates.
 MONTHS = (
     "January", "February", "March", "April", "May", "June", "July",
@@ -87,31 +89,22 @@ def parse_date(text: Column, pattern: Column, rewrite: Column) -> Column:
     Offsets and zone names are checked but never shift the date.
     """
     clean = F.translate(text, SEPARATOR, "")
-    fields = F.split(F.regexp_replace(clean, pattern, rewrite), SEPARATOR)
+    return let(F.split(F.regexp_replace(clean, pattern, rewrite), SEPARATOR), _date_of)
+
+
+def _date_of(fields: Column) -> Column:
     year, month = F.get(fields, F.lit(0)), F.lower(F.get(fields, F.lit(1)))
-    day = F.get(fields, F.lit(2))
     short_months = F.array(*[F.lit(m[:3].lower()) for m in MONTHS])
     # two-digit years pivot at 69
-    full_year = F.when(
-        F.length(year) == 2,
-        F.try_to_number(year, F.lit("99")).cast("int")
-        + F.when(year >= "69", 1900).otherwise(2000),
-    ).otherwise(year.try_cast("int"))
+    century = F.when(F.length(year) > 2, 0).when(year >= "69", 1900).otherwise(2000)
+    full_year = year.try_cast("int") + century
     month_number = F.when(
         month.rlike("^[0-9]+$"), month.try_cast("int")
     ).otherwise(F.array_position(short_months, F.substring(month, 1, 3)).cast("int"))
-    moment = F.try_make_timestamp(
-        full_year,
-        month_number,
-        day.try_cast("int"),
-        F.get(fields, F.lit(3)).try_cast("int"),
-        F.get(fields, F.lit(4)).try_cast("int"),
-        F.get(fields, F.lit(5)).try_cast("decimal(16,6)"),
-        F.lit("UTC"),
-    )
-    second = F.get(fields, F.lit(5)).try_cast("int")
-    followed = (F.size(fields) == len(FIELDS)) & (second < 60) & (full_year > 0)
-    return F.when(followed, F.to_date(moment))
+    day, hour, minute, second = (F.get(fields, F.lit(i)).try_cast("int") for i in range(2, 6))
+    followed = (F.size(fields) == len(FIELDS)) & (hour < 24) & (minute < 60) & (second < 60)
+    printed = F.format_string("%04d-%02d-%02d", full_year, month_number, day)
+    return F.when(followed & (full_year > 0), F.try_to_date(printed, "yyyy-MM-dd"))
 
 
 def zero_date() -> Column:

@@ -13,6 +13,8 @@ import re
 from functools import lru_cache
 from html.entities import html5
 
+from newsloom.functions.text import MARKUP_ESCAPES
+
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
@@ -81,17 +83,14 @@ class Node:
         self.parent.children = [c for c in self.parent.children if c is not self]
         self.parent = None
 
-    def walk(self):
+    def walk(self) -> list["Node"]:
         """Descendant elements in document order."""
-        pending = [iter(self.children)]
+        found, pending = [], [self]
         while pending:
-            for child in pending[-1]:
-                if isinstance(child, Node):
-                    yield child
-                    pending.append(iter(child.children))
-                    break
-            else:
-                pending.pop()
+            node = pending.pop()
+            found.append(node)
+            pending.extend([c for c in reversed(node.children) if type(c) is Node])
+        return found[1:]
 
 
 class Comment(str):
@@ -327,19 +326,21 @@ def _simple_test(m: re.Match):
 
 
 def _parse_compound_list(selector: str) -> list:
-    """One chain ``[(combinator, tests), ...]`` per comma-separated part."""
-    chains, chain, tests, at, combinator = [], [], [], 0, ""
+    """One chain ``[(combinator, tests, tag), ...]`` per comma-separated part."""
+    chains, chain, tests, tag, at, combinator = [], [], [], None, 0, ""
     selector = selector.strip()
     while at <= len(selector):
         simple = _SIMPLE.match(selector, at)
         if simple and not (simple["tag"] and tests):
             tests.append(_simple_test(simple))
+            if simple["tag"] not in (None, "*"):
+                tag = simple["tag"].lower()
             at = simple.end()
             continue
         if not tests:
             raise ValueError(f"unsupported selector {selector!r}")
-        chain.append((combinator, tests))
-        tests = []
+        chain.append((combinator, tests, tag))
+        tests, tag = [], None
         if at == len(selector):
             chains.append(chain)
             return chains
@@ -356,52 +357,75 @@ def _parse_compound_list(selector: str) -> list:
     raise ValueError(f"unsupported selector {selector!r}")
 
 
-@lru_cache(maxsize=4096)
-def compile_selector(selector: str):
-    """Selector text -> test for one element. Raises ``ValueError`` when unsupported."""
-    chains = _parse_compound_list(selector)
-
-    def earlier_siblings(node: Node) -> list[Node]:
-        if node.parent is None:
-            return []
-        before: list[Node] = []
-        for c in node.parent.children:
-            if c is node:
-                break
-            if isinstance(c, Node):
-                before.append(c)
-        return before[::-1]
-
-    def candidates(node: Node, combinator: str) -> list[Node]:
-        if combinator in "+~":
-            return earlier_siblings(node)[: 1 if combinator == "+" else None]
-        up, above = node.parent, []
-        while up is not None:
-            above.append(up)
-            up = up.parent
-        return above[:1] if combinator == ">" else above
-
-    def matches(node: Node, chain, i: int) -> bool:
-        combinator, tests = chain[i]
-        if not all(test(node) for test in tests):
+def _earlier_siblings(node: Node) -> list[Node]:
+    before: list[Node] = []
+    for child in node.parent.children if node.parent else ():
+        if child is node:
+            break
+        if type(child) is Node:
+            before.append(child)
+    return before[::-1]
+
+
+def _ancestors(node: Node) -> list[Node]:
+    above = []
+    while node.parent is not None:
+        node = node.parent
+        above.append(node)
+    return above
+
+
+def _related(node: Node, combinator: str) -> list[Node]:
+    if combinator == ">":
+        return [node.parent] if node.parent else []
+    if combinator == " ":
+        return _ancestors(node)
+    return _earlier_siblings(node)[: 1 if combinator == "+" else None]
+
+
+def _matches(node: Node, chain: list, i: int) -> bool:
+    combinator, tests, _ = chain[i]
+    for test in tests:
+        if not test(node):
             return False
-        return i == 0 or any(matches(c, chain, i - 1) for c in candidates(node, combinator))
+    return i == 0 or any(_matches(c, chain, i - 1) for c in _related(node, combinator))
+
+
+@lru_cache(maxsize=4096)
+def compile_selector(selector: str) -> list:
+    """Selector text -> chains. Raises ``ValueError`` when unsupported."""
+    return _parse_compound_list(selector)
 
-    return lambda node: any(matches(node, chain, len(chain) - 1) for chain in chains)
 
+class Page:
+    """A page's elements in document order, looked up by tag for selectors."""
 
-def select(root: Node, selector: str) -> list[Node]:
-    test = compile_selector(selector)
-    found = [root] if test(root) else []
-    return found + [n for n in root.walk() if test(n)]
+    def __init__(self, source: str):
+        self.root = read_page(source)
+        self.elements = [self.root, *self.root.walk()]
+        self.by_tag: dict[str, list[Node]] = {}
+        for node in self.elements:
+            self.by_tag.setdefault(node.tag, []).append(node)
+
+    def select(self, selector: str) -> list[Node]:
+        chains = compile_selector(selector)
+        tags = {chain[-1][2] for chain in chains}
+        tag = tags.pop() if len(tags) == 1 else None
+        pool = self.by_tag.get(tag, ()) if tag else self.elements
+        return [
+            node
+            for node in pool
+            if any(_matches(node, chain, len(chain) - 1) for chain in chains)
+        ]
 
 
 # --- back to markup --------------------------------------------------------
 
-# Characters written as references.
-_ESCAPES = str.maketrans(
-    {"&": "&amp;", "'": "&#39;", "<": "&lt;", ">": "&gt;", '"': "&#34;", "\r": "&#13;"}
-)
+def _escape(text: str) -> str:
+    for plain, escaped in MARKUP_ESCAPES:
+        if plain in text:
+            text = text.replace(plain, escaped)
+    return text
 
 
 def inner_markup(node: Node) -> str:
@@ -413,11 +437,11 @@ def inner_markup(node: Node) -> str:
             if isinstance(child, Comment):
                 out.append(f"<!--{child}-->")
             elif isinstance(child, str):
-                out.append(child if parent.tag in RAW else child.translate(_ESCAPES))
+                out.append(child if parent.tag in RAW else _escape(child))
             else:
                 out.append("<" + child.tag)
                 for name, value in child.attrs.items():
-                    out.append(f' {name}="{value.translate(_ESCAPES)}"')
+                    out.append(f' {name}="{_escape(value)}"')
                 out.append("/>" if child.tag in VOID else ">")
                 if child.tag not in VOID:
                     pending.append((child, iter(child.children)))

@@ -80,13 +80,13 @@ def _clean_content(content: markup.Node, page_url: str, warnings: list[str]) ->
 
 
 def _read_one(url: str, source: str, selectors: dict, mode: str, keep_links: bool) -> dict:
-    root = markup.read_page(source)
+    page = markup.Page(source)
     out = {"warnings": []}
     if keep_links:
-        out["links"] = [n.attrs["href"] for n in root.walk() if n.tag == "a" and "href" in n.attrs]
+        out["links"] = [n.attrs["href"] for n in page.by_tag.get("a", ()) if "href" in n.attrs]
     if not selectors:
         return out
-    found = {f: markup.select(root, selectors[f]) for f in FIELDS if selectors.get(f)}
+    found = {f: page.select(selectors[f]) for f in FIELDS if selectors.get(f)}
     for field in ("content", "title", "date"):
         out[f"n_{field}"] = len(found.get(field, ()))
     if (out["n_content"], out["n_title"]) != (1, 1) or not out["n_date"]:

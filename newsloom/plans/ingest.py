@@ -51,11 +51,18 @@ class _Stages:
         return self.spark.read.parquet(path)
 
 
-def spread_for_reading(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """Give the page-reading job enough partitions when the input is small."""
+def spread_for_reading(
+    pages: DataFrame, sized_by: DataFrame | None = None, key: str = "page_id"
+) -> DataFrame:
+    """Give the page-reading job enough partitions when the input is small.
+
+    ``sized_by`` names the table whose estimated size decides, where ``pages``
+    is a join result (estimates of joins are far too high).
+    """
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    size = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return pages.repartition(cores * 2, key) if size < cores * SPREAD_BYTES_PER_CORE else pages
+    plan = (pages if sized_by is None else sized_by)._jdf.queryExecution().optimizedPlan()
+    small = plan.stats().sizeInBytes() < cores * SPREAD_BYTES_PER_CORE
+    return pages.repartition(cores * 2, key) if small else pages
 
 
 def read_articles(
@@ -64,10 +71,12 @@ def read_articles(
     text_mode: str = "first_text",
     on_bad_date: str = "reject",
     keep_links: bool = False,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Pages (``page_id``, ``website``, ``url``, ``html``) -> articles with reasons."""
     rules = sites.select("website", "sel", "date_pattern", "date_rewrite")
-    needed = spread_for_reading(pages.select("page_id", "website", "url", "html"))
+    needed = pages.select("page_id", "website", "url", "html")
+    needed = spread_for_reading(needed, sized_by)
     read = extract.read_pages_job(
         needed.join(rules.select("website", "sel"), "website"),
         text_mode=text_mode,
@@ -134,7 +143,9 @@ def run_ingest(
             "page_id", "website", F.col("canonical_url").alias("url")
         )
         with_html = pages.select("page_id", "html").join(taken, "page_id")
-        return read_articles(with_html, sites, text_mode, on_bad_date, keep_links=follow_links)
+        return read_articles(
+            with_html, sites, text_mode, on_bad_date, keep_links=follow_links, sized_by=pages
+        )
 
     articles = stages.once("read", read)
 
