@@ -135,8 +135,9 @@ def run_ingest(
         )
 
     decisions = stages.once("decided", decide)
-    if not follow_links:
-        decisions = stages.once("budgeted", lambda: frontier.apply_budget(decisions))
+    if not follow_links and not sites.filter(F.col("max_visits") > 0).isEmpty():
+        decided = decisions
+        decisions = stages.once("budgeted", lambda: frontier.apply_budget(decided))
 
     def read() -> DataFrame:
         taken = decisions.filter("accepted").select(
