@@ -1,0 +1,202 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsloom.operators import extract, links
+from newsloom.plans.ingest import run_ingest
+from newsloom.sources.articles import ParquetStore
+from newsloom.sources.config import Site, sites_table
+from newsloom.sources.pages import assign_sites, read_pages
+from newsloom.streaming.ingest_stream import ingest_landing
+
+SELECTORS = {"title": "h1", "content": "article", "date": "time"}
+LAYOUT = "{YEAR_LONG}-{MONTH_NUM}-{DAY_NUM}"
+SITES = [
+    Site("acme", "http://acme.tld/", SELECTORS, LAYOUT, ignore_all=True,
+         restrict="/news/", exclude="/news/old"),
+    Site("zeta", "http://zeta.tld/start", SELECTORS, LAYOUT, max_visits=2),
+]
+
+
+def page(title, *hrefs, date="2024-05-06"):
+    nav = "".join(f'<a href="{h}">l</a>' for h in hrefs)
+    return f"<nav>{nav}</nav><h1>{title}</h1><time>{date}</time><article>about {title}</article>"
+
+
+PAGES = [
+    (1, "http://acme.tld/", page("home", "/news/1", "news/2?x=1", "/about", "http://zeta.tld/start")),
+    (2, "http://acme.tld/news/1", page("n1", "/news/2#top", "/news/3", "/", "/news/gone")),
+    (3, "http://acme.tld/news/2?x=7#f", page("n2", "/news/1")),
+    (4, "http://acme.tld/news/2", page("n2 copy")),
+    (5, "http://acme.tld/news/3", page("n3", date="soon")),
+    (6, "http://acme.tld/news/old/1", page("old")),
+    (7, "http://acme.tld/news/island", page("island", "/news/1")),
+    (8, "http://zeta.tld/start", page("z0", "a", "b", "c", "start", "a?q")),
+    (9, "http://zeta.tld/a", "<p>no article"),
+    (10, "http://zeta.tld/b", page("zb", "d")),
+    (11, "http://zeta.tld/c", page("zc")),
+    (12, "http://zeta.tld/d", page("zd")),
+    (13, "http://other.tld/news/1", page("other")),
+]
+
+
+def pages(spark, rows=PAGES):
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string")
+
+
+def setting(spark, tmp_path):
+    return sites_table(spark, SITES), ParquetStore(spark, str(tmp_path / "a")), str(tmp_path / "r")
+
+
+def stored(articles):
+    return {(r.website, r.url): r.title for r in articles.read().collect()}
+
+
+def rejected(run):
+    return {(r.website, r.page_url, r.reason) for r in run.rejects.collect()}
+
+
+ACME = {("acme", "http://acme.tld/news/1"): "n1", ("acme", "http://acme.tld/news/2"): "n2",
+        ("acme", "http://acme.tld/news/island"): "island"}
+
+
+def test_candidates_without_links(spark, tmp_path):
+    sites, articles, rejects = setting(spark, tmp_path)
+    run = run_ingest(spark, pages(spark), sites, articles, rejects)
+    got = stored(articles)
+    assert {k: v for k, v in got.items() if k[0] == "acme"} == ACME
+    assert run.decisions.filter("website = 'zeta' AND accepted").count() == 2
+    told = rejected(run)
+    assert {
+        ("acme", "http://acme.tld/", "restrict"), ("acme", "http://acme.tld/news/old/1", "exclude"),
+        ("acme", "http://acme.tld/news/2", "seen"), ("acme", "http://acme.tld/news/3", "bad_date"),
+    } <= told
+    report = {r.website: r for r in run.report.collect()}
+    assert tuple(report["acme"]) == ("acme", 4, 3, 1, "exhausted")
+    assert report["zeta"].n_accepted == 2 and report["zeta"].stop_reason == "budget"
+    # every page of a configured site is either stored or told about
+    assert len(got) + len(told) == 12
+
+
+def test_second_run_keeps_first_versions(spark, tmp_path):
+    sites, articles, rejects = setting(spark, tmp_path)
+    run_ingest(spark, pages(spark), sites, articles, rejects)
+    before = articles.read().collect()
+    changed = [(i + 100, url, html.replace("about", "NEW")) for i, url, html in PAGES]
+    run = run_ingest(spark, pages(spark, changed), sites, articles, rejects)
+    after = articles.read().filter("website = 'acme'").collect()
+    assert sorted(after) == sorted(r for r in before if r.website == "acme")
+    assert ("acme", "http://acme.tld/news/1", "stored") in rejected(run)
+
+
+def test_replayed_run_changes_nothing(spark, tmp_path):
+    sites, articles, rejects = setting(spark, tmp_path)
+    run_id = f"replay-{tmp_path.name}-{datetime.datetime.now().timestamp()}"
+    first = run_ingest(spark, pages(spark), sites, articles, rejects, run_id=run_id)
+    told, kept = rejected(first), sorted(articles.read().collect())
+    again = run_ingest(spark, pages(spark), sites, articles, rejects, run_id=run_id)
+    assert sorted(articles.read().collect()) == kept
+    assert rejected(again) == told
+
+
+def test_following_links(spark, tmp_path):
+    sites, articles, rejects = setting(spark, tmp_path)
+    run = run_ingest(spark, pages(spark), sites, articles, rejects, follow_links=True)
+    got = stored(articles)
+    # the start page is entered although it fails the filter; the island is never reached
+    acme = {("acme", "http://acme.tld/"): "home", **ACME}
+    del acme["acme", "http://acme.tld/news/island"]
+    assert {k: v for k, v in got.items() if k[0] == "acme"} == acme
+    assert ("acme", "http://acme.tld/news/island", "unreached") in rejected(run)
+    visited = run.decisions.filter("website = 'zeta' AND accepted").collect()
+    assert len(visited) == 2 and "http://zeta.tld/start" in {r.canonical_url for r in visited}
+    assert {r.website: r.stop_reason for r in run.report.collect()} == {"acme": "exhausted", "zeta": "budget"}
+
+
+def test_missing_start_page(spark, tmp_path):
+    sites, articles, rejects = setting(spark, tmp_path)
+    rest = [p for p in PAGES if p[0] != 8]
+    run = run_ingest(spark, pages(spark, rest), sites, articles, rejects, follow_links=True)
+    assert {r.website: r.stop_reason for r in run.report.collect()}["zeta"] == "start_missing"
+
+
+def test_stream_equals_batch_and_skips_what_is_stored(spark, tmp_path):
+    sites, batch, rejects = setting(spark, tmp_path)
+    unlimited = sites.withColumn("max_visits", F.lit(0))
+    run_ingest(spark, pages(spark), unlimited, batch, rejects)
+    streamed = ParquetStore(spark, str(tmp_path / "s"))
+    landing = str(tmp_path / "landing")
+
+    def ingest():
+        ingest_landing(spark, landing, unlimited, streamed, str(tmp_path / "sr"),
+                       str(tmp_path / "ck"), name=f"t-{tmp_path}".replace("/", "_"))
+
+    pages(spark, PAGES[:6]).coalesce(1).write.mode("append").parquet(landing)
+    ingest()
+    first = streamed.read().count()
+    pages(spark, PAGES[6:] + PAGES[:2]).coalesce(1).write.mode("append").parquet(landing)
+    ingest()
+    ingest()  # nothing new has landed
+    assert 0 < first < streamed.read().count()
+    assert sorted(streamed.read().collect()) == sorted(batch.read().collect())
+    told = spark.read.parquet(str(tmp_path / "sr")).filter("reason = 'stored'")
+    assert {r.page_url for r in told.collect()} == {"http://acme.tld/news/1"}
+
+
+def test_one_url_claimed_by_two_sites_is_stored_once(spark, tmp_path):
+    _, articles, rejects = setting(spark, tmp_path)
+    twins = sites_table(spark, [
+        Site(name, "http://acme.tld/", SELECTORS, LAYOUT, ignore_all=True) for name in ("p", "q")])
+    run = run_ingest(spark, pages(spark, PAGES[1:2]), twins, articles, rejects)
+    assert stored(articles) == {("p", "http://acme.tld/news/1"): "n1"}
+    assert rejected(run) == {("q", "http://acme.tld/news/1", "duplicate_url")}
+
+
+def test_pages_without_an_id_get_a_stable_one(spark, tmp_path):
+    path = str(tmp_path / "p")
+    pages(spark).drop("page_id").repartition(3).write.parquet(path)
+    first, second = ({r.url: r.page_id for r in read_pages(spark, path).collect()} for _ in range(2))
+    assert first == second and len(set(first.values())) == len(PAGES)
+    found = assign_sites(read_pages(spark, path), sites_table(spark, SITES))
+    assert {r.website for r in found.collect()} == {"acme", "zeta"} and found.count() == 12
+
+
+def test_links_are_harvested_in_whole_pages(spark):
+    rows = [("acme", "http://acme.tld/x/y?z", '<a href=" ../a#f "><a href="javascript:x()"><a href=b>'
+             '<a name=c><!-- <a href=d> --><script>"<a href=e>"</script><a href="//h.tld">')]
+    frame = spark.createDataFrame(rows, "website string, url string, html string")
+    frame = frame.withColumn("page_id", F.lit(1))
+    got = {r.to_url for r in links.harvest(extract.read_pages_job(frame)).collect()}
+    assert got == {"http://acme.tld/a", "http://acme.tld/x/b", "http://h.tld"}
+
+
+@pytest.mark.parametrize("budget", [0, 1, 9, 40])
+def test_reachability_against_brute_force(spark, budget):
+    import hashlib
+    import random
+
+    rng = random.Random(budget)
+    urls = {w: [f"http://{w}/{i}" for i in range(60)] for w in ("hot", "w1", "w2")}
+    edges = [(w, a, rng.choice(urls[w])) for w in urls for a in urls[w] for _ in range(2)]
+    stored_pages = {("w1", u) for u in urls["w1"][::7][1:]}
+    sites = sites_table(spark, [
+        Site(w, urls[w][0], SELECTORS, LAYOUT, max_visits=budget if w != "w2" else 0) for w in urls])
+    got = links.reachable(
+        spark.createDataFrame(edges, "website string, from_url string, to_url string").distinct(),
+        sites,
+        spark.createDataFrame([(w, u) for w in urls for u in urls[w]], "website string, url string"),
+        spark.createDataFrame(sorted(stored_pages), "website string, url string"),
+    )
+    wanted = set()
+    for w in urls:
+        limit = budget if w != "w2" and budget else 10**9
+        seen, level, depth = {urls[w][0]}, [urls[w][0]], 0
+        while level:
+            wanted |= {(w, u, depth) for u in level}
+            found = {b for ww, a, b in edges if ww == w and a in level} - seen
+            found -= {u for ww, u in stored_pages if ww == w}
+            level = sorted(found, key=lambda u: hashlib.md5(u.encode()).hexdigest())[: limit - len(seen)]
+            seen |= set(level)
+            depth += 1
+    assert {tuple(r) for r in got.select("website", "url", "depth").collect()} == wanted
