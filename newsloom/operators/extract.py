@@ -18,6 +18,7 @@ from newsloom.functions import markup
 from newsloom.functions.dates import parse_date, zero_date
 from newsloom.functions.page_links import resolve_link
 from newsloom.functions.text import trim_field
+from newsloom.operators.store import missing_required
 
 FIELDS = ("title", "description", "content", "author", "date", "thumbnail")
 TEXT_MODES = ("first_text", "first_child")
@@ -113,12 +114,12 @@ def read_pages_job(
     keys: tuple[str, ...] = ("page_id", "website", "url"),
     text_mode: str = "first_text",
     keep_links: bool = True,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Run the page-reading job.
 
     ``pages`` holds the key columns, ``html`` and, unless only links are wanted,
-    ``sel`` (struct of selector texts). Only these columns cross into Python.
+    ``sel`` (struct of selector texts). Only these columns cross into Python; the
+    keys come back unchanged.
     One broken page never fails a task: it yields a row with ``parse_error``.
     """
     if text_mode not in TEXT_MODES:
@@ -128,9 +129,7 @@ def read_pages_job(
         F.col(f"sel.{f}").alias(f"sel_{f}") for f in FIELDS if has_selectors
     ]
     needed = pages.select(*keys, "html", *selector_columns)
-    if partitions:
-        needed = needed.repartition(partitions)
-    key_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in needed.schema if f.name in keys)
+    key_ddl = ", ".join(f"{k} {needed.schema[k].dataType.simpleString()}" for k in keys)
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,9 +203,10 @@ def to_articles(extracted: DataFrame, on_bad_date: str = "reject") -> DataFrame:
         date = F.when(bad_date, zero_date()).otherwise(date)
         note = F.concat(F.lit("bad_date: "), date_text)
         warnings = F.when(bad_date, F.concat(warnings, F.array(note))).otherwise(warnings)
-    kept = [c for c in ("page_id", "website", "url") if c in extracted.columns]
-    return parsed.select(
-        *kept,
+    articles = parsed.select(
+        "page_id",
+        "website",
+        "url",
         title.alias("title"),
         trim_field(F.col("description_raw")).alias("description"),
         "content",
@@ -217,3 +217,4 @@ def to_articles(extracted: DataFrame, on_bad_date: str = "reject") -> DataFrame:
         warnings.alias("warnings"),
         *(["links"] if "links" in extracted.columns else []),
     )
+    return articles.withColumn("reason", F.coalesce("reason", missing_required()))

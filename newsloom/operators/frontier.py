@@ -46,9 +46,18 @@ def first_of_each(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(order).alias(order))
 
 
+def already_there(rows: DataFrame, keys: list[str], stored: DataFrame) -> DataFrame:
+    """Keys of ``rows`` that ``stored`` holds.
+
+    Reduces ``stored`` first: when the new rows are few they are broadcast and
+    the store is scanned without a shuffle, however large it has become.
+    """
+    return stored.select(*keys).join(rows.select(*keys), keys, "left_semi")
+
+
 def unseen(rows: DataFrame, keys: list[str], stored: DataFrame) -> DataFrame:
     """Rows whose key is not stored yet; ``stored`` must hold the key columns."""
-    return rows.join(stored.select(*keys), keys, "left_anti")
+    return rows.join(already_there(rows, keys, stored), keys, "left_anti")
 
 
 def decide(pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
@@ -69,10 +78,8 @@ def decide(pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     if stored is None:
         firsts = firsts.withColumn("is_stored", F.lit(False))
     else:
-        known = stored.select(
-            "website", F.col("url").alias("canonical_url"), F.lit(True).alias("is_stored")
-        )
-        firsts = firsts.join(known, key, "left").withColumn(
+        known = already_there(firsts, key, stored.withColumnRenamed("url", "canonical_url"))
+        firsts = firsts.join(known.withColumn("is_stored", F.lit(True)), key, "left").withColumn(
             "is_stored", F.coalesce("is_stored", F.lit(False))
         )
     reason = (

@@ -85,7 +85,7 @@ def reachable(
     folder, depth = scratch_path(spark, "levels"), 0
     level_path = lambda: f"{folder}/depth={depth}"
     read_level = lambda: spark.read.schema("website string, url string").parquet(level_path())
-    seeds.join(page_urls.select(*key), key, "left_semi").distinct().write.parquet(level_path())
+    page_urls.select(*key).join(seeds, key, "left_semi").distinct().write.parquet(level_path())
     visited = lambda: spark.read.schema("website string, url string, depth int").parquet(folder)
     while not read_level().isEmpty():
         found = materialize(
@@ -96,7 +96,7 @@ def reachable(
             .distinct(),
             "found",
         )
-        fresh = found.join(visited().join(found, key, "left_semi"), key, "left_anti")
+        fresh = unseen(found, key, visited())
         if limited:
             fresh = _spend(fresh, limits, visited())
         depth += 1

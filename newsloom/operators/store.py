@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators.frontier import unseen
+
 ARTICLE_COLUMNS = ("website", "url", "title", "description", "content", "author", "date")
 REQUIRED_COLUMNS = ("website", "url", "title", "content", "date")
 
@@ -20,29 +22,31 @@ def missing_required() -> Column:
     return reason
 
 
+def first_claims(rows: DataFrame, stored: DataFrame | None, order: str) -> DataFrame:
+    """``order`` values of the rows that are the first to claim a url not stored yet.
+
+    Only urls and the order column are shuffled, and one row per url after
+    combining, so a url claimed by a third of all rows is no hot key.
+    """
+    firsts = rows.groupBy("url").agg(F.min(order).alias(order))
+    if stored is not None:
+        firsts = unseen(firsts, ["url"], stored)
+    return firsts.select(order)
+
+
 def write_verdicts(batch: DataFrame, stored: DataFrame | None, order: str = "seq") -> DataFrame:
     """Say for every row of a batch whether it gets written.
 
     ``order`` is a unique, sortable column: of the rows with one ``url`` the
     smallest is written, unless ``stored`` already has that url under any
-    website. Out: ``order`` column and ``reason`` (null: write). Only urls, the
-    order column and null flags are shuffled, one row per url after combining.
+    website. Out: ``order`` column and ``reason`` (null: write).
     """
     checked = batch.select(order, "url", missing_required().alias("reason"))
-    firsts = (
-        checked.filter(F.col("reason").isNull()).groupBy("url").agg(F.min(order).alias(order))
-    )
-    if stored is not None:
-        firsts = firsts.join(stored.select("url"), "url", "left_anti")
-    winners = firsts.select(order, F.lit(True).alias("_wins"))
+    winners = first_claims(checked.filter(F.col("reason").isNull()), stored, order)
+    lost = F.col("reason").isNull() & F.col("_wins").isNull()
     return (
-        checked.join(winners, order, "left")
-        .withColumn(
-            "reason",
-            F.when(F.col("reason").isNull() & F.col("_wins").isNull(), "duplicate_url").otherwise(
-                F.col("reason")
-            ),
-        )
+        checked.join(winners.withColumn("_wins", F.lit(True)), order, "left")
+        .withColumn("reason", F.when(lost, "duplicate_url").otherwise(F.col("reason")))
         .select(order, "reason")
     )
 

@@ -9,7 +9,12 @@ from newsloom.functions import urls
 from newsloom.functions.dates import parse_date, translate_layout
 from newsloom.operators import extract, feeds, frontier, links, reports, store
 from newsloom.plans import samples
-from newsloom.plans.ingest import read_articles, run_ingest, spread_for_reading
+from newsloom.plans.ingest import (
+    read_articles,
+    run_ingest,
+    spread_for_reading,
+    with_reading_rules,
+)
 from newsloom.scratch import scratch_path
 from newsloom.sources.articles import ParquetStore
 from newsloom.streaming.ingest_stream import ingest_landing
@@ -343,9 +348,14 @@ def article_predicate(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("url", extract.is_article().alias("is_article"))
 
 
+def _read_documents(spark: SparkSession, sf: str) -> DataFrame:
+    pages = samples.doc_pages(spark, sf)
+    ruled = with_reading_rules(pages, samples.doc_sites(spark, sf))
+    return read_articles(ruled, sized_by=pages)
+
+
 def _extracted(spark: SparkSession, sf: str) -> DataFrame:
-    read = read_articles(samples.doc_pages(spark, sf), samples.doc_sites(spark, sf))
-    return read.filter(F.col("reason").isNull())
+    return _read_documents(spark, sf).filter(F.col("reason").isNull())
 
 
 @query(f"""
@@ -376,7 +386,7 @@ WITH {SQL_DOCS}
 SELECT website, CASE WHEN n_chars < 300 THEN 'not_article' ELSE 'bad_date' END AS reason,
        count(*) AS n FROM docs WHERE NOT ({SQL_GOOD}) GROUP BY 1, 2""")
 def extract_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    read = read_articles(samples.doc_pages(spark, sf), samples.doc_sites(spark, sf))
+    read = _read_documents(spark, sf)
     rejects = reports.rejects_of(read, detail="detail")
     return reports.reject_report(rejects).drop("kind")
 
@@ -637,7 +647,7 @@ UNION ALL SELECT website, 'error', 'error error on ' || url || ': 31 February 20
 UNION ALL SELECT website, 'page', 'page error on ' || url || ': content_matches=1 title_matches=1 date_matches=0'
   FROM docs WHERE n_chars < 300""")
 def reject_messages(spark: SparkSession, sf: str) -> DataFrame:
-    read = read_articles(samples.doc_pages(spark, sf), samples.doc_sites(spark, sf))
+    read = _read_documents(spark, sf)
     rejects = reports.rejects_of(read, detail="detail")
     message = reports.reject_message(F.col("kind"), F.col("page_url"), F.col("detail"))
     return rejects.select("website", "kind", message.alias("message"))

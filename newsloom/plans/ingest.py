@@ -26,6 +26,8 @@ from newsloom.sources.pages import assign_sites
 # before they are read; above it the scan is parallel enough and no shuffle is paid.
 SPREAD_BYTES_PER_CORE = 64 << 20
 
+READING_RULES = ("sel", "date_pattern", "date_rewrite")
+
 
 @dataclass(frozen=True)
 class IngestResult:
@@ -65,26 +67,31 @@ def spread_for_reading(
     return pages.repartition(cores * 2, key) if small else pages
 
 
+def with_reading_rules(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    """Attach the selectors and the date layout; meant for rows without markup."""
+    return rows.join(sites.select("website", *READING_RULES), "website")
+
+
 def read_articles(
     pages: DataFrame,
-    sites: DataFrame,
     text_mode: str = "first_text",
     on_bad_date: str = "reject",
     keep_links: bool = False,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Pages (``page_id``, ``website``, ``url``, ``html``) -> articles with reasons."""
-    rules = sites.select("website", "sel", "date_pattern", "date_rewrite")
-    needed = pages.select("page_id", "website", "url", "html")
-    needed = spread_for_reading(needed, sized_by)
+    """Pages with reading rules -> articles with reasons.
+
+    In: ``page_id``, ``website``, ``url``, ``html``, ``sel``, ``date_pattern``,
+    ``date_rewrite``. No join follows the reading, so nothing wide is shuffled.
+    """
+    needed = pages.select("page_id", "website", "url", "html", *READING_RULES)
     read = extract.read_pages_job(
-        needed.join(rules.select("website", "sel"), "website"),
+        spread_for_reading(needed, sized_by),
+        keys=("page_id", "website", "url", "date_pattern", "date_rewrite"),
         text_mode=text_mode,
         keep_links=keep_links,
     )
-    if not keep_links:
-        read = read.drop("links")
-    return extract.to_articles(read.join(rules.drop("sel"), "website"), on_bad_date)
+    return extract.to_articles(read if keep_links else read.drop("links"), on_bad_date)
 
 
 def _start_pages(sites: DataFrame) -> DataFrame:
@@ -143,10 +150,9 @@ def run_ingest(
         taken = decisions.filter("accepted").select(
             "page_id", "website", F.col("canonical_url").alias("url")
         )
-        with_html = pages.select("page_id", "html").join(taken, "page_id")
-        return read_articles(
-            with_html, sites, text_mode, on_bad_date, keep_links=follow_links, sized_by=pages
-        )
+        # rules join the narrow side; page_id is unique, so this join has no hot key
+        ruled = pages.select("page_id", "html").join(with_reading_rules(taken, sites), "page_id")
+        return read_articles(ruled, text_mode, on_bad_date, follow_links, sized_by=pages)
 
     articles = stages.once("read", read)
 
@@ -173,20 +179,17 @@ def run_ingest(
         )
 
     def outcome() -> DataFrame:
-        seq = F.struct("page_id", "website").alias("seq")
         good = articles.filter(F.col("reason").isNull())
-        # the checks need to know whether a field is there, not what it holds
-        present = [F.when(F.col(c).isNotNull(), 1).alias(c) for c in ("title", "content", "date")]
-        narrow = good.select(seq, "website", "url", *present)
-        verdicts = store.write_verdicts(narrow, article_store.read())
-        verdicts = verdicts.select(
-            "seq.page_id", "seq.website", F.col("reason").alias("write_reason")
+        rows = good.select(F.struct("page_id", "website").alias("seq"), "url")
+        winners = store.first_claims(rows, article_store.read(), "seq").select(
+            "seq.page_id", "seq.website", F.lit(True).alias("_wins")
         )
+        lost = F.col("reason").isNull() & F.col("_wins").isNull()
         return (
             articles.select("page_id", "website", "url", "reason", "detail", "warnings")
-            .join(verdicts, ["page_id", "website"], "left")
-            .withColumn("reason", F.coalesce("reason", "write_reason"))
-            .drop("write_reason")
+            .join(winners, ["page_id", "website"], "left")
+            .withColumn("reason", F.when(lost, "duplicate_url").otherwise(F.col("reason")))
+            .drop("_wins")
         )
 
     result = stages.once("outcome", outcome)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import extract, reports
-from newsloom.plans.ingest import read_articles
+from newsloom.plans.ingest import read_articles, with_reading_rules
 from newsloom.sources.config import Site, sites_table
 
 SITE = Site(
@@ -26,7 +26,8 @@ def page(inner, content="x"):
 def read(spark, htmls, url="http://acme.tld/news/1?p=1", **options):
     rows = [(i, "acme", url, h) for i, h in enumerate(htmls)]
     pages = spark.createDataFrame(rows, "page_id bigint, website string, url string, html string")
-    done = read_articles(pages, sites_table(spark, [SITE]), keep_links=True, **options)
+    ruled = with_reading_rules(pages, sites_table(spark, [SITE]))
+    done = read_articles(ruled, keep_links=True, **options)
     return [r.asDict() for r in done.orderBy("page_id").collect()]
 
 
@@ -172,6 +173,6 @@ def test_markup_is_not_read_for_columns_it_does_not_need(spark, tmp_path):
     spark.createDataFrame([(1, "acme", "http://acme.tld/", "x", "y")],
                           "page_id bigint, website string, url string, html string, extra string"
                           ).write.parquet(path)
-    plan = read_articles(spark.read.parquet(path), sites_table(spark, [SITE]))
+    plan = read_articles(with_reading_rules(spark.read.parquet(path), sites_table(spark, [SITE])))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "extra" not in text

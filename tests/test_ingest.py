@@ -171,13 +171,13 @@ def test_links_are_harvested_in_whole_pages(spark):
     assert got == {"http://acme.tld/a", "http://acme.tld/x/b", "http://h.tld"}
 
 
-@pytest.mark.parametrize("budget", [0, 1, 9, 40])
+@pytest.mark.parametrize("budget", [0, 9])
 def test_reachability_against_brute_force(spark, budget):
     import hashlib
     import random
 
     rng = random.Random(budget)
-    urls = {w: [f"http://{w}/{i}" for i in range(60)] for w in ("hot", "w1", "w2")}
+    urls = {w: [f"http://{w}/{i}" for i in range(30)] for w in ("hot", "w1", "w2")}
     edges = [(w, a, rng.choice(urls[w])) for w in urls for a in urls[w] for _ in range(2)]
     stored_pages = {("w1", u) for u in urls["w1"][::7][1:]}
     sites = sites_table(spark, [
