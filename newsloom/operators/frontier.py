@@ -60,19 +60,23 @@ def unseen(rows: DataFrame, keys: list[str], stored: DataFrame) -> DataFrame:
     return rows.join(already_there(rows, keys, stored), keys, "left_anti")
 
 
-def decide(pages: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Accept or reject every page.
-
-    In: ``page_id``, ``website``, ``url`` and the site columns. Out: ``page_id``,
-    ``website``, ``url``, ``canonical_url``, ``accepted``, ``reason`` (and
-    ``max_visits``). Of the pages of one site with one canonical URL the one
-    with the smallest ``page_id`` is kept; the others are ``seen``.
-    """
-    checked = (
+def check(pages: DataFrame) -> DataFrame:
+    """Per-row part of the decisions: canonical URL and the filter it fails, if any."""
+    return (
         with_canonical_url(pages)
         .withColumn("failed", filter_reason(F.col("canonical_url")))
         .select("page_id", "website", "url", "canonical_url", "max_visits", "failed")
     )
+
+
+def decide(checked: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Accept or reject every checked page.
+
+    Out: ``page_id``, ``website``, ``url``, ``canonical_url``, ``max_visits``,
+    ``accepted``, ``reason``. Of the pages of one site with one canonical URL the
+    one with the smallest ``page_id`` is kept; the others are ``seen``.
+    ``checked`` is used three times: on large inputs pass a stored table.
+    """
     key = ["website", "canonical_url"]
     firsts = first_of_each(checked.filter(F.col("failed").isNull()), key, "page_id")
     if stored is None:

@@ -76,7 +76,9 @@ def reachable(
     if stored is not None:
         allowed = unseen(allowed, key, stored)
     targets = allowed.withColumnRenamed("url", "to_url")
-    hops = materialize(edges.join(targets, ["website", "to_url"], "left_semi"), "edges")
+    # two steps: a semi join on edges still being made distinct would run below that
+    distinct_edges = materialize(edges, "edges")
+    hops = materialize(distinct_edges.join(targets, ["website", "to_url"], "left_semi"), "hops")
     start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
     seeds = sites.select("website", start.alias("url"))
     limits = sites.filter(F.col("max_visits") > 0).select("website", "max_visits")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.operators.frontier import unseen
+from newsloom.operators.frontier import already_there
 
 ARTICLE_COLUMNS = ("website", "url", "title", "description", "content", "author", "date")
 REQUIRED_COLUMNS = ("website", "url", "title", "content", "date")
@@ -30,7 +30,9 @@ def first_claims(rows: DataFrame, stored: DataFrame | None, order: str) -> DataF
     """
     firsts = rows.groupBy("url").agg(F.min(order).alias(order))
     if stored is not None:
-        firsts = unseen(firsts, ["url"], stored)
+        # not an anti join: Catalyst would move that below the aggregation
+        known = already_there(firsts, ["url"], stored).withColumn("_known", F.lit(True))
+        firsts = firsts.join(known, "url", "left").filter(F.col("_known").isNull())
     return firsts.select(order)
 
 

@@ -253,7 +253,7 @@ def frontier_decisions(spark: SparkSession, sf: str) -> DataFrame:
     pages = samples.with_rules(
         _page_variants(spark, sf), ignore_all=True, restrict=RESTRICT, exclude=EXCLUDE
     )
-    return frontier.decide(pages, _english_stored(spark, sf)).select(
+    return frontier.decide(frontier.check(pages), _english_stored(spark, sf)).select(
         "website", "page_id", "canonical_url", "accepted", "reason"
     )
 

@@ -4,7 +4,8 @@ Stages are written to the shared scratch folder, so each is computed once, later
 stages read only the columns they need, and a run that is repeated under the
 same ``run_id`` (a replayed micro-batch) continues from what is there.
 
-    decisions   narrow   which page is taken, and why not
+    checked     narrow   canonical URLs and the filters they fail
+    decided     narrow   which page is taken, and why not
     read        wide     fields, content and links of taken pages (markup read once)
     outcome     narrow   what happened to every taken page
 """
@@ -128,8 +129,12 @@ def run_ingest(
     stages = _Stages(spark, run_id)
     replay = stages.done("outcome")
 
+    checked = stages.once(
+        "checked", lambda: frontier.check(assign_sites(pages.drop("html"), sites))
+    )
+
     def decide() -> DataFrame:
-        decided = frontier.decide(assign_sites(pages.drop("html"), sites), article_store.read())
+        decided = frontier.decide(checked, article_store.read())
         if not follow_links:
             return decided
         # start points are entered whatever the filters say

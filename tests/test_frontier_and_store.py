@@ -22,7 +22,7 @@ def skewed_urls(spark, n=4000):
 def test_decisions_against_brute_force(spark):
     pages = with_rules(skewed_urls(spark), ignore_all=True, restrict="http://(hot|s1)", exclude="/1.*2$")
     stored = spark.createDataFrame([("hot", "http://hot/same"), ("s1", "http://s1/4")], "website string, url string")
-    got = {(r.page_id): r.reason for r in frontier.decide(pages, stored).collect()}
+    got = {(r.page_id): r.reason for r in frontier.decide(frontier.check(pages), stored).collect()}
     known, seen, wanted = {tuple(r) for r in stored.collect()}, set(), {}
     import re
     for r in sorted(pages.collect(), key=lambda r: r.page_id):
@@ -55,7 +55,7 @@ def test_budget_against_brute_force(spark, budget):
 
 def test_budget_rejects_are_kept(spark):
     pages = with_rules(skewed_urls(spark), ignore_all=True, max_visits=5)
-    decided = frontier.decide(pages)
+    decided = frontier.decide(frontier.check(pages))
     judged = frontier.apply_budget(decided)
     counts = {r.reason: r["count"] for r in judged.groupBy("reason").count().collect()}
     assert judged.count() == 4000 and counts["budget"] > 0
