@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.-]*):"
 AUTHORITY = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
+# ASCII, scheme in lower case, no fragment
+PLAIN = r"\A[a-z][a-z0-9+.-]*:[\x00-\x22\x24-\x7f]*\z"
+PLAIN_ROOTED = r"\A/(?:[\x00-\x2e\x30-\x7f][\x00-\x7f]*)?\z"
+PLAIN_ABSOLUTE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://[\x00-\x7f]*\z"
 ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 
 
@@ -126,10 +130,21 @@ def apply_query_rule(url: Column, ignore_all: Column, listed: Column) -> Column:
 
 
 def canonical(url: Column, ignore_all: Column, listed: Column) -> Column:
-    """The URL under which a page is compared, filtered and stored."""
-    plain = let(strip_fragment(url), lower_scheme)
-    ruled = let(plain, lambda u: apply_query_rule(u, ignore_all, listed))
-    return let(ruled, encode_non_ascii)
+    """The URL under which a page is compared, filtered and stored.
+
+    Most URLs need nothing or lose their query; these two cases stay in compiled
+    code, and only the others go through the steps below.
+    """
+    plain = url.rlike(PLAIN)
+    unlisted = F.coalesce(F.size(listed) <= 0, F.lit(True))
+    untouched = ignore_all.isNull() | (F.instr(url, "?") == 0) | (unlisted & ~ignore_all)
+    lowered = let(strip_fragment(url), lower_scheme)
+    ruled = let(lowered, lambda u: apply_query_rule(u, ignore_all, listed))
+    return (
+        F.when(plain & untouched, url)
+        .when(plain & unlisted, drop_query(url))
+        .otherwise(let(ruled, encode_non_ascii))
+    )
 
 
 def remove_dot_segments(path: Column) -> Column:
@@ -212,4 +227,11 @@ def resolve(base: Column, ref: Column) -> Column:
         path = F.when(q["opaque"], q["rest"]).otherwise(remove_dot_segments(q["rest"]))
         return F.concat(q["prefix"], path, q["tail"])
 
-    return let(let(let(let(ref, split), place), join), encode_non_ascii)
+    # links from the root and absolute ones, without dots or non-ASCII, stay compiled
+    ascii_origin = F.octet_length(base["origin"]) == F.char_length(base["origin"])
+    dotless = F.instr(ref, "/.") == 0
+    return (
+        F.when(dotless & ref.rlike(PLAIN_ROOTED) & ascii_origin, F.concat(base["origin"], ref))
+        .when(dotless & ref.rlike(PLAIN_ABSOLUTE), ref)
+        .otherwise(let(let(let(let(ref, split), place), join), encode_non_ascii))
+    )

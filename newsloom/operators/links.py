@@ -46,7 +46,7 @@ def site_edges(links: DataFrame, sites: DataFrame, one_host: bool = True) -> Dat
     if one_host:
         edges = edges.filter(same_host(F.col("to_url"), F.col("start_point")))
     return (
-        edges.filter(filter_reason(F.col("to_url")).isNull())
+        edges.filter(urls.let(F.col("to_url"), filter_reason).isNull())
         .select("website", "from_url", "to_url")
         .distinct()
     )

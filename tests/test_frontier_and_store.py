@@ -115,6 +115,16 @@ def test_one_url_in_a_third_of_a_batch(spark):
     assert len(written) == 2001 and [s for s in written if s % 3 == 1] == [1]
 
 
+def test_urls_are_combined_before_any_join(spark):
+    batch = frame(spark, [article("a", "http://x/1")])
+    stored = spark.createDataFrame([("http://x/2",)], "url string")
+    plan = store.first_claims(batch, stored, "seq")._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    joins = [i for i, line in enumerate(lines) if "Join LeftOuter" in line]
+    combined = [i for i, line in enumerate(lines) if "Aggregate [url" in line and "min(seq" in line]
+    assert len(joins) == 1 and combined and joins[0] < combined[0] and "LeftAnti" not in plan
+
+
 def test_website_reads_are_pruned(spark, tmp_path):
     articles = ParquetStore(spark, str(tmp_path / "a"))
     articles.append(frame(spark, [article("a", "http://x/1"), article("b", "http://x/2")]))
