@@ -23,9 +23,15 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
+def dates_as_text(result: DataFrame) -> DataFrame:
+    """Dates in ISO form, so that results of two engines compare as plain values."""
+    dates = {n: F.col(n).cast("string") for n, kind in result.dtypes if kind == "date"}
+    return result.withColumns(dates) if dates else result
+
+
 def query(sql: str | None = None):
     def register(run):
-        QUERIES[run.__name__] = run
+        QUERIES[run.__name__] = lambda spark, sf_dir: dates_as_text(run(spark, sf_dir))
         if sql is not None:
             SQL[run.__name__] = sql
         return run
@@ -360,7 +366,8 @@ def _extracted(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 WITH {SQL_DOCS}
-SELECT website, url, title, {SQL_CLEAN} AS content, date FROM docs WHERE {SQL_GOOD}""")
+SELECT website, url, title, {SQL_CLEAN} AS content, CAST(date AS VARCHAR) AS date
+FROM docs WHERE {SQL_GOOD}""")
 def extract_articles(spark: SparkSession, sf: str) -> DataFrame:
     return _extracted(spark, sf).select("website", "url", "title", "content", "date")
 
@@ -410,7 +417,7 @@ ORDER_LAYOUTS = {
 }
 
 
-@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders")
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders")
 def date_layouts(spark: SparkSession, sf: str) -> DataFrame:
     moment = F.col("o_orderdate") + F.make_dt_interval(mins=F.col("o_custkey") % 1440)
     printed = pattern = rewrite = F.lit(None).cast("string")
@@ -424,7 +431,8 @@ def date_layouts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN CAST(o_orderdate AS DATE) END AS date FROM orders""")
+SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date
+FROM orders""")
 def date_bad_values(spark: SparkSession, sf: str) -> DataFrame:
     layout = translate_layout("{DAY_NUM} {MONTH_LONG} {YEAR_LONG}")
     day, status = F.col("o_orderdate"), F.col("o_orderstatus")
@@ -484,12 +492,14 @@ def stored_counts(spark: SparkSession, sf: str) -> DataFrame:
     return store.stored_counts(_stored_articles(spark, sf))
 
 
-@query(f"WITH {SQL_DOCS} SELECT website, url, title, description, text AS content, author, date FROM docs")
+@query(f"""
+WITH {SQL_DOCS}
+SELECT website, url, title, description, text AS content, author, CAST(date AS VARCHAR) AS date FROM docs""")
 def stored_articles(spark: SparkSession, sf: str) -> DataFrame:
     return _stored_articles(spark, sf)
 
 
-@query(f"WITH {SQL_LATEST} SELECT website, rn, url, date FROM ranked WHERE rn <= 20")
+@query(f"WITH {SQL_LATEST} SELECT website, rn, url, CAST(date AS VARCHAR) AS date FROM ranked WHERE rn <= 20")
 def latest_n(spark: SparkSession, sf: str) -> DataFrame:
     latest = store.latest_n(samples.doc_articles(spark, sf), 20)
     return latest.select("website", "rn", "url", "date")
@@ -508,7 +518,7 @@ def feed_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 WITH {SQL_LATEST}
-SELECT website, rn, title, url AS link, date AS created, text AS content,
+SELECT website, rn, title, url AS link, CAST(date AS VARCHAR) AS created, text AS content,
        coalesce(description, '') AS description, author FROM ranked WHERE rn <= 20""")
 def feed_items(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.feed_items(samples.doc_articles(spark, sf), 20)
@@ -655,7 +665,7 @@ def reject_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_STORED = f"""
 WITH {SQL_DOCS}
-SELECT website, url, title, description, {SQL_CLEAN} AS content, author, date
+SELECT website, url, title, description, {SQL_CLEAN} AS content, author, CAST(date AS VARCHAR) AS date
 FROM docs WHERE {SQL_GOOD}"""
 
 
@@ -674,7 +684,7 @@ edge AS (
 walk AS (
   SELECT doc_id FROM node WHERE k = 0
   UNION SELECT e.to_id FROM walk w JOIN edge e ON e.from_id = w.doc_id)
-SELECT website, url, title, author, date FROM node JOIN walk USING (doc_id) WHERE {SQL_GOOD}""")
+SELECT website, url, title, author, CAST(date AS VARCHAR) AS date FROM node JOIN walk USING (doc_id) WHERE {SQL_GOOD}""")
 def ingest_following_links(spark: SparkSession, sf: str) -> DataFrame:
     articles, _ = _ingest(spark, sf, follow_links=True)
     return articles.read().select("website", "url", "title", "author", "date")
