@@ -100,9 +100,11 @@ def _start_pages(sites: DataFrame) -> DataFrame:
     return sites.select("website", start.alias("canonical_url"), F.lit(True).alias("_start"))
 
 
-def _follow(read: DataFrame, decisions: DataFrame, sites: DataFrame) -> DataFrame:
+def _follow(
+    read: DataFrame, decisions: DataFrame, sites: DataFrame, one_host: bool
+) -> DataFrame:
     """Visited pages of a run that follows links from the start points."""
-    edges = links.site_edges(links.harvest(read), sites)
+    edges = links.site_edges(links.harvest(read), sites, one_host)
     known = decisions.filter("accepted").select("website", F.col("canonical_url").alias("url"))
     return links.reachable(edges, sites, known)
 
@@ -115,6 +117,7 @@ def run_ingest(
     rejects_path: str,
     run_id: str | None = None,
     follow_links: bool = False,
+    one_host: bool = True,
     text_mode: str = "first_text",
     on_bad_date: str = "reject",
 ) -> IngestResult:
@@ -122,7 +125,8 @@ def run_ingest(
 
     ``pages`` needs a unique ``page_id``, ``url`` and ``html``, and optionally
     ``website``. With ``follow_links`` only pages reachable from the start points
-    are kept, the budget being spent breadth first; otherwise every page that
+    are kept, the budget being spent breadth first (``one_host``: links to other
+    hosts than the start point's are not followed); otherwise every page that
     passes the filters is a candidate.
     """
     run_id = run_id or uuid.uuid4().hex
@@ -165,7 +169,7 @@ def run_ingest(
         found = decisions
 
         def keep_visited() -> DataFrame:
-            visited = _follow(articles, found, sites).select(
+            visited = _follow(articles, found, sites, one_host).select(
                 "website", F.col("url").alias("canonical_url"), F.lit(True).alias("_in")
             )
             missed = F.col("accepted") & F.col("_in").isNull()
@@ -198,8 +202,10 @@ def run_ingest(
         )
 
     result = stages.once("outcome", outcome)
+    # an unsupported scheme is named in the reject
+    scheme = F.when(F.col("reason") == "bad_scheme", urls.scheme(F.col("canonical_url")))
     rejects = (
-        reports.rejects_of(decisions)
+        reports.rejects_of(decisions.withColumn("detail", scheme), detail="detail")
         .unionByName(reports.rejects_of(result, detail="detail"))
         .unionByName(reports.warnings_of(result.filter(F.col("reason").isNull())))
     )

@@ -3,7 +3,6 @@ import xml.etree.ElementTree as ET
 from email.utils import parsedate_to_datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from newsloom.operators import feeds
 from newsloom.sources.articles import ARTICLES_DDL

@@ -153,6 +153,14 @@ def test_one_url_claimed_by_two_sites_is_stored_once(spark, tmp_path):
     assert rejected(run) == {("q", "http://acme.tld/news/1", "duplicate_url")}
 
 
+def test_unsupported_schemes_are_named(spark, tmp_path):
+    _, articles, rejects = setting(spark, tmp_path)
+    rows = pages(spark, [(1, "ftp://acme.tld/news/1", page("f"))]).withColumn("website", F.lit("acme"))
+    run = run_ingest(spark, rows, sites_table(spark, SITES), articles, rejects)
+    (told,) = run.rejects.collect()
+    assert (told.reason, told.detail, told.kind) == ("bad_scheme", "ftp", "error")
+
+
 def test_pages_without_an_id_get_a_stable_one(spark, tmp_path):
     path = str(tmp_path / "p")
     pages(spark).drop("page_id").repartition(3).write.parquet(path)
