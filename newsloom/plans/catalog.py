@@ -302,7 +302,7 @@ walk AS (
 SELECT website, url, CAST(floor(log2(k + 1)) AS INTEGER) AS depth FROM node JOIN walk USING (doc_id)""")
 def crawl_reachable(spark: SparkSession, sf: str) -> DataFrame:
     sites, pages = samples.doc_sites(spark, sf), samples.doc_pages(spark, sf)
-    read = extract.read_pages_job(spread_for_reading(pages))
+    read = extract.read_pages_job(pages)
     edges = links.site_edges(links.harvest(read), sites)
     return links.reachable(edges, sites, pages.select("website", "url"))
 
@@ -323,7 +323,7 @@ placed AS (
 SELECT website, url, depth FROM placed WHERE place <= 10""")
 def crawl_budget(spark: SparkSession, sf: str) -> DataFrame:
     sites, pages = samples.doc_sites(spark, sf, max_visits=10), samples.doc_pages(spark, sf)
-    read = extract.read_pages_job(spread_for_reading(pages))
+    read = extract.read_pages_job(pages)
     edges = links.site_edges(links.harvest(read), sites)
     return links.reachable(edges, sites, pages.select("website", "url"))
 
@@ -348,8 +348,8 @@ SELECT 'https://' || source || '.example.com/news/' || doc_id, n_chars >= 300 FR
 def article_predicate(spark: SparkSession, sf: str) -> DataFrame:
     raw = samples.host_pages(spark, sf, "html")
     selectors = dict(title="article h1", content="article", date="time")
-    both = raw.unionByName(samples.doc_pages(spark, sf))
-    both = spread_for_reading(both).withColumn("sel", samples.selector_struct(selectors))
+    both = spread_for_reading(raw).unionByName(samples.doc_pages(spark, sf))
+    both = both.withColumn("sel", samples.selector_struct(selectors))
     read = extract.read_pages_job(both, keep_links=False)
     return read.select("url", extract.is_article().alias("is_article"))
 
@@ -382,7 +382,7 @@ WITH {SQL_DOCS}
 SELECT url, {SQL_CLEAN} AS content, CASE lang WHEN 'fr' THEN 1 ELSE 0 END AS n_warnings
 FROM docs WHERE n_chars >= 300""")
 def extract_clean_content(spark: SparkSession, sf: str) -> DataFrame:
-    pages = spread_for_reading(samples.doc_pages(spark, sf))
+    pages = samples.doc_pages(spark, sf)
     pages = pages.withColumn("sel", samples.selector_struct(samples.DOC_SELECTORS))
     read = extract.read_pages_job(pages, keep_links=False).filter(extract.is_article())
     return read.select("url", "content", F.size("warnings").alias("n_warnings"))
@@ -426,7 +426,7 @@ def date_layouts(spark: SparkSession, sf: str) -> DataFrame:
         printed = F.when(here, F.date_format(moment, spark_pattern)).otherwise(printed)
         pattern = F.when(here, F.lit(known.pattern)).otherwise(pattern)
         rewrite = F.when(here, F.lit(known.rewrite)).otherwise(rewrite)
-    orders = samples.table(spark, sf, "orders")
+    orders = spread_for_reading(samples.table(spark, sf, "orders"), key="o_orderkey")
     return orders.select("o_orderkey", parse_date(printed, pattern, rewrite).alias("date"))
 
 
@@ -441,7 +441,7 @@ def date_bad_values(spark: SparkSession, sf: str) -> DataFrame:
         .when(status == "F", F.date_format(day, "'31' 'February' yyyy"))
         .otherwise(F.date_format(day, "d MM yyyy"))
     )
-    orders = samples.table(spark, sf, "orders")
+    orders = spread_for_reading(samples.table(spark, sf, "orders"), key="o_orderkey")
     parsed = parse_date(text, F.lit(layout.pattern), F.lit(layout.rewrite))
     return orders.select("o_orderkey", parsed.alias("date"))
 

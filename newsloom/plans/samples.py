@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import urls
 from newsloom.functions.dates import translate_layout
 from newsloom.functions.text import escape_markup, first_line, trim_field
+from newsloom.plans.ingest import spread_for_reading
 
 DOC_SITES = 20
 DOC_DATE_FORMAT = "{DAY_NUM} {MONTH_LONG} {YEAR_LONG}"
@@ -97,7 +98,7 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Documents of a site form a binary tree of links with links back to the
     parent; German pages do not link to their children.
     """
-    docs = documents_of_sites(spark, sf_dir)
+    docs = spread_for_reading(documents_of_sites(spark, sf_dir), key="doc_id")
     title, lang = escape_markup(F.col("title")), F.col("lang")
     place = F.floor(F.col("doc_id") / DOC_SITES)
     member = F.col("doc_id") % DOC_SITES
