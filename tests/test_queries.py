@@ -5,9 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from newsloom.plans import catalog
 
 SF_DIR = os.environ.get("NEWSLOOM_TEST_SF_DIR", "/root/testdata/sf0.001")
-TABLES = ("documents", "pages", "orders")
+TABLES = ("documents", "pages", "orders", "labels", "embeddings", "benchmark", "conversations")
 duckdb = pytest.importorskip("duckdb")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -27,10 +28,11 @@ def canonical(rows, columns, order):
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(catalog.SQL) == set(catalog.QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_query_matches_sql(spark, sql, name):
     result = contract.queries()[name](spark, SF_DIR)
     expected = sql.execute(contract.oracle_sql()[name])
