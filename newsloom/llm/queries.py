@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import sharding
+from newsloom.llm import sharding, warc
+from newsloom.scratch import scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -27,3 +28,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def _sql_base32(payload: str) -> str:
+    part = f"('0x' || substr(sha1({payload}), k * 5 + 1, 5))::BIGINT"
+    letter = f"substr('{warc.BASE32}', ((({part}) >> s) & 31)::INTEGER + 1, 1)"
+    return (
+        f"array_to_string(list_transform(range(8), lambda k: "
+        f"array_to_string(list_transform([15, 10, 5, 0], lambda s: {letter}), '')), '')"
+    )
+
+
+@query(
+    f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x FROM pages),
+firsts AS (SELECT x, min(page_id) AS f FROM p GROUP BY x)
+SELECT p.page_id, strlen(p.x)::BIGINT AS payload_bytes, {_sql_base32('p.x')} AS payload_digest,
+       CASE WHEN p.page_id > f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id > f THEN f END AS refers_to
+FROM p JOIN firsts USING (x)"""
+)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), path)
+    return warc.archived_pages(spark, path)
