@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import sharding, warc
-from newsloom.scratch import scratch_path
+from newsloom.llm import quality, sharding, warc
+from newsloom.scratch import materialize, scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -25,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    statistics = materialize(quality.statistics_table(table(spark, sf_dir, "documents")), "quality")
+    model = quality.learn(statistics, table(spark, sf_dir, "labels"))
+    return quality.score_documents(statistics, model)
+
+
 @query()
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
