@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import quality, sharding, warc
+from newsloom.llm import packing, quality, sharding, warc
 from newsloom.scratch import materialize, scratch_path
 
+#: Vocabulary file of the registered queries that need tokens.
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -21,6 +24,12 @@ def query(sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -59,3 +68,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), path)
     return warc.archived_pages(spark, path)
+
+
+@query()
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
