@@ -1,0 +1,118 @@
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from newsloom.llm import lm
+from newsloom.llm.queries import op9_lm_score
+
+SCHEMA = "doc_id long, text string, unit int, score double"
+
+
+def tokens(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", lowered), "</s>"]
+
+
+def held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+
+
+def quantised(c):
+    if c < lm.LEAST_COUNT:
+        return 0.0
+    level = 1 + math.floor(math.log(c / lm.LEAST_COUNT) / math.log(lm.LEVEL_BASE) + 1e-9)
+    return lm.LEAST_COUNT * lm.LEVEL_BASE ** (level - 1) * math.sqrt(lm.LEVEL_BASE)
+
+
+def plain_scores(rows, order):
+    counts, grams = Counter(), Counter()
+    for i, t, *_ in rows:
+        if not held(i):
+            seq = tokens(t)
+            counts.update(seq)
+            padded = ["<s>"] * (order - 1) + seq
+            for n in range(2, order + 1):
+                grams.update((n, *padded[at - n + 1 : at + 1]) for at in range(order - 1, len(padded)))
+    total, size = sum(counts.values()), len(counts)
+    out = []
+    for i, t, *_ in rows:
+        seq, base, full = tokens(t), 0.0, 0.0
+        padded = ["<s>"] * (order - 1) + seq
+        for at in range(order - 1, len(padded)):
+            w = padded[at]
+            p = (counts[w] + 1) / (total + size + 1)
+            base += math.log10(p)
+            history = counts["</s>"] if padded[at - 1] == "<s>" else counts[padded[at - 1]]
+            for n in range(2, order + 1):
+                seen = min(quantised(grams[(n, *padded[at - n + 1 : at + 1])]), counts[w], history)
+                trust = lm.TRUST * history / (history + lm.EVIDENCE)
+                p = trust * seen / max(history, 1) + (1 - trust) * p
+                # The next order's history is this order's gram that ends one token earlier.
+                if n < order:
+                    before = padded[at - n : at]
+                    if before[-1] == "<s>":
+                        history = 0.0
+                    else:
+                        outer = counts["</s>"] if before[-2] == "<s>" else counts[before[-2]]
+                        history = min(quantised(grams[(n, *before)]), counts[before[-1]], outer)
+            full += math.log10(p)
+        out.append((i, held(i), len(seq), sum(counts[w] > 0 for w in seq), total, base, full))
+    return out
+
+
+def made(n):
+    rng = random.Random(11)
+    words = ["The", "the", "of", "é", "cat", "sat", "on", "mat.", "漢字"] + [f"w{k}" for k in range(40)]
+    rows = [(i, " \t".join(rng.choices(words, weights=[9] * 9 + [1] * 40, k=rng.randrange(30))), 0, 0.0) for i in range(n)]
+    rows += [(5000, None, 0, 0.0), (5001, "", 0, 0.0), (5002, "the cat sat " * 30_000, 0, 0.0), (None, "of the cat", 0, 0.0)]
+    return rows + [rows[1], rows[1], (5003, "never seen words here", 0, 0.0)]
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_against_plain_counts(spark, order):
+    rows = made(150)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = lm.learn(docs, order=order, filter_bytes=1 << 20)
+    assert model.filter.full < 0.01
+    got = sorted((tuple(r) for r in lm.score(docs, model).collect()), key=str)
+    expected = sorted(plain_scores(rows, order), key=str)
+    assert [g[:5] for g in got] == [e[:5] for e in expected]
+    assert np.allclose([g[5:] for g in got], [e[5:] for e in expected], rtol=1e-9)
+
+
+def test_filter_is_one_sided_and_its_errors_are_few():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    counts = rng.geometric(0.2, 20_000) * rng.choice([1, 1, 50], 20_000)
+    size = 64
+    segment = lm.segment_of(keys)
+    rows = np.zeros((lm.SEGMENTS, size), np.uint8)
+    for s in np.unique(segment):
+        rows[s] = lm.fill(keys[segment == s], counts[segment == s], size)
+    filter_ = lm.Filter(rows)
+    true, read = lm.levels(counts), filter_.level(keys)
+    assert (read >= true).all() and (read > true).mean() < filter_.full**lm.PROBES * 2 + 0.01
+    others = rng.integers(2**63, 2**64, 20_000, dtype=np.uint64)
+    assert (filter_.level(others) > 0).mean() < filter_.full**lm.PROBES * 1.5 + 0.01
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    model = lm.learn(docs, filter_bytes=1 << 20)
+    assert lm.score(docs, model).collect() == [] and model.train_tokens == 0
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = sorted((tuple(r) for r in op9_lm_score(spark, sf).collect()), key=str)
+    expected = sorted(plain_scores(rows, 2), key=str)
+    assert [g[:5] for g in got] == [e[:5] for e in expected]
+    assert np.allclose([g[5:] for g in got], [e[5:] for e in expected], rtol=1e-6)
+    held_out = [g for g in got if g[1]]
+    assert sum(g[6] for g in held_out) > sum(g[5] for g in held_out), "the model beats the unigram base on held-out texts"
