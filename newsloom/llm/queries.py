@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import lm, packing, quality, sharding, warc
+from newsloom.llm import decontaminate, lm, packing, quality, sharding, warc
 from newsloom.scratch import materialize, scratch_path
 
 #: Vocabulary file of the registered queries that need tokens.
@@ -46,6 +46,35 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+_WORDS6 = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_LOWER6 = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    f"""
+WITH d AS (SELECT doc_id, {_WORDS6.format(_LOWER6)} AS ws FROM documents),
+i AS (SELECT item_id, {_WORDS6.format(_LOWER6)} AS ws FROM benchmark),
+w AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[a + 1:a + 10], ' ') AS phrase
+  FROM (SELECT item_id, ws, unnest(range(greatest(len(ws) - 10, 0) + 1)) AS a FROM i WHERE len(ws) > 0)),
+g AS (
+  SELECT doc_id, a, n, array_to_string(ws[a + 1:a + n], ' ') AS phrase
+  FROM (SELECT doc_id, ws, n, unnest(range(len(ws) - n + 1)) AS a
+        FROM d, (SELECT DISTINCT n FROM w) WHERE len(ws) >= n)),
+m AS (SELECT doc_id, a, n, item_id FROM g JOIN w USING (phrase, n)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(a, a + n)) AS p FROM m) GROUP BY doc_id),
+found AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR ORDER BY item_id::VARCHAR) AS ids FROM m GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)"""
+)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _sql_base32(payload: str) -> str:
     part = f"('0x' || substr(sha1({payload}), k * 5 + 1, 5))::BIGINT"
     letter = f"substr('{warc.BASE32}', ((({part}) >> s) & 31)::INTEGER + 1, 1)"
