@@ -178,7 +178,6 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW_WO
     """The rows of ``docs`` without any window of ``items``, with all their columns."""
     windows = materialize(windows_of(items, size), "item-windows")
     matches = phrase_matches(docs, build_index(docs, windows))
-    leaks = matches.select(F.col("doc_id").alias("_l_doc"), F.col("k").alias("_l_k")).distinct()
-    leaks = materialize(leaks, "leaks")
-    same = docs["doc_id"].eqNullSafe(F.col("_l_doc")) & (row_key(docs) == F.col("_l_k"))
+    leaks = materialize(matches.select(F.col("doc_id").alias("leak_doc"), F.col("k").alias("leak_key")).distinct(), "leaks")
+    same = docs["doc_id"].eqNullSafe(leaks["leak_doc"]) & (row_key(docs) == leaks["leak_key"])
     return docs.join(leaks, same, "left_anti")
