@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, line_dedup, lm, packing, quality, sharding, warc
+from newsloom.llm import decontaminate, jaccard, line_dedup, lm, packing, quality, sharding, warc
 from newsloom.scratch import materialize, scratch_path
 
 #: Vocabulary file of the registered queries that need tokens.
@@ -75,6 +75,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents")).drop("node")
+
+
 @query()
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     statistics = materialize(quality.statistics_table(table(spark, sf_dir, "documents")), "quality")
