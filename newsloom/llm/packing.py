@@ -32,10 +32,10 @@ from newsloom.scratch import materialize
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Rounds of weights for one linear program, and the step by which a covered length loses weight.
-ROUNDS = 160
+ROUNDS = 96
 STEP = 0.5
-#: Words whose ids a task remembers.
-REMEMBERED_WORDS = 1_000_000
+#: Words whose ids a worker remembers.
+REMEMBERED_WORDS = 700_000
 
 
 # --- the plan: histogram to configurations -----------------------------------
@@ -197,11 +197,12 @@ class WordIds:
 
     def places(self, words: list[str]) -> np.ndarray:
         """Where ``begin`` and ``size`` hold the ids of each of the distinct ``words``."""
-        words = [w.lower() if w.isascii() else w for w in words]
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
+        unseen = [w for w in words if w not in self.known]
+        if len(self.known) + 2 * len(unseen) > REMEMBERED_WORDS:
             self.forget()
-            new = list(dict.fromkeys(words))
+            unseen = words
+        plain = [w.lower() if w.isascii() else w for w in unseen]
+        new = list(dict.fromkeys(w for w in plain if w not in self.known))
         if new:
             coded = [c.ids for c in tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False)]
             size = np.fromiter(map(len, coded), np.int64, len(coded))
@@ -210,6 +211,7 @@ class WordIds:
             self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, ids])
+        self.known.update(zip(unseen, map(self.known.__getitem__, plain), strict=True))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -230,6 +232,12 @@ class WordIds:
         return ids, at[np.concatenate([[0], np.cumsum(in_text + 1)])]
 
 
+@cache
+def worker_words(path: str) -> WordIds:
+    """One memory for all tasks of a worker."""
+    return WordIds(path)
+
+
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, capacity: int = SEQUENCE_TOKENS, with_ids: bool = False, key: str = "doc_id"
 ) -> DataFrame:
@@ -243,8 +251,8 @@ def token_pieces(
     schema = f"{key} {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
-        for rows in slices(batches, "text", 4 << 20):
+        words = worker_words(tokenizer_path)
+        for rows in slices(batches, "text", 6 << 20):
             ids, at = words.of_texts(rows.column("text"))
             per = -(-np.diff(at) // capacity)
             doc = np.repeat(np.arange(len(per)), per)

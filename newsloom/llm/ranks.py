@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Rows that one sorted block holds on average.
-ROWS_PER_BLOCK = 20_000
+ROWS_PER_BLOCK = 5_000
 
 
 def with_rank(
