@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, jaccard, line_dedup, lm, packing, quality, sharding, warc
+from newsloom.llm import decontaminate, jaccard, line_dedup, lm, packing, quality, sharding, vectors, warc
 from newsloom.scratch import materialize, scratch_path
 
 #: Vocabulary file of the registered queries that need tokens.
@@ -154,3 +154,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lm.score(docs, lm.learn(docs))
+
+
+@query()
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.similar_vectors(table(spark, sf_dir, "embeddings"))
