@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, jaccard, line_dedup, lm, packing, quality, sharding, vectors, warc
+from newsloom.llm import decontaminate, jaccard, line_dedup, lm, packing, quality, sharding, substring_dedup, vectors, warc
 from newsloom.scratch import materialize, scratch_path
 
 #: Vocabulary file of the registered queries that need tokens.
@@ -35,6 +35,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WORDS1 = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+@query(
+    f"""
+WITH d AS (SELECT doc_id, {_WORDS1} AS ws FROM documents),
+w AS (
+  SELECT doc_id, a, array_to_string(ws[a + 1:a + 20], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(len(ws) - 19)) AS a FROM d WHERE len(ws) >= 20)),
+f AS (SELECT k, min((doc_id, a)) AS p FROM w GROUP BY k),
+g AS (
+  SELECT DISTINCT doc_id, unnest(range(a, a + 20)) AS i
+  FROM w JOIN f USING (k) WHERE (doc_id, a) > p),
+gone AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, len(ws) AS n, coalesce(len(gone), 0) AS m,
+         list_filter(ws, lambda x, i: gone IS NULL OR NOT list_contains(gone, i - 1)) AS kept
+  FROM d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n::BIGINT AS n_words, m::BIGINT AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept"""
+)
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = substring_dedup.repeated_passages(docs)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _LINE_WORDS = "list_filter(string_split_regex(line, '[ \\t\\x0B\\f\\r]+'), lambda x: x <> '')"
 
 
