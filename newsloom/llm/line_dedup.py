@@ -1,6 +1,6 @@
 """Near-duplicate lines by a deletion-neighbourhood join; DataFrame operations only.
 
-Lines are word sequences. Two lines are near if one word inserted, deleted or
+Lines are sequences of words, which single spaces separate. Two lines are near if one word inserted, deleted or
 replaced makes them equal, which shows in a common variant: a line without one of
 its words, or the line itself. Lines whose halves occur in no other line can't be
 near any, so only the others emit their variants as hashed keys. Equal variants
@@ -24,10 +24,16 @@ MIN_WORDS = 5
 #: Bytes, estimated from counts, up to which lists of lines by document are broadcast to meet the
 #: texts; beyond that the texts are shuffled.
 BROADCAST_BYTES = 32 << 20
+#: Keys, counted, up to which a set of them is broadcast.
+BROADCAST_KEYS = 500_000
 
 
 def line_words(line: Column) -> Column:
-    return F.array_remove(F.split(line, r"[ \t\x0B\f\r]+"), "")
+    return F.split(line, " ")
+
+
+def if_few(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
 def class_hash(ws: Column) -> Column:
@@ -47,27 +53,29 @@ def half_keys(ws: Column, n: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, line_no, ws): the lines that can be removed."""
+    """(doc_id, line_no, h, g, halves): the lines that can be removed, by their hashes."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.select("doc_id", "line_no", line_words(F.col("line")).alias("ws")).filter(F.size("ws") >= min_words)
-
-
-def first_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(h, g, halves, first): distinct lines and the earliest place (doc_id, line_no) of each."""
-    lines = lines_of(docs, min_words).select(
+    lines = lines.select("doc_id", "line_no", line_words(F.col("line")).alias("ws")).filter(F.size("ws") >= min_words)
+    return lines.select(
+        "doc_id",
+        "line_no",
         class_hash(F.col("ws")).alias("h"),
         F.xxhash64(F.lit("g"), "ws").alias("g"),
         half_keys(F.col("ws"), F.size("ws")).alias("halves"),
-        F.struct("doc_id", "line_no").alias("place"),
     )
-    return lines.groupBy("h", "g").agg(F.min("place").alias("first"), F.any_value("halves").alias("halves"))
+
+
+def first_lines(lines: DataFrame) -> DataFrame:
+    """(h, g, halves, first): distinct lines and the earliest place (doc_id, line_no) of each."""
+    placed = lines.select("h", "g", "halves", F.struct("doc_id", "line_no").alias("place"))
+    return placed.groupBy("h", "g").agg(F.min("place").alias("first"), F.any_value("halves").alias("halves"))
 
 
 def plausible_lines(firsts: DataFrame) -> DataFrame:
     """(doc_id, line_no, h): lines that share a half with another line."""
     halves = firsts.select("h", "first", F.explode(F.array_distinct("halves")).alias("half"))
     shared = materialize(halves.groupBy("half").count().filter("count > 1").select("half"), "halves")
-    return halves.join(shared, "half", "left_semi").select("first.doc_id", "first.line_no", "h").distinct()
+    return halves.join(if_few(shared), "half", "left_semi").select("first.doc_id", "first.line_no", "h").distinct()
 
 
 def with_line_lists(docs: DataFrame, lines: DataFrame, how: str) -> DataFrame:
@@ -96,13 +104,14 @@ def listed_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def variants_of(lines: DataFrame) -> DataFrame:
     """(v, n, pos, place, h): each line without its word ``pos``, and with pos -1 the line itself."""
+    hashed = lines.select("place", "h", F.transform("ws", lambda w: F.xxhash64(w)).alias("ws"))
     n = F.size("ws")
     without = F.transform(
         F.sequence(F.lit(0), n - 1),
         lambda i: F.struct(F.xxhash64(F.slice("ws", F.lit(1), i), F.slice("ws", i + 2, n)).alias("v"), i.alias("pos")),
     )
     itself = F.array(F.struct(F.xxhash64("ws").alias("v"), F.lit(-1).alias("pos")))
-    each = lines.select("place", "h", n.alias("size"), F.explode(F.concat(itself, without)).alias("x"))
+    each = hashed.select("place", "h", n.alias("size"), F.explode(F.concat(itself, without)).alias("x"))
     length = F.col("size") - F.when(F.col("x.pos") < 0, 0).otherwise(1)
     return each.select("x.v", length.alias("n"), "x.pos", "place", "h")
 
@@ -111,7 +120,7 @@ def earliest_partners(variants: DataFrame) -> DataFrame:
     """(place, h, partner, partner_h): for each line with an earlier line near it, the earliest such line."""
     keys = ["v", "n"]
     shared = materialize(variants.groupBy(*keys).count().filter("count > 1").select(*keys), "variants")
-    met = materialize(variants.join(shared, keys, "left_semi").withColumn("at", F.struct("place", "h")), "met")
+    met = materialize(variants.join(if_few(shared), keys, "left_semi").withColumn("at", F.struct("place", "h")), "met")
     # Frames that lack a word at the same place: the earliest line of each.
     frames = materialize(met.filter("pos >= 0").groupBy(*keys, "pos").agg(F.min("at").alias("p")), "frames")
     replaced = met.filter("pos >= 0").join(frames, [*keys, "pos"])
@@ -152,12 +161,13 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line_no, h): the lines to remove."""
-    firsts = materialize(first_lines(docs, min_words), "first-lines")
+    lines = materialize(lines_of(docs, min_words), "lines")
+    firsts = materialize(first_lines(lines), "first-lines")
     near_ones = materialize(near_lines(docs, firsts), "near-lines")
     kept = firsts.select("first.doc_id", "first.line_no", "h")
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["line_no"] == b["line_no"]) & (a["h"] == b["h"])
     kept = kept.join(near_ones, same(kept, near_ones), "left_anti")
-    every = lines_of(docs, min_words).select("doc_id", "line_no", class_hash(F.col("ws")).alias("h"))
+    every = lines.select("doc_id", "line_no", "h")
     return every.join(kept, same(every, kept), "left_anti")
 
 

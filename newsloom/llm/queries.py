@@ -62,15 +62,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-_LINE_WORDS = "list_filter(string_split_regex(line, '[ \\t\\x0B\\f\\r]+'), lambda x: x <> '')"
-
-
 @query(
-    f"""
+    """
 WITH every AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
-l AS (SELECT doc_id, line_no, line, {_LINE_WORDS} AS ws FROM every),
+l AS (SELECT doc_id, line_no, line, string_split(line, ' ') AS ws FROM every),
 f AS (
   SELECT array_to_string(ws, ' ') AS t, any_value(ws) AS ws, len(any_value(ws)) AS n,
          min((doc_id, line_no)) AS place
