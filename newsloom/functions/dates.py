@@ -83,13 +83,24 @@ def translate_layout(layout: str, default_year: int | None = None) -> DateLayout
     return DateLayout(pattern=r"\A" + pattern + r"\z", rewrite=rewrite)
 
 
-def parse_date(text: Column, pattern: Column, rewrite: Column) -> Column:
+def parse_date(
+    text: Column, pattern: Column, rewrite: Column, layouts: list[tuple[str, str]] | None = None
+) -> Column:
     """The printed calendar date, null when the text does not follow the layout.
 
-    Offsets and zone names are checked but never shift the date.
+    Offsets and zone names are checked but never shift the date. A pattern from a
+    column is compiled whenever it differs from the row before; ``layouts``, all the
+    (pattern, rewrite) that occur, give each a branch with literals instead.
     """
     clean = F.translate(text, SEPARATOR, "")
-    return let(F.split(F.regexp_replace(clean, pattern, rewrite), SEPARATOR), _date_of)
+    if layouts is None:
+        fields = F.regexp_replace(clean, pattern, rewrite)
+    else:
+        fields = F.lit(None).cast("string")
+        for known, wanted in layouts:
+            here = (pattern == known) & (rewrite == wanted)
+            fields = F.when(here, F.regexp_replace(clean, F.lit(known), F.lit(wanted))).otherwise(fields)
+    return let(F.split(fields, SEPARATOR), _date_of)
 
 
 def _date_of(fields: Column) -> Column:

@@ -47,8 +47,9 @@ TABLE_FILL = {"table": {"tr": ("tbody",), "td": ("tbody", "tr"), "th": ("tbody",
 TABLE_PARTS = frozenset("caption td th tr tbody thead tfoot".split())
 TABLE_FILL.update({g: {"td": ("tr",), "th": ("tr",)} for g in ("tbody", "thead", "tfoot")})
 
-# Open elements a page may have at once; beyond it the page is a parse error.
-MAX_DEPTH = 512
+# Formatting elements that are re-opened at most; the earliest are forgotten first, so that
+# markup which never closes them can't grow with the square of its length.
+MAX_REOPENED = 64
 
 # One alternative per token kind; each consumes to the end of input at worst, so
 # reading a page takes linear time however broken it is.
@@ -69,10 +70,11 @@ ATTRIBUTE_REFERENCE = re.compile(r"&(?:#\d+;?|#[xX][0-9a-fA-F]+;?|(\w+;|\w+(?![\
 class Node:
     """An element; ``children`` holds elements, strings and comments."""
 
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "at")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: "Node | None"):
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.at = -1  # place among the open elements, -1 when closed
 
     def add(self, tag: str, attrs: dict[str, str] | None = None) -> "Node":
         child = Node(tag, attrs or {}, self)
@@ -115,42 +117,61 @@ def _raw_end(tag: str) -> re.Pattern:
 
 
 class _Builder:
-    """Open elements and formatting elements to re-open."""
+    """Open elements and formatting elements to re-open.
+
+    ``places`` has the places of the open elements of each tag, so that looking
+    for one takes the same time however deep the page is.
+    """
 
     def __init__(self):
         self.root = Node("html", {}, None)
         self.head = self.root.add("head")
         self.body: Node | None = None
-        self.open = [self.root, self.head]
+        self.open: list[Node] = []
+        self.places: dict[str, list[int]] = {}
         self.formatting: list[Node] = []
+        self.push(self.root)
+        self.push(self.head)
+
+    def push(self, node: Node) -> None:
+        node.at = len(self.open)
+        self.open.append(node)
+        self.places.setdefault(node.tag, []).append(node.at)
+
+    def pop(self) -> Node:
+        node = self.open.pop()
+        self.places[node.tag].pop()
+        node.at = -1
+        return node
 
     def to_body(self, attrs: dict[str, str] | None = None) -> None:
         if self.body is None:
             self.body = self.root.add("body")
-            self.open = [self.root, self.body]
+            while self.open[-1] is not self.root:
+                self.pop()
+            self.push(self.body)
         for name, value in (attrs or {}).items():
             self.body.attrs.setdefault(name, value)
 
     def pop_through(self, node: Node) -> None:
-        while self.open.pop() is not node:
+        while self.pop() is not node:
             pass
 
+    def last_place(self, tags) -> int:
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
+
     def find_open(self, tags, stop) -> Node | None:
-        for node in reversed(self.open):
-            if node.tag in tags:
-                return node
-            if node.tag in stop:
-                return None
-        return None
+        place = self.last_place(tags)
+        return self.open[place] if place >= 0 and place >= self.last_place(stop) else None
 
     def reopen_formatting(self) -> None:
         listed = self.formatting
         first = len(listed)
-        while first and listed[first - 1] not in self.open:
+        while first and listed[first - 1].at < 0:
             first -= 1
         for i in range(first, len(listed)):
             listed[i] = self.open[-1].add(listed[i].tag, dict(listed[i].attrs))
-            self.open.append(listed[i])
+            self.push(listed[i])
 
     def text(self, data: str) -> None:
         if self.body is None:
@@ -186,35 +207,34 @@ class _Builder:
             if paragraph:
                 self.pop_through(paragraph)
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
-            self.open.pop()
+            self.pop()
         if tag in ENDS:
             ended = self.find_open(*ENDS[tag])
             if ended:
                 self.pop_through(ended)
         for filler in TABLE_FILL.get(self.open[-1].tag, {}).get(tag, ()):
-            self.open.append(self.open[-1].add(filler))
+            self.push(self.open[-1].add(filler))
         if tag == "a":
             earlier = next((n for n in reversed(self.formatting) if n.tag == "a"), None)
             if earlier is not None:
                 self.end("a")
         if self.body is not None and tag not in CLOSES_P and tag not in ENDS and tag not in RAW:
             self.reopen_formatting()
-        if len(self.open) >= MAX_DEPTH:
-            raise ValueError(f"elements nested deeper than {MAX_DEPTH}")
         node = self.open[-1].add(tag, attrs)
         if tag not in VOID:
-            self.open.append(node)
+            self.push(node)
             if tag in FORMATTING:
                 same = [n for n in self.formatting if n.tag == tag and n.attrs == attrs]
                 if len(same) >= 3:
                     self.formatting = [n for n in self.formatting if n is not same[0]]
-                self.formatting.append(node)
+                self.formatting = [*self.formatting, node][-MAX_REOPENED:]
         return node
 
     def end(self, tag: str) -> None:
         if tag in ("html", "head", "body"):
             if tag == "head" and self.body is None:
-                self.open = [self.root, self.head]
+                while self.open[-1] is not self.head:
+                    self.pop()
             return
         if tag == "br":
             self.start("br", {})
@@ -223,10 +243,8 @@ class _Builder:
             listed = next((n for n in reversed(self.formatting) if n.tag == tag), None)
             if listed is not None:
                 self.formatting = [n for n in self.formatting if n is not listed]
-                if listed in self.open:
-                    above = self.open[self.open.index(listed) + 1 :]
-                    if not any(n.tag in CLOSES_P or n.tag in SCOPE_END for n in above):
-                        self.pop_through(listed)
+                if listed.at >= 0 and self.last_place(CLOSES_P | SCOPE_END) < listed.at:
+                    self.pop_through(listed)
                 return
         if tag in TABLE_PARTS:
             stop = frozenset(("table",))
@@ -240,7 +258,7 @@ class _Builder:
         if node is not None and node is not self.root and node is not self.body:
             self.pop_through(node)
             if tag in SCOPE_END:
-                self.formatting = [n for n in self.formatting if n in self.open]
+                self.formatting = [n for n in self.formatting if n.at >= 0]
         elif tag == "p":
             self.to_body()
             self.open[-1].add("p")
@@ -302,18 +320,14 @@ _COMPARE = {
 
 
 def _attribute_test(name: str, compare, want: str):
-    return lambda n: name in n.attrs and (compare is None or compare(n.attrs[name], want))
-
-
-def _position(node: Node) -> int:
-    siblings = [c for c in node.parent.children if isinstance(c, Node)] if node.parent else [node]
-    return next(i for i, c in enumerate(siblings, 1) if c is node)
+    return lambda n, place: name in n.attrs and (compare is None or compare(n.attrs[name], want))
 
 
 def _simple_test(m: re.Match):
+    """A test of an element and its place among its sibling elements."""
     if m["tag"]:
         tag = m["tag"].lower()
-        return (lambda n: True) if tag == "*" else (lambda n: n.tag == tag)
+        return (lambda n, place: True) if tag == "*" else (lambda n, place: n.tag == tag)
     if m["id"]:
         return _attribute_test("id", _COMPARE["="], m["id"])
     if m["cls"]:
@@ -321,26 +335,24 @@ def _simple_test(m: re.Match):
     if m["attr"]:
         want = next((v for v in (m["dq"], m["sq"], m["bare"]) if v is not None), "")
         return _attribute_test(m["attr"].lower(), _COMPARE.get(m["op"]), want)
-    place = 1 if m["first"] else int(m["nth"])
-    return lambda n: _position(n) == place
+    wanted = 1 if m["first"] else int(m["nth"])
+    return lambda n, place: place == wanted
 
 
 def _parse_compound_list(selector: str) -> list:
-    """One chain ``[(combinator, tests, tag), ...]`` per comma-separated part."""
-    chains, chain, tests, tag, at, combinator = [], [], [], None, 0, ""
+    """One chain ``[(combinator, tests), ...]`` per comma-separated part."""
+    chains, chain, tests, at, combinator = [], [], [], 0, ""
     selector = selector.strip()
     while at <= len(selector):
         simple = _SIMPLE.match(selector, at)
         if simple and not (simple["tag"] and tests):
             tests.append(_simple_test(simple))
-            if simple["tag"] not in (None, "*"):
-                tag = simple["tag"].lower()
             at = simple.end()
             continue
         if not tests:
             raise ValueError(f"unsupported selector {selector!r}")
-        chain.append((combinator, tests, tag))
-        tests, tag = [], None
+        chain.append((combinator, tests))
+        tests = []
         if at == len(selector):
             chains.append(chain)
             return chains
@@ -357,38 +369,45 @@ def _parse_compound_list(selector: str) -> list:
     raise ValueError(f"unsupported selector {selector!r}")
 
 
-def _earlier_siblings(node: Node) -> list[Node]:
-    before: list[Node] = []
-    for child in node.parent.children if node.parent else ():
-        if child is node:
-            break
-        if type(child) is Node:
-            before.append(child)
-    return before[::-1]
-
-
-def _ancestors(node: Node) -> list[Node]:
-    above = []
-    while node.parent is not None:
-        node = node.parent
-        above.append(node)
-    return above
-
+def _reached(root: Node, chain: list) -> set[int]:
+    """Identities of the elements that a chain matches, in one pass from the top.
 
-def _related(node: Node, combinator: str) -> list[Node]:
-    if combinator == ">":
-        return [node.parent] if node.parent else []
-    if combinator == " ":
-        return _ancestors(node)
-    return _earlier_siblings(node)[: 1 if combinator == "+" else None]
+    Bit i of a state says that the chain's first i + 1 parts match and end there.
+    An element's state follows from those of its parent, its ancestors together,
+    its last sibling and its earlier siblings together.
+    """
+    found: set[int] = set()
+    last = 1 << (len(chain) - 1)
 
+    def state(node: Node, place: int, related: dict[str, int]) -> int:
+        bits = 0
+        for i, (combinator, tests) in enumerate(chain):
+            if i and not related[combinator] >> (i - 1) & 1:
+                continue
+            for test in tests:
+                if not test(node, place):
+                    break
+            else:
+                bits |= 1 << i
+        if bits & last:
+            found.add(id(node))
+        return bits
 
-def _matches(node: Node, chain: list, i: int) -> bool:
-    combinator, tests, _ = chain[i]
-    for test in tests:
-        if not test(node):
-            return False
-    return i == 0 or any(_matches(c, chain, i - 1) for c in _related(node, combinator))
+    own = state(root, 1, {" ": 0, ">": 0, "+": 0, "~": 0})
+    pending = [(root, own, own)]
+    while pending:
+        parent, own, above = pending.pop()
+        related = {" ": above, ">": own, "+": 0, "~": 0}
+        place = 0
+        for child in parent.children:
+            if type(child) is Node:
+                place += 1
+                bits = state(child, place, related)
+                related["+"] = bits
+                related["~"] |= bits
+                if child.children:
+                    pending.append((child, bits, above | bits))
+    return found
 
 
 @lru_cache(maxsize=4096)
@@ -408,15 +427,8 @@ class Page:
             self.by_tag.setdefault(node.tag, []).append(node)
 
     def select(self, selector: str) -> list[Node]:
-        chains = compile_selector(selector)
-        tags = {chain[-1][2] for chain in chains}
-        tag = tags.pop() if len(tags) == 1 else None
-        pool = self.by_tag.get(tag, ()) if tag else self.elements
-        return [
-            node
-            for node in pool
-            if any(_matches(node, chain, len(chain) - 1) for chain in chains)
-        ]
+        found = set().union(*(_reached(self.root, chain) for chain in compile_selector(selector)))
+        return [node for node in self.elements if id(node) in found] if found else []
 
 
 # --- back to markup --------------------------------------------------------

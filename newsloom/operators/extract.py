@@ -46,18 +46,21 @@ EXTRACTED_DDL = (
 OUTPUT_BYTES = 16 << 20
 
 
-def _texts(node: markup.Node) -> Iterator[str]:
-    for child in node.children:
+def _first_text(node: markup.Node) -> str | None:
+    pending: list = list(reversed(node.children))
+    while pending:
+        child = pending.pop()
         if isinstance(child, markup.Node):
-            yield from _texts(child)
+            pending.extend(reversed(child.children))
         elif not isinstance(child, markup.Comment):
-            yield child
+            return child
+    return None
 
 
 def _node_text(node: markup.Node, mode: str, through_link: bool = False) -> str | None:
     """First text below the node, or what its first child is; None when empty."""
     if mode == "first_text":
-        return next(_texts(node), None)
+        return _first_text(node)
     first = node.children[0] if node.children else None
     if not isinstance(first, markup.Node):
         return first
@@ -99,7 +102,7 @@ def _read_one(url: str, source: str, selectors: dict, mode: str, keep_links: boo
         out["author_raw"] = _node_text(found["author"][0], mode, through_link=True)
     content = found["content"][0]
     thumbnail = (found.get("thumbnail") or [None])[0]
-    if thumbnail is not None and thumbnail.tag == "img":
+    if thumbnail is not None and thumbnail.tag == "img" and thumbnail is not content:
         thumbnail.detach()
         thumbnail.parent = content
         content.children.insert(0, thumbnail)
@@ -148,7 +151,7 @@ def read_pages_job(
                 selectors = {f: c[i].as_py() for f, c in selector_lists.items()}
                 try:
                     row = _read_one(url or "", source or "", selectors, text_mode, keep_links)
-                except (ValueError, RecursionError) as problem:
+                except Exception as problem:  # whatever a page does, it costs that page alone
                     row = {"parse_error": f"{type(problem).__name__}: {problem}"}
                 rows.append(row)
                 size += len(row.get("content") or "")
@@ -166,10 +169,13 @@ def is_article() -> Column:
     return (F.col("n_content") == 1) & (F.col("n_title") == 1) & (F.col("n_date") >= 1)
 
 
-def to_articles(extracted: DataFrame, on_bad_date: str = "reject") -> DataFrame:
+def to_articles(
+    extracted: DataFrame, on_bad_date: str = "reject", layouts: list[tuple[str, str]] | None = None
+) -> DataFrame:
     """Trim, parse the date, and say for every page why it is no article.
 
-    Needs ``date_pattern`` and ``date_rewrite`` next to the extracted columns.
+    Needs ``date_pattern`` and ``date_rewrite`` next to the extracted columns, which
+    ``layouts`` lists where they are few.
     ``reason`` is null for a good article; ``on_bad_date="zero_date"`` stores
     0001-01-01 instead of rejecting and leaves a warning.
     """
@@ -177,7 +183,7 @@ def to_articles(extracted: DataFrame, on_bad_date: str = "reject") -> DataFrame:
         raise ValueError("on_bad_date must be 'reject' or 'zero_date'")
     title, date_text = trim_field(F.col("title_raw")), trim_field(F.col("date_raw"))
     parsed = extracted.withColumn(
-        "date", parse_date(date_text, F.col("date_pattern"), F.col("date_rewrite"))
+        "date", parse_date(date_text, F.col("date_pattern"), F.col("date_rewrite"), layouts)
     )
     bad_date = date_text.isNotNull() & F.col("date").isNull()
     reason = (

@@ -140,9 +140,13 @@ def test_bad_dates(spark):
 
 
 def test_a_broken_page_is_a_reject_row(spark):
-    got = read(spark, ["<div>" * 600, page(GOOD)])
-    assert [r["reason"] for r in got] == ["parse_error", None]
-    assert "nested deeper" in got[0]["detail"]
+    rows = spark.createDataFrame([(1, "a", "http://a.tld/", page(GOOD)), (2, "b", "http://b.tld/", page(GOOD))],
+                                 "page_id long, website string, url string, html string")
+    selectors = F.struct(F.lit("h1").alias("title"), F.lit(None).cast("string").alias("description"),
+                         F.when(F.col("page_id") == 1, "p:hover").otherwise("body").alias("content"),
+                         *[F.lit(v).cast("string").alias(n) for n, v in (("author", None), ("date", "h1"), ("thumbnail", None))])
+    got = extract.read_pages_job(rows.withColumn("sel", selectors)).orderBy("page_id").collect()
+    assert "unsupported selector" in got[0].parse_error and got[1].parse_error is None and got[1].n_content == 1
 
 
 def test_large_pages_are_read_whole(spark):
@@ -176,3 +180,15 @@ def test_markup_is_not_read_for_columns_it_does_not_need(spark, tmp_path):
     plan = read_articles(with_reading_rules(spark.read.parquet(path), sites_table(spark, [SITE])))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "extra" not in text
+
+
+def test_a_thumbnail_that_is_the_content_ends():
+    selectors = {"content": "img.c", "title": "h1", "date": "time", "thumbnail": "img.c"}
+    got = extract._read_one("http://a.tld/", "<h1>T</h1><time>1</time><img class=c>", selectors, "first_text", True)
+    assert got["content"] == "" and got["title_raw"] == "T"
+
+
+def test_deep_text_is_found():
+    selectors = {"content": "#c", "title": "h1", "date": "time"}
+    page = "<h1>" + "<b><i>" * 3000 + "T</h1><time>1</time><div id=c>" + "<div>" * 3000 + "x"
+    assert extract._read_one("http://a.tld/", page, selectors, "first_text", True)["title_raw"] == "T"

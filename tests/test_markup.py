@@ -74,10 +74,28 @@ def test_unsupported_selectors_are_refused(bad):
         markup.compile_selector(bad)
 
 
-def test_depth_is_bounded():
-    with pytest.raises(ValueError):
-        markup.read_page("<div>" * 600)
-    markup.read_page("<p><b>x" * 5000)
+def test_any_depth_is_read():
+    deep = markup.Page("<div>" * 100_000 + "<h1>T</h1>")
+    assert len(deep.select("div div h1")) == 1 and len(deep.select("div")) == 100_000
+    assert markup.inner_markup(deep.root).count("<div>") == 100_000
+    fonts = "".join(f"<p><font color=c{i}>x" for i in range(5000))
+    assert len(markup.Page(fonts).select("p")) == 5000
+
+
+@pytest.mark.parametrize(
+    "source, selector, count",
+    [
+        ("<h1></h1>" + "<p>x</p>" * 20_000, "h1 ~ p", 20_000),
+        ("<p>x</p>" * 20_000, "p:nth-child(7)", 1),
+        ("<p>x</p>" * 20_000, "p + p", 19_999),
+        ("<div>" * 2_000 + "<p>x", "span div div p", 0),
+        ("<div>" * 2_000 + "<p>x", "div div > div p", 1),
+    ],
+)
+def test_selecting_time_is_linear(source, selector, count):
+    page, start = markup.Page(source), time.perf_counter()
+    assert len(page.select(selector)) == count
+    assert time.perf_counter() - start < 2
 
 
 @pytest.mark.parametrize("piece", ["<", "<a ", "<a b='", "<!--", "</", "&", "<p><b>", "<![CDATA[", "<td>", "=\"'"])
