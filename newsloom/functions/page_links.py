@@ -26,6 +26,7 @@ def without_dot_segments(path: str) -> str:
 
 def resolve_link(base: str, ref: str) -> str:
     """Absolute form of ``ref``; raises ``ValueError`` when it is no URL."""
+    ref = ref.strip(" \t\n\f\r")
     path_part = re.split(r"[?#]", ref, maxsplit=1)[0]
     if _CONTROL.search(ref) or _BAD_ESCAPE.search(path_part) or ref.startswith(":"):
         raise ValueError(f"malformed link {ref!r}")

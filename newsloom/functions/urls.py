@@ -16,6 +16,7 @@ AUTHORITY = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)"
 PLAIN = r"\A[a-z][a-z0-9+.-]*:[\x00-\x22\x24-\x7f]*\z"
 PLAIN_ROOTED = r"\A/(?:[\x00-\x2e\x30-\x7f][\x00-\x7f]*)?\z"
 PLAIN_ABSOLUTE = r"\A[a-zA-Z][a-zA-Z0-9+.-]*://[\x00-\x7f]*\z"
+MALFORMED = r"[\x00-\x1f\x7f]|\A[^?#]*%(?![0-9a-fA-F]{2})"
 ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 
 
@@ -190,8 +191,22 @@ def base_parts(base: Column) -> Column:
     return let(split, with_directory)
 
 
+def trimmed(ref: Column) -> Column:
+    """A link without the white space that markup may have around it."""
+    return F.btrim(ref, F.lit(" \t\n\f\r"))
+
+
+def malformed(ref: Column) -> Column:
+    """No URL: control characters, a broken escape in the path, or an empty scheme."""
+    return ref.rlike(MALFORMED) | ref.startswith(":")
+
+
 def resolve(base: Column, ref: Column) -> Column:
-    """Absolute form of ``ref`` on the page with ``base_parts`` ``base`` (RFC 3986 5.2)."""
+    """Absolute form of ``ref`` on the page with ``base_parts`` ``base`` (RFC 3986 5.2).
+
+    Null for what is ``malformed``. ``page_links.resolve_link`` is the same rule
+    inside the page-reading job.
+    """
 
     def split(r: Column) -> Column:
         return F.struct(
@@ -231,7 +246,8 @@ def resolve(base: Column, ref: Column) -> Column:
     ascii_origin = F.octet_length(base["origin"]) == F.char_length(base["origin"])
     dotless = F.instr(ref, "/.") == 0
     return (
-        F.when(dotless & ref.rlike(PLAIN_ROOTED) & ascii_origin, F.concat(base["origin"], ref))
+        F.when(malformed(ref), None)
+        .when(dotless & ref.rlike(PLAIN_ROOTED) & ascii_origin, F.concat(base["origin"], ref))
         .when(dotless & ref.rlike(PLAIN_ABSOLUTE), ref)
         .otherwise(let(let(let(let(ref, split), place), join), encode_non_ascii))
     )

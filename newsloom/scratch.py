@@ -1,13 +1,12 @@
 """Where a job puts intermediate tables.
 
-On a cluster the folder must be shared by all executors, so it is read from
-``spark.checkpoint.dir``. Only a local session without that setting gets a
-folder of its own.
+The folder must be shared by all executors, so it is read from
+``spark.checkpoint.dir``. Where that is unset a folder beside the warehouse is
+used, which a cluster shares anyway.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="newsloom-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-scratch"
+    return shared.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -37,6 +31,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
+    """``materialize`` into buckets by ``columns``: joins on them don't shuffle this side again."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"newsloom_{label}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *columns).write.bucketBy(buckets, *columns)
+    writer.option("path", scratch_path(spark, label)).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return table
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

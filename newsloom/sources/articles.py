@@ -1,4 +1,4 @@
-"""Article store: Parquet partitioned by website, or a JDBC table."""
+"""Article store: Parquet partitioned by website."""
 
 from __future__ import annotations
 
@@ -38,20 +38,8 @@ class ParquetStore:
         )
 
 
-class JdbcStore:
-    """Articles in an existing SQL database; the driver jar comes from the user.
-
-    The table carries the primary key on url, so a duplicate that slips past the
-    check of the batch fails the write instead of entering the table.
-    """
-
-    def __init__(self, spark: SparkSession, url: str, table: str = "articles", **options: str):
-        self.spark, self.options = spark, {"url": url, "dbtable": table, **options}
-
-    def read(self) -> DataFrame:
-        articles = self.spark.read.format("jdbc").options(**self.options).load()
-        return articles.select(*ARTICLE_COLUMNS).withColumn("date", F.col("date").cast("date"))
-
-    def append(self, articles: DataFrame) -> None:
-        rows = articles.select(*ARTICLE_COLUMNS)
-        rows.write.format("jdbc").options(**self.options).mode("append").save()
+def article_store(spark: SparkSession, settings) -> ParquetStore:
+    """The store that a configuration names: ``connection_data`` is its folder."""
+    if not settings.connection_data:
+        raise ValueError("the database section needs connection_data, the folder of the articles")
+    return ParquetStore(spark, settings.connection_data)

@@ -6,7 +6,7 @@ Everything that can be wrong is reported here, before any job starts.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +15,13 @@ from newsloom.functions.dates import translate_layout
 from newsloom.functions.markup import compile_selector
 
 # Accepted names.
-STORE_DRIVERS = ("postgres", "sqlite3", "parquet")
+STORE_DRIVERS = ("parquet",)
 FEED_TYPES = ("rss", "atom")
 REQUIRED_SELECTORS = ("title", "content", "date")
 SELECTORS = ("title", "description", "content", "author", "date", "thumbnail")
 
-# A sites table up to this many rows is broadcast; a larger one is shuffled.
-BROADCAST_SITES = 10_000
+# Rules of all sites, in bytes, up to which their table is broadcast.
+BROADCAST_BYTES = 1 << 20
 
 SITES_DDL = (
     "website string, start_point string, "
@@ -55,7 +55,7 @@ class Site:
             raise ConfigError("every site needs an identifier")
         if not re.match(r"https?://[^/?#\s]+(?:[/?#]\S*)?$", self.start_point or "", re.I):
             raise ConfigError(
-                f"Start point for {self.website} isn't a valid URL: {self.start_point!r}"
+                f"{who} has the start point {self.start_point!r}, which is no http or https URL"
             )
         for name in REQUIRED_SELECTORS:
             if not self.selectors.get(name):
@@ -89,8 +89,8 @@ class Site:
             self.max_visits,
             self.ignore_all,
             list(self.listed_keys),
-            self.restrict or None,
-            self.exclude or None,
+            spark_pattern(self.restrict),
+            spark_pattern(self.exclude),
         )
 
 
@@ -101,7 +101,7 @@ class FeedSettings:
 
     def __post_init__(self):
         if self.kind not in FEED_TYPES:
-            raise ConfigError(f"Invalid feed type: {self.kind}")
+            raise ConfigError(f"feeds can be of type {' or '.join(FEED_TYPES)}, not {self.kind!r}")
         if not isinstance(self.n, int) or self.n < 1:
             raise ConfigError("nb_items must be 1 or more")
 
@@ -112,18 +112,22 @@ class Settings:
     driver: str
     connection_data: str
     feeds: FeedSettings | None = None
-    crawler: dict = field(default_factory=dict)
 
 
 def check_pattern(pattern: str, who: str) -> None:
-    """Linear-time regular expressions only: no look-around, no back-references."""
+    """No look-around, back-references or possessive parts: what regular languages need.
+
+    Whether the pattern is well formed is for the engine to say that runs it; see
+    ``sites_table``.
+    """
     bare = re.sub(r"\\[^1-9k]", "", pattern)
     if re.search(r"\(\?(?:[=!>]|<[=!])|\\[1-9k]|[*+?}]\+", bare):
         raise ConfigError(f"{who}: unsupported construct in filter {pattern!r}")
-    try:
-        re.compile(pattern)
-    except re.error as problem:
-        raise ConfigError(f"{who}: bad filter {pattern!r}: {problem}") from None
+
+
+def spark_pattern(pattern: str | None) -> str | None:
+    """The pattern as Spark spells it: a named group is ``(?<name>...)``. Empty is none."""
+    return re.sub(r"((?:^|[^\\])(?:\\\\)*)\(\?P<", r"\1(?<", pattern) if pattern else None
 
 
 def _site(entry: dict) -> Site:
@@ -160,14 +164,13 @@ def parse_settings(text: str) -> Settings:
     database = raw.get("database") or {}
     driver = database.get("driver", "parquet")
     if driver not in STORE_DRIVERS:
-        raise ConfigError(f"Unsupported database driver {driver}")
+        raise ConfigError(f"articles can be kept in {' or '.join(STORE_DRIVERS)}, not in {driver!r}")
     feeds = raw.get("feeds")
     return Settings(
         sites=sites,
         driver=driver,
         connection_data=database.get("connection_data", ""),
         feeds=None if feeds is None else FeedSettings(feeds.get("type"), feeds.get("nb_items", 0)),
-        crawler=dict(raw.get("crawler") or {}),
     )
 
 
@@ -183,9 +186,31 @@ def check_unique(sites) -> None:
         raise ConfigError(f"identifiers used more than once: {twice}")
 
 
+def check_patterns(spark: SparkSession, sites) -> None:
+    """Run every filter once, so that one that Spark refuses is named before any job starts."""
+    patterns = {spark_pattern(p): s.website for s in sites for p in (s.restrict, s.exclude) if p}
+
+    def run(some: list[str]) -> None:
+        rows = spark.createDataFrame([(p,) for p in some], "p string")
+        rows.select(F.regexp_instr(F.lit("x"), F.col("p"))).collect()
+
+    def bad(some: list[str]) -> str | None:
+        try:
+            run(some)
+        except Exception:
+            half = len(some) // 2
+            return some[0] if len(some) == 1 else bad(some[:half]) or bad(some[half:])
+        return None
+
+    if patterns and (wrong := bad(list(patterns))) is not None:
+        raise ConfigError(f"site {patterns[wrong]!r}: Spark can't compile the filter {wrong!r}")
+
+
 def sites_table(spark: SparkSession, sites) -> DataFrame:
-    """One row per site; broadcast while its counted size allows."""
+    """One row per site; marked for broadcast up to ``BROADCAST_BYTES`` of rules, else left to the planner."""
     sites = list(sites)
     check_unique(sites)
-    table = spark.createDataFrame([s.row() for s in sites], SITES_DDL)
-    return F.broadcast(table) if len(sites) <= BROADCAST_SITES else table
+    check_patterns(spark, sites)
+    rows = [s.row() for s in sites]
+    table = spark.createDataFrame(rows, SITES_DDL)
+    return F.broadcast(table) if sum(len(repr(r).encode()) for r in rows) <= BROADCAST_BYTES else table

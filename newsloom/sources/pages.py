@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import urls
 
+# Keys under which the rules of a site meet its rows.
+SALTS = 8
+
 PAGES_DDL = "page_id bigint, url string, html string"
 
 
@@ -32,6 +35,18 @@ def stream_pages(spark: SparkSession, path: str, schema: str = PAGES_DDL, **opti
     return reader.parquet(path)
 
 
+def join_rules(rows: DataFrame, rules: DataFrame, key: str, spread: Column) -> DataFrame:
+    """Rows joined with the rules of their site.
+
+    The planner broadcasts rules that are small. Larger ones are shuffled, and since
+    a site may hold a third of all rows, its rules are there under ``SALTS`` keys and
+    its rows choose one by ``spread``.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    return salted.join(rules.select("*", salts), [key, "_salt"]).drop("_salt")
+
+
 def assign_sites(pages: DataFrame, sites: DataFrame) -> DataFrame:
     """Attach every page to the sites it belongs to.
 
@@ -39,6 +54,7 @@ def assign_sites(pages: DataFrame, sites: DataFrame) -> DataFrame:
     start point. ``url`` is kept as found; site columns are added.
     """
     if "website" in pages.columns:
-        return pages.join(sites, "website")
+        return join_rules(pages, sites, "website", F.col("url"))
     by_host = sites.withColumn("site_host", urls.host(F.col("start_point")))
-    return pages.join(by_host, urls.host(F.col("url")) == F.col("site_host")).drop("site_host")
+    hosted = pages.withColumn("site_host", urls.host(F.col("url")))
+    return join_rules(hosted, by_host, "site_host", F.col("url")).drop("site_host")

@@ -1,13 +1,18 @@
+import contextlib
+import io
+
 import pytest
+from pyspark.sql import functions as F
 
+from newsloom.sources.articles import article_store
 from newsloom.sources.config import (
-    BROADCAST_SITES,
     ConfigError,
     FeedSettings,
     Site,
     parse_settings,
     sites_table,
 )
+from newsloom.sources.pages import join_rules
 
 SITE = {
     "website": "acme",
@@ -16,7 +21,6 @@ SITE = {
     "date_format": "{MONTH_NUM}-{DAY_NUM}-{YEAR_LONG}",
 }
 YAML = """
-crawler: {{user_agent: x, crawl_delay: 1}}
 websites:
   - identifier: acme
     start_point: {start}
@@ -30,7 +34,7 @@ feeds: {{type: {feed}, nb_items: {n}, interface: 127.0.0.1, port: 8888}}
 """
 
 
-def text(start="http://acme.tld/", query="", driver="sqlite3", feed="rss", n=20):
+def text(start="http://acme.tld/", query="", driver="parquet", feed="rss", n=20):
     return YAML.format(start=start, query=query, driver=driver, feed=feed, n=n)
 
 
@@ -42,7 +46,7 @@ def test_whole_file():
     assert site.restrict == "^http://acme.tld/news" and not site.exclude
     assert site.row()[-1] is None  # an empty filter is no filter
     assert got.feeds == FeedSettings("rss", 20)
-    assert got.driver == "sqlite3"
+    assert got.driver == "parquet" and got.connection_data == "x"
 
 
 def test_both_spellings_of_the_query_rule():
@@ -55,11 +59,11 @@ def test_both_spellings_of_the_query_rule():
 @pytest.mark.parametrize(
     "change, message",
     [
-        (dict(start="'not a url'"), "Start point for acme isn't a valid URL"),
-        (dict(start="ftp://acme.tld/"), "valid URL"),
+        (dict(start="'not a url'"), "start point 'not a url'"),
+        (dict(start="ftp://acme.tld/"), "no http or https URL"),
         (dict(query="query: {ignore_all: true, except: news item}"), "must be a list"),
-        (dict(driver="oracle"), "Unsupported database driver oracle"),
-        (dict(feed="json"), "Invalid feed type: json"),
+        (dict(driver="oracle"), "not in 'oracle'"),
+        (dict(feed="json"), "not 'json'"),
         (dict(n=0), "nb_items"),
     ],
 )
@@ -79,7 +83,6 @@ def test_file_errors(change, message):
         (dict(restrict="(?=x)"), "unsupported construct"),
         (dict(restrict=r"(a)\1"), "unsupported construct"),
         (dict(exclude="(?<!x)y"), "unsupported construct"),
-        (dict(exclude="("), "bad filter"),
         (dict(max_visits=-1), "max_visits"),
     ],
 )
@@ -88,15 +91,36 @@ def test_site_errors(change, message):
         Site(**{**SITE, **change})
 
 
-def test_sites_table_is_broadcast_only_while_small(spark):
-    def plan(sites):
-        table = sites_table(spark, sites)
-        joined = spark.range(1).selectExpr("'acme' AS website").join(table, "website")
-        return joined._jdf.queryExecution().optimizedPlan().toString()
-
-    few = [Site(**SITE)]
-    assert "strategy=broadcast" in plan(few)
-    many = [Site(**{**SITE, "website": f"s{i}"}) for i in range(BROADCAST_SITES + 1)]
-    assert "strategy=broadcast" not in plan(many)
+def test_patterns_are_tried_by_the_engine_that_runs_them(spark):
+    sites = [Site(**{**SITE, "restrict": "(?P<part>news)"}), Site(**{**SITE, "website": "b", "exclude": r"\(\?P<x"})]
+    rows = {r.website: r for r in sites_table(spark, sites).collect()}
+    assert rows["acme"].restrict == "(?<part>news)" and rows["b"].exclude == r"\(\?P<x"
+    for wrong in ("(", "[z-a]", "a{2,1}"):
+        with pytest.raises(ConfigError, match="site 'c'.*compile"):
+            sites_table(spark, [*sites, Site(**{**SITE, "website": "c", "restrict": wrong})])
     with pytest.raises(ConfigError, match="more than once"):
-        sites_table(spark, few + few)
+        sites_table(spark, [sites[0], sites[0]])
+
+
+def test_sites_are_broadcast_by_their_bytes(spark):
+    few = sites_table(spark, [Site(**SITE)])
+    many = sites_table(spark, [Site(**{**SITE, "website": f"s{i}", "restrict": "x" * 2000}) for i in range(10_001)])
+    rows = spark.range(3000).selectExpr("id AS page_id", "CASE WHEN id % 3 = 0 THEN 's7' ELSE 's' || id END AS website", "'u' AS url")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+
+    def plan(joined):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            joined.explain()
+        return out.getvalue()
+
+    joined = join_rules(rows, many, "website", F.col("page_id"))
+    assert "BroadcastHashJoin" in plan(join_rules(rows, few, "website", F.col("page_id")))
+    assert "SortMergeJoin" in plan(joined) and "_salt" in plan(joined) and joined.count() == 3000
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_store_that_a_configuration_names(spark, tmp_path):
+    settings = parse_settings(text().replace("connection_data: x", f"connection_data: {tmp_path}/articles"))
+    assert article_store(spark, settings).path == f"{tmp_path}/articles"
+    with pytest.raises(ValueError, match="connection_data"):
+        article_store(spark, parse_settings("websites: []"))
