@@ -15,6 +15,8 @@ from newsloom.functions import urls
 
 # Hex digits of the URL hash that split one site and depth into buckets.
 BUCKET_DIGITS = 3
+# Keys that a stored URL is copied to before it meets rows that may all have that URL.
+SALTS = 32
 
 
 def with_canonical_url(pages: DataFrame) -> DataFrame:
@@ -23,18 +25,23 @@ def with_canonical_url(pages: DataFrame) -> DataFrame:
     return pages.withColumn("canonical_url", url)
 
 
+def _found(url: Column, pattern: Column) -> Column:
+    """Like ``rlike``, but a pattern is compiled when it changes from row to row, not for each row."""
+    return F.regexp_instr(url, pattern) > 0
+
+
 def passes_restrict(url: Column, restrict: Column) -> Column:
-    return restrict.isNull() | F.rlike(url, restrict)
+    return restrict.isNull() | _found(url, restrict)
 
 
 def passes_exclude(url: Column, exclude: Column) -> Column:
-    return exclude.isNull() | ~F.rlike(url, exclude)
+    return exclude.isNull() | ~_found(url, exclude)
 
 
 def filter_reason(url: Column) -> Column:
     """Reject reason of the per-row URL tests, null when all pass."""
     return (
-        F.when(~urls.has_article_scheme(url), "bad_scheme")
+        F.when(url.isNull() | ~urls.has_article_scheme(url), "bad_scheme")
         .when(~passes_restrict(url, F.col("restrict")), "restrict")
         .when(~passes_exclude(url, F.col("exclude")), "exclude")
     )
@@ -55,16 +62,49 @@ def already_there(rows: DataFrame, keys: list[str], stored: DataFrame) -> DataFr
 
 
 def unseen(rows: DataFrame, keys: list[str], stored: DataFrame) -> DataFrame:
-    """Rows whose key is not stored yet; ``stored`` must hold the key columns."""
+    """Rows whose key is not stored yet; ``stored`` must hold the key columns.
+
+    ``rows`` hold each key once, or few times; see ``unseen_rows`` for others.
+    """
     return rows.join(already_there(rows, keys, stored), keys, "left_anti")
 
 
-def check(pages: DataFrame) -> DataFrame:
-    """Per-row part of the decisions: canonical URL and the filter it fails, if any."""
-    return (
+def unseen_rows(rows: DataFrame, keys: list[str], stored: DataFrame, order: str = "page_id") -> DataFrame:
+    """``unseen`` for rows of which many may share a key.
+
+    The keys are made distinct before they are looked up, and the stored ones meet
+    their rows under ``SALTS`` keys each, so copies of one URL go to many tasks.
+    """
+    known = already_there(rows.select(*keys).distinct(), keys, stored).distinct()
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)).cast("int"))
+    return salted.join(known.select(*keys, salts), [*keys, "_salt"], "left_anti").drop("_salt")
+
+
+def check(pages: DataFrame, enter_start: bool = False) -> DataFrame:
+    """Per-row part of the decisions: canonical URL and the filter it fails, if any.
+
+    Rows are sorted by site inside partitions, so each site's patterns are compiled
+    once a partition. With ``enter_start`` the start point of a site (its rules are
+    columns of ``pages``) passes whatever the filters say, and is marked.
+    """
+    checked = (
         with_canonical_url(pages)
+        .sortWithinPartitions("website")
         .withColumn("failed", filter_reason(F.col("canonical_url")))
-        .select("page_id", "website", "url", "canonical_url", "max_visits", "failed")
+    )
+    is_start = F.lit(False)
+    if enter_start:
+        start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
+        is_start = F.coalesce(F.col("canonical_url") == start, F.lit(False))
+    return checked.withColumn("is_start", is_start).select(
+        "page_id",
+        "website",
+        "url",
+        "canonical_url",
+        "max_visits",
+        "is_start",
+        F.when(~F.col("is_start"), F.col("failed")).alias("failed"),
     )
 
 
@@ -73,7 +113,8 @@ def decide(checked: DataFrame, stored: DataFrame | None = None) -> DataFrame:
 
     Out: ``page_id``, ``website``, ``url``, ``canonical_url``, ``max_visits``,
     ``accepted``, ``reason``. Of the pages of one site with one canonical URL the
-    one with the smallest ``page_id`` is kept; the others are ``seen``.
+    one with the smallest ``page_id`` is kept; the others are ``seen``. A start
+    point that is to be entered is entered although it is stored.
     ``checked`` is used three times: on large inputs pass a stored table.
     """
     key = ["website", "canonical_url"]
@@ -88,26 +129,28 @@ def decide(checked: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     reason = (
         F.when(F.col("failed").isNotNull(), F.col("failed"))
         .when(F.col("is_stored").isNull(), "seen")
-        .when(F.col("is_stored"), "stored")
+        .when(F.col("is_stored") & ~F.coalesce(F.col("is_start"), F.lit(False)), "stored")
     )
+    if "is_start" not in checked.columns:
+        checked = checked.withColumn("is_start", F.lit(False))
     # page_id and website are unique together: this join has no hot key
     return (
         checked.join(firsts.drop("canonical_url"), ["page_id", "website"], "left")
         .withColumn("reason", reason)
         .withColumn("accepted", F.col("reason").isNull())
         .select(
-            "page_id", "website", "url", "canonical_url", "max_visits", "accepted", "reason"
+            "page_id", "website", "url", "canonical_url", "max_visits", "is_start", "accepted", "reason"
         )
     )
 
 
-def _rank_in_site(rows: DataFrame, url: str, depth: str | None, prune: bool) -> DataFrame:
+def _rank_in_site(rows: DataFrame, url: str, depth: str | None) -> DataFrame:
     """Add ``_place``, the 1-based position in the order (depth, URL hash, URL).
 
     Exact for any site size without sorting a site in one task: counts per hash
     bucket are combined before the shuffle and summed up per site, and rows are
-    ranked inside (site, depth, bucket) groups only. With ``prune`` buckets that
-    start beyond the budget are dropped before ranking.
+    ranked inside (site, depth, bucket) groups only. Buckets that start beyond the
+    budget are dropped before ranking.
     """
     level = F.col(depth) if depth else F.lit(0)
     hashed = rows.withColumns({"_level": level, "_hash": F.md5(F.col(url))}).withColumn(
@@ -124,9 +167,7 @@ def _rank_in_site(rows: DataFrame, url: str, depth: str | None, prune: bool) ->
         .agg(F.count("*").alias("_n"))
         .select(*group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    joined = hashed.join(before, group)
-    if prune:
-        joined = joined.filter(F.col("_before") < F.col("max_visits"))
+    joined = hashed.join(before, group).filter(F.col("_before") < F.col("max_visits"))
     rank = F.row_number().over(Window.partitionBy(*group).orderBy("_hash", url))
     return joined.withColumn("_place", F.col("_before") + rank).select(*rows.columns, "_place")
 
@@ -139,15 +180,22 @@ def within_budget(
     rows: DataFrame, url: str = "canonical_url", depth: str | None = None
 ) -> DataFrame:
     """Rows inside ``max_visits`` of their site; 0 or null is unlimited and costs nothing."""
-    ranked = _rank_in_site(rows.filter(_limited()), url, depth, prune=True)
+    ranked = _rank_in_site(rows.filter(_limited()), url, depth)
     inside = ranked.filter(F.col("_place") <= F.col("max_visits")).drop("_place")
     return rows.filter(~_limited()).unionByName(inside)
 
 
 def apply_budget(decisions: DataFrame) -> DataFrame:
-    """Turn accepted pages beyond their site's budget into ``budget`` rejects."""
+    """Turn accepted pages beyond their site's budget into ``budget`` rejects.
+
+    Only the buckets before the cut are ranked; pages after it need no place.
+    """
     counted = F.col("accepted") & _limited()
-    ranked = _rank_in_site(decisions.filter(counted), "canonical_url", None, prune=False)
-    over = F.col("_place") > F.col("max_visits")
-    judged = ranked.withColumn("reason", F.when(over, "budget")).withColumn("accepted", ~over)
-    return decisions.filter(~counted).unionByName(judged.drop("_place"))
+    inside = within_budget(decisions.filter(counted)).select("page_id", "website", F.lit(True).alias("_in"))
+    over = F.col("accepted") & _limited() & F.col("_in").isNull()
+    return (
+        decisions.join(inside, ["page_id", "website"], "left")
+        .withColumn("reason", F.when(over, "budget").otherwise(F.col("reason")))
+        .withColumn("accepted", F.col("reason").isNull())
+        .drop("_in")
+    )

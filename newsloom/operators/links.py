@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import urls
 from newsloom.operators.frontier import filter_reason, unseen, within_budget
-from newsloom.scratch import materialize, scratch_path
+from newsloom.scratch import materialize, materialize_bucketed, scratch_path
+from newsloom.sources.pages import join_rules
 
 
 def harvest(read: DataFrame) -> DataFrame:
@@ -24,7 +25,7 @@ def harvest(read: DataFrame) -> DataFrame:
         "links",
     )
     listed = pages.withColumn("href", F.explode("links"))
-    target = urls.resolve(F.col("base"), F.btrim("href"))
+    target = urls.resolve(F.col("base"), urls.trimmed(F.col("href")))
     return listed.select(
         "website", "from_url", "href", urls.strip_fragment(target).alias("to_url")
     ).filter(urls.has_article_scheme(F.col("to_url")))
@@ -40,9 +41,8 @@ def site_edges(links: DataFrame, sites: DataFrame, one_host: bool = True) -> Dat
         "website", "start_point", "ignore_all", "listed_keys", "restrict", "exclude"
     )
     canonical = lambda c: urls.canonical(F.col(c), F.col("ignore_all"), F.col("listed_keys"))
-    edges = links.join(rules, "website").withColumns(
-        {"from_url": canonical("from_url"), "to_url": canonical("to_url")}
-    )
+    ruled = join_rules(links, rules, "website", F.col("to_url")).sortWithinPartitions("website")
+    edges = ruled.withColumns({"from_url": canonical("from_url"), "to_url": canonical("to_url")})
     if one_host:
         edges = edges.filter(same_host(F.col("to_url"), F.col("start_point")))
     return (
@@ -68,17 +68,17 @@ def reachable(
     All sites advance together, one round of jobs per depth. Every level is a
     partition of one table in the shared scratch folder: lineage and plans stay
     short, lost executors cost one round at most, and real sizes decide how the
-    next round joins. A small level is broadcast against edges and visited pages,
-    which are then scanned but never shuffled. Out: ``website``, ``url``, ``depth``.
+    next round joins. A small level is broadcast against edges and pages, which are
+    then scanned; for a large one the edges lie in buckets by their origin, so they
+    are not shuffled again. Targets are made distinct before anything is looked up:
+    a home page that every page links to is one row. Out: ``website``, ``url``, ``depth``.
     """
     spark, key = edges.sparkSession, ["website", "url"]
     allowed = page_urls.select(*key)
     if stored is not None:
         allowed = unseen(allowed, key, stored)
-    targets = allowed.withColumnRenamed("url", "to_url")
-    # two steps: a semi join on edges still being made distinct would run below that
-    distinct_edges = materialize(edges, "edges")
-    hops = materialize(distinct_edges.join(targets, ["website", "to_url"], "left_semi"), "hops")
+    allowed = materialize(allowed.distinct(), "allowed")
+    hops = materialize_bucketed(edges.select("website", "from_url", "to_url"), "hops", ["website", "from_url"])
     start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
     seeds = sites.select("website", start.alias("url"))
     limits = sites.filter(F.col("max_visits") > 0).select("website", "max_visits")
@@ -98,15 +98,15 @@ def reachable(
             .distinct(),
             "found",
         )
-        fresh = unseen(found, key, visited())
+        fresh = unseen(found.join(allowed, key, "left_semi"), key, visited())
         if limited:
-            fresh = _spend(fresh, limits, visited())
+            fresh = spend(fresh, limits, visited())
         depth += 1
         fresh.write.parquet(level_path())
     return visited()
 
 
-def _spend(fresh: DataFrame, limits: DataFrame, visited: DataFrame) -> DataFrame:
+def spend(fresh: DataFrame, limits: DataFrame, visited: DataFrame) -> DataFrame:
     """New pages that what is left of each site's budget allows."""
     spent = visited.groupBy("website").agg(F.count("*").alias("_spent"))
     rest = F.coalesce(F.col("max_visits") - F.col("_spent"), F.col("max_visits"))

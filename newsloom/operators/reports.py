@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 REJECT_COLUMNS = ("website", "page_url", "kind", "reason", "detail")
 REJECTS_DDL = "website string, page_url string, kind string, reason string, detail string"
 
-# Which stage a reason belongs to.
-FRONTIER_REASONS = ("restrict", "exclude", "seen", "stored", "budget")
+# The step that a reason belongs to.
+KINDS = {
+    "filter": ("restrict", "exclude", "seen", "stored", "budget", "unreached"),
+    "link": ("bad_scheme", "bad_link"),
+    "page": ("not_article",),
+    "parse": ("parse_error",),
+    "field": ("empty_title",),
+    "date": ("empty_date", "bad_date"),
+}
 
 
 def reject_kind(reason: Column) -> Column:
-    return F.when(reason.isin(*FRONTIER_REASONS), "filter").when(
-        reason == "not_article", "page"
-    ).otherwise("error")
+    """The step that failed; what is left to fail is saving."""
+    kind = F.lit("save")
+    for name, reasons in KINDS.items():
+        kind = F.when(reason.isin(*reasons), name).otherwise(kind)
+    return kind
 
 
 def reject_message(kind: Column, page_url: Column, detail: Column) -> Column:
@@ -40,16 +49,10 @@ def rejects_of(rows: DataFrame, url: str = "url", detail: str | None = None) ->
 
 
 def warnings_of(rows: DataFrame) -> DataFrame:
-    """One row per warning: the page was saved, something on it was not right."""
-    return rows.select(
-        "website", F.col("url").alias("page_url"), F.explode("warnings").alias("detail")
-    ).select(
-        "website",
-        "page_url",
-        F.lit("warning").alias("kind"),
-        F.when(F.col("detail").startswith("bad_date"), "bad_date").otherwise("bad_link").alias("reason"),
-        "detail",
-    )
+    """One row per warning: the page was saved, a step before that was not right."""
+    told = rows.select("website", F.col("url").alias("page_url"), F.explode("warnings").alias("detail"))
+    reason = F.when(F.col("detail").startswith("bad_date"), "bad_date").otherwise("bad_link")
+    return told.select("website", "page_url", reject_kind(reason).alias("kind"), reason.alias("reason"), "detail")
 
 
 def reject_report(rejects: DataFrame) -> DataFrame:
@@ -60,8 +63,9 @@ def run_report(sites: DataFrame, decisions: DataFrame, written: DataFrame) -> Da
     """Outcome per site.
 
     ``decisions`` (website, accepted) and ``written`` (website, reason; null means
-    saved). A site stops at its ``budget`` when it took as many pages as allowed,
-    otherwise it is ``exhausted``.
+    saved). A site stops at its ``budget`` when it took as many pages as allowed, has
+    ``failed`` when none of the pages it took could be read, and is ``exhausted``
+    otherwise.
     """
     accepted = decisions.groupBy("website").agg(
         F.count_if("accepted").alias("n_accepted"), F.count("*").alias("n_pages")
@@ -69,9 +73,11 @@ def run_report(sites: DataFrame, decisions: DataFrame, written: DataFrame) -> Da
     saved = written.groupBy("website").agg(
         F.count_if(F.col("reason").isNull()).alias("n_saved"),
         F.count_if(F.col("reason").isNotNull()).alias("n_rejected"),
+        F.count_if(F.col("reason") == "parse_error").alias("n_unread"),
     )
     zero = lambda name: F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
     limit = F.coalesce(F.col("max_visits"), F.lit(0))
+    unread = (F.col("n_unread") > 0) & (F.col("n_unread") == F.col("n_saved") + F.col("n_rejected"))
     return (
         sites.select("website", "max_visits")
         .join(accepted, "website", "left")
@@ -81,7 +87,8 @@ def run_report(sites: DataFrame, decisions: DataFrame, written: DataFrame) -> Da
             zero("n_accepted"),
             zero("n_saved"),
             zero("n_rejected"),
-            F.when((limit > 0) & (F.coalesce("n_accepted", F.lit(0)) >= limit), "budget")
+            F.when(unread, "failed")
+            .when((limit > 0) & (F.coalesce("n_accepted", F.lit(0)) >= limit), "budget")
             .otherwise("exhausted")
             .alias("stop_reason"),
         )

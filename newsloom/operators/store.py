@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.operators.frontier import already_there
+from newsloom.scratch import materialize
 
 ARTICLE_COLUMNS = ("website", "url", "title", "description", "content", "author", "date")
 REQUIRED_COLUMNS = ("website", "url", "title", "content", "date")
 
 # Sub-groups per website between the two rounds of latest-N.
 SALTS = 64
+# Winners of latest-N (an id and a URL each) that are broadcast to fetch their articles.
+BROADCAST_WINNERS = 100_000
 
 
 def missing_required() -> Column:
@@ -67,8 +70,13 @@ def stored_urls(articles: DataFrame, website: str | None = None) -> DataFrame:
     return articles.filter(F.col("website") == website).select("url")
 
 
-def stored_counts(articles: DataFrame) -> DataFrame:
-    return articles.groupBy("website").agg(F.count("*").alias("n_stored"))
+def stored_counts(articles: DataFrame, sites: DataFrame | None = None) -> DataFrame:
+    """Articles of each website; with ``sites`` a row for each of them, 0 included."""
+    counts = articles.groupBy("website").agg(F.count("*").alias("n_stored"))
+    if sites is None:
+        return counts
+    every = sites.select("website").distinct().join(counts, "website", "left")
+    return every.select("website", F.coalesce("n_stored", F.lit(0)).alias("n_stored"))
 
 
 def latest_for(articles: DataFrame, website: str, n: int) -> DataFrame:
@@ -80,19 +88,19 @@ def latest_for(articles: DataFrame, website: str, n: int) -> DataFrame:
     )
 
 
-def latest_n(articles: DataFrame, n: int, salts: int = SALTS) -> DataFrame:
-    """Latest ``n`` articles of every website, numbered ``rn`` from 1.
+def latest_urls(articles: DataFrame, n: int, salts: int = SALTS) -> DataFrame:
+    """(website, url, rn): the latest ``n`` articles of every website, numbered from 1.
 
-    Two rounds. Each task first keeps n rows per website (the limit is pushed
-    below the shuffle), these meet in ``salts`` sub-groups by task number, and
-    their winners in one task per website. That last task sees at most
+    Two rounds over ids and dates. Each task first keeps n rows per website (the
+    limit is pushed below the shuffle), these meet in ``salts`` sub-groups by task
+    number, and their winners in one task per website. That last task sees at most
     ``n * salts`` rows of even the largest website; the result does not depend on
     how rows fall into sub-groups.
     """
     if n < 1:
         raise ValueError("n must be 1 or more")
     newest = (F.desc("date"), F.asc("url"))
-    salted = articles.withColumn("_salt", F.spark_partition_id() % salts)
+    salted = articles.select("website", "url", "date", (F.spark_partition_id() % salts).alias("_salt"))
     part = Window.partitionBy("website", "_salt").orderBy(*newest)
     whole = Window.partitionBy("website").orderBy(*newest)
     return (
@@ -101,4 +109,19 @@ def latest_n(articles: DataFrame, n: int, salts: int = SALTS) -> DataFrame:
         .drop("_rn", "_salt")
         .withColumn("rn", F.row_number().over(whole))
         .filter(F.col("rn") <= n)
+        .select("website", "url", "rn")
     )
+
+
+def latest_n(articles: DataFrame, n: int, salts: int = SALTS) -> DataFrame:
+    """Latest ``n`` articles of every website, numbered ``rn`` from 1.
+
+    Ids and dates are ranked, and the winners fetch their articles by url, so contents
+    are never sorted. The winners are stored; up to ``BROADCAST_WINNERS`` of them are
+    broadcast and the articles only scanned, more of them are joined by shuffle.
+    ``url`` is unique in the store; ``articles`` is read twice.
+    """
+    winners = materialize(latest_urls(articles, n, salts), "latest")
+    if winners.count() <= BROADCAST_WINNERS:
+        winners = F.broadcast(winners)
+    return articles.join(winners, ["website", "url"]).select(*articles.columns, "rn")

@@ -10,13 +10,15 @@ from newsloom.functions.dates import parse_date, translate_layout
 from newsloom.operators import extract, feeds, frontier, links, reports, store
 from newsloom.plans import samples
 from newsloom.plans.ingest import (
+    date_layouts as site_layouts,
     read_articles,
     run_ingest,
-    spread_for_reading,
+    spread,
     with_reading_rules,
 )
 from newsloom.scratch import scratch_path
 from newsloom.sources.articles import ParquetStore
+from newsloom.sources.pages import assign_sites
 from newsloom.streaming.ingest_stream import ingest_landing
 
 QUERIES: dict = {}
@@ -215,7 +217,7 @@ def frontier_unseen(spark: SparkSession, sf: str) -> DataFrame:
     pages = samples.with_rules(samples.host_pages(spark, sf), ignore_all=True)
     stored = _english_stored(spark, sf).withColumnRenamed("url", "canonical_url")
     rows = frontier.with_canonical_url(pages).select("website", "page_id", "canonical_url")
-    return frontier.unseen(rows, ["website", "canonical_url"], stored).select(rows.columns)
+    return frontier.unseen_rows(rows, ["website", "canonical_url"], stored).select(rows.columns)
 
 
 def _page_variants(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,7 +288,7 @@ SELECT website, from_url, href,
        {sql_ascii("regexp_extract(from_url, '^([a-z]+://[^/?#]*)', 1) || " + sql_no_fragment('href'))} AS to_url
 FROM hrefs""")
 def link_harvest(spark: SparkSession, sf: str) -> DataFrame:
-    pages = spread_for_reading(samples.host_pages(spark, sf, "html"))
+    pages = spread(samples.host_pages(spark, sf, "html"), samples.read_partitions(spark))
     return links.harvest(extract.read_pages_job(pages))
 
 
@@ -322,10 +324,22 @@ placed AS (
   FROM node JOIN walk USING (doc_id))
 SELECT website, url, depth FROM placed WHERE place <= 10""")
 def crawl_budget(spark: SparkSession, sf: str) -> DataFrame:
-    sites, pages = samples.doc_sites(spark, sf, max_visits=10), samples.doc_pages(spark, sf)
-    read = extract.read_pages_job(pages)
-    edges = links.site_edges(links.harvest(read), sites)
-    return links.reachable(edges, sites, pages.select("website", "url"))
+    _, run = _ingest(spark, sf, max_visits=10, follow_links=True)
+    return run.visited
+
+
+@query(f"""
+WITH {SQL_DOCS}, node AS (SELECT website, url, doc_id, doc_id // 20 AS k, doc_id % 20 AS m, lang FROM docs)
+SELECT DISTINCT website, url AS from_url, to_url FROM (
+  SELECT website, url, unnest(
+    CASE WHEN lang = 'de' THEN [] ELSE [(2 * k + 1) * 20 + m, (2 * k + 2) * 20 + m] END
+    || CASE WHEN k = 0 THEN [] ELSE [(k - 1) // 2 * 20 + m] END) AS target FROM node) t,
+  LATERAL (SELECT 'https://' || website || '.example.com/news/' || target AS to_url)""")
+def link_same_host(spark: SparkSession, sf: str) -> DataFrame:
+    """Every link also under another host, which is not followed."""
+    harvested = links.harvest(extract.read_pages_job(samples.doc_pages(spark, sf)))
+    elsewhere = harvested.withColumn("to_url", F.regexp_replace("to_url", "^https://[^/]*", "https://other.example.org"))
+    return links.site_edges(harvested.unionByName(elsewhere), samples.doc_sites(spark, sf))
 
 
 # --- extraction ------------------------------------------------------------
@@ -336,7 +350,7 @@ SELECT page_id, len(regexp_extract_all(html, '<article>')) AS n_content,
        len(regexp_extract_all(html, '<h1>')) AS n_title,
        len(regexp_extract_all(html, '<a ')) AS n_date FROM pages""")
 def page_match_counts(spark: SparkSession, sf: str) -> DataFrame:
-    pages = spread_for_reading(samples.host_pages(spark, sf, "html"))
+    pages = spread(samples.host_pages(spark, sf, "html"), samples.read_partitions(spark))
     pages = pages.withColumn("sel", samples.selector_struct(samples.PAGE_SELECTORS))
     read = extract.read_pages_job(pages, keep_links=False)
     return read.select("page_id", "n_content", "n_title", "n_date")
@@ -348,16 +362,16 @@ SELECT 'https://' || source || '.example.com/news/' || doc_id, n_chars >= 300 FR
 def article_predicate(spark: SparkSession, sf: str) -> DataFrame:
     raw = samples.host_pages(spark, sf, "html")
     selectors = dict(title="article h1", content="article", date="time")
-    both = spread_for_reading(raw).unionByName(samples.doc_pages(spark, sf))
+    both = spread(raw, samples.read_partitions(spark)).unionByName(samples.doc_pages(spark, sf))
     both = both.withColumn("sel", samples.selector_struct(selectors))
     read = extract.read_pages_job(both, keep_links=False)
     return read.select("url", extract.is_article().alias("is_article"))
 
 
-def _read_documents(spark: SparkSession, sf: str) -> DataFrame:
-    pages = samples.doc_pages(spark, sf)
-    ruled = with_reading_rules(pages, samples.doc_sites(spark, sf))
-    return read_articles(ruled, sized_by=pages)
+def _read_documents(spark: SparkSession, sf: str, **options) -> DataFrame:
+    sites = samples.doc_sites(spark, sf)
+    ruled = with_reading_rules(samples.doc_pages(spark, sf), sites)
+    return read_articles(ruled, layouts=site_layouts(sites), **options)
 
 
 def _extracted(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,6 +402,28 @@ def extract_clean_content(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("url", "content", F.size("warnings").alias("n_warnings"))
 
 
+@query(f"""
+WITH {SQL_DOCS}
+SELECT url, title, 'h1' AS description, author FROM docs WHERE {SQL_GOOD}""")
+def extract_first_child(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields from the first child of their element: an element's name, or text, or a link's text."""
+    sites = samples.doc_sites(spark, sf)
+    selectors = {**samples.DOC_SELECTORS, "description": "#main-article"}
+    ruled = with_reading_rules(samples.doc_pages(spark, sf), sites.withColumn("sel", samples.selector_struct(selectors)))
+    read = read_articles(ruled, text_mode="first_child", layouts=site_layouts(sites))
+    return read.filter(F.col("reason").isNull()).select("url", "title", "description", "author")
+
+
+@query(f"""
+WITH {SQL_DOCS}
+SELECT url, CASE WHEN contains(text, '|') THEN '0001-01-01' ELSE CAST(date AS VARCHAR) END AS date,
+       CASE lang WHEN 'fr' THEN 1 ELSE 0 END + CAST(contains(text, '|') AS INTEGER) AS n_warnings
+FROM docs WHERE n_chars >= 300""")
+def extract_zero_date(spark: SparkSession, sf: str) -> DataFrame:
+    read = _read_documents(spark, sf, on_bad_date="zero_date").filter(F.col("reason").isNull())
+    return read.select("url", "date", F.size("warnings").alias("n_warnings"))
+
+
 @query(f"""
 WITH {SQL_DOCS}
 SELECT website, CASE WHEN n_chars < 300 THEN 'not_article' ELSE 'bad_date' END AS reason,
@@ -426,7 +462,7 @@ def date_layouts(spark: SparkSession, sf: str) -> DataFrame:
         printed = F.when(here, F.date_format(moment, spark_pattern)).otherwise(printed)
         pattern = F.when(here, F.lit(known.pattern)).otherwise(pattern)
         rewrite = F.when(here, F.lit(known.rewrite)).otherwise(rewrite)
-    orders = spread_for_reading(samples.table(spark, sf, "orders"), key="o_orderkey")
+    orders = spread(samples.table(spark, sf, "orders"), samples.read_partitions(spark), "o_orderkey")
     return orders.select("o_orderkey", parse_date(printed, pattern, rewrite).alias("date"))
 
 
@@ -441,7 +477,7 @@ def date_bad_values(spark: SparkSession, sf: str) -> DataFrame:
         .when(status == "F", F.date_format(day, "'31' 'February' yyyy"))
         .otherwise(F.date_format(day, "d MM yyyy"))
     )
-    orders = spread_for_reading(samples.table(spark, sf, "orders"), key="o_orderkey")
+    orders = spread(samples.table(spark, sf, "orders"), samples.read_partitions(spark), "o_orderkey")
     parsed = parse_date(text, F.lit(layout.pattern), F.lit(layout.rewrite))
     return orders.select("o_orderkey", parsed.alias("date"))
 
@@ -487,9 +523,21 @@ def stored_urls(spark: SparkSession, sf: str) -> DataFrame:
     return store.stored_urls(_stored_articles(spark, sf))
 
 
-@query("SELECT source AS website, count(*) AS n_stored FROM documents GROUP BY 1")
+@query("""
+WITH counted AS (SELECT source AS website, count(*) AS n FROM documents GROUP BY 1),
+sites AS (SELECT website FROM counted UNION SELECT DISTINCT 'lost-' || lang FROM documents)
+SELECT website, coalesce(n, 0) AS n_stored FROM sites LEFT JOIN counted USING (website)""")
 def stored_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return store.stored_counts(_stored_articles(spark, sf))
+    docs = samples.table(spark, sf, "documents")
+    sites = docs.select(F.col("source").alias("website")).union(docs.select(F.concat(F.lit("lost-"), "lang")))
+    return store.stored_counts(_stored_articles(spark, sf), sites)
+
+
+@query(f"""
+WITH {SQL_LATEST}
+SELECT website, url, CAST(date AS VARCHAR) AS date FROM ranked WHERE website = 'src1' AND rn <= 20""")
+def latest_of_one_site(spark: SparkSession, sf: str) -> DataFrame:
+    return store.latest_for(samples.doc_articles(spark, sf), "src1", 20).select("website", "url", "date")
 
 
 @query(f"""
@@ -630,8 +678,8 @@ WITH {SQL_RUN}, rejects AS (
   SELECT website, 'filter' AS kind, 'seen' AS reason FROM docs WHERE lang = 'es'
   UNION ALL SELECT website, 'filter', 'budget' FROM placed WHERE place > {BUDGET}
   UNION ALL SELECT website, 'page', 'not_article' FROM taken WHERE n_chars < 300
-  UNION ALL SELECT website, 'error', 'bad_date' FROM taken WHERE n_chars >= 300 AND contains(text, '|')
-  UNION ALL SELECT website, 'warning', 'bad_link' FROM taken WHERE lang = 'fr' AND {SQL_GOOD})
+  UNION ALL SELECT website, 'date', 'bad_date' FROM taken WHERE n_chars >= 300 AND contains(text, '|')
+  UNION ALL SELECT website, 'link', 'bad_link' FROM taken WHERE lang = 'fr' AND {SQL_GOOD})
 SELECT website, kind, reason, count(*) AS n FROM rejects GROUP BY 1, 2, 3""")
 def reject_report(spark: SparkSession, sf: str) -> DataFrame:
     _, run = _ingest(spark, sf, max_visits=BUDGET)
@@ -650,15 +698,25 @@ def run_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-WITH {SQL_DOCS}
-SELECT website, 'page' AS kind, 'Unknown page error on ' || url AS message FROM docs WHERE false
-UNION ALL SELECT website, 'error', 'error error on ' || url || ': 31 February 2024'
-  FROM docs WHERE n_chars >= 300 AND contains(text, '|')
-UNION ALL SELECT website, 'page', 'page error on ' || url || ': content_matches=1 title_matches=1 date_matches=0'
-  FROM docs WHERE n_chars < 300""")
+WITH {SQL_DOCS}, seen AS (SELECT *, CASE WHEN lang <> 'de' THEN url END AS page_url FROM docs)
+SELECT website, 'page' AS kind, 'page error' || coalesce(' on ' || page_url, '')
+       || ': content_matches=1 title_matches=1 date_matches=0' AS message FROM seen WHERE n_chars < 300
+UNION ALL SELECT website, 'date', 'date error' || coalesce(' on ' || page_url, '') || ': 31 February 2024'
+  FROM seen WHERE n_chars >= 300 AND contains(text, '|')
+UNION ALL SELECT website, 'save', 'Unknown save error' FROM seen WHERE {SQL_GOOD} AND page_url IS NULL
+UNION ALL SELECT website, 'filter', 'Unknown filter error on ' || url || '?copy=1#top' FROM docs WHERE lang = 'es'""")
 def reject_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejects of reading, the URLs of German pages being lost, and of the copies of Spanish pages."""
     read = _read_documents(spark, sf)
-    rejects = reports.rejects_of(read, detail="detail")
+    lost = samples.documents_of_sites(spark, sf).filter("lang = 'de'").select(F.col("doc_id").alias("page_id"))
+    read = read.join(lost.withColumn("lost", F.lit(True)), "page_id", "left")
+    url = F.when(F.col("lost").isNull(), F.col("url"))
+    reason = F.when(F.col("reason").isNull() & F.col("lost"), "null_url").otherwise(F.col("reason"))
+    pages = samples.doc_pages_with_copies(spark, sf).drop("html")
+    decided = frontier.decide(frontier.check(assign_sites(pages, samples.doc_sites(spark, sf))))
+    rejects = reports.rejects_of(read.withColumns({"url": url, "reason": reason}), detail="detail").unionByName(
+        reports.rejects_of(decided)
+    )
     message = reports.reject_message(F.col("kind"), F.col("page_url"), F.col("detail"))
     return rejects.select("website", "kind", message.alias("message"))
 
@@ -692,22 +750,14 @@ def ingest_following_links(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(SQL_STORED)
 def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """The same pages landing as two files, ingested by a stream, one file per batch."""
-    landing = scratch_path(spark, "landing")
+    """The same pages landing in two halves of several files, ingested by two calls of a stream."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     pages = samples.doc_pages_with_copies(spark, sf)
     schema = pages.schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    for part in (F.col("url").contains("?"), ~F.col("url").contains("?")):
-        pages.filter(part).coalesce(1).write.mode("append").parquet(landing)
-    articles = ParquetStore(spark, scratch_path(spark, "articles"))
-    ingest_landing(
-        spark,
-        landing,
-        samples.doc_sites(spark, sf),
-        articles,
-        scratch_path(spark, "rejects"),
-        checkpoint=scratch_path(spark, "stream"),
-        name=landing.rsplit("-", 1)[-1],
-        schema=schema,
-        max_files_per_trigger=1,
-    )
+    articles, rejects = ParquetStore(spark, scratch_path(spark, "articles")), scratch_path(spark, "rejects")
+    for half in (F.col("url").contains("?"), ~F.col("url").contains("?")):
+        pages.filter(half).write.mode("append").parquet(landing)
+        ingest_landing(
+            spark, landing, samples.doc_sites(spark, sf), articles, rejects, checkpoint=checkpoint, name="landing", schema=schema
+        )
     return articles.read()

@@ -6,12 +6,17 @@ same ``run_id`` (a replayed micro-batch) continues from what is there.
 
     checked     narrow   canonical URLs and the filters they fail
     decided     narrow   which page is taken, and why not
-    read        wide     fields, content and links of taken pages (markup read once)
+    links       narrow   links of taken pages (following links without budgets)
+    read        wide     fields, content and links of taken pages
     outcome     narrow   what happened to every taken page
+
+With budgets, links are followed level by level, and only the pages of a level are
+read (``read/depth=n``). Without, all links are read first, then the reached pages.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -20,24 +25,26 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import urls
 from newsloom.operators import extract, frontier, links, reports, store
+from newsloom.operators.frontier import unseen
 from newsloom.scratch import path_exists, scratch_root
-from newsloom.sources.pages import assign_sites
+from newsloom.sources.pages import assign_sites, join_rules
 
-# Below this many bytes of markup per core the pages are spread over all cores
-# before they are read; above it the scan is parallel enough and no shuffle is paid.
-SPREAD_BYTES_PER_CORE = 64 << 20
+# Distinct date layouts up to which each gets a branch of its own with a literal pattern, which
+# is compiled once; more of them are read from their column and compiled as it changes.
+LITERAL_LAYOUTS = 32
 
 READING_RULES = ("sel", "date_pattern", "date_rewrite")
 
 
 @dataclass(frozen=True)
 class IngestResult:
-    """Tables of a finished run."""
+    """Tables of a finished run; ``visited`` (website, url, depth) if links were followed."""
 
     decisions: DataFrame
     outcome: DataFrame
     rejects: DataFrame
     report: DataFrame
+    visited: DataFrame | None = None
 
 
 class _Stages:
@@ -53,24 +60,32 @@ class _Stages:
             make().write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def belong_to(self, pages: DataFrame, sites: DataFrame, **options) -> None:
+        """Refuse the stages of another run: other pages, sites or options under the same id."""
+        keys = [c for c in ("page_id", "website", "url") if c in pages.columns]
+        told = {k: str(v) for k, v in options.items()}
+        for name, table in (("pages", pages.select(*keys)), ("sites", sites)):
+            row = F.xxhash64(*[F.col(c) for c in sorted(table.columns)])
+            told[name] = str(tuple(table.agg(F.count("*"), F.bit_xor(row), F.sum(row % 1_000_003)).first()))
+        found = self.once("identity", lambda: self.spark.createDataFrame([(json.dumps(told, sort_keys=True),)], "told string"))
+        if json.loads(found.first().told) != told:
+            raise ValueError(f"{self.folder} holds stages of a run over other pages, sites or options")
 
-def spread_for_reading(
-    pages: DataFrame, sized_by: DataFrame | None = None, key: str = "page_id"
-) -> DataFrame:
-    """Give the page-reading job enough partitions when the input is small.
 
-    ``sized_by`` names the table whose estimated size decides, where ``pages``
-    is a join result (estimates of joins are far too high).
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    plan = (pages if sized_by is None else sized_by)._jdf.queryExecution().optimizedPlan()
-    small = plan.stats().sizeInBytes() < cores * SPREAD_BYTES_PER_CORE
-    return pages.repartition(cores * 2, key) if small else pages
+def spread(pages: DataFrame, partitions: int | None, key: str = "page_id") -> DataFrame:
+    """``pages`` in so many partitions for reading markup; None leaves the splits of the scan."""
+    return pages.repartition(partitions, key) if partitions else pages
 
 
 def with_reading_rules(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """Attach the selectors and the date layout; meant for rows without markup."""
-    return rows.join(sites.select("website", *READING_RULES), "website")
+    return join_rules(rows, sites.select("website", *READING_RULES), "website", F.col("page_id"))
+
+
+def date_layouts(sites: DataFrame) -> list[tuple[str, str]] | None:
+    """The distinct date layouts of all sites, None when they are more than ``LITERAL_LAYOUTS``."""
+    found = sites.select("date_pattern", "date_rewrite").distinct().limit(LITERAL_LAYOUTS + 1).collect()
+    return [tuple(r) for r in found] if len(found) <= LITERAL_LAYOUTS else None
 
 
 def read_articles(
@@ -78,35 +93,75 @@ def read_articles(
     text_mode: str = "first_text",
     on_bad_date: str = "reject",
     keep_links: bool = False,
-    sized_by: DataFrame | None = None,
+    partitions: int | None = None,
+    layouts: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Pages with reading rules -> articles with reasons.
 
     In: ``page_id``, ``website``, ``url``, ``html``, ``sel``, ``date_pattern``,
-    ``date_rewrite``. No join follows the reading, so nothing wide is shuffled.
+    ``date_rewrite``. No join follows the reading. ``partitions`` spreads the markup
+    before it is read; ``layouts`` are all date layouts, where they are few.
     """
     needed = pages.select("page_id", "website", "url", "html", *READING_RULES)
     read = extract.read_pages_job(
-        spread_for_reading(needed, sized_by),
+        spread(needed, partitions),
         keys=("page_id", "website", "url", "date_pattern", "date_rewrite"),
         text_mode=text_mode,
         keep_links=keep_links,
     )
-    return extract.to_articles(read if keep_links else read.drop("links"), on_bad_date)
+    return extract.to_articles(read if keep_links else read.drop("links"), on_bad_date, layouts)
 
 
-def _start_pages(sites: DataFrame) -> DataFrame:
-    start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
-    return sites.select("website", start.alias("canonical_url"), F.lit(True).alias("_start"))
+def _taken(decisions: DataFrame) -> DataFrame:
+    return decisions.filter("accepted").select("page_id", "website", F.col("canonical_url").alias("url"))
 
 
-def _follow(
-    read: DataFrame, decisions: DataFrame, sites: DataFrame, one_host: bool
-) -> DataFrame:
-    """Visited pages of a run that follows links from the start points."""
-    edges = links.site_edges(links.harvest(read), sites, one_host)
-    known = decisions.filter("accepted").select("website", F.col("canonical_url").alias("url"))
-    return links.reachable(edges, sites, known)
+def _follow_all(stages: _Stages, pages: DataFrame, decisions: DataFrame, sites: DataFrame, one_host: bool, partitions: int | None) -> DataFrame:
+    """(website, url, _missed null) of the reached pages: the links of all pages first, then the walk."""
+
+    def read_links() -> DataFrame:
+        markup = pages.select("page_id", "html").join(_taken(decisions), "page_id")
+        return extract.read_pages_job(spread(markup, partitions)).select("website", "url", "links")
+
+    edges = links.site_edges(links.harvest(stages.once("links", read_links)), sites, one_host)
+    reached = stages.once("reached", lambda: links.reachable(edges, sites, _taken(decisions)))
+    return reached.select("website", "url", F.lit(None).cast("string").alias("_missed"))
+
+
+def _follow_levels(stages: _Stages, decisions: DataFrame, sites: DataFrame, one_host: bool, read) -> DataFrame:
+    """Read the pages of one level after the other until budgets are spent or no page is new.
+
+    Out: (website, url, _missed): visited pages, and with ``budget`` the ones that
+    were found when their site's budget was spent.
+    """
+    spark, key = stages.spark, ["website", "url"]
+    limits = sites.filter(F.col("max_visits") > 0).select("website", "max_visits")
+    taken = _taken(decisions)
+    level = stages.once(
+        "level/depth=0", lambda: _taken(decisions.filter("is_start")).select("page_id", *key)
+    )
+    visited = lambda: spark.read.schema(level.schema).parquet(f"{stages.folder}/level")
+    over = None
+    depth = 0
+    while not level.isEmpty():
+        done, here = level, depth
+        articles = stages.once(f"read/depth={here}", lambda: read(done))
+        edges = links.site_edges(links.harvest(articles.select("website", "url", "links")), sites, one_host)
+        found = edges.select("website", F.col("to_url").alias("url")).distinct()
+        fresh = stages.once(
+            f"fresh/depth={here}", lambda: unseen(taken.join(found, key, "left_semi").select(*key), key, visited())
+        )
+        depth += 1
+        level = stages.once(
+            f"level/depth={depth}", lambda: links.spend(fresh, limits, visited()).join(taken, key).select("page_id", *key)
+        )
+        missed = fresh.join(level, key, "left_anti")
+        over = missed if over is None else over.unionByName(missed)
+    kept = visited().select(*key, F.lit(None).cast("string").alias("_missed"))
+    if over is None:
+        return kept
+    over = over.distinct().join(kept, key, "left_anti")
+    return kept.unionByName(over.select(*key, F.lit("budget").alias("_missed")))
 
 
 def run_ingest(
@@ -120,6 +175,7 @@ def run_ingest(
     one_host: bool = True,
     text_mode: str = "first_text",
     on_bad_date: str = "reject",
+    read_partitions: int | None = None,
 ) -> IngestResult:
     """Take pages, extract articles, append the new ones, keep every reject.
 
@@ -127,65 +183,65 @@ def run_ingest(
     ``website``. With ``follow_links`` only pages reachable from the start points
     are kept, the budget being spent breadth first (``one_host``: links to other
     hosts than the start point's are not followed); otherwise every page that
-    passes the filters is a candidate.
+    passes the filters is a candidate. ``read_partitions`` spreads markup over so
+    many partitions before it is read, for inputs with few splits; by default the
+    splits of the scan stay. A run that is repeated under its ``run_id`` must have
+    the same pages, sites and options.
     """
-    run_id = run_id or uuid.uuid4().hex
-    stages = _Stages(spark, run_id)
+    stages = _Stages(spark, run_id or uuid.uuid4().hex)
+    if run_id is not None:
+        stages.belong_to(
+            pages, sites, follow_links=follow_links, one_host=one_host, text_mode=text_mode, on_bad_date=on_bad_date
+        )
+    run_id = run_id or stages.folder.rsplit("newsloom-run-", 1)[1]
     replay = stages.done("outcome")
+    limited = not sites.filter(F.col("max_visits") > 0).isEmpty()
+    layouts = date_layouts(sites)
 
     checked = stages.once(
-        "checked", lambda: frontier.check(assign_sites(pages.drop("html"), sites))
+        "checked",
+        lambda: frontier.check(assign_sites(pages.drop("html"), sites), enter_start=follow_links),
     )
-
-    def decide() -> DataFrame:
-        decided = frontier.decide(checked, article_store.read())
-        if not follow_links:
-            return decided
-        # start points are entered whatever the filters say
-        entered = F.col("_start").isNotNull() & (F.col("reason") != "seen")
-        return (
-            decided.join(_start_pages(sites), ["website", "canonical_url"], "left")
-            .withColumn("reason", F.when(~F.coalesce(entered, F.lit(False)), F.col("reason")))
-            .withColumn("accepted", F.col("reason").isNull())
-            .drop("_start")
-        )
-
-    decisions = stages.once("decided", decide)
-    if not follow_links and not sites.filter(F.col("max_visits") > 0).isEmpty():
+    decisions = stages.once("decided", lambda: frontier.decide(checked, article_store.read()))
+    if limited and not follow_links:
         decided = decisions
         decisions = stages.once("budgeted", lambda: frontier.apply_budget(decided))
 
-    def read() -> DataFrame:
-        taken = decisions.filter("accepted").select(
-            "page_id", "website", F.col("canonical_url").alias("url")
-        )
+    def read(taken: DataFrame) -> DataFrame:
         # rules join the narrow side; page_id is unique, so this join has no hot key
         ruled = pages.select("page_id", "html").join(with_reading_rules(taken, sites), "page_id")
-        return read_articles(ruled, text_mode, on_bad_date, follow_links, sized_by=pages)
-
-    articles = stages.once("read", read)
+        return read_articles(ruled, text_mode, on_bad_date, follow_links and limited, read_partitions, layouts)
 
     if follow_links:
         found = decisions
+        if limited:
+            walked = _follow_levels(stages, found, sites, one_host, read)
+        else:
+            walked = _follow_all(stages, pages, found, sites, one_host, read_partitions)
 
         def keep_visited() -> DataFrame:
-            visited = _follow(articles, found, sites, one_host).select(
-                "website", F.col("url").alias("canonical_url"), F.lit(True).alias("_in")
-            )
-            missed = F.col("accepted") & F.col("_in").isNull()
+            known = walked.select("website", F.col("url").alias("canonical_url"), "_missed", F.lit(True).alias("_in"))
+            missed = F.when(F.col("_in").isNull(), "unreached").otherwise(F.col("_missed"))
             return (
-                found.join(visited, ["website", "canonical_url"], "left")
-                .withColumn("reason", F.when(missed, "unreached").otherwise(F.col("reason")))
+                found.join(known, ["website", "canonical_url"], "left")
+                .withColumn("reason", F.when(F.col("accepted"), missed).otherwise(F.col("reason")))
                 .withColumn("accepted", F.col("reason").isNull())
-                .drop("_in")
+                .drop("_in", "_missed")
             )
 
         decisions = stages.once("visited", keep_visited)
-        articles = articles.join(
-            decisions.filter("accepted").select("page_id", "website"),
-            ["page_id", "website"],
-            "left_semi",
+
+    if follow_links and limited:
+        columns = ["page_id", "website", "url", "title", "description", "content", "author", "date"]
+        columns += ["reason", "detail", "warnings"]
+        levels = f"{stages.folder}/read"
+        articles = (
+            spark.read.parquet(levels).select(*columns)
+            if path_exists(spark, levels)
+            else stages.once("read-none", lambda: read(_taken(decisions))).select(*columns)
         )
+    else:
+        articles = stages.once("read", lambda: read(_taken(decisions)))
 
     def outcome() -> DataFrame:
         good = articles.filter(F.col("reason").isNull())
@@ -212,7 +268,8 @@ def run_ingest(
     run_rejects = f"{rejects_path}/run_id={run_id}"
     rejects.write.mode("overwrite").parquet(run_rejects)
 
-    losers = result.filter(F.col("reason").isNotNull()).select("page_id", "website")
+    # only good articles can lose their URL to another: few rows, whatever was rejected
+    losers = result.filter(F.col("reason") == "duplicate_url").select("page_id", "website")
     new = articles.filter(F.col("reason").isNull()).join(losers, ["page_id", "website"], "left_anti")
     if replay:
         # an earlier attempt may have got as far as the store
@@ -225,4 +282,7 @@ def run_ingest(
             "stop_reason",
             F.when(F.col("n_accepted") == 0, "start_missing").otherwise(F.col("stop_reason")),
         )
-    return IngestResult(decisions, result, spark.read.parquet(run_rejects), report)
+    visited = None
+    if follow_links:
+        visited = spark.read.parquet(f"{stages.folder}/{'level' if limited else 'reached'}").select("website", "url", "depth")
+    return IngestResult(decisions, result, spark.read.parquet(run_rejects), report, visited)

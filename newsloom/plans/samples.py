@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import urls
 from newsloom.functions.dates import translate_layout
 from newsloom.functions.text import escape_markup, first_line, trim_field
-from newsloom.plans.ingest import spread_for_reading
+from newsloom.plans.ingest import spread
 
 DOC_SITES = 20
 DOC_DATE_FORMAT = "{DAY_NUM} {MONTH_LONG} {YEAR_LONG}"
@@ -28,6 +28,11 @@ DOC_SELECTORS = {
 PAGE_SELECTORS = {"title": "article h1", "content": "article", "date": "nav a"}
 
 
+def read_partitions(spark: SparkSession) -> int:
+    """The given tables are single files; markup made from them is read by all cores."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -96,9 +101,10 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Short documents have no date, documents with a bar have an impossible one.
     Documents of a site form a binary tree of links with links back to the
-    parent; German pages do not link to their children.
+    parent; German pages do not link to their children. Some pages end in markup that
+    is nested 2,000 deep, some in 600 paragraphs that each leave a tag open.
     """
-    docs = spread_for_reading(documents_of_sites(spark, sf_dir), key="doc_id")
+    docs = spread(documents_of_sites(spark, sf_dir), read_partitions(spark), "doc_id")
     title, lang = escape_markup(F.col("title")), F.col("lang")
     place = F.floor(F.col("doc_id") / DOC_SITES)
     member = F.col("doc_id") % DOC_SITES
@@ -138,11 +144,22 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<aside><p>Also <a href="/x">read</a><script>a()</script></aside>'),
         F.lit('<a href="../more?id='), number, F.lit('#top">more</a>'), bad_link,
         F.lit('</div><img class="thumbnail" src="/img/'), number,
-        F.lit('.png"></article></body></html>'),
+        F.lit('.png"></article>'), odd_end(F.col("doc_id")), F.lit("</body></html>"),
     )
     return docs.select(F.col("doc_id").alias("page_id"), "website", "url", html.alias("html"))
 
 
+def odd_end(number: Column) -> Column:
+    fonts = F.transform(
+        F.sequence(F.lit(1), F.lit(600)), lambda i: F.concat(F.lit('<p><font color="c'), i.cast("string"), F.lit('">x'))
+    )
+    return (
+        F.when(number % 50 == 7, F.repeat(F.lit("<div>"), F.lit(2000)))
+        .when(number % 50 == 19, F.array_join(fonts, ""))
+        .otherwise("")
+    )
+
+
 def doc_sites(spark: SparkSession, sf_dir: str, max_visits: int = 0) -> DataFrame:
     """One site per document source, rules as in a configuration file."""
     layout = translate_layout(DOC_DATE_FORMAT)

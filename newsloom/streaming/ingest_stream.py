@@ -7,6 +7,8 @@ replayed micro-batch finds its own stages and appends nothing twice.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.plans.ingest import run_ingest
@@ -25,14 +27,20 @@ def ingest_landing(
     max_files_per_trigger: int | None = None,
     **options,
 ) -> None:
-    """Ingest everything that has landed since the last call, then stop."""
+    """Ingest everything that has landed since the last call, then stop.
+
+    The stages of a batch carry the id of the streaming query, which lives in the
+    checkpoint: a new checkpoint never meets the stages of an old one.
+    """
     limits = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else {}
     pages = stream_pages(spark, landing, schema, **limits)
 
+    started, query_id = threading.Event(), []
+
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        run_ingest(
-            spark, batch, sites, article_store, rejects_path, run_id=f"{name}-{batch_id}", **options
-        )
+        started.wait()
+        run_id = f"{name}-{query_id[0]}-{batch_id}"
+        run_ingest(spark, batch, sites, article_store, rejects_path, run_id=run_id, **options)
 
     query = (
         pages.writeStream.foreachBatch(one_batch)
@@ -40,4 +48,6 @@ def ingest_landing(
         .trigger(availableNow=True)
         .start()
     )
+    query_id.append(query.id)
+    started.set()
     query.awaitTermination()

@@ -1,10 +1,12 @@
 import datetime
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import extract, links
 from newsloom.plans.ingest import run_ingest
+from newsloom.scratch import scratch_root
 from newsloom.sources.articles import ParquetStore
 from newsloom.sources.config import Site, sites_table
 from newsloom.sources.pages import assign_sites, read_pages
@@ -158,7 +160,7 @@ def test_unsupported_schemes_are_named(spark, tmp_path):
     rows = pages(spark, [(1, "ftp://acme.tld/news/1", page("f"))]).withColumn("website", F.lit("acme"))
     run = run_ingest(spark, rows, sites_table(spark, SITES), articles, rejects)
     (told,) = run.rejects.collect()
-    assert (told.reason, told.detail, told.kind) == ("bad_scheme", "ftp", "error")
+    assert (told.reason, told.detail, told.kind) == ("bad_scheme", "ftp", "link")
 
 
 def test_pages_without_an_id_get_a_stable_one(spark, tmp_path):
@@ -208,3 +210,60 @@ def test_reachability_against_brute_force(spark, budget):
             seen |= set(level)
             depth += 1
     assert {tuple(r) for r in got.select("website", "url", "depth").collect()} == wanted
+
+
+def test_only_visited_pages_are_read_and_counted(spark, tmp_path):
+    wide = [(i, f"http://zeta.tld/{n}", page(f"p{n}", *(str(3 * n + k) for k in (1, 2, 3)))) for i, n in enumerate(range(40), 100)]
+    starts = [(i, "http://zeta.tld/start", page("z0", "1", "2", "3", "4", "5")) for i in (1, 2, 3)]
+    sites = sites_table(spark, [Site("zeta", "http://zeta.tld/start", SELECTORS, LAYOUT, max_visits=4, exclude="start")])
+    articles, run_id = ParquetStore(spark, str(tmp_path / "a")), f"levels-{tmp_path.name}-{datetime.datetime.now().timestamp()}"
+    run = run_ingest(spark, pages(spark, starts + wide), sites, articles, str(tmp_path / "r"), run_id=run_id, follow_links=True)
+    read = spark.read.parquet(f"{scratch_root(spark)}/newsloom-run-{run_id}/read")
+    assert read.count() == 4 and len(stored(articles)) == 4
+    report = run.report.first()
+    assert (report.n_accepted, report.n_saved, report.stop_reason) == (4, 4, "budget")
+    told = run.rejects.collect()
+    assert {r.kind for r in told} == {"filter"} and sum(r.reason == "seen" for r in told) == 2
+    reasons = Counter(r.reason for r in told)
+    assert reasons["budget"] >= 2, "the start links to five pages, three of them fit"
+    assert reasons["budget"] + reasons["unreached"] == 37
+    again = run_ingest(spark, pages(spark, starts + wide), sites, articles, str(tmp_path / "r"), run_id=run_id, follow_links=True)
+    assert sorted(again.rejects.collect()) == sorted(told) and len(stored(articles)) == 4
+
+
+def test_stages_of_another_run_are_refused(spark, tmp_path):
+    sites, articles, rejects = setting(spark, tmp_path)
+    run_id = f"mixed-{tmp_path.name}-{datetime.datetime.now().timestamp()}"
+    run_ingest(spark, pages(spark, PAGES[:3]), sites, articles, rejects, run_id=run_id)
+    for other in (dict(pages=pages(spark, PAGES[3:6])), dict(sites=sites.limit(1)), dict(on_bad_date="zero_date")):
+        given = {"pages": pages(spark, PAGES[:3]), "sites": sites, **other}
+        with pytest.raises(ValueError, match="another|other pages"):
+            run_ingest(spark, given.pop("pages"), given.pop("sites"), articles, rejects, run_id=run_id, **given)
+
+
+def test_a_new_checkpoint_meets_no_old_stages(spark, tmp_path):
+    sites, name = sites_table(spark, SITES), f"again-{tmp_path.name}-{datetime.datetime.now().timestamp()}"
+    for n, rows in enumerate((PAGES[1:2], PAGES[10:11])):
+        landing, articles = str(tmp_path / f"l{n}"), ParquetStore(spark, str(tmp_path / f"s{n}"))
+        pages(spark, rows).write.parquet(landing)
+        ingest_landing(spark, landing, sites, articles, str(tmp_path / f"r{n}"), str(tmp_path / f"c{n}"), name=name)
+        assert {u for _, u in stored(articles)} == {rows[0][1]}
+
+
+def test_a_site_of_which_nothing_can_be_read_has_failed(spark, tmp_path):
+    _, articles, rejects = setting(spark, tmp_path)
+    sites = sites_table(spark, SITES).withColumn(
+        "sel", F.col("sel").withField("content", F.when(F.col("website") == "zeta", "p:hover").otherwise(F.col("sel.content")))
+    )
+    run = run_ingest(spark, pages(spark), sites, articles, rejects)
+    report = {r.website: r for r in run.report.collect()}
+    assert report["zeta"].stop_reason == "failed" and report["acme"].stop_reason == "exhausted"
+    assert {r.kind for r in run.rejects.filter("website = 'zeta' AND reason = 'parse_error'").collect()} == {"parse"}
+
+
+def test_pages_without_url_are_told_about(spark, tmp_path):
+    sites, articles, rejects = setting(spark, tmp_path)
+    rows = pages(spark, [(1, None, page("x"))]).withColumn("website", F.lit("acme"))
+    run = run_ingest(spark, rows, sites, articles, rejects)
+    (told,) = run.rejects.collect()
+    assert (told.kind, told.reason, told.page_url) == ("link", "bad_scheme", None)

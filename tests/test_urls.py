@@ -123,3 +123,25 @@ def test_scheme_host_and_link(spark):
         ("no scheme", "", "", "://", False),
         ("http://a b/c", "http", "a b", "http://a b", True),
     ]
+
+
+LINK_CASES = [
+    "a", "/a", "../a/./b/..", "?q=1", "#f", "", ".", "//h.tld/x/../y", "HTTP://h.tld", "mailto:x@y", "javascript:f()",
+    " a ", "\t/a\n", "a b", "/a b", "/%zz", "x%2", "?q=%zz", "#%zz", ":x", "a\x01b", "é/ü?ö", "//é.tld/../a", "/..a/.b", "a:b/c",
+    "http://h.tld/a/../../b", "http:a", "/a//b/../c", "x/%41", "/\x7f",
+]
+
+
+def test_both_link_resolvers_follow_one_rule(spark):
+    from newsloom.functions.page_links import resolve_link
+    from newsloom.functions import urls
+
+    bases = ["http://acme.tld/x/y?z#f", "https://acme.tld", "http://é.tld/a/"]
+    rows = spark.createDataFrame([(b, r) for b in bases for r in LINK_CASES], "base string, ref string")
+    resolved = urls.resolve(urls.base_parts(F.col("base")), urls.trimmed(F.col("ref")))
+    for row in rows.select("base", "ref", resolved.alias("got")).collect():
+        try:
+            expected = resolve_link(row.base, row.ref)
+        except ValueError:
+            expected = None
+        assert row.got == expected, (row.base, row.ref)
