@@ -10,7 +10,8 @@ maximal exact repeats.
 Documents are held in units, and units exchange sorted, difference-coded hashes
 with buckets (see ``units``): a probe costs two to three bytes, an answer less, and
 a passage that occurs in every document costs a unit one entry. The texts are
-shuffled once, into a bucketed table that all three passes read in place.
+shuffled once, into a bucketed table that all three passes read in place. A task
+holds one unit at a time.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ WINDOW = 20
 BLOCK = 10
 #: Bits of a block's hash beside those of its bucket. More hits than there are only cost time.
 BLOCK_BITS = 29
-UNIT_BYTES = 8 << 20
+UNIT_BYTES = 2 << 20
+#: Text in a bucket of the stored table, which holds some units, and the fewest and most buckets.
+STORED_BYTES = 16 << 20
+LEAST_STORED, MOST_STORED = 64, 50_000
 
 NO_ID = np.int64(2**63 - 1)
 PROBE, RUN, HIT_BLOCKS, FIRST_RUNS = 0, 1, 2, 3
@@ -290,12 +294,13 @@ def spans_of(gone: np.ndarray, first: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(places, pa.int32()), pairs)
 
 
-def bucketed(docs: DataFrame, units: int) -> DataFrame:
-    """(unit, doc_id, text) as a table with a bucket for each unit, or a few."""
+def bucketed(docs: DataFrame, units: int, size: int) -> DataFrame:
+    """(unit, doc_id, text) as a table in buckets of whole units; ``size`` is that of all texts."""
     spark = docs.sparkSession
+    buckets = min(MOST_STORED, max(LEAST_STORED, -(-size // STORED_BYTES)))
     name = f"newsloom_units_{uuid.uuid4().hex}"
     rows = docs.select(U.unit_of(F.col("doc_id"), units).alias("unit"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    writer = rows.repartition(units, "unit").write.bucketBy(units, "unit").option("compression", "zstd")
+    writer = rows.repartition(buckets, "unit").write.bucketBy(buckets, "unit").option("compression", "zstd")
     writer.option("path", scratch_path(spark, "units")).format("parquet").saveAsTable(name)
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay
@@ -316,7 +321,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     units = max(U.LEAST, -(-size // UNIT_BYTES))
     _, buckets = U.plan_sizes(docs)
-    texts = bucketed(docs, units)
+    texts = bucketed(docs, units, size)
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
         return rows_to_table(probe_messages(read_unit(table), key[0].as_py(), buckets), MESSAGE_SCHEMA)

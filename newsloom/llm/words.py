@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once, unless a single text is longer.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Byte classes. Words of white-space texts: anything but blank, tab, line feed, vertical tab, form feed, return.
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
