@@ -169,16 +169,15 @@ def near_intervals(boxes: DataFrame, dimension: int, cosine: float) -> DataFrame
     while levels[-1].count() > FAN:
         levels.append(materialize(parents(levels[-1], dimension), "boxes"))
     limit = 2 - 2 * cosine + SLACK
-    pairs = None
+    # At the top there are FAN boxes at most, numbered from 0.
+    top = levels[-1].select(F.col("id").alias("a"))
+    pairs = top.withColumn("b", F.explode(F.sequence("a", F.lit(max(levels[-1].count() - 1, 0)).cast("long"))))
     for depth, level in enumerate(reversed(levels)):
-        one = level.withColumn("up", F.floor(F.col("id") / FAN) if depth else F.lit(0).cast("long"))
-        left = one.select(F.col("id").alias("a"), F.col("box").alias("box_a"), F.col("up").alias("up_a"))
-        right = one.select(F.col("id").alias("b"), F.col("box").alias("box_b"), F.col("up").alias("up_b"))
-        if pairs is None:
-            joined = left.join(right, left["up_a"] == right["up_b"])
-        else:
-            above = pairs.select(F.col("a").alias("up_a"), F.col("b").alias("up_b"))
-            joined = above.join(left, "up_a").join(right, "up_b")
+        up = F.floor(F.col("id") / FAN).cast("long") if depth else F.col("id")
+        left = level.select(F.col("id").alias("a"), F.col("box").alias("box_a"), up.alias("up_a"))
+        right = level.select(F.col("id").alias("b"), F.col("box").alias("box_b"), up.alias("up_b"))
+        above = pairs.select(F.col("a").alias("up_a"), F.col("b").alias("up_b"))
+        joined = above.join(left, "up_a").join(right, "up_b")
         close = joined.filter((F.col("a") <= F.col("b")) & (box_distance(F.col("box_a"), F.col("box_b"), dimension) <= limit))
         pairs = materialize(close.select("a", "b"), "interval-pairs")
     return pairs
