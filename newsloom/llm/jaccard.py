@@ -38,7 +38,7 @@ TOLERANCE = 1e-6
 #: Texts in a chunk of a bucket.
 CHUNK = 512
 #: Pairs and n-gram columns that are held at once.
-PAIRS_AT_ONCE = 100_000
+PAIRS_AT_ONCE = 50_000
 COLUMNS_AT_ONCE = 1 << 15
 
 
@@ -191,6 +191,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], max_rows: i
             held = table.slice(last).combine_chunks().to_batches()
     if held:
         yield pa.Table.from_batches(held)
+    pa.default_memory_pool().release_unused()
 
 
 def group_numbers(table: pa.Table, keys: list[str]) -> np.ndarray:
@@ -222,7 +223,7 @@ def surviving_members(threshold: float) -> Callable:
     """Rows of tiles that have a candidate pair."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, TILE, 20_000):
+        for table in whole_groups(batches, TILE, 8_000):
             _, a, b = tile_pairs(table, threshold)
             keep = np.zeros(table.num_rows, bool)
             keep[a] = keep[b] = True

@@ -13,6 +13,7 @@ the pieces of a length and looks their places up.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,8 +35,12 @@ END_ID = 1
 #: Rounds of weights for one linear program, and the step by which a covered length loses weight.
 ROUNDS = 96
 STEP = 0.5
+#: A character of no language, which is put between words that are encoded together.
+SEPARATOR = "\ue000"
+#: Words that go to the tokenizer in one call; its own results take many times the room of the ids.
+WORDS_AT_ONCE = 2048
 #: Words whose ids a worker remembers.
-REMEMBERED_WORDS = 700_000
+REMEMBERED_WORDS = 300_000
 
 
 # --- the plan: histogram to configurations -----------------------------------
@@ -168,6 +173,7 @@ def best_fit(histogram: np.ndarray, capacity: int) -> Iterator[tuple[np.ndarray,
 
 @cache
 def tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and threads keep memory
     from tokenizers import Tokenizer
 
     loaded = Tokenizer.from_file(path)
@@ -195,6 +201,27 @@ class WordIds:
         self.known: dict[str, int] = {}
         self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has.
+
+        The words are encoded as one text with a separator between them, which is
+        quicker than one by one; where the separator's ids also occur elsewhere, one by one.
+        """
+        encode = tokenizer(self.path).encode_batch_fast
+        apart, joined = encode([SEPARATOR, f" {SEPARATOR} ".join(words)], add_special_tokens=False)
+        apart, ids = np.array(apart.ids, np.uint32), np.array(joined.ids, np.uint32)
+        last = max(0, len(ids) - len(apart) + 1)
+        found = np.flatnonzero(np.all([ids[k : last + k] == x for k, x in enumerate(apart)], axis=0))
+        if len(found) != len(words) - 1:
+            coded = [c.ids for c in encode(words, add_special_tokens=False)]
+            return np.array([*chain.from_iterable(coded)], np.uint32), np.array([*map(len, coded)], np.int64)
+        begins = np.concatenate([[0], found + len(apart)])
+        ends = np.concatenate([found, [len(ids)]])
+        kept = np.ones(len(ids), bool)
+        for k in range(len(apart)):
+            kept[found + k] = False
+        return ids[kept], ends - begins
+
     def places(self, words: list[str]) -> np.ndarray:
         """Where ``begin`` and ``size`` hold the ids of each of the distinct ``words``."""
         unseen = [w for w in words if w not in self.known]
@@ -204,9 +231,8 @@ class WordIds:
         plain = [w.lower() if w.isascii() else w for w in unseen]
         new = list(dict.fromkeys(w for w in plain if w not in self.known))
         if new:
-            coded = [c.ids for c in tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False)]
-            size = np.fromiter(map(len, coded), np.int64, len(coded))
-            ids = np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum()))
+            parts = [self.encode(new[at : at + WORDS_AT_ONCE]) for at in range(0, len(new), WORDS_AT_ONCE)]
+            ids, size = (np.concatenate(x) for x in zip(*parts, strict=True))
             self.known.update(zip(new, range(len(self.size), len(self.size) + len(new)), strict=True))
             self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
@@ -252,7 +278,7 @@ def token_pieces(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_words(tokenizer_path)
-        for rows in slices(batches, "text", 6 << 20):
+        for rows in slices(batches, "text", 3 << 20):
             ids, at = words.of_texts(rows.column("text"))
             per = -(-np.diff(at) // capacity)
             doc = np.repeat(np.arange(len(per)), per)

@@ -64,7 +64,10 @@ def find_words(texts: pa.Array, separators: np.ndarray = BLANK, lower: bool = Fa
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in pieces of at most ``max_bytes`` of text, one row at least."""
+    """The rows of ``batches`` in pieces of at most ``max_bytes`` of text, one row at least.
+
+    At the end Arrow gives back what it keeps for later: workers live on between tasks.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -75,6 +78,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLIC
             end = min(end, batch.num_rows)
             yield batch.slice(begin, end - begin)
             begin = end
+    pa.default_memory_pool().release_unused()
 
 
 @cache

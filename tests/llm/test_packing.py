@@ -24,7 +24,7 @@ def plain_ids(path, text):
     return [*tokenizer(path).encode(text or "", add_special_tokens=False).ids, 1]
 
 
-ODD = "aTKé̈́İẞσΣ'sS.,!&|≠ \t\n\x0b\x85\xa0 漢😀٣1<|endoftext|>~`"
+ODD = "\ue000\uf8ffaTKé̈́İẞσΣ'sS.,!&|≠ \t\n\x0b\x85\xa0 漢😀٣1<|endoftext|>~`"
 
 
 @settings(max_examples=400, deadline=None)
