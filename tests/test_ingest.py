@@ -1,4 +1,7 @@
+import contextlib
 import datetime
+import io
+import re
 from collections import Counter
 
 import pytest
@@ -267,3 +270,17 @@ def test_pages_without_url_are_told_about(spark, tmp_path):
     run = run_ingest(spark, rows, sites, articles, rejects)
     (told,) = run.rejects.collect()
     assert (told.kind, told.reason, told.page_url) == ("link", "bad_scheme", None)
+
+
+def test_contents_are_not_shuffled_after_reading(spark, tmp_path):
+    class Watched(ParquetStore):
+        def append(self, articles):
+            with contextlib.redirect_stdout(io.StringIO()) as out:
+                articles.explain("formatted")
+            self.plan = out.getvalue()
+            super().append(articles)
+
+    sites, articles = sites_table(spark, SITES), Watched(spark, str(tmp_path / "a"))
+    run_ingest(spark, pages(spark), sites, articles, str(tmp_path / "r"), follow_links=True)
+    exchanges = [block for block in articles.plan.split("\n\n") if re.search(r"\) (Shuffle)?Exchange\b", block)]
+    assert stored(articles) and not any("content" in block for block in exchanges)
