@@ -179,14 +179,6 @@ def messages(kind: int, keys: np.ndarray, counts: np.ndarray, unit: int, buckets
         yield kind, bucket, unit, U.pack_sorted(rest[part]), U.pack_numbers(counts[part])
 
 
-def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys with their counts added up."""
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return distinct, np.bincount(place, np.concatenate(counts).astype(float), len(distinct)).astype(np.uint64)
-
-
 def answer_bucket(table: pa.Table, buckets: int, segment_bytes: int) -> Iterator[tuple]:
     """Counts of the words of each unit, totals of the bucket, and the bits of its n-grams."""
     kinds, unit_ids = (table.column(c).to_numpy() for c in ("kind", "unit"))
@@ -194,12 +186,12 @@ def answer_bucket(table: pa.Table, buckets: int, segment_bytes: int) -> Iterator
     packed = list(zip(U.binary(table.column("keys")), U.binary(table.column("counts")), strict=True))
     rest = {k: [U.unpack_sorted(packed[i][0]) for i in np.flatnonzero(kinds == k)] for k in (WORD, NGRAM)}
     seen = {k: [U.unpack_numbers(packed[i][1]) for i in np.flatnonzero(kinds == k)] for k in (WORD, NGRAM)}
-    keys, counts = summed(rest[WORD], seen[WORD])
+    keys, counts = U.summed(rest[WORD], seen[WORD])
     yield TOTAL, bucket, -1, b"", U.pack_numbers(np.array([counts.sum(), (counts > 0).sum()], np.uint64))
     for unit, own in zip(unit_ids[kinds == WORD].tolist(), rest[WORD], strict=True):
         found = counts[np.searchsorted(keys, own)]
         yield WORD, bucket, unit, U.pack_sorted(own), U.pack_numbers(found)
-    keys, counts = summed(rest[NGRAM], seen[NGRAM])
+    keys, counts = U.summed(rest[NGRAM], seen[NGRAM])
     keys = U.whole_keys(keys, bucket, buckets)[counts >= LEAST_COUNT]
     counts = counts[counts >= LEAST_COUNT]
     segment = segment_of(keys)
@@ -210,11 +202,6 @@ def answer_bucket(table: pa.Table, buckets: int, segment_bytes: int) -> Iterator
         yield BITS, bucket, s, fill(keys[part], counts[part], segment_bytes).tobytes(), b""
 
 
-def rows_to_table(rows: Iterator[tuple], schema: pa.Schema) -> pa.Table:
-    columns = list(zip(*rows)) or [[] for _ in schema]
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
 MESSAGE_SCHEMA = pa.schema(
     [("kind", pa.int32()), ("bucket", pa.int32()), ("unit", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
 )
@@ -242,10 +229,10 @@ def learn(docs: DataFrame, order: int = 2, filter_bytes: int = FILTER_BYTES, key
     text = docs.select(U.unit_of(F.col(key), units).alias("unit"), held_out(F.col(key)).alias("held_out"), "text")
 
     def ask(key_: tuple, table: pa.Table) -> pa.Table:
-        return rows_to_table(unit_messages(table, key_[0].as_py(), buckets, order), MESSAGE_SCHEMA)
+        return U.rows_to_table(unit_messages(table, key_[0].as_py(), buckets, order), MESSAGE_SCHEMA)
 
     def answer(table: pa.Table) -> pa.Table:
-        return rows_to_table(answer_bucket(table, buckets, segment_bytes), MESSAGE_SCHEMA)
+        return U.rows_to_table(answer_bucket(table, buckets, segment_bytes), MESSAGE_SCHEMA)
 
     def either(table: pa.Table) -> pa.Table:
         bits = np.zeros(segment_bytes, np.uint8)

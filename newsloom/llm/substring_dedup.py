@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import units as U
-from newsloom.llm.lm import rows_to_table, summed
 from newsloom.llm.words import Words, find_words, mix, slices, span_hashes, word_hashes
 from newsloom.scratch import materialize, scratch_path
 
@@ -124,7 +123,7 @@ def answer_probes(table: pa.Table) -> Iterator[tuple]:
     bucket = int(table.column("bucket")[0].as_py())
     rest = [U.unpack_sorted(x) for x in U.binary(table.column("keys"))]
     flags = [U.unpack_numbers(x) for x in U.binary(table.column("extra"))]
-    keys, places = summed(rest, [1 + (f >> np.uint64(1)) for f in flags])
+    keys, places = U.summed(rest, [1 + (f >> np.uint64(1)) for f in flags])
     for unit, own, f in zip(table.column("unit").to_pylist(), rest, flags, strict=True):
         blocks = own[(f & np.uint64(1)) > 0]
         hit = blocks[places[np.searchsorted(keys, blocks)] > 1]
@@ -324,19 +323,19 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     texts = bucketed(docs, units, size)
 
     def probe(key: tuple, table: pa.Table) -> pa.Table:
-        return rows_to_table(probe_messages(read_unit(table), key[0].as_py(), buckets), MESSAGE_SCHEMA)
+        return U.rows_to_table(probe_messages(read_unit(table), key[0].as_py(), buckets), MESSAGE_SCHEMA)
 
     def to_probes(table: pa.Table) -> pa.Table:
-        return rows_to_table(answer_probes(table), MESSAGE_SCHEMA)
+        return U.rows_to_table(answer_probes(table), MESSAGE_SCHEMA)
 
     def extend(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows or not answers.num_rows:
             return MESSAGE_SCHEMA.empty_table()
         unit = read_unit(table)
-        return rows_to_table(run_messages(unit, key[0].as_py(), hit_blocks(answers, buckets), buckets), MESSAGE_SCHEMA)
+        return U.rows_to_table(run_messages(unit, key[0].as_py(), hit_blocks(answers, buckets), buckets), MESSAGE_SCHEMA)
 
     def to_runs(table: pa.Table) -> pa.Table:
-        return rows_to_table(answer_runs(table), MESSAGE_SCHEMA)
+        return U.rows_to_table(answer_runs(table), MESSAGE_SCHEMA)
 
     def remove(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         unit = read_unit(table)
