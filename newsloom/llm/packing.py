@@ -18,7 +18,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ SEPARATOR = "\ue000"
 #: Words that go to the tokenizer in one call; its own results take many times the room of the ids.
 WORDS_AT_ONCE = 2048
 #: Words whose ids a worker remembers.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 600_000
 
 
 # --- the plan: histogram to configurations -----------------------------------
@@ -181,6 +181,12 @@ def tokenizer(path: str):
     return loaded
 
 
+def spread_out(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ..., begin + size - 1 of every span in a row."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum()), dtype=np.int32) + np.repeat((begins - before).astype(np.int32), sizes)
+
+
 class WordIds:
     """Ids of texts through those of their words, which are remembered up to a bound.
 
@@ -224,7 +230,10 @@ class WordIds:
 
     def places(self, words: list[str]) -> np.ndarray:
         """Where ``begin`` and ``size`` hold the ids of each of the distinct ``words``."""
-        unseen = [w for w in words if w not in self.known]
+        at = np.array([*map(self.known.get, words, repeat(-1))], np.int64)
+        unseen = [words[i] for i in np.flatnonzero(at < 0).tolist()]
+        if not unseen:
+            return at
         if len(self.known) + 2 * len(unseen) > REMEMBERED_WORDS:
             self.forget()
             unseen = words
@@ -237,25 +246,28 @@ class WordIds:
             self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
             self.flat = np.concatenate([self.flat, ids])
-        self.known.update(zip(unseen, map(self.known.__getitem__, plain), strict=True))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        found = [self.known[w] for w in plain]
+        self.known.update(zip(unseen, found, strict=True))
+        if len(unseen) == len(words):
+            return np.array(found, np.int64)
+        at[at < 0] = found
+        return at
 
     def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, ``END_ID`` after each text, and where each text begins (n + 1 places)."""
         plain = texts.cast(pa.large_string()).fill_null("")
         split = pc.ascii_split_whitespace(pc.replace_substring_regex(plain, self.MARKS, r"\1 \2"))
         coded = split.flatten().dictionary_encode()
-        known = self.places(coded.dictionary.to_pylist())[np.asarray(coded.indices, np.int64)]
+        places = self.places(coded.dictionary.to_pylist())
+        # The ids of the distinct words of these texts, and the end as one more word of one id.
+        size = np.append(self.size[places], 1)
+        own = np.cumsum(size) - size
+        flat = np.append(self.flat[spread_out(self.begin[places], size[:-1])], np.uint32(END_ID))
         in_text = np.asarray(split.value_lengths(), np.int64)
-        # One more "word" of one id ends each text.
-        place = np.arange(len(known)) + np.repeat(np.arange(len(texts)), in_text)
-        n = len(known) + len(texts)
-        size, begin = np.ones(n, np.int64), np.full(n, len(self.flat))
-        size[place], begin[place] = self.size[known], self.begin[known]
-        at = np.concatenate([[0], np.cumsum(size)])
-        source = np.arange(at[-1]) - np.repeat(at[:-1] - begin, size)
-        ids = np.concatenate([self.flat, np.array([END_ID], np.uint32)])[source]
-        return ids, at[np.concatenate([[0], np.cumsum(in_text + 1)])]
+        code = np.insert(np.asarray(coded.indices), np.cumsum(in_text), len(places))
+        size_at = size[code]
+        at = np.concatenate([[0], np.cumsum(size_at)])
+        return flat[spread_out(own[code], size_at)], at[np.concatenate([[0], np.cumsum(in_text + 1)])]
 
 
 @cache
@@ -278,7 +290,7 @@ def token_pieces(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_words(tokenizer_path)
-        for rows in slices(batches, "text", 3 << 20):
+        for rows in slices(batches, "text", 4 << 20):
             ids, at = words.of_texts(rows.column("text"))
             per = -(-np.diff(at) // capacity)
             doc = np.repeat(np.arange(len(per)), per)
