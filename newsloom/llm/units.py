@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text in a unit and in the texts that a bucket serves, on average.
-UNIT_BYTES = 6 << 20
+UNIT_BYTES = 3 << 20
 BUCKET_BYTES = 8 << 20
 #: Fewest units and buckets, so that small inputs are spread as well.
 LEAST = 64
