@@ -1,8 +1,8 @@
 """Near-duplicate lines by a deletion-neighbourhood join; DataFrame operations only.
 
-Lines are sequences of words, which single spaces separate. Two lines are near if one word inserted, deleted or
-replaced makes them equal, which shows in a common variant: a line without one of
-its words, or the line itself. Lines whose halves occur in no other line can't be
+Lines are sequences of words, which white space separates. Two lines are near if one
+word inserted, deleted or replaced makes them equal, which shows in a common
+variant: a line without one of its words, or the line itself. Lines whose halves occur in no other line can't be
 near any, so only the others emit their variants as hashed keys. Equal variants
 meet, the distance of a line and its earliest partner is verified on the words,
 and a line goes if an earlier one is equal or near.
@@ -14,6 +14,9 @@ frame that is a line itself is one line.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,9 @@ BROADCAST_KEYS = 500_000
 
 
 def line_words(line: Column) -> Column:
-    return F.split(line, " ")
+    """The runs of non-blank characters; the pattern is tried on lines with more than spaces only."""
+    others = reduce(or_, [F.contains(line, F.lit(c)) for c in "\t\x0b\f\r"])
+    return F.array_remove(F.when(others, F.split(line, r"[ \t\x0B\f\r]+")).otherwise(F.split(line, " ")), "")
 
 
 def if_few(keys: DataFrame) -> DataFrame:
