@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from newsloom.scratch import materialize
 
-#: Lines of fewer words are never removed: one word of them is too much.
+#: Lines of fewer words have no near lines, as one word of them is too much: only equal ones go.
 MIN_WORDS = 5
 #: Bytes, estimated from counts, up to which lists of lines by document are broadcast to meet the
 #: texts; beyond that the texts are shuffled.
@@ -57,16 +57,17 @@ def half_keys(ws: Column, n: Column) -> Column:
     return F.array(*keys)
 
 
-def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, line_no, h, g, halves): the lines that can be removed, by their hashes."""
+def lines_of(docs: DataFrame, min_words: int, least: int) -> DataFrame:
+    """(doc_id, line_no, h, g, halves): the lines that can be removed, by their hashes; those of
+    fewer than ``min_words`` words without halves."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.select("doc_id", "line_no", line_words(F.col("line")).alias("ws")).filter(F.size("ws") >= min_words)
+    lines = lines.select("doc_id", "line_no", line_words(F.col("line")).alias("ws")).filter(F.size("ws") >= least)
     return lines.select(
         "doc_id",
         "line_no",
         class_hash(F.col("ws")).alias("h"),
         F.xxhash64(F.lit("g"), "ws").alias("g"),
-        half_keys(F.col("ws"), F.size("ws")).alias("halves"),
+        F.when(F.size("ws") >= min_words, half_keys(F.col("ws"), F.size("ws"))).alias("halves"),
     )
 
 
@@ -164,9 +165,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return verified.select("place.doc_id", "place.line_no", "h")
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, least: int = 1) -> DataFrame:
     """(doc_id, line_no, h): the lines to remove."""
-    lines = materialize(lines_of(docs, min_words), "lines")
+    lines = materialize(lines_of(docs, min_words, least), "lines")
     firsts = materialize(first_lines(lines), "first-lines")
     near_ones = materialize(near_lines(docs, firsts), "near-lines")
     kept = firsts.select("first.doc_id", "first.line_no", "h")
@@ -176,17 +177,18 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return every.join(kept, same(every, kept), "left_anti")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, least: int = 1) -> DataFrame:
     """``docs`` with the column ``text`` rid of its repeated lines, and ``lines_removed`` added.
 
-    A line of at least ``min_words`` words goes if a line earlier in the order of
-    (doc_id, line number) has the same words or is one word off, whether that line
-    stays or not. Null texts stay null, texts without repeated lines are unchanged,
+    A line of at least ``least`` words goes if a line earlier in the order of
+    (doc_id, line number) has the same words, and one of at least ``min_words`` also
+    if such a line of at least ``min_words`` is one word off, whether that line
+    stays or not. Blank lines stay. Null texts stay null, texts without repeated lines are unchanged,
     and rows without doc_id come first. Rows that repeat a doc_id count as one
     document: equal lines at equal places of them are not repeats of each other.
     Other columns of ``docs`` pass through.
     """
-    dropped = materialize(repeated_lines(docs, min_words).distinct(), "dropped-lines")
+    dropped = materialize(repeated_lines(docs, min_words, least).distinct(), "dropped-lines")
     rows = with_line_lists(docs, dropped, "left")
     numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
     dropped_here = lambda x: F.exists(

@@ -91,7 +91,8 @@ FROM marked GROUP BY doc_id"""
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
     lines = F.size(F.split(F.coalesce("before", F.lit("")), "\n")).cast("long")
-    return line_dedup.dedup_lines(docs).select(
+    # The SQL above leaves all shorter lines, repeats too.
+    return line_dedup.dedup_lines(docs, least=line_dedup.MIN_WORDS).select(
         "doc_id",
         lines.alias("n_lines"),
         F.col("lines_removed").cast("long").alias("n_removed"),
