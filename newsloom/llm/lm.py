@@ -2,10 +2,12 @@
 
 Counts are quantised on a log scale; an n-gram of level q is a member q times, as
 (n-gram, 1) to (n-gram, q), so its count is read back by probing level after level
-until one is missing. The filter has a fixed size, is built in segments by the
-tasks that count, and is broadcast to the workers. Errors are one-sided: an n-gram
-is never taken for rarer than its level, and with the filter's false-positive rate
-for one level more frequent.
+until one is missing. The filter is built in segments by the tasks that count, and
+is broadcast to the workers. Errors are one-sided: an n-gram is never taken for
+rarer than its level, and with the filter's false-positive rate for one level more
+frequent. The members are counted first: where a filter within the bound of what is
+broadcast would exceed ``FALSE_POSITIVES``, units use the levels themselves, which
+the buckets answer for the n-grams of each unit.
 
 Unigram counts are exact. Units of documents ask the buckets for the counts of
 their distinct words, which answer each unit with one message.
@@ -18,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +29,9 @@ from newsloom.llm.words import LOWER, find_words, mix, slices, text_bytes, word_
 from newsloom.scratch import materialize
 
 FOLDS, HELD_OUT = 7, 2
-#: Bytes of the filter, whatever the corpus; the bound of what is broadcast.
+#: Bytes of the filter, the bound of what is broadcast, and the false positives of one level that it may have.
 FILTER_BYTES = 32 << 20
+FALSE_POSITIVES = 0.01
 SEGMENTS = 1024
 PROBES = 3
 #: n-grams seen less often are not members, and each level stands for counts twice as high.
@@ -119,6 +123,11 @@ def fill(keys: np.ndarray, counts: np.ndarray, segment_bytes: int) -> np.ndarray
     return np.packbits(bits, bitorder="little")
 
 
+def false_positives(members: int, bits: int) -> float:
+    """Rate at which a filter of ``bits`` with so many members takes another key for one."""
+    return float(-np.expm1(-PROBES * members / bits)) ** PROBES
+
+
 @dataclass
 class Filter:
     """The filter: one row of bytes for each segment."""
@@ -150,10 +159,11 @@ MESSAGE = "kind int, bucket int, unit int, keys binary, counts binary"
 
 
 def unit_messages(table: pa.Table, unit: int, buckets: int, order: int) -> Iterator[tuple]:
-    """A unit's distinct words with their counts in the training rows, and its training n-grams."""
+    """A unit's distinct words and n-grams with their counts in the training rows."""
     words: list[np.ndarray] = []
     weights: list[np.ndarray] = []
     grams: list[np.ndarray] = []
+    gram_weights: list[np.ndarray] = []
     for rows in slices(iter(table.to_batches()), "text"):
         tokens = tokens_of(rows.column("text"))
         learned = ~np.asarray(rows.column("held_out").to_numpy(zero_copy_only=False), bool)
@@ -161,14 +171,14 @@ def unit_messages(table: pa.Table, unit: int, buckets: int, order: int) -> Itera
         real = ~tokens.is_start
         words.append(tokens.values[real])
         weights.append(weight[real])
-        grams += [k[real & weight] for k in ngram_keys(tokens, order)]
-    if not words:
-        return
-    keys, place = np.unique(np.concatenate(words), return_inverse=True)
-    counts = np.bincount(place, np.concatenate(weights), len(keys)).astype(np.uint64)
-    yield from messages(WORD, keys, counts, unit, buckets)
-    keys, counts = np.unique(np.concatenate(grams), return_counts=True)
-    yield from messages(NGRAM, keys, counts.astype(np.uint64), unit, buckets)
+        for k in ngram_keys(tokens, order):
+            grams.append(k[real])
+            gram_weights.append(weight[real])
+    for kind, own, seen in ((WORD, words, weights), (NGRAM, grams, gram_weights)):
+        if own:
+            keys, place = np.unique(np.concatenate(own), return_inverse=True)
+            counts = np.bincount(place, np.concatenate(seen), len(keys)).astype(np.uint64)
+            yield from messages(kind, keys, counts, unit, buckets)
 
 
 def messages(kind: int, keys: np.ndarray, counts: np.ndarray, unit: int, buckets: int) -> Iterator[tuple]:
@@ -180,26 +190,37 @@ def messages(kind: int, keys: np.ndarray, counts: np.ndarray, unit: int, buckets
 
 
 def answer_bucket(table: pa.Table, buckets: int, segment_bytes: int) -> Iterator[tuple]:
-    """Counts of the words of each unit, totals of the bucket, and the bits of its n-grams."""
+    """Counts of the words and levels of the n-grams of each unit, totals of the bucket, and the bits of its n-grams.
+
+    Levels come in the order in which the unit asked. A bucket whose share of the members is
+    too many for the filter leaves its bits out.
+    """
     kinds, unit_ids = (table.column(c).to_numpy() for c in ("kind", "unit"))
     bucket = int(table.column("bucket")[0].as_py())
     packed = list(zip(U.binary(table.column("keys")), U.binary(table.column("counts")), strict=True))
     rest = {k: [U.unpack_sorted(packed[i][0]) for i in np.flatnonzero(kinds == k)] for k in (WORD, NGRAM)}
     seen = {k: [U.unpack_numbers(packed[i][1]) for i in np.flatnonzero(kinds == k)] for k in (WORD, NGRAM)}
+    keys, counts = U.summed(rest[NGRAM], seen[NGRAM])
+    level = levels(counts)
+    members = int(level.sum())
+    bits = SEGMENTS * segment_bytes * 8
+    fits = false_positives(members * buckets, bits) <= 2 * FALSE_POSITIVES
+    for unit, own in zip(unit_ids[kinds == NGRAM].tolist(), rest[NGRAM], strict=True):
+        yield NGRAM, bucket, unit, b"", level[np.searchsorted(keys, own)].astype(np.uint8).tobytes()
+    if fits:
+        learned = level > 0
+        whole, counts = U.whole_keys(keys[learned], bucket, buckets), counts[learned]
+        segment = segment_of(whole)
+        order = np.argsort(segment, kind="stable")
+        whole, counts, segment = whole[order], counts[order], segment[order]
+        for s in np.unique(segment).tolist():
+            part = slice(*np.searchsorted(segment, [s, s + 1]))
+            yield BITS, bucket, s, fill(whole[part], counts[part], segment_bytes).tobytes(), b""
     keys, counts = U.summed(rest[WORD], seen[WORD])
-    yield TOTAL, bucket, -1, b"", U.pack_numbers(np.array([counts.sum(), (counts > 0).sum()], np.uint64))
+    yield TOTAL, bucket, -1, b"", U.pack_numbers(np.array([counts.sum(), (counts > 0).sum(), members, not fits], np.uint64))
     for unit, own in zip(unit_ids[kinds == WORD].tolist(), rest[WORD], strict=True):
         found = counts[np.searchsorted(keys, own)]
         yield WORD, bucket, unit, U.pack_sorted(own), U.pack_numbers(found)
-    keys, counts = U.summed(rest[NGRAM], seen[NGRAM])
-    keys = U.whole_keys(keys, bucket, buckets)[counts >= LEAST_COUNT]
-    counts = counts[counts >= LEAST_COUNT]
-    segment = segment_of(keys)
-    order = np.argsort(segment, kind="stable")
-    keys, counts, segment = keys[order], counts[order], segment[order]
-    for s in np.unique(segment).tolist():
-        part = slice(*np.searchsorted(segment, [s, s + 1]))
-        yield BITS, bucket, s, fill(keys[part], counts[part], segment_bytes).tobytes(), b""
 
 
 MESSAGE_SCHEMA = pa.schema(
@@ -209,8 +230,8 @@ MESSAGE_SCHEMA = pa.schema(
 
 @dataclass
 class Model:
-    answers: DataFrame  # (unit, bucket, keys, counts): counts of each unit's words
-    filter: Filter
+    answers: DataFrame  # (kind, unit, bucket, keys, counts): counts of each unit's words, and levels of its n-grams without filter
+    filter: Filter | None
     train_tokens: int
     vocabulary: int
     units: int
@@ -221,8 +242,9 @@ class Model:
 def learn(docs: DataFrame, order: int = 2, filter_bytes: int = FILTER_BYTES, key: str = "doc_id") -> Model:
     """Count the words and n-grams of the rows of ``docs`` outside the held-out fold.
 
-    The stored answers hold a few bytes for each distinct word of a unit; the filter
-    comes to the driver in ``SEGMENTS`` rows of ``filter_bytes`` in all.
+    The stored answers hold a few bytes for each distinct word of a unit and one for each
+    distinct n-gram; the filter comes to the driver in ``SEGMENTS`` rows of ``filter_bytes``
+    in all, unless its false positives would be more than ``FALSE_POSITIVES``.
     """
     units, buckets = U.plan_sizes(docs)
     segment_bytes = filter_bytes // SEGMENTS
@@ -242,19 +264,23 @@ def learn(docs: DataFrame, order: int = 2, filter_bytes: int = FILTER_BYTES, key
 
     asked = text.groupBy("unit").applyInArrow(ask, MESSAGE)
     answers = materialize(asked.groupBy("bucket").applyInArrow(answer, MESSAGE), "lm")
-    segments = np.zeros((SEGMENTS, segment_bytes), np.uint8)
-    bits = answers.filter(F.col("kind") == BITS).select("unit", "keys")
-    for r in bits.groupBy("unit").applyInArrow(either, "unit int, keys binary").collect():
-        segments[r.unit] = np.frombuffer(bytes(r["keys"]), np.uint8)
     totals = answers.filter(F.col("kind") == TOTAL).select("counts")
 
     @F.arrow_udf("array<long>")
     def numbers(column: pa.Array) -> pa.Array:
         return pa.array([[int(n) for n in U.unpack_numbers(x)] for x in column.to_pylist()], pa.list_(pa.int64()))
 
-    sums = totals.select(numbers("counts").alias("n")).agg(F.sum(F.col("n")[0]), F.sum(F.col("n")[1])).first()
-    words = answers.filter(F.col("kind") == WORD).select("unit", "bucket", "keys", "counts")
-    return Model(words, Filter(segments), int(sums[0] or 0), int(sums[1] or 0), units, buckets, order)
+    each = [F.sum(F.col("n")[at]) for at in range(4)]
+    tokens, vocabulary, members, omitted = (int(n or 0) for n in totals.select(numbers("counts").alias("n")).agg(*each).first())
+    filter_ = None
+    if not omitted and false_positives(members, SEGMENTS * segment_bytes * 8) <= FALSE_POSITIVES:
+        segments = np.zeros((SEGMENTS, segment_bytes), np.uint8)
+        bits = answers.filter(F.col("kind") == BITS).select("unit", "keys")
+        for r in bits.groupBy("unit").applyInArrow(either, "unit int, keys binary").collect():
+            segments[r.unit] = np.frombuffer(bytes(r["keys"]), np.uint8)
+        filter_ = Filter(segments)
+    own = answers.filter(F.col("kind") == WORD if filter_ else F.col("kind").isin(WORD, NGRAM))
+    return Model(own.select("kind", "unit", "bucket", "keys", "counts"), filter_, tokens, vocabulary, units, buckets, order)
 
 
 # --- scoring -----------------------------------------------------------------
@@ -267,7 +293,33 @@ def per_text(values: np.ndarray, tokens: Tokens) -> np.ndarray:
     return np.add.reduceat(values, tokens.first[:-1]) if len(tokens.first) > 1 else np.zeros(0)
 
 
-def text_scores(tokens: Tokens, counts: np.ndarray, filter_: Filter, total: int, vocabulary: int, order: int) -> list:
+@dataclass
+class Answered:
+    """The levels of a unit's n-grams as the buckets answered them."""
+
+    keys: np.ndarray
+    levels: np.ndarray
+
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[place] == keys, self.levels[place], 0)
+
+
+def answered(texts: pa.Table, answers: list[tuple[int, bytes]], buckets: int, order: int) -> Answered:
+    """The answers (bucket, levels) to what ``unit_messages`` asked for the same texts."""
+    grams = [np.zeros(0, np.uint64)]
+    for rows in slices(iter(texts.to_batches()), "text"):
+        tokens = tokens_of(rows.column("text"))
+        grams += [k[~tokens.is_start] for k in ngram_keys(tokens, order)]
+    keys = np.unique(np.concatenate(grams))
+    in_order, _, begins = U.by_bucket(keys, buckets)
+    level = np.zeros(len(keys), np.uint8)
+    for bucket, found in answers:
+        level[in_order[begins[bucket] : begins[bucket + 1]]] = np.frombuffer(found, np.uint8)
+    return Answered(keys, level)
+
+
+def text_scores(tokens: Tokens, counts: np.ndarray, filter_: Filter | Answered, total: int, vocabulary: int, order: int) -> list:
     """(n_tokens, n_known, base_score, score) of each text; ``counts`` are those of the words at each place."""
     real = ~tokens.is_start
     base = (counts + 1) / (total + vocabulary + 1)
@@ -293,13 +345,18 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     ``model`` was asked about. Null texts are empty: their end alone is scored.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model.filter.segments)
+    shared = spark.sparkContext.broadcast(model.filter.segments) if model.filter else None
     total, vocabulary, buckets, order = model.train_tokens, model.vocabulary, model.buckets, model.order
     kind = docs.schema[key].dataType.simpleString()
     schema = f"{key} {kind}, held_out boolean, {SCORES}"
 
     def work(key_: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
-        filter_ = Filter(shared.value)
+        grams = answers.filter(pc.equal(answers.column("kind"), NGRAM))
+        answers = answers.filter(pc.equal(answers.column("kind"), WORD))
+        if shared:
+            filter_ = Filter(shared.value)
+        else:
+            filter_ = answered(texts, [*zip(grams.column("bucket").to_pylist(), U.binary(grams.column("counts")))], buckets, order)
         known, found = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for bucket, k, c in zip(
             answers.column("bucket").to_pylist(), U.binary(answers.column("keys")), U.binary(answers.column("counts")), strict=True
