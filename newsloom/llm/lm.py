@@ -35,7 +35,7 @@ FALSE_POSITIVES = 0.01
 SEGMENTS = 1024
 PROBES = 3
 #: n-grams seen less often are not members, and each level stands for counts twice as high.
-LEAST_COUNT = 2
+LEAST_COUNT = 1
 LEVEL_BASE = 2.0
 #: Weight of a long history's estimate against the next shorter one's, and the observations of
 #: the history at which it has half of that.

@@ -5,7 +5,7 @@ import pytest
 
 from newsloom.llm import lm
 
-from .test_lm import SCHEMA, made, plain_scores
+from .test_lm import SCHEMA, held, made, plain_scores
 
 
 @pytest.mark.parametrize("order", [2, 3])
@@ -27,3 +27,15 @@ def test_rate_of_false_positives():
     rows = np.stack([lm.fill(keys[segment == s], np.full((segment == s).sum(), lm.LEAST_COUNT), size) for s in range(lm.SEGMENTS)])
     rate = lm.false_positives(len(keys), rows.size * 8)
     assert 0.005 < rate < 0.03 and abs((lm.Filter(rows).level(others) > 0).mean() - rate) < rate / 4
+
+
+def test_ngrams_seen_once_count(spark):
+    assert lm.LEAST_COUNT == 1
+    learned = [i for i in range(20) if not held(i)]
+    base = " ".join(f"w{k}" for k in range(12))
+    backwards = " ".join(f"w{k}" for k in reversed(range(12)))
+    rows = [(learned[0], base, 0, 0.0), (next(i for i in range(20) if held(i)), base, 0, 0.0), (next(i for i in range(20, 99) if held(i)), backwards, 0, 0.0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in lm.score(docs, lm.learn(docs, filter_bytes=1 << 20)).collect()}
+    same, other = got[rows[1][0]], got[rows[2][0]]
+    assert np.isclose(same.base_score, other.base_score) and same.score > other.score + 0.1
