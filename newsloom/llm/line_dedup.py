@@ -14,9 +14,6 @@ frame that is a line itself is one line.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +28,18 @@ BROADCAST_BYTES = 32 << 20
 BROADCAST_KEYS = 500_000
 
 
+#: White space inside lines other than the space, to be read as spaces.
+BLANKS = "\t\x0b\f\r"
+
+
+def even(text: Column) -> Column:
+    """``text`` with a space for every other white space inside lines."""
+    return F.translate(text, BLANKS, " " * len(BLANKS))
+
+
 def line_words(line: Column) -> Column:
-    """The runs of non-blank characters; the pattern is tried on lines with more than spaces only."""
-    others = reduce(or_, [F.contains(line, F.lit(c)) for c in "\t\x0b\f\r"])
-    return F.array_remove(F.when(others, F.split(line, r"[ \t\x0B\f\r]+")).otherwise(F.split(line, " ")), "")
+    """The runs of non-blank characters of an ``even`` line."""
+    return F.array_remove(F.split(line, " "), "")
 
 
 def if_few(keys: DataFrame) -> DataFrame:
@@ -57,15 +62,16 @@ def half_keys(ws: Column, n: Column) -> Column:
     return F.array(*keys)
 
 
-def lines_of(docs: DataFrame, min_words: int, least: int) -> DataFrame:
-    """(doc_id, line_no, h, g, halves): the lines that can be removed, by their hashes; those of
-    fewer than ``min_words`` words without halves."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.select("doc_id", "line_no", line_words(F.col("line")).alias("ws")).filter(F.size("ws") >= least)
+def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, line_no, h, g, halves): the lines by their hashes; those of fewer than ``min_words``
+    words without halves, those without words without hashes."""
+    lines = docs.select("doc_id", F.posexplode(F.split(even(F.col("text")), "\n")).alias("line_no", "line"))
+    lines = lines.select("doc_id", "line_no", line_words(F.col("line")).alias("ws"))
+    # Told by a null rather than a filter here, for which each line would be split twice.
     return lines.select(
         "doc_id",
         "line_no",
-        class_hash(F.col("ws")).alias("h"),
+        F.when(F.size("ws") > 0, class_hash(F.col("ws"))).alias("h"),
         F.xxhash64(F.lit("g"), "ws").alias("g"),
         F.when(F.size("ws") >= min_words, half_keys(F.col("ws"), F.size("ws"))).alias("halves"),
     )
@@ -98,7 +104,7 @@ def with_line_lists(docs: DataFrame, lines: DataFrame, how: str) -> DataFrame:
 def listed_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(place, h, ws): the words of the given lines (doc_id, line_no, h)."""
     rows = with_line_lists(docs.select("doc_id", "text"), lines, "inner")
-    each = rows.select("doc_id", F.explode("lines").alias("l"), F.split("text", "\n").alias("all"))
+    each = rows.select("doc_id", F.explode("lines").alias("l"), F.split(even(F.col("text")), "\n").alias("all"))
     words = each.select(
         F.struct("doc_id", F.col("l.line_no").alias("line_no")).alias("place"),
         F.col("l.h").alias("h"),
@@ -111,15 +117,12 @@ def listed_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
 def variants_of(lines: DataFrame) -> DataFrame:
     """(v, n, pos, place, h): each line without its word ``pos``, and with pos -1 the line itself."""
     hashed = lines.select("place", "h", F.transform("ws", lambda w: F.xxhash64(w)).alias("ws"))
+    each = hashed.select("place", "h", "ws", F.explode(F.sequence(F.lit(-1), F.size("ws") - 1)).alias("pos"))
     n = F.size("ws")
-    without = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(F.xxhash64(F.slice("ws", F.lit(1), i), F.slice("ws", i + 2, n)).alias("v"), i.alias("pos")),
-    )
-    itself = F.array(F.struct(F.xxhash64("ws").alias("v"), F.lit(-1).alias("pos")))
-    each = hashed.select("place", "h", n.alias("size"), F.explode(F.concat(itself, without)).alias("x"))
-    length = F.col("size") - F.when(F.col("x.pos") < 0, 0).otherwise(1)
-    return each.select("x.v", length.alias("n"), "x.pos", "place", "h")
+    # Words before pos, then those after it; hashing one array after the other is hashing their words in a row.
+    left = F.slice("ws", F.lit(1), F.greatest("pos", F.lit(0))), F.slice("ws", F.col("pos") + 2, n)
+    length = n - F.when(F.col("pos") < 0, 0).otherwise(1)
+    return each.select(F.xxhash64(*left).alias("v"), length.alias("n"), "pos", "place", "h")
 
 
 def earliest_partners(variants: DataFrame) -> DataFrame:
@@ -165,9 +168,9 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     return verified.select("place.doc_id", "place.line_no", "h")
 
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, least: int = 1) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, line_no, h): the lines to remove."""
-    lines = materialize(lines_of(docs, min_words, least), "lines")
+    lines = materialize(lines_of(docs, min_words), "lines").filter("h IS NOT NULL")
     firsts = materialize(first_lines(lines), "first-lines")
     near_ones = materialize(near_lines(docs, firsts), "near-lines")
     kept = firsts.select("first.doc_id", "first.line_no", "h")
@@ -177,22 +180,27 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, least: int = 1)
     return every.join(kept, same(every, kept), "left_anti")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, least: int = 1) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the column ``text`` rid of its repeated lines, and ``lines_removed`` added.
 
-    A line of at least ``least`` words goes if a line earlier in the order of
-    (doc_id, line number) has the same words, and one of at least ``min_words`` also
-    if such a line of at least ``min_words`` is one word off, whether that line
-    stays or not. Blank lines stay. Null texts stay null, texts without repeated lines are unchanged,
+    A line with words goes if a line earlier in the order of (doc_id, line number)
+    has the same words, and one of at least ``min_words`` also if such a line of at
+    least ``min_words`` is one word off, whether that line stays or not. Blank lines
+    stay. Null texts stay null, texts without repeated lines are unchanged,
     and rows without doc_id come first. Rows that repeat a doc_id count as one
     document: equal lines at equal places of them are not repeats of each other.
-    Other columns of ``docs`` pass through.
+    Other columns of ``docs`` pass through. An empty table gives an empty one. A line
+    of very many words costs the square of them, as it has a variant for each.
     """
-    dropped = materialize(repeated_lines(docs, min_words, least).distinct(), "dropped-lines")
+    dropped = materialize(repeated_lines(docs, min_words).distinct(), "dropped-lines")
     rows = with_line_lists(docs, dropped, "left")
-    numbered = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+    numbered = F.transform(
+        F.arrays_zip(F.split("text", "\n").alias("line"), F.split(even(F.col("text")), "\n").alias("words")),
+        lambda x, i: F.struct(i.alias("line_no"), x["line"].alias("line"), x["words"].alias("words")),
+    )
+    # The line's number is compared first: only a line that is listed is hashed.
     dropped_here = lambda x: F.exists(
-        "lines", lambda d: (d["line_no"] == x["line_no"]) & (d["h"] == class_hash(line_words(x["line"])))
+        "lines", lambda d: (d["line_no"] == x["line_no"]) & (d["h"] == class_hash(line_words(x["words"])))
     )
     kept = F.filter(numbered, lambda x: ~dropped_here(x))
     rows = rows.withColumn("kept", F.when(F.col("lines").isNotNull(), kept))

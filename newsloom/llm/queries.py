@@ -65,24 +65,24 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
 WITH every AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
-l AS (SELECT doc_id, line_no, line, string_split(line, ' ') AS ws FROM every),
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_no FROM documents),
+l AS (SELECT doc_id, line_no, line, regexp_extract_all(line, '[^\\x20\\x09\\x0B-\\x0D]+') AS ws FROM every),
 f AS (
   SELECT array_to_string(ws, ' ') AS t, any_value(ws) AS ws, len(any_value(ws)) AS n,
          min((doc_id, line_no)) AS place
-  FROM l WHERE len(ws) >= 5 GROUP BY 1),
+  FROM l WHERE len(ws) > 0 GROUP BY 1),
 v AS (
   SELECT array_to_string(list_concat(ws[1:i], ws[i + 2:n]), ' ') AS k, i, n, t, place
-  FROM (SELECT *, unnest(range(n)) AS i FROM f)),
+  FROM (SELECT *, unnest(range(n)) AS i FROM f WHERE n >= 5)),
 replaced AS (SELECT k, i, n, min(place) AS p FROM v GROUP BY k, i, n),
 gone AS (
   SELECT t FROM v JOIN replaced USING (k, i, n) WHERE p < place
-  UNION SELECT v.t FROM v JOIN f ON v.k = f.t AND v.n = f.n + 1 WHERE f.place < v.place
-  UNION SELECT f.t FROM v JOIN f ON v.k = f.t AND v.n = f.n + 1 WHERE v.place < f.place),
+  UNION SELECT v.t FROM v JOIN f ON v.k = f.t AND v.n = f.n + 1 WHERE f.n >= 5 AND f.place < v.place
+  UNION SELECT f.t FROM v JOIN f ON v.k = f.t AND v.n = f.n + 1 WHERE f.n >= 5 AND v.place < f.place),
 kept AS (SELECT t, place FROM f WHERE t NOT IN (SELECT t FROM gone)),
 marked AS (
-  SELECT doc_id, line_no, line, len(ws) >= 5 AND place IS NULL AS removed
+  SELECT doc_id, line_no, line, len(ws) > 0 AND place IS NULL AS removed
   FROM l LEFT JOIN kept ON array_to_string(ws, ' ') = t AND place = (doc_id, line_no))
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (removed)::BIGINT AS n_removed,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT removed), '')) AS kept_sha256
@@ -91,8 +91,7 @@ FROM marked GROUP BY doc_id"""
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
     lines = F.size(F.split(F.coalesce("before", F.lit("")), "\n")).cast("long")
-    # The SQL above leaves all shorter lines, repeats too.
-    return line_dedup.dedup_lines(docs, least=line_dedup.MIN_WORDS).select(
+    return line_dedup.dedup_lines(docs).select(
         "doc_id",
         lines.alias("n_lines"),
         F.col("lines_removed").cast("long").alias("n_removed"),

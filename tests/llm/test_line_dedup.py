@@ -1,9 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsloom.llm import line_dedup as L
+from newsloom.llm import queries
 
 SCHEMA = "doc_id long, text string, h long, _dropped string, line_no int"
 
@@ -17,7 +19,7 @@ def near(a, b):
 
 
 def words(line):
-    return tuple(line.split(" "))
+    return tuple(re.findall(r"[^ \t\x0b\f\r]+", line))
 
 
 def plain(docs, least=L.MIN_WORDS):
@@ -25,13 +27,14 @@ def plain(docs, least=L.MIN_WORDS):
     key = lambda i, n: ((i is not None, i or 0), n)
     for i, t, *_ in docs:
         for n, line in enumerate((t or "").split("\n")):
-            if len(words(line)) >= least:
+            if words(line):
                 first[words(line)] = min(first.get(words(line), key(i, n)), key(i, n))
-    gone = {a for a in first for b in first if first[b] < first[a] and near(a, b)}
+    long = [ws for ws in first if len(ws) >= least]
+    gone = {a for a in long for b in long if first[b] < first[a] and near(a, b)}
     for i, t, *_ in docs:
         lines = (t or "").split("\n")
         keep = [
-            x for n, x in enumerate(lines) if len(words(x)) < least or (words(x) not in gone and first[words(x)] == key(i, n))
+            x for n, x in enumerate(lines) if not words(x) or (words(x) not in gone and first[words(x)] == key(i, n))
         ]
         out.append((i, t if t is None else "\n".join(keep), len(lines) - len(keep)))
     return out
@@ -76,3 +79,20 @@ def test_variants_number_one_for_each_word(spark):
 
 def test_empty(spark):
     assert L.dedup_lines(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_sql_on_lines_with_tabs_and_double_spaces(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    seen, rows = set(), []
+    for row in made(3):
+        if row[0] is not None and row[0] not in seen:
+            seen.add(row[0])
+            rows.append(row[:2])
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = con.execute(queries.SQL["op2_line_dedup"])
+    names = [d[0] for d in cursor.description]
+    expected = sorted(tuple(r) for r in cursor.fetchall())
+    got = queries.op2_line_dedup(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(tuple(r) for r in got) == expected and sum(r[2] for r in expected) > 50
