@@ -19,7 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import components
@@ -35,8 +35,15 @@ HASHES = BANDS * BAND_VALUES
 #: Values compared before each look at the posterior, and the probability below which a pair is dropped.
 STEPS = (16, 32, 48, 64, 80, 96)
 TOLERANCE = 1e-6
-#: Texts in a chunk of a bucket.
+#: Texts and n-grams that a chunk of a bucket holds on average.
 CHUNK = 512
+CHUNK_NGRAMS = 1 << 19
+#: Rows of tiles and n-grams of their texts for each task beyond the number that the session sets.
+TASK_ROWS = 50_000
+TASK_NGRAMS = 1 << 23
+#: Bytes of rows of tiles, and of the texts that are cut into n-grams, that are held at once.
+GROUP_BYTES = 8 << 20
+TEXT_BYTES = 1 << 18
 #: Pairs and n-gram columns that are held at once.
 PAIRS_AT_ONCE = 50_000
 COLUMNS_AT_ONCE = 1 << 15
@@ -87,25 +94,32 @@ def signatures(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, sig): class, number of n-grams, and band values of every row."""
+    """(doc_id, key, node, n, sig): hash, class, number of n-grams, and band values of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, "text"):
+        for rows in slices(batches, "text", TEXT_BYTES):
             values, first, classes = shingles(rows.column("text"))
             bands = signatures(values, first).view(np.int64)
             places = pa.array(np.arange(0, len(bands) * BANDS + 1, BANDS), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id"),
+                    rows.column("key"),
                     nodes(classes),
                     pa.array(np.diff(first), pa.int64()),
                     pa.ListArray.from_arrays(places, pa.array(bands.ravel())),
                 ],
-                ["doc_id", "node", "n", "sig"],
+                ["doc_id", "key", "node", "n", "sig"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, node binary, n long, sig array<long>")
+    rows = docs.select("doc_id", row_key().alias("key"), "text")
+    return rows.mapInArrow(work, f"doc_id {kind}, key long, node binary, n long, sig array<long>")
+
+
+def row_key() -> Column:
+    """Names a row of ``docs`` among those of its doc_id: the same for rows of the same text, up to hash collisions."""
+    return F.xxhash64("doc_id", "text")
 
 
 def nodes(classes: np.ndarray) -> pa.Array:
@@ -176,12 +190,12 @@ def candidate_pairs(
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], max_rows: int) -> Iterator[pa.Table]:
-    """Tables of whole groups from rows sorted by ``keys``; about ``max_rows`` rows, one group at least."""
+    """Tables of whole groups from rows sorted by ``keys``; about ``max_rows`` rows or ``GROUP_BYTES``, one group at least."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
-        if sum(b.num_rows for b in held) < max_rows:
+        if sum(b.num_rows for b in held) < max_rows and sum(b.nbytes for b in held) < GROUP_BYTES:
             continue
         table = pa.Table.from_batches(held)
         group = group_numbers(table, keys)
@@ -271,13 +285,24 @@ def spanning_links(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 LINKS = "node binary, links long, other binary"
 
 
+def shingle_sets(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct n-gram hashes of each text, and class hashes, cut from some of the texts at a time."""
+    sets, classes = [], []
+    for rows in slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), "text", TEXT_BYTES):
+        values, first, named = shingles(rows.column("text"))
+        sets += [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+        classes.append(named)
+    return sets, np.concatenate(classes)
+
+
 def verified_links(threshold: float) -> Callable:
     """From tiles with texts: (node, links) sums and (node, other) spanning links."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, TILE, 500):
             # One row of a class stands for it; rows of another text under the same id are not of the class.
-            values, first, classes = shingles(table.column("text").combine_chunks())
+            sets, classes = shingle_sets(table.column("text").combine_chunks())
+            table = table.drop_columns(["text"])
             own = np.array(nodes(classes).to_pylist(), object)
             node = np.array(table.column("node").to_pylist(), object)
             keep = own == node
@@ -295,7 +320,7 @@ def verified_links(threshold: float) -> Callable:
                 members = text[mine]
                 here = slice(*np.searchsorted(group[a], [g, g + 1]))
                 x, y = a[here] - mine.start, b[here] - mine.start
-                parts = [np.unique(values[first[t] : first[t + 1]]) for t in members]
+                parts = [sets[t] for t in members]
                 sizes = np.array([len(p) for p in parts])
                 begins = np.concatenate([[0], np.cumsum(sizes)])
                 common = common_counts(np.concatenate(parts), begins, x, y)
@@ -317,18 +342,19 @@ def verified_links(threshold: float) -> Callable:
 # --- the join ----------------------------------------------------------------
 
 
-def dealt(rows: DataFrame) -> DataFrame:
+def dealt(rows: DataFrame, tasks: int) -> DataFrame:
     """Rows sorted by tile, each tile in one task."""
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return rows.repartition(tasks, *TILE).sortWithinPartitions(*TILE)
 
 
 def tiles_of(members: DataFrame) -> DataFrame:
-    """(bucket, band, low, high, chunk, node, sig): every member of a shared bucket in its tiles."""
-    banded = members.select("node", F.posexplode("sig").alias("band", "value"))
-    banded = banded.select("node", "band", F.xxhash64("band", "value").alias("bucket"))
-    sizes = banded.groupBy("bucket", "band").count().filter("count > 1")
-    sizes = materialize(sizes.withColumn("chunks", F.ceil(F.col("count") / CHUNK).cast("int")).drop("count"), "buckets")
+    """(bucket, band, low, high, chunk, node): every member of a shared bucket in its tiles."""
+    banded = members.select("node", "n", F.posexplode("sig").alias("band", "value"))
+    banded = banded.select("node", "n", "band", F.xxhash64("band", "value").alias("bucket"))
+    sizes = banded.groupBy("bucket", "band").agg(F.count("*").alias("texts"), F.sum("n").alias("ngrams")).filter("texts > 1")
+    chunks = F.least("texts", F.greatest(F.ceil(F.col("texts") / CHUNK), F.ceil(F.col("ngrams") / CHUNK_NGRAMS)))
+    sizes = materialize(sizes.select("bucket", "band", chunks.cast("int").alias("chunks")), "buckets")
     shared = banded.join(sizes, ["bucket", "band"])
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     each = shared.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -338,7 +364,7 @@ def tiles_of(members: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, n_links, group_id for every row of ``docs`` (doc_id, text).
+    """doc_id, class_id, n_links, group_id and ``row_key`` for every row of ``docs`` (doc_id, text).
 
     ``class_id`` is the smallest doc_id of the rows with the same words (ASCII case
     and white space aside), ``n_links`` the number of other rows with a Jaccard
@@ -353,17 +379,18 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFram
         F.min("doc_id").alias("class_id"), F.count("*").alias("size"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")
     )
     classes = materialize(classes, "classes")
-    members = classes.filter("n > 0").select("node", "sig")
+    members = classes.filter("n > 0").select("node", "n", "sig")
     tiles = materialize(tiles_of(members), "tiles")
-    looked = dealt(tiles.join(members, "node"))
+    looked = dealt(tiles.join(members.drop("n"), "node"), -(-tiles.count() // TASK_ROWS))
     schema = looked.schema
     survivors = looked.mapInArrow(surviving_members(threshold), schema).select(*TILE, "chunk", "node")
     survivors = materialize(survivors, "survivors")
     by_class = survivors.groupBy("node").agg(F.collect_list(F.struct(*TILE, "chunk")).alias("tiles"))
-    wanted = materialize(by_class.join(classes, "node").select("class_id", "node", "size", "sig", "tiles"), "wanted")
+    wanted = materialize(by_class.join(classes, "node").select("class_id", "node", "size", "n", "sig", "tiles"), "wanted")
     texts = docs.select(F.col("doc_id"), "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("class_id")))
     each = texts.select("node", "size", "sig", "text", F.explode("tiles").alias("t")).select("t.*", "node", "size", "sig", "text")
-    links = materialize(dealt(each).mapInArrow(verified_links(threshold), LINKS), "links")
+    ngrams = wanted.agg(F.sum(F.col("n") * F.size("tiles"))).first()[0] or 0
+    links = materialize(dealt(each, -(-ngrams // TASK_NGRAMS)).mapInArrow(verified_links(threshold), LINKS), "links")
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(links.filter("other IS NOT NULL").select(F.col("node").alias("u"), F.col("other").alias("v")))
     named = classes.select("node", "class_id", "size").join(counted, "node", "left").join(roots, "node", "left")
@@ -372,8 +399,8 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFram
     result = named.join(materialize(groups, "groups"), "root").select(
         "node", "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "group_id"
     )
-    return drawn.select("doc_id", "node").join(materialize(result, "class-links"), "node").select(
-        "doc_id", "class_id", "n_links", "group_id", "node"
+    return drawn.select("doc_id", "key", "node").join(materialize(result, "class-links"), "node").select(
+        "doc_id", "class_id", "n_links", "group_id", "key"
     )
 
 
@@ -383,17 +410,7 @@ def keep_one_of_each_group(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     Rows that repeat that doc_id and text stay together, as do rows of a group in which none has an id.
     """
     judged = similar_documents(docs, threshold)
-    gone = judged.filter(~F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("doc_id").alias("gone_id"), "node").distinct()
-    gone = materialize(gone, "near-copies")
-    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (node_column(docs["text"]) == gone["node"])
+    gone = judged.filter(~F.col("doc_id").eqNullSafe(F.col("group_id")))
+    gone = materialize(gone.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key")).distinct(), "near-copies")
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & (row_key() == gone["gone_key"])
     return docs.join(gone, same, "left_anti")
-
-
-def node_column(text):
-    @F.arrow_udf("binary")
-    def node(texts: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        parts = [nodes(shingles(x.column("text"))[2]) for x in slices(iter([batch]), "text")]
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
-
-    return node(F.coalesce(text, F.lit("")))

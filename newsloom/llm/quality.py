@@ -20,6 +20,8 @@ from newsloom.llm.words import Words, find_words, slices, word_hashes
 
 #: Words of one block; the worst block of a text counts beside its average.
 BLOCK_WORDS = 32
+#: Bytes of text whose statistics are taken at once; they need some 26 times as much memory.
+PIECE_BYTES = 1 << 18
 
 FEATURES = (
     "words",
@@ -125,7 +127,7 @@ def document_statistics(texts: pa.Array) -> np.ndarray:
 def statistics_of(texts: pa.Array) -> np.ndarray:
     """``document_statistics`` of a column of any size, a slice at a time."""
     batch = pa.RecordBatch.from_arrays([texts], ["text"])
-    parts = [document_statistics(piece.column("text")) for piece in slices(iter([batch]), "text")]
+    parts = [document_statistics(piece.column("text")) for piece in slices(iter([batch]), "text", PIECE_BYTES)]
     return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
 
 
@@ -153,7 +155,7 @@ def statistics_table(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, x): the statistics of every row; the text is read once and nothing is shuffled."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", PIECE_BYTES):
             x = document_statistics(piece.column("text"))
             lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([piece.column(key), lists], [key, "x"])

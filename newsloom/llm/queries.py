@@ -101,7 +101,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_documents(table(spark, sf_dir, "documents")).drop("node")
+    return jaccard.similar_documents(table(spark, sf_dir, "documents")).drop("key")
 
 
 @query()
