@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, jaccard, line_dedup, lm, packing, quality, sharding, substring_dedup, vectors, warc
+from newsloom.llm import decontaminate, fingerprints, jaccard, line_dedup, lm, packing, quality, sharding, substring_dedup, vectors, warc
 from newsloom.scratch import materialize, scratch_path
 
 #: Vocabulary file of the registered queries that need tokens.
@@ -183,3 +183,8 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
