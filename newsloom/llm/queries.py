@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, fingerprints, jaccard, line_dedup, lm, packing, quality, sharding, substring_dedup, vectors, warc
+from newsloom.llm import decontaminate, fingerprints, jaccard, line_dedup, lm, negatives, packing, quality, sharding, substring_dedup, vectors, warc
 from newsloom.scratch import materialize, scratch_path
 
 #: Vocabulary file of the registered queries that need tokens.
@@ -188,3 +188,29 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.shifted_labels(table(spark, sf_dir, "embeddings")))
