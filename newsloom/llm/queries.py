@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, fingerprints, jaccard, line_dedup, lm, negatives, packing, quality, sharding, substring_dedup, vectors, warc
+from newsloom.llm import decontaminate, fingerprints, jaccard, lexical, line_dedup, lm, negatives, packing, quality, sharding, substring_dedup, vectors, warc
 from newsloom.scratch import materialize, scratch_path
 
 #: Vocabulary file of the registered queries that need tokens.
@@ -185,6 +185,28 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.similar_vectors(table(spark, sf_dir, "embeddings"))
 
 
+_WORDS11 = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    f"""
+WITH d AS (SELECT doc_id, {_WORDS11.format(_LOWER6)} AS ws FROM documents),
+c AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+i AS (SELECT DISTINCT item_id, unnest({_WORDS11.format(_LOWER6)}) AS term FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, sum(
+    floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+    * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN t USING (term), c GROUP BY item_id, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50"""
+)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
