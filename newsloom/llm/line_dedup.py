@@ -14,6 +14,9 @@ frame that is a line itself is one line.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,9 @@ BLANKS = "\t\x0b\f\r"
 
 
 def even(text: Column) -> Column:
-    """``text`` with a space for every other white space inside lines."""
-    return F.translate(text, BLANKS, " " * len(BLANKS))
+    """``text`` with a space for every other white space inside lines; few texts have any."""
+    some = reduce(or_, [F.contains(text, F.lit(c)) for c in BLANKS])
+    return F.when(some, F.translate(text, BLANKS, " " * len(BLANKS))).otherwise(text)
 
 
 def line_words(line: Column) -> Column:
@@ -104,7 +108,8 @@ def with_line_lists(docs: DataFrame, lines: DataFrame, how: str) -> DataFrame:
 def listed_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(place, h, ws): the words of the given lines (doc_id, line_no, h)."""
     rows = with_line_lists(docs.select("doc_id", "text"), lines, "inner")
-    each = rows.select("doc_id", F.explode("lines").alias("l"), F.split(even(F.col("text")), "\n").alias("all"))
+    # Split before the lines are spread out, once for each text.
+    each = rows.select("doc_id", "lines", F.split(even(F.col("text")), "\n").alias("all")).select("doc_id", "all", F.explode("lines").alias("l"))
     words = each.select(
         F.struct("doc_id", F.col("l.line_no").alias("line_no")).alias("place"),
         F.col("l.h").alias("h"),
