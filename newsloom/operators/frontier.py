@@ -52,12 +52,17 @@ def first_of_each(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.min(order).alias(order))
 
 
-def already_there(rows: DataFrame, keys: list[str], stored: DataFrame) -> DataFrame:
-    """Keys of ``rows`` that ``stored`` holds.
+def already_there(rows: DataFrame, keys: list[str], stored) -> DataFrame:
+    """Keys of ``rows`` that ``stored`` holds, a table or an index of URLs.
 
-    Reduces ``stored`` first: when the new rows are few they are broadcast and
-    the store is scanned without a shuffle, however large it has become.
+    Reduces a table first: when the new rows are few they are broadcast and
+    the store is scanned without a shuffle, however large it has become. An index
+    is asked for the buckets of the new rows only.
     """
+    if not isinstance(stored, DataFrame):
+        return stored.holding(rows, keys)
+    if "canonical_url" in keys and "canonical_url" not in stored.columns:
+        stored = stored.withColumnRenamed("url", "canonical_url")
     return stored.select(*keys).join(rows.select(*keys), keys, "left_semi")
 
 
@@ -108,8 +113,8 @@ def check(pages: DataFrame, enter_start: bool = False) -> DataFrame:
     )
 
 
-def decide(checked: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Accept or reject every checked page.
+def decide(checked: DataFrame, stored=None) -> DataFrame:
+    """Accept or reject every checked page; ``stored`` is a table of articles or an index of their URLs.
 
     Out: ``page_id``, ``website``, ``url``, ``canonical_url``, ``max_visits``,
     ``accepted``, ``reason``. Of the pages of one site with one canonical URL the
@@ -122,7 +127,7 @@ def decide(checked: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     if stored is None:
         firsts = firsts.withColumn("is_stored", F.lit(False))
     else:
-        known = already_there(firsts, key, stored.withColumnRenamed("url", "canonical_url"))
+        known = already_there(firsts, key, stored)
         firsts = firsts.join(known.withColumn("is_stored", F.lit(True)), key, "left").withColumn(
             "is_stored", F.coalesce("is_stored", F.lit(False))
         )

@@ -17,8 +17,9 @@ from newsloom.plans.ingest import (
     with_reading_rules,
 )
 from newsloom.scratch import scratch_path
-from newsloom.sources.articles import ParquetStore
+from newsloom.sources.articles import IndexedStore, ParquetStore
 from newsloom.sources.pages import assign_sites
+from newsloom.sources.url_index import UrlIndex
 from newsloom.streaming.ingest_stream import ingest_landing
 
 QUERIES: dict = {}
@@ -266,6 +267,23 @@ def frontier_decisions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(SQL["frontier_decisions"])
+def frontier_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same decisions from an index of the stored URLs, which was filled by four appends and merged once."""
+    pages = samples.with_rules(
+        _page_variants(spark, sf), ignore_all=True, restrict=RESTRICT, exclude=EXCLUDE
+    )
+    index, stored = UrlIndex(spark, scratch_path(spark, "urls"), buckets=16), _english_stored(spark, sf)
+    part = F.pmod(F.xxhash64("url"), F.lit(4))
+    for k in range(4):
+        index.append(stored.filter(part == k))
+        if k == 1:
+            index.merge()
+    return frontier.decide(frontier.check(pages), index).select(
+        "website", "page_id", "canonical_url", "accepted", "reason"
+    )
+
+
 @query(f"""
 WITH {SQL_HOST_PAGES}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY website ORDER BY md5(canonical_url), canonical_url) AS place
@@ -654,8 +672,8 @@ def feed_sink(spark: SparkSession, sf: str) -> DataFrame:
 BUDGET = 30
 
 
-def _ingest(spark: SparkSession, sf: str, **options):
-    store_ = ParquetStore(spark, scratch_path(spark, "articles"))
+def _ingest(spark: SparkSession, sf: str, kind=ParquetStore, **options):
+    store_ = kind(spark, scratch_path(spark, "articles"))
     run = run_ingest(
         spark,
         samples.doc_pages_with_copies(spark, sf),
@@ -733,6 +751,14 @@ def ingest_batch(spark: SparkSession, sf: str) -> DataFrame:
     return articles.read()
 
 
+@query(SQL_STORED)
+def ingest_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over the same pages, the stored URLs being looked up in an index: the second adds nothing."""
+    articles, _ = _ingest(spark, sf, kind=IndexedStore)
+    run_ingest(spark, samples.doc_pages_with_copies(spark, sf), samples.doc_sites(spark, sf), articles, scratch_path(spark, "rejects"))
+    return articles.read()
+
+
 @query(f"""
 WITH RECURSIVE {SQL_DOCS},
 node AS (SELECT *, doc_id // 20 AS k, doc_id % 20 AS m FROM docs),

@@ -35,6 +35,9 @@ LITERAL_LAYOUTS = 32
 
 READING_RULES = ("sel", "date_pattern", "date_rewrite")
 
+# Pages that a task reads at most on average, and at least while there are cores to spare.
+PAGES_A_TASK, LEAST_PAGES_A_TASK = 5_000, 20
+
 
 @dataclass(frozen=True)
 class IngestResult:
@@ -77,6 +80,13 @@ def spread(pages: DataFrame, partitions: int | None, key: str = "page_id") -> Da
     return pages.repartition(partitions, key) if partitions else pages
 
 
+def reading_tasks(taken: DataFrame) -> int:
+    """Tasks for reading these pages: markup is read slowly for its size, so bytes alone would leave it to few."""
+    n = taken.count()
+    cores = 2 * taken.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-n // PAGES_A_TASK), min(-(-n // LEAST_PAGES_A_TASK), cores))
+
+
 def with_reading_rules(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """Attach the selectors and the date layout; meant for rows without markup."""
     return join_rules(rows, sites.select("website", *READING_RULES), "website", F.col("page_id"))
@@ -120,8 +130,9 @@ def _follow_all(stages: _Stages, pages: DataFrame, decisions: DataFrame, sites:
     """(website, url, _missed null) of the reached pages: the links of all pages first, then the walk."""
 
     def read_links() -> DataFrame:
-        markup = pages.select("page_id", "html").join(_taken(decisions), "page_id")
-        return extract.read_pages_job(spread(markup, partitions)).select("website", "url", "links")
+        taken = _taken(decisions)
+        markup = pages.select("page_id", "html").join(taken, "page_id")
+        return extract.read_pages_job(spread(markup, partitions or reading_tasks(taken))).select("website", "url", "links")
 
     edges = links.site_edges(links.harvest(stages.once("links", read_links)), sites, one_host)
     reached = stages.once("reached", lambda: links.reachable(edges, sites, _taken(decisions)))
@@ -141,7 +152,6 @@ def _follow_levels(stages: _Stages, decisions: DataFrame, sites: DataFrame, one_
         "level/depth=0", lambda: _taken(decisions.filter("is_start")).select("page_id", *key)
     )
     visited = lambda: spark.read.schema(level.schema).parquet(f"{stages.folder}/level")
-    over = None
     depth = 0
     while not level.isEmpty():
         done, here = level, depth
@@ -155,12 +165,11 @@ def _follow_levels(stages: _Stages, decisions: DataFrame, sites: DataFrame, one_
         level = stages.once(
             f"level/depth={depth}", lambda: links.spend(fresh, limits, visited()).join(taken, key).select("page_id", *key)
         )
-        missed = fresh.join(level, key, "left_anti")
-        over = missed if over is None else over.unionByName(missed)
     kept = visited().select(*key, F.lit(None).cast("string").alias("_missed"))
-    if over is None:
+    if depth == 0:
         return kept
-    over = over.distinct().join(kept, key, "left_anti")
+    # Every page that was found is in the table of its level, so the plan is the same at any depth.
+    over = unseen(spark.read.schema("website string, url string").parquet(f"{stages.folder}/fresh").select(*key).distinct(), key, kept)
     return kept.unionByName(over.select(*key, F.lit("budget").alias("_missed")))
 
 
@@ -184,8 +193,8 @@ def run_ingest(
     are kept, the budget being spent breadth first (``one_host``: links to other
     hosts than the start point's are not followed); otherwise every page that
     passes the filters is a candidate. ``read_partitions`` spreads markup over so
-    many partitions before it is read, for inputs with few splits; by default the
-    splits of the scan stay. A run that is repeated under its ``run_id`` must have
+    many partitions before it is read; by default their number follows from the
+    pages to read. A run that is repeated under its ``run_id`` must have
     the same pages, sites and options.
     """
     stages = _Stages(spark, run_id or uuid.uuid4().hex)
@@ -202,7 +211,7 @@ def run_ingest(
         "checked",
         lambda: frontier.check(assign_sites(pages.drop("html"), sites), enter_start=follow_links),
     )
-    decisions = stages.once("decided", lambda: frontier.decide(checked, article_store.read()))
+    decisions = stages.once("decided", lambda: frontier.decide(checked, article_store.known()))
     if limited and not follow_links:
         decided = decisions
         decisions = stages.once("budgeted", lambda: frontier.apply_budget(decided))
@@ -210,7 +219,8 @@ def run_ingest(
     def read(taken: DataFrame) -> DataFrame:
         # rules join the narrow side; page_id is unique, so this join has no hot key
         ruled = pages.select("page_id", "html").join(with_reading_rules(taken, sites), "page_id")
-        return read_articles(ruled, text_mode, on_bad_date, follow_links and limited, read_partitions, layouts)
+        tasks = read_partitions or reading_tasks(taken)
+        return read_articles(ruled, text_mode, on_bad_date, follow_links and limited, tasks, layouts)
 
     if follow_links:
         found = decisions
@@ -246,7 +256,7 @@ def run_ingest(
     def outcome() -> DataFrame:
         good = articles.filter(F.col("reason").isNull())
         rows = good.select(F.struct("page_id", "website").alias("seq"), "url")
-        winners = store.first_claims(rows, article_store.read(), "seq").select(
+        winners = store.first_claims(rows, article_store.known(), "seq").select(
             "seq.page_id", "seq.website", F.lit(True).alias("_wins")
         )
         lost = F.col("reason").isNull() & F.col("_wins").isNull()
@@ -273,7 +283,7 @@ def run_ingest(
     new = articles.filter(F.col("reason").isNull()).join(losers, ["page_id", "website"], "left_anti")
     if replay:
         # an earlier attempt may have got as far as the store
-        new = new.join(article_store.read().select("url"), "url", "left_anti")
+        new = unseen(new, ["url"], article_store.known())
     article_store.append(new)
 
     report = reports.run_report(sites, decisions, result)

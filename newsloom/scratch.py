@@ -46,3 +46,22 @@ def materialize_bucketed(df: DataFrame, label: str, columns: list[str]) -> DataF
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where it doesn't exist."""
+    if not path_exists(spark, path):
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(s.getPath().getName() for s in jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark that survives the driver."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(jvm_path, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
