@@ -113,6 +113,20 @@ def check(pages: DataFrame, enter_start: bool = False) -> DataFrame:
     )
 
 
+def page_key() -> Column:
+    """What tells a page of a site: its canonical URL, or the URL as found where there is none."""
+    return F.coalesce("canonical_url", "url", F.lit(""))
+
+
+def mark_seen(checked: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Checked pages whose key isn't among the ``fresh`` ones (website, key) fail as seen."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = checked.withColumns({"key": page_key(), "_salt": F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")})
+    joined = salted.join(fresh.select("website", "key", F.lit(True).alias("_fresh"), salts), ["website", "key", "_salt"], "left")
+    seen = F.when(F.col("_fresh").isNull(), F.coalesce("failed", F.lit("seen"))).otherwise(F.col("failed"))
+    return joined.withColumn("failed", seen).select(*checked.columns)
+
+
 def decide(checked: DataFrame, stored=None) -> DataFrame:
     """Accept or reject every checked page; ``stored`` is a table of articles or an index of their URLs.
 

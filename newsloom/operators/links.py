@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,3 +117,83 @@ def spend(fresh: DataFrame, limits: DataFrame, visited: DataFrame) -> DataFrame:
     open_sites = F.col("max_visits").isNull() | (F.col("max_visits") > 0)
     allowed = fresh.join(left, "website", "left").filter(open_sites)
     return within_budget(allowed, url="url").select("website", "url")
+
+
+@dataclass(frozen=True)
+class Walk:
+    """Reached pages (website, url, depth) and the rounds of jobs that it took."""
+
+    pages: DataFrame
+    rounds: int
+
+
+def reachable_by_contraction(edges: DataFrame, sites: DataFrame, page_urls: DataFrame) -> Walk:
+    """``reachable`` without budgets, in rounds that don't grow with the length of link chains.
+
+    A page that only one page links to is one step further than that page, however far
+    that is. Such pages are hung on the nearest page before them that several link to,
+    or on the start, by pointer jumping: every round doubles the distance that a
+    pointer spans, so an archive of 4,096 pages that each link to the next takes twelve
+    rounds. What is left are the pages that several link to, with the distances
+    between them, which are walked as in ``reachable``; a page found again on a shorter
+    way is walked again. Chains that lead back into themselves, and so hang on nothing,
+    are found by pointers that no round brings to an end.
+    """
+    key = ["website", "url"]
+    start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
+    allowed = materialize(page_urls.select(*key).distinct(), "allowed")
+    seeds = materialize(allowed.join(sites.select("website", start.alias("url")), key, "left_semi"), "seeds")
+    targets = materialize(unseen(allowed, key, seeds).select("website", F.col("url").alias("to_url")), "targets")
+    hops = edges.select("website", "from_url", "to_url").filter("from_url <> to_url").distinct()
+    hops = hops.join(targets, ["website", "to_url"], "left_semi")
+    hops = hops.join(allowed.withColumnRenamed("url", "from_url"), ["website", "from_url"], "left_semi")
+    hops = materialize(hops, "hops")
+
+    # Pages with one way in: (website, url, above, steps), above being where their pointer leads.
+    ways = hops.groupBy("website", F.col("to_url").alias("url")).agg(F.count("*").alias("n"), F.min("from_url").alias("above"))
+    ways = materialize(ways, "ways")
+    hung = ways.filter("n = 1").select(*key, "above", F.lit(1).cast("long").alias("steps"))
+    single = materialize(hung.select(*key), "single")
+    at = materialize(_mark_ends(hung, single), "pointers")
+    rounds, left = 1, at.filter("NOT ended").count()
+    while left:
+        over = at.select("website", F.col("url").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"), F.col("ended").alias("last"))
+        moved = at.filter("NOT ended").join(over, ["website", "above"]).select(
+            *key, F.col("next").alias("above"), (F.col("steps") + F.col("more")).alias("steps"), F.col("last").alias("ended")
+        )
+        at = materialize(at.filter("ended").unionByName(moved), "pointers")
+        before, left = left, at.filter("NOT ended").count()
+        rounds += 1
+        if left == before:
+            break
+    ended = at.filter("ended").drop("ended")
+
+    # Ways between the pages that pointers end at: from the one above, and how far.
+    owned = hops.join(unseen(hops.select("website", F.col("to_url").alias("url")).distinct(), key, single).withColumnRenamed("url", "to_url"), ["website", "to_url"])
+    above = ended.select("website", F.col("url").alias("from_url"), "above", "steps")
+    ways = owned.join(above, ["website", "from_url"], "left").join(
+        at.filter("NOT ended").select("website", F.col("url").alias("from_url")), ["website", "from_url"], "left_anti"
+    )
+    ways = ways.groupBy("website", F.coalesce("above", "from_url").alias("from_url"), "to_url").agg(
+        F.min(F.coalesce("steps", F.lit(0)) + 1).alias("steps")
+    )
+    ways = materialize_bucketed(ways, "ways", ["website", "from_url"])
+
+    known = materialize(seeds.withColumn("depth", F.lit(0).cast("long")), "walked")
+    level = known
+    while not level.isEmpty():
+        step = level.select("website", F.col("url").alias("from_url"), "depth").join(ways, ["website", "from_url"])
+        found = step.groupBy("website", F.col("to_url").alias("url")).agg(F.min(F.col("depth") + F.col("steps")).alias("found"))
+        met = materialize(found.join(known, key, "left"), "met")
+        level = materialize(met.filter("depth IS NULL OR found < depth").select(*key, F.col("found").alias("depth")), "level")
+        known = materialize(known.unionByName(level).groupBy(*key).agg(F.min("depth").alias("depth")), "walked")
+        rounds += 1
+    tails = ended.join(known.select("website", F.col("url").alias("above"), "depth"), ["website", "above"])
+    tails = tails.select(*key, (F.col("depth") + F.col("steps")).alias("depth"))
+    return Walk(known.unionByName(tails).select(*key, F.col("depth").cast("int").alias("depth")), rounds)
+
+
+def _mark_ends(pointers: DataFrame, single: DataFrame) -> DataFrame:
+    """Add ``ended``: whether the page that a pointer leads to has several ways in, or none."""
+    more = single.select("website", F.col("url").alias("above"), F.lit(False).alias("_ends"))
+    return pointers.join(more, ["website", "above"], "left").withColumn("ended", F.coalesce("_ends", F.lit(True))).drop("_ends")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from newsloom.functions import urls
 from newsloom.functions.dates import parse_date, translate_layout
 from newsloom.operators import extract, feeds, frontier, links, reports, store
+from newsloom.operators.latest import LatestArticles
+from newsloom.operators.link_state import LinkState
 from newsloom.plans import samples
 from newsloom.plans.ingest import (
     date_layouts as site_layouts,
@@ -16,7 +18,7 @@ from newsloom.plans.ingest import (
     spread,
     with_reading_rules,
 )
-from newsloom.scratch import scratch_path
+from newsloom.scratch import materialize, scratch_path
 from newsloom.sources.articles import IndexedStore, ParquetStore
 from newsloom.sources.pages import assign_sites
 from newsloom.sources.url_index import UrlIndex
@@ -297,6 +299,9 @@ def frontier_budget(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- links -----------------------------------------------------------------
 
+# Archive pages of each document: at sf0.01 the chain of a site is 4,200 pages long.
+ARCHIVE_PAGES = 84
+
 
 @query(f"""
 WITH hrefs AS (
@@ -346,6 +351,21 @@ def crawl_budget(spark: SparkSession, sf: str) -> DataFrame:
     return run.visited
 
 
+@query(f"""
+WITH {SQL_DOCS},
+archive AS (
+  SELECT website, url || '?page=' || p AS url, doc_id, p,
+         row_number() OVER (PARTITION BY website ORDER BY doc_id, p) - 1 AS place, count(*) OVER (PARTITION BY website) AS n
+  FROM docs, range({ARCHIVE_PAGES}) r(p)),
+kinds AS (SELECT *, CAST(substr(website, 4) AS INTEGER) % 4 AS kind, n // 2 AS half FROM archive)
+SELECT website, url, CAST(CASE WHEN kind = 1 AND place >= half THEN place - half + 1 ELSE place END AS INTEGER) AS depth
+FROM kinds WHERE kind <> 2 OR place < half""")
+def crawl_long_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives of which every page links to the next one only, walked in few rounds."""
+    sites, edges, pages = samples.doc_archives(spark, sf, ARCHIVE_PAGES)
+    return links.reachable_by_contraction(edges, sites, pages).pages
+
+
 @query(f"""
 WITH {SQL_DOCS}, node AS (SELECT website, url, doc_id, doc_id // 20 AS k, doc_id % 20 AS m, lang FROM docs)
 SELECT DISTINCT website, url AS from_url, to_url FROM (
@@ -571,6 +591,15 @@ def latest_n(spark: SparkSession, sf: str) -> DataFrame:
     return latest.select("website", "rn", "url", "date")
 
 
+@query(SQL["latest_n"])
+def latest_maintained(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest articles kept up to date over five batches."""
+    kept, articles = LatestArticles(spark, scratch_path(spark, "tops"), 20), samples.doc_articles(spark, sf)
+    for k in range(5):
+        kept.update(articles.filter(F.pmod(F.xxhash64("url"), F.lit(5)) == k))
+    return kept.latest().select("website", "rn", "url", "date")
+
+
 # --- feeds -----------------------------------------------------------------
 
 
@@ -774,6 +803,18 @@ def ingest_following_links(spark: SparkSession, sf: str) -> DataFrame:
     return articles.read().select("website", "url", "title", "author", "date")
 
 
+@query(SQL["ingest_following_links"])
+def ingest_links_across_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages landing in three batches, children before parents and start pages last."""
+    pages, sites = samples.doc_pages_with_copies(spark, sf), samples.doc_sites(spark, sf)
+    articles, state = ParquetStore(spark, scratch_path(spark, "articles")), LinkState(spark, scratch_path(spark, "links"))
+    place = F.floor(F.col("page_id") % (1 << 40) / samples.DOC_SITES)
+    for batch in (place >= 7, (place > 0) & (place < 7), place == 0):
+        landed = materialize(pages.filter(batch), "landed")
+        run_ingest(spark, landed, sites, articles, scratch_path(spark, "rejects"), follow_links=True, link_state=state)
+    return articles.read().select("website", "url", "title", "author", "date")
+
+
 @query(SQL_STORED)
 def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The same pages landing in two halves of several files, ingested by two calls of a stream."""
@@ -787,3 +828,19 @@ def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
             spark, landing, samples.doc_sites(spark, sf), articles, rejects, checkpoint=checkpoint, name="landing", schema=schema
         )
     return articles.read()
+
+
+@query(SQL_STORED)
+def ingest_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages landing in three batches, the later ones with pages of the earlier ones again: each is read once."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    pages, sites = samples.doc_pages_with_copies(spark, sf), samples.doc_sites(spark, sf)
+    schema = pages.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    articles, rejects = ParquetStore(spark, scratch_path(spark, "articles")), scratch_path(spark, "rejects")
+    third = F.pmod(F.xxhash64("page_id"), F.lit(3))
+    for batch in (third == 0, third < 2, third > 0):
+        pages.filter(batch).write.mode("append").parquet(landing)
+        ingest_landing(
+            spark, landing, sites, articles, rejects, checkpoint=checkpoint, name="repeats", schema=schema, remember="30 days"
+        )
+    return articles.read()

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from newsloom.functions import urls
 from newsloom.operators import extract, frontier, links, reports, store
 from newsloom.operators.frontier import unseen
+from newsloom.operators.latest import LatestArticles
+from newsloom.operators.link_state import LinkState, schema_text
 from newsloom.scratch import path_exists, scratch_root
 from newsloom.sources.pages import assign_sites, join_rules
 
@@ -41,7 +43,7 @@ PAGES_A_TASK, LEAST_PAGES_A_TASK = 5_000, 20
 
 @dataclass(frozen=True)
 class IngestResult:
-    """Tables of a finished run; ``visited`` (website, url, depth) if links were followed."""
+    """Tables of a finished run; ``visited`` (website, url, depth) if links were followed, with a link state without depth."""
 
     decisions: DataFrame
     outcome: DataFrame
@@ -173,6 +175,29 @@ def _follow_levels(stages: _Stages, decisions: DataFrame, sites: DataFrame, one_
     return kept.unionByName(over.select(*key, F.lit("budget").alias("_missed")))
 
 
+def _without_landed(decisions: DataFrame, state: LinkState, number: int) -> DataFrame:
+    """Pages that landed in an earlier run are seen: they were read, and links to them are kept."""
+    keys = decisions.filter("accepted").select("website", F.col("canonical_url").alias("url"))
+    landed = state.landed_among(keys, number).select("website", F.col("url").alias("canonical_url"), F.lit(True).alias("_landed"))
+    again = F.col("accepted") & F.col("_landed").isNotNull()
+    return (
+        decisions.join(landed, ["website", "canonical_url"], "left")
+        .withColumn("reason", F.when(again, "seen").otherwise(F.col("reason")))
+        .withColumn("accepted", F.col("reason").isNull())
+        .select(*decisions.columns)
+    )
+
+
+def _follow_state(stages: _Stages, decisions: DataFrame, sites: DataFrame, one_host: bool, read, state: LinkState, number: int):
+    """(articles of the pages that this run reaches, whenever they landed; (website, url, _missed null) of these pages)."""
+    landed = stages.once("read", lambda: read(_taken(decisions)))
+    edges = links.site_edges(links.harvest(landed.select("website", "url", "links")), sites, one_host)
+    start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
+    reached = state.advance(number, landed, edges, sites.select("website", start.alias("url")))
+    articles = stages.once("reached", lambda: state.articles_of(reached, schema_text(landed)))
+    return articles, reached.select("website", "url", F.lit(None).cast("string").alias("_missed"))
+
+
 def run_ingest(
     spark: SparkSession,
     pages: DataFrame,
@@ -185,6 +210,9 @@ def run_ingest(
     text_mode: str = "first_text",
     on_bad_date: str = "reject",
     read_partitions: int | None = None,
+    link_state: LinkState | None = None,
+    latest: LatestArticles | None = None,
+    fresh: DataFrame | None = None,
 ) -> IngestResult:
     """Take pages, extract articles, append the new ones, keep every reject.
 
@@ -194,7 +222,17 @@ def run_ingest(
     hosts than the start point's are not followed); otherwise every page that
     passes the filters is a candidate. ``read_partitions`` spreads markup over so
     many partitions before it is read; by default their number follows from the
-    pages to read. A run that is repeated under its ``run_id`` must have
+    pages to read. With a ``link_state`` links are followed across runs: a page that no
+    reached page links to yet is read, kept, and stored by the run that reaches it, and
+    pages that landed before are ``seen``; budgets, which hold for one run, can't be
+    combined with it. ``latest`` is brought up to date with the new articles. With
+    ``fresh`` (website, key) pages whose canonical URL, or URL where there is none,
+    isn't among its keys are ``seen``.
+
+    With a ``link_state`` links are followed across runs: a page that no reached page
+    links to yet is read, kept, and stored by the run that reaches it; pages that
+    landed before are ``seen``. Budgets hold for one run and can't be combined with it.
+    A run that is repeated under its ``run_id`` must have
     the same pages, sites and options.
     """
     stages = _Stages(spark, run_id or uuid.uuid4().hex)
@@ -205,12 +243,15 @@ def run_ingest(
     run_id = run_id or stages.folder.rsplit("newsloom-run-", 1)[1]
     replay = stages.done("outcome")
     limited = not sites.filter(F.col("max_visits") > 0).isEmpty()
+    if link_state is not None and (limited or not follow_links):
+        raise ValueError("a link state follows links, and without budgets")
     layouts = date_layouts(sites)
 
-    checked = stages.once(
-        "checked",
-        lambda: frontier.check(assign_sites(pages.drop("html"), sites), enter_start=follow_links),
-    )
+    def check() -> DataFrame:
+        rows = frontier.check(assign_sites(pages.drop("html"), sites), enter_start=follow_links)
+        return rows if fresh is None else frontier.mark_seen(rows, fresh)
+
+    checked = stages.once("checked", check)
     decisions = stages.once("decided", lambda: frontier.decide(checked, article_store.known()))
     if limited and not follow_links:
         decided = decisions
@@ -220,11 +261,18 @@ def run_ingest(
         # rules join the narrow side; page_id is unique, so this join has no hot key
         ruled = pages.select("page_id", "html").join(with_reading_rules(taken, sites), "page_id")
         tasks = read_partitions or reading_tasks(taken)
-        return read_articles(ruled, text_mode, on_bad_date, follow_links and limited, tasks, layouts)
+        keep_links = follow_links and (limited or link_state is not None)
+        return read_articles(ruled, text_mode, on_bad_date, keep_links, tasks, layouts)
 
     if follow_links:
+        number = link_state.number(run_id) if link_state is not None else None
+        if link_state is not None:
+            decided = decisions
+            decisions = stages.once("new", lambda: _without_landed(decided, link_state, number))
         found = decisions
-        if limited:
+        if link_state is not None:
+            articles, walked = _follow_state(stages, found, sites, one_host, read, link_state, number)
+        elif limited:
             walked = _follow_levels(stages, found, sites, one_host, read)
         else:
             walked = _follow_all(stages, pages, found, sites, one_host, read_partitions)
@@ -241,9 +289,10 @@ def run_ingest(
 
         decisions = stages.once("visited", keep_visited)
 
-    if follow_links and limited:
-        columns = ["page_id", "website", "url", "title", "description", "content", "author", "date"]
-        columns += ["reason", "detail", "warnings"]
+    columns = ["page_id", "website", "url", "title", "description", "content", "author", "date", "reason", "detail", "warnings"]
+    if link_state is not None:
+        articles = articles.select(*columns)
+    elif follow_links and limited:
         levels = f"{stages.folder}/read"
         articles = (
             spark.read.parquet(levels).select(*columns)
@@ -253,16 +302,17 @@ def run_ingest(
     else:
         articles = stages.once("read", lambda: read(_taken(decisions)))
 
+    # Pages of earlier runs may have the same page_id, but no two rows the same URL.
+    row = ["page_id", "website", "url"]
+
     def outcome() -> DataFrame:
         good = articles.filter(F.col("reason").isNull())
-        rows = good.select(F.struct("page_id", "website").alias("seq"), "url")
-        winners = store.first_claims(rows, article_store.known(), "seq").select(
-            "seq.page_id", "seq.website", F.lit(True).alias("_wins")
-        )
+        rows = good.select(F.struct(*row).alias("seq"), "url")
+        winners = store.first_claims(rows, article_store.known(), "seq").select("seq.*", F.lit(True).alias("_wins"))
         lost = F.col("reason").isNull() & F.col("_wins").isNull()
         return (
-            articles.select("page_id", "website", "url", "reason", "detail", "warnings")
-            .join(winners, ["page_id", "website"], "left")
+            articles.select(*row, "reason", "detail", "warnings")
+            .join(winners, row, "left")
             .withColumn("reason", F.when(lost, "duplicate_url").otherwise(F.col("reason")))
             .drop("_wins")
         )
@@ -279,8 +329,11 @@ def run_ingest(
     rejects.write.mode("overwrite").parquet(run_rejects)
 
     # only good articles can lose their URL to another: few rows, whatever was rejected
-    losers = result.filter(F.col("reason") == "duplicate_url").select("page_id", "website")
-    new = articles.filter(F.col("reason").isNull()).join(losers, ["page_id", "website"], "left_anti")
+    losers = result.filter(F.col("reason") == "duplicate_url").select(*row)
+    new = articles.filter(F.col("reason").isNull()).join(losers, row, "left_anti")
+    if latest is not None:
+        # a batch may be merged twice, but an earlier attempt may have stored it and died before
+        latest.update(new)
     if replay:
         # an earlier attempt may have got as far as the store
         new = unseen(new, ["url"], article_store.known())
@@ -293,6 +346,8 @@ def run_ingest(
             F.when(F.col("n_accepted") == 0, "start_missing").otherwise(F.col("stop_reason")),
         )
     visited = None
-    if follow_links:
+    if link_state is not None:
+        visited = link_state.reached_in(number).select("website", "url")
+    elif follow_links:
         visited = spark.read.parquet(f"{stages.folder}/{'level' if limited else 'reached'}").select("website", "url", "depth")
     return IngestResult(decisions, result, spark.read.parquet(run_rejects), report, visited)

@@ -7,13 +7,14 @@ documents. ``pages`` are used as they are, the host being the website.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import urls
 from newsloom.functions.dates import translate_layout
 from newsloom.functions.text import escape_markup, first_line, trim_field
 from newsloom.plans.ingest import spread
+from newsloom.scratch import materialize
 
 DOC_SITES = 20
 DOC_DATE_FORMAT = "{DAY_NUM} {MONTH_LONG} {YEAR_LONG}"
@@ -182,6 +183,40 @@ def doc_sites(spark: SparkSession, sf_dir: str, max_visits: int = 0) -> DataFram
     )
 
 
+def doc_archives(spark: SparkSession, sf_dir: str, pages_each: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sites, edges, pages): the documents of a site as one long archive, ``pages_each`` pages for a document.
+
+    Every page links to the next. By the number of the site, the start also links to
+    the middle (1), the link there is missing (2), or the last page links to the
+    middle (3).
+    """
+    docs = documents_of_sites(spark, sf_dir).select("website", "doc_id", "url")
+    pages = docs.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(pages_each - 1))))
+    # Places by site: documents are ranked, and each has as many pages.
+    ranked = docs.withColumn("rank", F.row_number().over(Window.partitionBy("website").orderBy("doc_id")) - 1)
+    pages = pages.join(ranked.select("doc_id", "rank"), "doc_id")
+    placed = pages.select("website", F.concat("url", F.lit("?page="), "p").alias("url"), (F.col("rank") * pages_each + F.col("p")).alias("place"))
+    placed = materialize(placed, "archive")
+    ends = placed.groupBy("website").agg(F.count("*").alias("n"))
+    kind, half = F.substring("website", 4, 10).cast("int") % 4, F.floor(F.col("n") / 2)
+    steps = placed.join(ends, "website").select(
+        "website",
+        F.col("url").alias("from_url"),
+        F.explode(
+            F.concat(
+                F.when((kind == 2) & (F.col("place") == half - 1), F.array().cast("array<bigint>")).otherwise(F.array((F.col("place") + 1).cast("bigint"))),
+                F.when((kind == 1) & (F.col("place") == 0) | (kind == 3) & (F.col("place") == F.col("n") - 1), F.array(half)).otherwise(
+                    F.array().cast("array<bigint>")
+                ),
+            )
+        ).alias("place"),
+    )
+    to = placed.select("website", F.col("place").cast("bigint").alias("place"), F.col("url").alias("to_url"))
+    edges = steps.join(to, ["website", "place"]).select("website", "from_url", "to_url")
+    first = placed.filter("place = 0").select("website", F.col("url").alias("start_point"))
+    return with_rules(first), edges, placed.select("website", "url")
+
+
 def doc_pages_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document pages plus a second copy of every Spanish page under another URL."""
     pages = doc_pages(spark, sf_dir)
