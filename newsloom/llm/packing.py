@@ -35,6 +35,12 @@ END_ID = 1
 #: Rounds of weights for one linear program, and the step by which a covered length loses weight.
 ROUNDS = 96
 STEP = 0.5
+#: Lengths weigh a little more than their tokens, so that short pieces are left for where they are needed.
+PRIOR = 1.1
+#: Pieces up to which configurations hold no more of a length than there are, and their rounds.
+FEW, FEW_ROUNDS = 2000, 24
+#: Share of a sequence that a configuration fills to be used once more than its rounded number.
+FULL = 0.999
 #: A character of no language, which is put between words that are encoded together.
 SEPARATOR = "\ue000"
 #: Words that go to the tokenizer in one call; its own results take many times the room of the ids.
@@ -51,25 +57,36 @@ def best_configuration(value: np.ndarray, capacity: int) -> np.ndarray:
 
     ``value[l]`` is the worth of a piece of length l, 0 if there is none.
     """
-    lengths = np.flatnonzero(value > 0)
-    best = np.zeros(capacity + 1)
+    best, worth = np.zeros(capacity + 1), np.empty(capacity)
     choice = np.zeros(capacity + 1, np.int64)
+    value = np.ascontiguousarray(value, float)
     for room in range(1, capacity + 1):
-        usable = lengths[: np.searchsorted(lengths, room, "right")]
-        best[room] = best[room - 1]
-        if len(usable):
-            worth = best[room - usable] + value[usable]
-            at = int(np.argmax(worth))
-            if worth[at] > best[room]:
-                best[room], choice[room] = worth[at], usable[at]
+        # The lengths 1 to room against what is best in the rest of the room; a length worth nothing stands for leaving it free.
+        np.add(best[room - 1 :: -1], value[1 : room + 1], out=worth[:room])
+        at = int(worth[:room].argmax())
+        best[room], choice[room] = worth[at], at + 1
     counts = np.zeros(len(value), np.int64)
     room = capacity
     while room > 0:
-        if choice[room] == 0:
-            room -= 1
-        else:
-            counts[choice[room]] += 1
-            room -= choice[room]
+        counts[choice[room]] += value[choice[room]] > 0
+        room -= choice[room]
+    return counts
+
+
+def best_of_pieces(value: np.ndarray, need: np.ndarray, capacity: int) -> np.ndarray:
+    """``best_configuration`` with no more pieces of a length than there are (knapsack piece by piece)."""
+    lengths = np.flatnonzero((value > 0) & (need > 0))
+    pieces = np.repeat(lengths, np.minimum(need[lengths], capacity // lengths))
+    best, taken = np.zeros(capacity + 1), np.zeros((len(pieces), capacity + 1), bool)
+    for i, length in enumerate(pieces.tolist()):
+        worth = best[:-length] + value[length]
+        np.greater(worth, best[length:], out=taken[i, length:])
+        np.maximum(worth, best[length:], out=best[length:])
+    counts, room = np.zeros(len(value), np.int64), capacity
+    for i in range(len(pieces) - 1, -1, -1):
+        if taken[i, room]:
+            counts[pieces[i]] += 1
+            room -= pieces[i]
     return counts
 
 
@@ -83,8 +100,10 @@ def cover(histogram: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tu
     for _ in range(rounds):
         # A length weighs its tokens, less and less the more of its need is covered.
         share = np.where(present, covered / np.maximum(need, 1), 0)
-        weight = np.where(present, lengths * np.exp(-STEP * rounds * (share - share[present].min())), 0)
-        counts = best_configuration(np.where(weight > weight.max() * 1e-9, weight, 0), capacity)
+        weight = np.where(present, lengths**PRIOR * np.exp(-STEP * rounds * (share - share[present].min())), 0)
+        weight = np.where(weight > weight.max() * 1e-9, weight, 0)
+        few = need.sum() <= FEW
+        counts = best_of_pieces(weight, histogram, capacity) if few else best_configuration(weight, capacity)
         used = counts > 0
         often = float((need[used] / counts[used]).min()) / rounds * 4
         covered += counts * often
@@ -133,12 +152,16 @@ def plan_sequences(histogram: np.ndarray, capacity: int = SEQUENCE_TOKENS) -> Pl
 
     if left[capacity]:
         use(np.eye(1, capacity + 1, capacity, dtype=np.int64)[0], int(left[capacity]))
-    total = int(left.sum())
-    while left.sum() > max(2000, total // 500):
+    lengths = np.arange(capacity + 1)
+    while left.any():
         before = int(left.sum())
-        for counts, x in sorted(cover(left, capacity), key=lambda c: -c[1]):
+        found = cover(left, capacity, ROUNDS if before > FEW else FEW_ROUNDS)
+        # Rounded down, the most used first; then those that leave next to nothing over once more, the longest pieces first.
+        down = [(counts, int(x)) for counts, x in sorted(found, key=lambda c: -c[1])]
+        full = [(counts, 1) for counts, _ in found if int(counts @ lengths) >= FULL * capacity]
+        for counts, wanted in down + sorted(full, key=lambda c: -int(np.flatnonzero(c[0])[-1])):
             used = counts > 0
-            n = min(int(x), int((left[used] // counts[used]).min()))
+            n = min(wanted, int((left[used] // counts[used]).min()))
             if n > 0:
                 use(counts, n)
         if int(left.sum()) > 0.9 * before:
@@ -176,9 +199,13 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and threads keep memory
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True
-    return loaded
+    return Tokenizer.from_file(path)
+
+
+@cache
+def special_tokens(path: str) -> tuple[str, ...]:
+    """What the tokenizer takes for one token wherever it stands, in lower case."""
+    return tuple(sorted({t.content.lower() for t in tokenizer(path).get_added_tokens_decoder().values()}))
 
 
 def spread_out(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -254,8 +281,26 @@ class WordIds:
         return at
 
     def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, ``END_ID`` after each text, and where each text begins (n + 1 places)."""
+        """All ids in a row, ``END_ID`` after each text, and where each text begins (n + 1 places).
+
+        Texts that hold a special token of the tokenizer are given to it whole.
+        """
         plain = texts.cast(pa.large_string()).fill_null("")
+        whole = np.zeros(len(plain), bool)
+        for token in special_tokens(self.path):
+            whole |= np.asarray(pc.match_substring(plain, token, ignore_case=True))
+        if not whole.any():
+            return self.of_words(plain)
+        ids, at = self.of_words(pc.if_else(pa.array(whole), "", plain))
+        rows = np.flatnonzero(whole)
+        coded = [tokenizer(self.path).encode(plain[int(i)].as_py(), add_special_tokens=False).ids for i in rows]
+        size = np.zeros(len(whole) + 1, np.int64)
+        size[rows + 1] = [len(c) for c in coded]
+        new = np.array([*chain.from_iterable(coded)], np.uint32)
+        return np.insert(ids, np.repeat(at[rows], size[rows + 1]), new), at + np.cumsum(size)
+
+    def of_words(self, plain: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``of_texts`` for texts without special tokens, by the ids of their words."""
         split = pc.ascii_split_whitespace(pc.replace_substring_regex(plain, self.MARKS, r"\1 \2"))
         coded = split.flatten().dictionary_encode()
         places = self.places(coded.dictionary.to_pylist())

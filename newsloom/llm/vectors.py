@@ -40,7 +40,7 @@ FAN = 32
 SLACK = 1e-9
 
 
-def usable(vector: Column, dimension: int) -> Column:
+def usable(vector: Column, dimension: int | Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return F.coalesce((F.size(vector) == dimension) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
@@ -256,21 +256,28 @@ def dealt_links(pairs: DataFrame, turned: np.ndarray, cosine: float, element: st
 def similar_vectors(table: DataFrame, cosine: float = COSINE, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``table``.
 
-    Two rows are linked if the cosine of their vectors, in double precision, is at
-    least ``cosine``; equal vectors are. ``component_id`` is the smallest id that
-    links lead to. A vector that is null, zero, of another length than most, or holds
-    a null or a number that isn't finite has no links and is its own component. Rows
-    that repeat an id or a vector are rows of their own. A row without id belongs to
-    the component of its links, and is kept where no row there has an id. Other
-    columns are not read.
+    Two rows are linked if their vectors are of one length and their cosine, in double
+    precision, is at least ``cosine``; equal vectors are. ``component_id`` is the
+    smallest id that links lead to. A vector that is null, empty, zero, or holds a null
+    or a number that isn't finite has no links and is its own component. Rows that
+    repeat an id or a vector are rows of their own. A row without id belongs to the
+    component of its links, and is kept where no row there has an id. An empty table
+    gives an empty one. Other columns are not read.
     """
-    spark = table.sparkSession
-    lengths = table.filter(F.size(vector) > 0).groupBy(F.size(vector).alias("d")).count()
-    most = lengths.orderBy(F.desc("count"), F.desc("d")).first()
     ids = table.select(F.col(id_column).alias("id"), F.col(vector).alias("vector"))
-    if most is None:
-        return ids.select(F.col("id").alias(id_column), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    dimension = most["d"]
+    # A row for each length that occurs; vectors come from few models.
+    lengths = sorted(r.d for r in ids.filter(F.size("vector") > 0).select(F.size("vector").alias("d")).distinct().collect())
+    alone = ids.filter(~usable(F.col("vector"), F.size("vector")) | ~(F.size("vector") > 0) | F.col("vector").isNull())
+    result = alone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    for dimension in lengths:
+        result = result.unionByName(linked_vectors(table, dimension, cosine, id_column, vector))
+    return result.select(
+        F.col("id").alias(id_column), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
+def linked_vectors(table: DataFrame, dimension: int, cosine: float, id_column: str, vector: str) -> DataFrame:
+    """(id, n_links, component_id) for the rows with a usable vector of one length."""
     element = table.schema[vector].dataType.elementType.simpleString()
     named = materialize(distinct_vectors(table, dimension, id_column, vector), "vectors")
     classes = named.groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("size"), F.any_value("vector").alias("vector"))
@@ -283,7 +290,8 @@ def similar_vectors(table: DataFrame, cosine: float = COSINE, id_column: str = "
     content = materialize(named_cut.select("id", "nodes", "sizes", "rows"), "contents")
     left = content.select(F.col("id").alias("a"), *[F.col(c).alias(f"{c}_a") for c in ("nodes", "sizes", "rows")])
     right = content.select(F.col("id").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("nodes", "sizes", "rows")])
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A pair of intervals is work for a second or so: as many tasks as pairs, up to a few for each core.
+    tasks = max(1, min(pairs.count(), 8 * table.sparkSession.sparkContext.defaultParallelism))
     both = pairs.join(left, "a").join(right, "b").repartition(tasks, "a", "b")
     links = materialize(dealt_links(both, turned, cosine, element), "vector-links")
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
@@ -294,8 +302,4 @@ def similar_vectors(table: DataFrame, cosine: float = COSINE, id_column: str = "
     result = judged.join(least, "root").select(
         "node", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )
-    linked = named.select("id", "node").join(materialize(result, "vector-results"), "node").select("id", "n_links", "component_id")
-    alone = ids.filter(~usable(F.col("vector"), dimension)).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(
-        F.col("id").alias(id_column), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    return named.select("id", "node").join(materialize(result, "vector-results"), "node").select("id", "n_links", "component_id")

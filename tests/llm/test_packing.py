@@ -1,15 +1,18 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from newsloom.llm import packing
-from newsloom.llm.packing import WordIds, best_configuration, plan_sequences, token_pieces, tokenizer
+from newsloom.llm.packing import WordIds, best_configuration, plan_sequences, token_pieces
 from newsloom.llm.queries import op8_packing, tokenizer_path
 from newsloom.scratch import materialize
 
@@ -20,8 +23,13 @@ def path():
     return tokenizer_path()
 
 
+@cache
+def own_tokenizer(path):
+    return Tokenizer.from_file(path)
+
+
 def plain_ids(path, text):
-    return [*tokenizer(path).encode(text or "", add_special_tokens=False).ids, 1]
+    return [*own_tokenizer(path).encode(text or "", add_special_tokens=False).ids, 1]
 
 
 ODD = "\ue000\uf8ffaTKé̈́İẞσΣ'sS.,!&|≠ \t\n\x0b\x85\xa0 漢😀٣1<|endoftext|>~`"
@@ -36,6 +44,36 @@ def test_ids_are_those_of_the_whole_text(texts):
     assert got == [plain_ids(words.path, t) for t in texts]
 
 
+def test_best_of_pieces():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        need, value = rng.integers(0, 3, 12), rng.random(12)
+        need[0] = 0
+        got = packing.best_of_pieces(value, need, 15)
+        assert (got <= need).all() and got @ np.arange(12) <= 15
+        pieces = np.repeat(np.arange(12), need)
+        sums = [(sum(value[p] for p in c)) for n in range(len(pieces) + 1) for c in combinations(pieces, n) if sum(c) <= 15]
+        assert got @ value == pytest.approx(max(sums))
+
+
+def test_special_tokens_are_the_tokenizers_own(path):
+    texts = ["a <|endoftext|> b", "x<|ENDOFTEXT|>y", "<|startoftext|><|endoftext|>", "no special token", None, "a <| endoftext|> b", "<|endoftext|>" * 3]
+    ids, at = WordIds(path).of_texts(pa.array(texts))
+    got = [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+    assert got == [plain_ids(path, t) for t in texts] and got[0] == [320, 49407, 321, 1]
+
+
+def test_few_pieces_are_planned_by_the_program_too(monkeypatch):
+    rng = np.random.default_rng(1)
+    histogram = np.bincount(np.minimum(4095, rng.lognormal(6, 1, 200).astype(int) + 1), minlength=4097)
+    left = {}
+    monkeypatch.setattr(packing, "best_fit", lambda h, capacity, plain=packing.best_fit: left.setdefault("pieces", int(h.sum())) and plain(h, capacity) or ())
+    plan = plan_sequences(histogram)
+    assert left.get("pieces", 0) < 0.5 * 200
+    assert sum(n * sum(c.values()) for c, n in plan.rows) == 200
+    assert plan.sequences <= -(-int((histogram * np.arange(4097)).sum()) // 4096) + 1
+
+
 def test_forgetting_changes_nothing(monkeypatch, path):
     monkeypatch.setattr(packing, "REMEMBERED_WORDS", 20)
     words, rng = WordIds(path), random.Random(3)
