@@ -97,7 +97,8 @@ def test_in_a_stream_and_replayed(spark, tmp_path, monkeypatch):
     sites, articles, state = sites_table(spark, FREE), ParquetStore(spark, str(tmp_path / "a")), LinkState(spark, str(tmp_path / "s"), 4)
     landing = str(tmp_path / "in")
     call = lambda: ingest_landing(spark, landing, sites, articles, str(tmp_path / "r"), str(tmp_path / "c"), "n", follow_links=True, link_state=state)
-    for rows in (PAGES[3:], PAGES[1:3], PAGES[:1]):
+    once = [r for r in PAGES if r[0] != 4]  # of two pages of one URL the first to land counts
+    for rows in (once[3:], once[1:3], once[:1]):
         pages(spark, rows).coalesce(1).write.mode("append").parquet(landing)
         if len(rows) == 2:
             with monkeypatch.context() as m:
@@ -105,5 +106,5 @@ def test_in_a_stream_and_replayed(spark, tmp_path, monkeypatch):
                 with pytest.raises(Exception):
                     call()
         call()
-    assert stored(articles) == whole(spark, tmp_path, PAGES)
+    assert stored(articles) == whole(spark, tmp_path, once)
     assert len(articles.read().collect()) == len(stored(articles))
