@@ -2,12 +2,13 @@
 
 Counts are quantised on a log scale; an n-gram of level q is a member q times, as
 (n-gram, 1) to (n-gram, q), so its count is read back by probing level after level
-until one is missing. The filter is built in segments by the tasks that count, and
-is broadcast to the workers. Errors are one-sided: an n-gram is never taken for
-rarer than its level, and with the filter's false-positive rate for one level more
-frequent. The members are counted first: where a filter within the bound of what is
-broadcast would exceed ``FALSE_POSITIVES``, units use the levels themselves, which
-the buckets answer for the n-grams of each unit.
+until one is missing. Errors are one-sided: an n-gram is never taken for rarer than
+its level, and with the filter's false-positive rate for one level more frequent.
+
+The filter grows with the members: each bucket of n-grams counts its own and sizes its
+segment for ``FALSE_POSITIVES``. Where all segments are within the bound of what is
+broadcast, workers probe them; beyond it each bucket probes its segment for the n-grams
+that the units ask about. Scores come from the same probes either way.
 
 Unigram counts are exact. Units of documents ask the buckets for the counts of
 their distinct words, which answer each unit with one message.
@@ -29,10 +30,9 @@ from newsloom.llm.words import LOWER, find_words, mix, slices, text_bytes, word_
 from newsloom.scratch import materialize
 
 FOLDS, HELD_OUT = 7, 2
-#: Bytes of the filter, the bound of what is broadcast, and the false positives of one level that it may have.
+#: Bytes of the filter up to which it is broadcast, and the false positives of one level that it may have.
 FILTER_BYTES = 32 << 20
 FALSE_POSITIVES = 0.01
-SEGMENTS = 1024
 PROBES = 3
 #: n-grams seen less often are not members, and each level stands for counts twice as high.
 LEAST_COUNT = 1
@@ -102,44 +102,47 @@ def count_of_level(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, LEAST_COUNT * LEVEL_BASE ** (level - 1) * np.sqrt(LEVEL_BASE), 0.0)
 
 
-def bit_places(keys: np.ndarray, level: int | np.ndarray, bits: int) -> np.ndarray:
-    """(keys, PROBES) places of the member (key, level) in its segment of ``bits`` bits."""
-    first = mix(keys ^ mix(np.asarray(level, np.uint64) * np.ones(len(keys), np.uint64), 5), 6)
+def bit_places(keys: np.ndarray, level: int, bits: np.ndarray) -> np.ndarray:
+    """(keys, PROBES) places of the member (key, level) in the segment of each key, of ``bits`` bits."""
+    first = mix(keys ^ mix(np.array([level], np.uint64), 5), 6)
     step = mix(first, 7) | np.uint64(1)
     probes = np.arange(PROBES, dtype=np.uint64)
-    return ((first[:, None] + step[:, None] * probes) >> np.uint64(11)) % np.uint64(bits)
+    return ((first[:, None] + step[:, None] * probes) >> np.uint64(11)) % bits[:, None]
 
 
-def segment_of(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64(SEGMENTS - 1)).astype(np.int64)
+def segment_bytes(members: int, rate: float) -> int:
+    """Bytes of a segment that takes another key for a member at this rate."""
+    return 8 + int(-PROBES * members / np.log1p(-(rate ** (1 / PROBES)))) // 8
 
 
-def fill(keys: np.ndarray, counts: np.ndarray, segment_bytes: int) -> np.ndarray:
-    """The bytes of one segment with all levels of ``keys``."""
-    bits = np.zeros(segment_bytes * 8, bool)
+def fill(keys: np.ndarray, counts: np.ndarray, rate: float = FALSE_POSITIVES) -> np.ndarray:
+    """The bytes of a segment with all levels of ``keys``, sized for the rate."""
     level = levels(counts)
+    bits = np.zeros(segment_bytes(int(level.sum()), rate) * 8, bool)
     for n in range(1, int(level.max(initial=0)) + 1):
-        bits[bit_places(keys[level >= n], n, len(bits)).ravel()] = True
+        some = keys[level >= n]
+        bits[bit_places(some, n, np.full(len(some), len(bits), np.uint64)).ravel()] = True
     return np.packbits(bits, bitorder="little")
 
 
-def false_positives(members: int, bits: int) -> float:
-    """Rate at which a filter of ``bits`` with so many members takes another key for one."""
-    return float(-np.expm1(-PROBES * members / bits)) ** PROBES
-
-
 @dataclass
 class Filter:
-    """The filter: one row of bytes for each segment."""
+    """Segments in a row, one for each bucket; that of bucket b is ``data[begins[b]:begins[b + 1]]``, empty if it has no members."""
 
-    segments: np.ndarray
+    data: np.ndarray
+    begins: np.ndarray
 
     def level(self, keys: np.ndarray) -> np.ndarray:
+        """The level of each whole key, from probes of its bucket's segment."""
+        buckets = len(self.begins) - 1
+        bucket = (keys & np.uint64(buckets - 1)).astype(np.int64)
+        rest = keys >> np.uint64(buckets.bit_length() - 1)
+        bits = (np.diff(self.begins)[bucket] * 8).astype(np.uint64)
         found = np.zeros(len(keys), np.int64)
-        alive, segment = np.arange(len(keys)), segment_of(keys)
+        alive = np.flatnonzero(bits > 0)
         for n in range(1, 64):
-            places = bit_places(keys[alive], n, self.segments.shape[1] * 8)
-            byte = self.segments[segment[alive][:, None], (places >> np.uint64(3)).astype(np.int64)]
+            places = bit_places(rest[alive], n, bits[alive])
+            byte = self.data[self.begins[bucket[alive]][:, None] + (places >> np.uint64(3)).astype(np.int64)]
             hit = ((byte >> (places & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
             alive = alive[hit]
             if not len(alive):
@@ -149,7 +152,7 @@ class Filter:
 
     @property
     def full(self) -> float:
-        return float(np.unpackbits(self.segments.ravel()).mean())
+        return float(np.unpackbits(self.data).mean())
 
 
 # --- counting ----------------------------------------------------------------
@@ -189,11 +192,11 @@ def messages(kind: int, keys: np.ndarray, counts: np.ndarray, unit: int, buckets
         yield kind, bucket, unit, U.pack_sorted(rest[part]), U.pack_numbers(counts[part])
 
 
-def answer_bucket(table: pa.Table, buckets: int, segment_bytes: int) -> Iterator[tuple]:
-    """Counts of the words and levels of the n-grams of each unit, totals of the bucket, and the bits of its n-grams.
+def answer_bucket(table: pa.Table, buckets: int, filter_bytes: int, rate: float) -> Iterator[tuple]:
+    """The segment of the bucket, counts of the words and levels of the n-grams of each unit, and totals of the bucket.
 
-    Levels come in the order in which the unit asked. A bucket whose share of the members is
-    too many for the filter leaves its bits out.
+    Levels are what probes of the segment tell, in the order in which the unit asked. A segment
+    whose share of the whole filter is too large for a broadcast stays with the bucket.
     """
     kinds, unit_ids = (table.column(c).to_numpy() for c in ("kind", "unit"))
     bucket = int(table.column("bucket")[0].as_py())
@@ -201,23 +204,15 @@ def answer_bucket(table: pa.Table, buckets: int, segment_bytes: int) -> Iterator
     rest = {k: [U.unpack_sorted(packed[i][0]) for i in np.flatnonzero(kinds == k)] for k in (WORD, NGRAM)}
     seen = {k: [U.unpack_numbers(packed[i][1]) for i in np.flatnonzero(kinds == k)] for k in (WORD, NGRAM)}
     keys, counts = U.summed(rest[NGRAM], seen[NGRAM])
-    level = levels(counts)
-    members = int(level.sum())
-    bits = SEGMENTS * segment_bytes * 8
-    fits = false_positives(members * buckets, bits) <= 2 * FALSE_POSITIVES
+    segment = fill(keys[counts >= LEAST_COUNT], counts[counts >= LEAST_COUNT], rate)
+    level = Filter(segment, np.array([0, len(segment)])).level(keys)
     for unit, own in zip(unit_ids[kinds == NGRAM].tolist(), rest[NGRAM], strict=True):
         yield NGRAM, bucket, unit, b"", level[np.searchsorted(keys, own)].astype(np.uint8).tobytes()
-    if fits:
-        learned = level > 0
-        whole, counts = U.whole_keys(keys[learned], bucket, buckets), counts[learned]
-        segment = segment_of(whole)
-        order = np.argsort(segment, kind="stable")
-        whole, counts, segment = whole[order], counts[order], segment[order]
-        for s in np.unique(segment).tolist():
-            part = slice(*np.searchsorted(segment, [s, s + 1]))
-            yield BITS, bucket, s, fill(whole[part], counts[part], segment_bytes).tobytes(), b""
+    small = len(segment) * buckets <= 2 * filter_bytes
+    yield BITS, bucket, -1, segment.tobytes() if small else b"", b""
     keys, counts = U.summed(rest[WORD], seen[WORD])
-    yield TOTAL, bucket, -1, b"", U.pack_numbers(np.array([counts.sum(), (counts > 0).sum(), members, not fits], np.uint64))
+    totals = [counts.sum(), (counts > 0).sum(), len(segment), not small]
+    yield TOTAL, bucket, -1, b"", U.pack_numbers(np.array(totals, np.uint64))
     for unit, own in zip(unit_ids[kinds == WORD].tolist(), rest[WORD], strict=True):
         found = counts[np.searchsorted(keys, own)]
         yield WORD, bucket, unit, U.pack_sorted(own), U.pack_numbers(found)
@@ -239,28 +234,23 @@ class Model:
     order: int
 
 
-def learn(docs: DataFrame, order: int = 2, filter_bytes: int = FILTER_BYTES, key: str = "doc_id") -> Model:
+def learn(
+    docs: DataFrame, order: int = 2, filter_bytes: int = FILTER_BYTES, key: str = "doc_id", rate: float = FALSE_POSITIVES
+) -> Model:
     """Count the words and n-grams of the rows of ``docs`` outside the held-out fold.
 
     The stored answers hold a few bytes for each distinct word of a unit and one for each
-    distinct n-gram; the filter comes to the driver in ``SEGMENTS`` rows of ``filter_bytes``
-    in all, unless its false positives would be more than ``FALSE_POSITIVES``.
+    distinct n-gram. The filter's size follows from its members and ``rate``, its false
+    positives; it comes to the driver and is broadcast up to ``filter_bytes``.
     """
     units, buckets = U.plan_sizes(docs)
-    segment_bytes = filter_bytes // SEGMENTS
     text = docs.select(U.unit_of(F.col(key), units).alias("unit"), held_out(F.col(key)).alias("held_out"), "text")
 
     def ask(key_: tuple, table: pa.Table) -> pa.Table:
         return U.rows_to_table(unit_messages(table, key_[0].as_py(), buckets, order), MESSAGE_SCHEMA)
 
     def answer(table: pa.Table) -> pa.Table:
-        return U.rows_to_table(answer_bucket(table, buckets, segment_bytes), MESSAGE_SCHEMA)
-
-    def either(table: pa.Table) -> pa.Table:
-        bits = np.zeros(segment_bytes, np.uint8)
-        for part in U.binary(table.column("keys")):
-            bits |= np.frombuffer(part, np.uint8)
-        return pa.table({"unit": table.column("unit").slice(0, 1), "keys": pa.array([bits.tobytes()], pa.binary())})
+        return U.rows_to_table(answer_bucket(table, buckets, filter_bytes, rate), MESSAGE_SCHEMA)
 
     asked = text.groupBy("unit").applyInArrow(ask, MESSAGE)
     answers = materialize(asked.groupBy("bucket").applyInArrow(answer, MESSAGE), "lm")
@@ -271,14 +261,14 @@ def learn(docs: DataFrame, order: int = 2, filter_bytes: int = FILTER_BYTES, key
         return pa.array([[int(n) for n in U.unpack_numbers(x)] for x in column.to_pylist()], pa.list_(pa.int64()))
 
     each = [F.sum(F.col("n")[at]) for at in range(4)]
-    tokens, vocabulary, members, omitted = (int(n or 0) for n in totals.select(numbers("counts").alias("n")).agg(*each).first())
+    tokens, vocabulary, size, omitted = (int(n or 0) for n in totals.select(numbers("counts").alias("n")).agg(*each).first())
     filter_ = None
-    if not omitted and false_positives(members, SEGMENTS * segment_bytes * 8) <= FALSE_POSITIVES:
-        segments = np.zeros((SEGMENTS, segment_bytes), np.uint8)
-        bits = answers.filter(F.col("kind") == BITS).select("unit", "keys")
-        for r in bits.groupBy("unit").applyInArrow(either, "unit int, keys binary").collect():
-            segments[r.unit] = np.frombuffer(bytes(r["keys"]), np.uint8)
-        filter_ = Filter(segments)
+    if not omitted and size <= filter_bytes:
+        # A row for each bucket.
+        rows = {r.bucket: bytes(r["keys"]) for r in answers.filter(F.col("kind") == BITS).select("bucket", "keys").collect()}
+        sizes = [len(rows.get(b, b"")) for b in range(buckets)]
+        data = np.frombuffer(b"".join(rows[b] for b in sorted(rows)), np.uint8)
+        filter_ = Filter(data, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
     own = answers.filter(F.col("kind") == WORD if filter_ else F.col("kind").isin(WORD, NGRAM))
     return Model(own.select("kind", "unit", "bucket", "keys", "counts"), filter_, tokens, vocabulary, units, buckets, order)
 
@@ -295,7 +285,7 @@ def per_text(values: np.ndarray, tokens: Tokens) -> np.ndarray:
 
 @dataclass
 class Answered:
-    """The levels of a unit's n-grams as the buckets answered them."""
+    """The levels of a unit's n-grams as the buckets' segments told them."""
 
     keys: np.ndarray
     levels: np.ndarray
@@ -345,7 +335,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     ``model`` was asked about. Null texts are empty: their end alone is scored.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model.filter.segments) if model.filter else None
+    shared = spark.sparkContext.broadcast(model.filter) if model.filter else None
     total, vocabulary, buckets, order = model.train_tokens, model.vocabulary, model.buckets, model.order
     kind = docs.schema[key].dataType.simpleString()
     schema = f"{key} {kind}, held_out boolean, {SCORES}"
@@ -354,7 +344,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
         grams = answers.filter(pc.equal(answers.column("kind"), NGRAM))
         answers = answers.filter(pc.equal(answers.column("kind"), WORD))
         if shared:
-            filter_ = Filter(shared.value)
+            filter_ = shared.value
         else:
             filter_ = answered(texts, [*zip(grams.column("bucket").to_pylist(), U.binary(grams.column("counts")))], buckets, order)
         known, found = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
