@@ -47,9 +47,9 @@ TABLE_FILL = {"table": {"tr": ("tbody",), "td": ("tbody", "tr"), "th": ("tbody",
 TABLE_PARTS = frozenset("caption td th tr tbody thead tfoot".split())
 TABLE_FILL.update({g: {"td": ("tr",), "th": ("tr",)} for g in ("tbody", "thead", "tfoot")})
 
-# Formatting elements that are re-opened at most; the earliest are forgotten first, so that
-# markup which never closes them can't grow with the square of its length.
-MAX_REOPENED = 64
+# Elements of a page. Formatting that is never closed is re-opened in every paragraph, so a page
+# may have as many as the square of its length; one with more than these is an error.
+MAX_ELEMENTS = 1_000_000
 
 # One alternative per token kind; each consumes to the end of input at worst, so
 # reading a page takes linear time however broken it is.
@@ -130,6 +130,7 @@ class _Builder:
         self.open: list[Node] = []
         self.places: dict[str, list[int]] = {}
         self.formatting: list[Node] = []
+        self.reopened = 0
         self.push(self.root)
         self.push(self.head)
 
@@ -154,8 +155,11 @@ class _Builder:
             self.body.attrs.setdefault(name, value)
 
     def pop_through(self, node: Node) -> None:
-        while self.pop() is not node:
-            pass
+        closed = self.open[node.at :]
+        del self.open[node.at :]
+        for one in closed:
+            self.places[one.tag].pop()
+            one.at = -1
 
     def last_place(self, tags) -> int:
         return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
@@ -169,9 +173,18 @@ class _Builder:
         first = len(listed)
         while first and listed[first - 1].at < 0:
             first -= 1
+        self.reopened += len(listed) - first
+        if self.reopened > MAX_ELEMENTS:
+            raise ValueError(f"more than {MAX_ELEMENTS} elements")
+        open_, places, parent = self.open, self.places, self.open[-1]
         for i in range(first, len(listed)):
-            listed[i] = self.open[-1].add(listed[i].tag, dict(listed[i].attrs))
-            self.push(listed[i])
+            # Attributes are shared between the copies: whoever changes them takes a new dictionary.
+            node = Node(listed[i].tag, listed[i].attrs, parent)
+            parent.children.append(node)
+            node.at = len(open_)
+            open_.append(node)
+            places[node.tag].append(node.at)
+            listed[i] = parent = node
 
     def text(self, data: str) -> None:
         if self.body is None:
@@ -227,7 +240,7 @@ class _Builder:
                 same = [n for n in self.formatting if n.tag == tag and n.attrs == attrs]
                 if len(same) >= 3:
                     self.formatting = [n for n in self.formatting if n is not same[0]]
-                self.formatting = [*self.formatting, node][-MAX_REOPENED:]
+                self.formatting.append(node)
         return node
 
     def end(self, tag: str) -> None:
@@ -340,13 +353,15 @@ def _simple_test(m: re.Match):
 
 
 def _parse_compound_list(selector: str) -> list:
-    """One chain ``[(combinator, tests), ...]`` per comma-separated part."""
+    """One chain ``[(combinator, tests), ...]`` per comma-separated part, with the tag and id of its last one."""
     chains, chain, tests, at, combinator = [], [], [], 0, ""
+    told = {"tag": None, "id": None}
     selector = selector.strip()
     while at <= len(selector):
         simple = _SIMPLE.match(selector, at)
         if simple and not (simple["tag"] and tests):
             tests.append(_simple_test(simple))
+            told = {name: simple[name] or value for name, value in told.items()}
             at = simple.end()
             continue
         if not tests:
@@ -354,24 +369,37 @@ def _parse_compound_list(selector: str) -> list:
         chain.append((combinator, tests))
         tests = []
         if at == len(selector):
-            chains.append(chain)
+            chains.append((chain, told))
             return chains
         comma = re.compile(r"\s*,\s*").match(selector, at)
         joint = comma or _COMBINATOR.match(selector, at)
         if not joint:
             raise ValueError(f"unsupported selector {selector!r}")
         if comma:
-            chains.append(chain)
+            chains.append((chain, told))
             chain, combinator = [], ""
         else:
             combinator = joint[1] or " "
+        told = {"tag": None, "id": None}
         at = joint.end()
     raise ValueError(f"unsupported selector {selector!r}")
 
 
-def _reached(root: Node, chain: list) -> set[int]:
+def _above(ends: list[Node]) -> set[int]:
+    """Identities of these elements and all that they are in."""
+    marked: set[int] = set()
+    for node in ends:
+        while node is not None and id(node) not in marked:
+            marked.add(id(node))
+            node = node.parent
+    return marked
+
+
+def _reached(root: Node, chain: list, ends: list[Node] | None = None) -> set[int]:
     """Identities of the elements that a chain matches, in one pass from the top.
 
+    Where only ``ends`` can match, only they and what they are in are looked at.
+
     Bit i of a state says that the chain's first i + 1 parts match and end there.
     An element's state follows from those of its parent, its ancestors together,
     its last sibling and its earlier siblings together.
@@ -393,6 +421,7 @@ def _reached(root: Node, chain: list) -> set[int]:
             found.add(id(node))
         return bits
 
+    relevant = _above(ends) if ends is not None else None
     own = state(root, 1, {" ": 0, ">": 0, "+": 0, "~": 0})
     pending = [(root, own, own)]
     while pending:
@@ -402,6 +431,8 @@ def _reached(root: Node, chain: list) -> set[int]:
         for child in parent.children:
             if type(child) is Node:
                 place += 1
+                if relevant is not None and id(child) not in relevant:
+                    continue
                 bits = state(child, place, related)
                 related["+"] = bits
                 related["~"] |= bits
@@ -412,8 +443,19 @@ def _reached(root: Node, chain: list) -> set[int]:
 
 @lru_cache(maxsize=4096)
 def compile_selector(selector: str) -> list:
-    """Selector text -> chains. Raises ``ValueError`` when unsupported."""
-    return _parse_compound_list(selector)
+    """Selector text -> (chain, what the elements that it matches are looked up by, if by anything).
+
+    Raises ``ValueError`` when unsupported.
+    """
+    return [(chain, _looked_up_by(chain, part)) for chain, part in _parse_compound_list(selector)]
+
+
+def _looked_up_by(chain: list, last: dict) -> tuple[str, str] | None:
+    """The id or tag of the last part; none where siblings matter, which are not above an element."""
+    if any(combinator in ("+", "~") for combinator, _ in chain):
+        return None
+    tag = (last["tag"] or "*").lower()
+    return ("id", last["id"]) if last["id"] else ("tag", tag) if tag != "*" else None
 
 
 class Page:
@@ -423,11 +465,18 @@ class Page:
         self.root = read_page(source)
         self.elements = [self.root, *self.root.walk()]
         self.by_tag: dict[str, list[Node]] = {}
+        self.by_id: dict[str, list[Node]] = {}
         for node in self.elements:
             self.by_tag.setdefault(node.tag, []).append(node)
+            if "id" in node.attrs:
+                self.by_id.setdefault(node.attrs["id"], []).append(node)
 
     def select(self, selector: str) -> list[Node]:
-        found = set().union(*(_reached(self.root, chain) for chain in compile_selector(selector)))
+        found: set[int] = set()
+        for chain, key in compile_selector(selector):
+            ends = None if key is None else (self.by_id if key[0] == "id" else self.by_tag).get(key[1], [])
+            if ends is None or ends:
+                found |= _reached(self.root, chain, ends)
         return [node for node in self.elements if id(node) in found] if found else []
 
 

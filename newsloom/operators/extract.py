@@ -77,7 +77,7 @@ def _clean_content(content: markup.Node, page_url: str, warnings: list[str]) ->
         name = {"a": "href", "img": "src"}.get(node.tag)
         if name in node.attrs:
             try:
-                node.attrs[name] = resolve_link(page_url, node.attrs[name])
+                node.attrs = {**node.attrs, name: resolve_link(page_url, node.attrs[name])}
             except ValueError as problem:
                 warnings.append(str(problem))
     return markup.inner_markup(content)

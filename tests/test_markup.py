@@ -78,8 +78,17 @@ def test_any_depth_is_read():
     deep = markup.Page("<div>" * 100_000 + "<h1>T</h1>")
     assert len(deep.select("div div h1")) == 1 and len(deep.select("div")) == 100_000
     assert markup.inner_markup(deep.root).count("<div>") == 100_000
-    fonts = "".join(f"<p><font color=c{i}>x" for i in range(5000))
-    assert len(markup.Page(fonts).select("p")) == 5000
+
+
+def test_formatting_that_is_never_closed_is_kept():
+    fonts = lambda n: "".join(f"<p><font color=c{i}>x" for i in range(n)) + "<p id=last>y"
+    page = markup.Page(fonts(70))
+    assert len(page.select("p")) == 71 and len(page.select("font")) == 70 * 71 // 2 + 70
+    (last,) = page.select("#last")
+    assert [n.attrs["color"] for n in last.walk()] == [f"c{i}" for i in range(70)]
+    assert markup.inner_markup(last).startswith('<font color="c0"><font color="c1">')
+    with pytest.raises(ValueError):
+        markup.Page(fonts(5000))
 
 
 @pytest.mark.parametrize(
