@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import xml_text
 from newsloom.functions.urls import site_link
 from newsloom.operators.store import latest_n
+from newsloom.scratch import child_names, materialize, path_exists
 from newsloom.sources.config import FeedSettings
 
 # Date stamps of the two formats.
@@ -164,3 +165,35 @@ def write_feeds(feeds: DataFrame, path: str) -> None:
         .option("lineSep", "\n")
         .text(path)
     )
+
+
+def update_feeds(feeds: DataFrame, path: str) -> DataFrame:
+    """Feed sink that writes the documents that have changed, each over its old one; out: their ``website``.
+
+    Digests of what is there lie beside the documents, a generation for each update, and
+    are written after them: an update that dies in between is made again. Documents of
+    websites that ``feeds`` doesn't hold stay as they are.
+    """
+    spark = feeds.sparkSession
+    built = feeds.filter(F.col("status") == "ok").select("website", F.col("xml").alias("value"), F.sha2("xml", 256).alias("digest"))
+    built = materialize(built, "feeds")
+    folder = f"{path.rstrip('/')}-digests"
+    done = [int(n[4:]) for n in child_names(spark, folder) if path_exists(spark, f"{folder}/{n}/_SUCCESS")]
+    known = spark.createDataFrame([], "website string, digest string")
+    if done:
+        known = spark.read.schema("website string, digest string").parquet(f"{folder}/gen={max(done)}")
+    changed = built.join(known, ["website", "digest"], "left_anti")
+    if changed.isEmpty():
+        return changed.select("website")
+    changed = materialize(changed, "changed-feeds")
+    writer = changed.select("website", "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("website").option("lineSep", "\n").text(path)
+    kept = known.join(built, "website", "left_anti").unionByName(built.select("website", "digest"))
+    kept.write.mode("overwrite").parquet(f"{folder}/gen={max(done, default=0) + 1}")
+    return changed.select("website")
+
+
+def read_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """(website, xml): the documents of a feed sink."""
+    written = spark.read.schema("value string, website string").text(path, wholetext=True)
+    return written.select("website", F.regexp_replace("value", "\n\\z", "").alias("xml"))

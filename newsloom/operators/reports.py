@@ -16,6 +16,7 @@ KINDS = {
     "parse": ("parse_error",),
     "field": ("empty_title",),
     "date": ("empty_date", "bad_date"),
+    "source": ("unreadable_file",),
 }
 
 
@@ -55,6 +56,13 @@ def warnings_of(rows: DataFrame) -> DataFrame:
     return told.select("website", "page_url", reject_kind(reason).alias("kind"), reason.alias("reason"), "detail")
 
 
+def lost_files(files: DataFrame) -> DataFrame:
+    """One row per source file (file, detail) that couldn't be read, of no website."""
+    reason = F.lit("unreadable_file")
+    none = F.lit(None).cast("string").alias("website")
+    return files.select(none, F.col("file").alias("page_url"), reject_kind(reason).alias("kind"), reason.alias("reason"), "detail")
+
+
 def reject_report(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("website", "kind", "reason").agg(F.count("*").alias("n"))
 

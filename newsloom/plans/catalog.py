@@ -692,8 +692,17 @@ def feed_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Feed documents written as one text file per website and read back."""
     path = scratch_path(spark, "feeds")
     feeds.write_feeds(feeds.build_feeds(samples.doc_articles(spark, sf), 5, "atom"), path)
-    written = spark.read.schema("value string, website string").text(path, wholetext=True)
-    return written.select("website", F.regexp_replace("value", "\n\\z", "").alias("xml"))
+    return feeds.read_feeds(spark, path)
+
+
+@query(SQL_ATOM)
+def feed_sink_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """Feed documents of two updates, the second of which changes those of some websites only."""
+    path, articles = scratch_path(spark, "feeds"), samples.doc_articles(spark, sf)
+    late = F.col("website").isin("src1", "src2", "src3") & (F.pmod(F.xxhash64("url"), F.lit(2)) == 0)
+    for batch in (articles.filter(~late), articles):
+        feeds.update_feeds(feeds.build_feeds(batch, 5, "atom"), path)
+    return feeds.read_feeds(spark, path)
 
 
 # --- runs ------------------------------------------------------------------

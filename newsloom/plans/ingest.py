@@ -213,6 +213,7 @@ def run_ingest(
     link_state: LinkState | None = None,
     latest: LatestArticles | None = None,
     fresh: DataFrame | None = None,
+    lost: DataFrame | None = None,
 ) -> IngestResult:
     """Take pages, extract articles, append the new ones, keep every reject.
 
@@ -227,7 +228,8 @@ def run_ingest(
     pages that landed before are ``seen``; budgets, which hold for one run, can't be
     combined with it. ``latest`` is brought up to date with the new articles. With
     ``fresh`` (website, key) pages whose canonical URL, or URL where there is none,
-    isn't among its keys are ``seen``.
+    isn't among its keys are ``seen``. ``lost`` (file, detail) are source files that
+    couldn't be read: each becomes a reject.
 
     With a ``link_state`` links are followed across runs: a page that no reached page
     links to yet is read, kept, and stored by the run that reaches it; pages that
@@ -325,6 +327,8 @@ def run_ingest(
         .unionByName(reports.rejects_of(result, detail="detail"))
         .unionByName(reports.warnings_of(result.filter(F.col("reason").isNull())))
     )
+    if lost is not None:
+        rejects = rejects.unionByName(reports.lost_files(lost))
     run_rejects = f"{rejects_path}/run_id={run_id}"
     rejects.write.mode("overwrite").parquet(run_rejects)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from newsloom.functions import urls
 
@@ -13,9 +14,16 @@ SALTS = 8
 PAGES_DDL = "page_id bigint, url string, html string"
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Pages with a unique ``page_id``; tables without one get file and row position."""
-    pages = spark.read.parquet(path)
+def read_pages(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
+    """Pages with a unique ``page_id``; tables without one get file and row position.
+
+    With ``skip_unreadable`` files that can't be read don't end the job; ``unreadable_files``
+    names them.
+    """
+    if skip_unreadable:
+        pages = spark.read.option("ignoreCorruptFiles", "true").schema(_readable_schema(spark, path)).parquet(path)
+    else:
+        pages = spark.read.parquet(path)
     if "page_id" not in pages.columns:
         pages = pages.withColumn(
             "page_id",
@@ -58,3 +66,38 @@ def assign_sites(pages: DataFrame, sites: DataFrame) -> DataFrame:
     by_host = sites.withColumn("site_host", urls.host(F.col("start_point")))
     hosted = pages.withColumn("site_host", urls.host(F.col("url")))
     return join_rules(hosted, by_host, "site_host", F.col("url")).drop("site_host")
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length): names only, nothing is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("path").alias("file"), "length")
+
+
+def _readable_schema(spark: SparkSession, path: str) -> StructType:
+    """The schema of the first file that has one, the longest files first."""
+    for row in _listed(spark, path).orderBy(F.desc("length"), "file").toLocalIterator():
+        try:
+            return spark.read.parquet(row.file).schema
+        except Exception:  # the next file may do
+            continue
+    raise ValueError(f"no file in {path} can be read")
+
+
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, detail): the files of a folder of pages that give no rows and aren't empty tables.
+
+    The listing is compared with the files that rows come from, which reads no column.
+    What is left is few: each is opened once.
+    """
+    read = spark.read.option("ignoreCorruptFiles", "true").schema(PAGES_DDL).parquet(path)
+    gave = read.select(F.col("_metadata.file_path").alias("file")).groupBy("file").count().select("file")
+    same = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    silent = _listed(spark, path).withColumn("name", same("file")).join(gave.select(same("file").alias("name")), "name", "left_anti")
+    lost = []
+    for row in silent.collect():
+        try:
+            spark.read.parquet(row.file).limit(1).collect()
+        except Exception as problem:  # whatever is wrong with the file, it is that file's fate alone
+            lost.append((row.file, f"{row.length} bytes: {str(problem).strip().splitlines()[0][:200]}"))
+    return spark.createDataFrame(lost, "file string, detail string")
