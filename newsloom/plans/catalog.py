@@ -19,6 +19,7 @@ from newsloom.plans.ingest import (
     with_reading_rules,
 )
 from newsloom.scratch import materialize, scratch_path
+from newsloom.sources import versions as rule_versions
 from newsloom.sources.articles import IndexedStore, ParquetStore
 from newsloom.sources.pages import assign_sites
 from newsloom.sources.url_index import UrlIndex
@@ -286,6 +287,32 @@ def frontier_indexed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {SQL_HOST_PAGES},
+arrivals AS (SELECT *, DATE '2024-01-01' + CAST(page_id % 90 AS INTEGER) AS arrived FROM host_pages),
+versions AS (
+  SELECT DISTINCT website, DATE '2024-01-01' + CAST(10 * v + strlen(website) % 7 AS INTEGER) AS valid_from, v
+  FROM host_pages, range(5) r(v)),
+ruled AS (
+  SELECT a.*, v FROM arrivals a ASOF JOIN versions s ON a.website = s.website AND a.arrived >= s.valid_from),
+checked AS (
+  SELECT *, CASE WHEN v >= 1 AND NOT regexp_matches(canonical_url, '{RESTRICT}') THEN 'restrict'
+                 WHEN v >= 3 AND regexp_matches(canonical_url, '{EXCLUDE}') THEN 'exclude' END AS failed FROM ruled),
+firsts AS (SELECT website, canonical_url, min(page_id) AS first FROM checked WHERE failed IS NULL GROUP BY 1, 2)
+SELECT website, page_id, CAST(arrived AS VARCHAR) AS arrived,
+       CASE WHEN failed IS NOT NULL THEN failed WHEN page_id <> first THEN 'seen' END AS reason
+FROM checked LEFT JOIN firsts USING (website, canonical_url)""")
+def frontier_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Decisions by the rules of a page's arrival; the last rules of some sites come late, and only those are decided again."""
+    day = F.lit("2024-01-01").cast("date")
+    pages = samples.host_pages(spark, sf).withColumn("arrived", F.date_add(day, (F.col("page_id") % 90).cast("int")))
+    versions = samples.host_versions(pages, day, RESTRICT, EXCLUDE)
+    before = versions.filter((F.col("v") < 4) & ((F.col("v") < 3) | (F.length("website") % 2 == 0)))
+    stored = materialize(rule_versions.decide(pages, before.drop("v"), "arrived"), "decisions")
+    decided = rule_versions.decide_again(stored, pages, before.drop("v"), versions.drop("v"), "arrived")
+    return decided.join(pages.select("page_id", "arrived"), "page_id").select("website", "page_id", "arrived", "reason")
+
+
 @query(f"""
 WITH {SQL_HOST_PAGES}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY website ORDER BY md5(canonical_url), canonical_url) AS place

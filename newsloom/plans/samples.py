@@ -69,6 +69,20 @@ def host_pages(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return pages.select(urls.host(F.col("url")).alias("website"), "page_id", "url", *columns)
 
 
+def host_versions(pages: DataFrame, day: Column, restrict: str, exclude: str) -> DataFrame:
+    """Five versions of the rules of every host, ten days apart: without filters, from the second with a
+    restriction, from the fourth with exclusions too."""
+    sites = pages.select("website").distinct().withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    begins = F.date_add(day, (F.col("v") * 10 + F.octet_length("website") % 7).cast("int"))
+    none = F.lit(None).cast("string")
+    return with_rules(sites.withColumn("valid_from", begins), ignore_all=True).withColumns(
+        {
+            "restrict": F.when(F.col("v") >= 1, F.lit(restrict)).otherwise(none),
+            "exclude": F.when(F.col("v") >= 3, F.lit(exclude)).otherwise(none),
+        }
+    )
+
+
 def documents_of_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with what an article needs."""
     lang, number = F.col("lang"), F.col("doc_id").cast("string")
