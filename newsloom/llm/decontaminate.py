@@ -138,10 +138,31 @@ def phrase_matches(docs: DataFrame, index: Index) -> DataFrame:
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, slop: int, size: int = WINDOW_WORDS) -> DataFrame:
-    """(doc_id, phrase): windows whose rarest terms occur in a row within ``slop`` words of their places."""
+    """(doc_id, phrase): windows of ``items`` all of whose words occur in a row within ``slop`` words of their places.
+
+    Places are counted from an occurrence of the window's rarest term. Candidates come
+    from the stored lists; every word of them is then looked for in the row. Null texts
+    and texts without words match nothing, on either side, nor do empty tables; rows
+    that repeat a doc_id are judged one by one and told once. Texts may be of any
+    length; other columns are not read.
+    """
     index = build_index(docs, windows_of(items, size))
-    near = candidates(index, slop).select("k", "w").distinct().join(index.windows, "w")
-    return docs.select("doc_id", row_key(docs).alias("k")).join(near, "k").select("doc_id", "phrase").distinct()
+    near = candidates(index, slop).distinct().join(index.windows.select("w", "phrase"), "w")
+    places = materialize(near.groupBy("k").agg(F.collect_set(F.struct("start", "phrase")).alias("places")), "near-places")
+    rows = docs.select("doc_id", row_key(docs).alias("k"), "text").join(places, "k")
+    rows = rows.select("doc_id", "places", words(F.col("text")).alias("ws"))
+
+    def there(place, word, at):
+        first = F.greatest(place["start"] + at - slop, F.lit(0)).cast("int")
+        length = F.greatest(place["start"] + at + slop - first + 1, F.lit(0)).cast("int")
+        return F.array_contains(F.slice(F.col("ws"), first + 1, length), word)
+
+    def verified(place):
+        told = F.transform(F.split(place["phrase"], " "), lambda word, at: there(place, word, at))
+        return F.forall(told, lambda t: t)
+
+    found = rows.select("doc_id", F.explode(F.filter("places", verified)).alias("p"))
+    return found.select("doc_id", "p.phrase").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -79,6 +80,31 @@ def test_proximity(spark):
     assert near(0) == [0] and near(1) == [0, 1] and near(3) == [0, 1, 2] and near(4) == [0, 1, 2, 3]
 
 
+def test_proximity_looks_for_every_word(spark):
+    rng = random.Random(5)
+    ws = [f"w{k}" for k in range(14)]
+    item = " ".join(ws[:8])
+    made_ = []
+    for _ in range(120):
+        text = ws[:8]
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            at = rng.randrange(8)
+            text = [*text[:at], rng.choice(ws), *text[at:]] if rng.random() < 0.6 else [*text[:at], *text[at + 1 :]]
+        made_.append(" ".join([*rng.choices(ws, k=rng.randrange(4)), *text]))
+    docs = spark.createDataFrame([(i, t, 0, "", 0) for i, t in enumerate([*made_, None, ""])], SCHEMA)
+    counts = Counter(w for t in made_ for w in t.split())
+    rarest = min(range(8), key=lambda i: (counts[ws[i]], i))
+    for slop in (0, 1, 2):
+        expected = set()
+        for i, t in enumerate(made_):
+            text = t.split()
+            for start in (at - rarest for at, w in enumerate(text) if w == ws[rarest]):
+                if all(ws[k] in text[max(0, start + k - slop) : max(0, start + k + slop + 1)] for k in range(8)):
+                    expected.add(i)
+        got = D.proximity_matches(docs, spark.createDataFrame([(1, item, 0), (2, None, 0)], ITEMS), slop).collect()
+        assert {r.doc_id for r in got} == expected and len(got) == len(expected) and 0 < len(expected) < 120
+
+
 @pytest.mark.parametrize("docs, items", [([], [(1, "a b", 0)]), ([(1, "a b", 0, "", 0)], []), ([], [])])
 def test_empty(spark, docs, items):
     got = D.contamination(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, ITEMS)).collect()
