@@ -21,6 +21,7 @@ from newsloom.plans.ingest import (
 from newsloom.scratch import materialize, scratch_path
 from newsloom.sources import versions as rule_versions
 from newsloom.sources.articles import IndexedStore, ParquetStore
+from newsloom.sources.config import settings_error
 from newsloom.sources.pages import assign_sites
 from newsloom.sources.url_index import UrlIndex
 from newsloom.streaming.ingest_stream import ingest_landing
@@ -199,6 +200,24 @@ def url_site_link(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- settings --------------------------------------------------------------
+
+
+@query("""
+WITH made AS (
+  SELECT page_id, page_id % 6 AS kind,
+         CASE WHEN page_id % 6 = 2 THEN regexp_replace(url, '^https?:', 'ftp:') ELSE url END AS start FROM pages)
+SELECT page_id, CASE kind
+    WHEN 2 THEN 'site ''site' || page_id || ''' has the start point ''' || start || ''', which is no http or https URL'
+    WHEN 3 THEN 'feeds can be of type rss or atom, not ''json'''
+    WHEN 4 THEN 'nb_items must be 1 or more'
+    WHEN 5 THEN 'site ''site' || page_id || ''' has no date selector' END AS error FROM made""")
+def settings_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """A settings text for every page, its URL being the start point; most have something wrong."""
+    pages = samples.table(spark, sf, "pages").select("page_id", "url")
+    return samples.settings_texts(pages).select("page_id", settings_error(F.col("settings")).alias("error"))
+
+
 # --- frontier --------------------------------------------------------------
 
 SQL_HOST_PAGES = f"""host_pages AS (

@@ -64,6 +64,23 @@ def with_rules(
     )
 
 
+def settings_texts(pages: DataFrame) -> DataFrame:
+    """(page_id, settings): a settings text for each page. By page_id they are right (0, 1), start at an ftp
+    URL (2), ask for an unknown type of feed (3) or for no items (4), or lack the date selector (5)."""
+    kind = F.col("page_id") % 6
+    start = F.when(kind == 2, F.regexp_replace("url", "^https?:", "ftp:")).otherwise(F.col("url"))
+    site = F.format_string(
+        "websites:\n- identifier: site%d\n  start_point: '%s'\n  date_format: '%s'\n  selectors:\n    title: h1\n    content: article\n",
+        F.col("page_id"),
+        F.replace(start, F.lit("'"), F.lit("''")),
+        F.lit(DOC_DATE_FORMAT),
+    )
+    date = F.when(kind == 5, "").otherwise("    date: time\n")
+    feed = F.when(kind == 3, "json").when(kind == 1, "atom").otherwise("rss")
+    feeds = F.format_string("feeds:\n  type: %s\n  nb_items: %d\n", feed, F.when(kind == 4, 0).otherwise(20))
+    return pages.select("page_id", F.concat(site, date, feeds).alias("settings"))
+
+
 def host_pages(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return pages.select(urls.host(F.col("url")).alias("website"), "page_id", "url", *columns)

@@ -8,7 +8,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.dates import translate_layout
@@ -158,7 +159,12 @@ def parse_settings(text: str) -> Settings:
         import yaml
     except ImportError as missing:
         raise ConfigError("reading YAML configuration needs the yaml package") from missing
-    raw = yaml.safe_load(text) or {}
+    try:
+        raw = yaml.safe_load(text) or {}
+    except yaml.YAMLError as problem:
+        raise ConfigError(f"the settings are no YAML: {problem}") from None
+    if not isinstance(raw, dict):
+        raise ConfigError("the settings must be a mapping of sections")
     sites = tuple(_site(entry) for entry in raw.get("websites") or [])
     check_unique(sites)
     database = raw.get("database") or {}
@@ -174,6 +180,25 @@ def parse_settings(text: str) -> Settings:
     )
 
 
+def settings_error(text: Column) -> Column:
+    """What is wrong with a settings text, null if nothing: the loader's own rules, for texts kept in a table."""
+
+    @F.arrow_udf("string")
+    def judged(texts: pa.Array) -> pa.Array:
+        found = []
+        for one in texts.to_pylist():
+            try:
+                parse_settings(one or "")
+                found.append(None)
+            except ConfigError as problem:
+                found.append(str(problem))
+            except (AttributeError, TypeError, ValueError) as problem:
+                found.append(f"a section has another form than expected: {problem}")
+        return pa.array(found, pa.string())
+
+    return judged(text)
+
+
 def load_settings(path: str) -> Settings:
     with open(path, encoding="utf-8") as handle:
         return parse_settings(handle.read())

@@ -10,6 +10,7 @@ from newsloom.sources.config import (
     FeedSettings,
     Site,
     parse_settings,
+    settings_error,
     sites_table,
 )
 from newsloom.sources.pages import join_rules
@@ -124,3 +125,13 @@ def test_the_store_that_a_configuration_names(spark, tmp_path):
     assert article_store(spark, settings).path == f"{tmp_path}/articles"
     with pytest.raises(ValueError, match="connection_data"):
         article_store(spark, parse_settings("websites: []"))
+
+
+def test_settings_in_a_table_are_judged_like_files(spark):
+    good = "websites:\n- identifier: a\n  start_point: http://a.tld/\n  date_format: '{YEAR_LONG}-{MONTH_NUM}-{DAY_NUM}'\n  selectors: {title: h1, content: article, date: time}\n"
+    texts = [good, "", None, good.replace("http:", "gopher:"), "a: [", "- 1", "websites: text", good + "feeds: {type: rss}\n", good + "database: {driver: x}\n"]
+    rows = spark.createDataFrame([*enumerate(texts)], "i int, settings string")
+    told = dict(tuple(r) for r in rows.select("i", settings_error(F.col("settings"))).collect())
+    assert [i for i, e in told.items() if e is None] == [0, 1, 2]
+    parts = {3: "gopher", 4: "no YAML", 5: "mapping", 6: "another form", 7: "nb_items", 8: "not in 'x'"}
+    assert all(part in told[i] for i, part in parts.items())
