@@ -1,8 +1,8 @@
 """Where a job puts intermediate tables.
 
 The folder must be shared by all executors, so it is read from
-``spark.checkpoint.dir``. Where that is unset a folder beside the warehouse is
-used, which a cluster shares anyway.
+``spark.checkpoint.dir``. Where that is unset, a session on one machine uses a folder
+beside the warehouse, and a cluster is refused.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getCheckpointDir()
-    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-scratch"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-scratch"
     return shared.rstrip("/")
 
 
