@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import components
-from newsloom.llm.words import BLANK, find_words, mix, slices, span_hashes, window_hashes, word_hashes
+from newsloom.llm.words import BLANK, find_words, give_back, mix, slices, span_hashes, window_hashes, word_hashes
 from newsloom.scratch import materialize
 
 SHINGLE_WORDS = 5
@@ -205,7 +205,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], max_rows: i
             held = table.slice(last).combine_chunks().to_batches()
     if held:
         yield pa.Table.from_batches(held)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def group_numbers(table: pa.Table, keys: list[str]) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from newsloom.llm.units import pack_numbers, unpack_numbers
-from newsloom.llm.words import NOT_ALNUM, find_words, slices, word_hashes
+from newsloom.llm.words import NOT_ALNUM, find_words, give_back, slices, word_hashes
 from newsloom.scratch import materialize
 
 TOP = 50
@@ -293,7 +293,7 @@ def best_of_tasks(blocks: DataFrame, graph, weights, totals: tuple[int, int], to
             found = pool.cut()
             named = found.set_column(0, "item_id", dag.items.take(found.column("item").combine_chunks()))
             yield from named.select(["item_id", "doc_id", "score"]).combine_chunks().to_batches()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return blocks.drop("n_docs", "n_terms").mapInArrow(work, f"item_id {item_kind}, doc_id {doc_kind}, score long")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -63,10 +64,22 @@ def find_words(texts: pa.Array, separators: np.ndarray = BLANK, lower: bool = Fa
     return Words(data, starts, ends, np.searchsorted(starts, at), at)
 
 
+@cache
+def _trim():
+    """What the C library has for giving freed memory back, if it has it."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, beside a JVM that needs the room."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces of at most ``max_bytes`` of text, one row at least.
 
-    At the end Arrow gives back what it keeps for later: workers live on between tasks.
+    At the end the worker gives back what it keeps for later, see ``give_back``.
     """
     for batch in batches:
         if batch.num_rows == 0:
@@ -78,7 +91,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = SLIC
             end = min(end, batch.num_rows)
             yield batch.slice(begin, end - begin)
             begin = end
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 @cache
