@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.words import Words, find_words, slices, word_hashes
+from newsloom.llm.words import find_words, slices, word_hashes
 
 #: Words of one block; the worst block of a text counts beside its average.
 BLOCK_WORDS = 32

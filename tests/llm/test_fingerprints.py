@@ -2,7 +2,6 @@ import hashlib
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from newsloom.llm import fingerprints as P
