@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from newsloom.operators.store import ARTICLE_COLUMNS
 from newsloom.scratch import path_exists, remove, touch

@@ -2,14 +2,13 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from newsloom.operators.link_state import LinkState, bucket_of
 from newsloom.plans.ingest import run_ingest
 from newsloom.sources.articles import IndexedStore, ParquetStore
 from newsloom.sources.config import Site, sites_table
 from newsloom.streaming.ingest_stream import ingest_landing
-from test_ingest import LAYOUT, PAGES, SELECTORS, SITES, page, pages, rejected, stored
+from test_ingest import PAGES, SITES, page, pages, rejected, stored
 
 FREE = [Site(s.website, s.start_point, s.selectors, s.date_format, ignore_all=s.ignore_all, restrict=s.restrict, exclude=s.exclude) for s in SITES]
 
