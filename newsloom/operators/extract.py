@@ -64,12 +64,14 @@ def _node_text(node: markup.Node, mode: str, through_link: bool = False) -> str
     first = node.children[0] if node.children else None
     if not isinstance(first, markup.Node):
         return first
+    first.expand()
     if through_link and first.tag == "a":
         return _node_text(first, mode)
     return first.tag
 
 
 def _clean_content(content: markup.Node, page_url: str, warnings: list[str]) -> str:
+    content.expand_all()
     for dropped in [n for n in content.walk() if n.tag in ("aside", "script")]:
         if dropped.parent is not None:
             dropped.detach()
@@ -87,7 +89,7 @@ def _read_one(url: str, source: str, selectors: dict, mode: str, keep_links: boo
     page = markup.Page(source)
     out = {"warnings": []}
     if keep_links:
-        out["links"] = [n.attrs["href"] for n in page.by_tag.get("a", ()) if "href" in n.attrs]
+        out["links"] = [n.attrs["href"] for n in page.tagged("a") if "href" in n.attrs]
     if not selectors:
         return out
     found = {f: page.select(selectors[f]) for f in FIELDS if selectors.get(f)}

@@ -91,6 +91,22 @@ def test_formatting_that_is_never_closed_is_kept():
         markup.Page(fonts(5000))
 
 
+def test_reopened_formatting_is_expanded_where_it_is_looked_at():
+    source = "<h1>T</h1>" + "".join(f"<p><font color=c{i}>x" for i in range(1_300)) + "<p><b id=last>y</b>"
+    page = markup.Page(source)
+    assert [n.tag for n in page.select("body > h1")] == ["h1"] and len(page.select("p")) == 1_301
+    assert len(page.elements) < 6_000
+    (last,) = page.select("p font font b")
+    assert last.attrs["id"] == "last" and last.parent.attrs["color"] == "c1299"
+    assert len(page.elements) < 6_000 and len(page.tagged("font")) == 1_300 * 1_301 // 2 + 1_300
+    # A link that is never closed is a link of every paragraph, and closing a copy ends what is in it only.
+    page = markup.Page("<p><a href=1><b>x<p>y</a>z<p>w")
+    assert len(page.tagged("a")) == 2
+    assert markup.inner_markup(page.root.children[-1]) == (
+        '<p><a href="1"><b>x</b></a></p><p><a href="1"><b>y</b></a><b>z</b></p><p><b>w</b></p>'
+    )
+
+
 @pytest.mark.parametrize(
     "source, selector, count",
     [
