@@ -12,6 +12,9 @@ from newsloom.operators.frontier import filter_reason, unseen, within_budget
 from newsloom.scratch import materialize, materialize_bucketed, scratch_path
 from newsloom.sources.pages import join_rules
 
+# Pointers up to which chains are followed by pointer jumping alone.
+FEW_POINTERS = 500_000
+
 
 def harvest(read: DataFrame) -> DataFrame:
     """One row per link of a page, in document order, resolved against the page URL.
@@ -127,73 +130,115 @@ class Walk:
     rounds: int
 
 
-def reachable_by_contraction(edges: DataFrame, sites: DataFrame, page_urls: DataFrame) -> Walk:
+def reachable_by_contraction(edges: DataFrame, sites: DataFrame, page_urls: DataFrame, few: int = FEW_POINTERS) -> Walk:
     """``reachable`` without budgets, in rounds that don't grow with the length of link chains.
 
     A page that only one page links to is one step further than that page, however far
     that is. Such pages are hung on the nearest page before them that several link to,
-    or on the start, by pointer jumping: every round doubles the distance that a
-    pointer spans, so an archive of 4,096 pages that each link to the next takes twelve
-    rounds. What is left are the pages that several link to, with the distances
+    or on the start. What is left are the pages that several link to, with the distances
     between them, which are walked as in ``reachable``; a page found again on a shorter
     way is walked again. Chains that lead back into themselves, and so hang on nothing,
     are found by pointers that no round brings to an end.
+
+    Pages are numbered first: URLs are joined to give links their numbers and results
+    their URLs, and all rounds work on numbers.
     """
     key = ["website", "url"]
     start = urls.canonical(F.col("start_point"), F.col("ignore_all"), F.col("listed_keys"))
-    allowed = materialize(page_urls.select(*key).distinct(), "allowed")
-    seeds = materialize(allowed.join(sites.select("website", start.alias("url")), key, "left_semi"), "seeds")
-    targets = materialize(unseen(allowed, key, seeds).select("website", F.col("url").alias("to_url")), "targets")
-    hops = edges.select("website", "from_url", "to_url").filter("from_url <> to_url").distinct()
-    hops = hops.join(targets, ["website", "to_url"], "left_semi")
-    hops = hops.join(allowed.withColumnRenamed("url", "from_url"), ["website", "from_url"], "left_semi")
-    hops = materialize(hops, "hops")
-
-    # Pages with one way in: (website, url, above, steps), above being where their pointer leads.
-    ways = hops.groupBy("website", F.col("to_url").alias("url")).agg(F.count("*").alias("n"), F.min("from_url").alias("above"))
+    pages = materialize(page_urls.select(*key).distinct().withColumn("id", F.monotonically_increasing_id()), "allowed")
+    starts = sites.select("website", start.alias("url")).distinct()
+    seeds = materialize(pages.join(F.broadcast(starts), key, "left_semi").select("id"), "seeds")
+    hops = edges.select("website", "from_url", "to_url").filter("from_url <> to_url")
+    for end in ("from", "to"):
+        numbered = pages.select("website", F.col("url").alias(f"{end}_url"), F.col("id").alias(end))
+        hops = hops.join(numbered, ["website", f"{end}_url"]).drop(f"{end}_url")
+    hops = hops.select("from", "to").join(seeds.withColumnRenamed("id", "to"), "to", "left_anti")
+    hops = materialize(hops.select("from", "to").distinct(), "hops")
+
+    # Pages with one way in: (id, above, steps), above being where their pointer leads.
+    ways = hops.groupBy(F.col("to").alias("id")).agg(F.count("*").alias("n"), F.min("from").alias("above"))
     ways = materialize(ways, "ways")
-    hung = ways.filter("n = 1").select(*key, "above", F.lit(1).cast("long").alias("steps"))
-    single = materialize(hung.select(*key), "single")
-    at = materialize(_mark_ends(hung, single), "pointers")
-    rounds, left = 1, at.filter("NOT ended").count()
-    while left:
-        over = at.select("website", F.col("url").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"), F.col("ended").alias("last"))
-        moved = at.filter("NOT ended").join(over, ["website", "above"]).select(
-            *key, F.col("next").alias("above"), (F.col("steps") + F.col("more")).alias("steps"), F.col("last").alias("ended")
-        )
-        at = materialize(at.filter("ended").unionByName(moved), "pointers")
-        before, left = left, at.filter("NOT ended").count()
-        rounds += 1
-        if left == before:
-            break
+    single = ways.filter("n = 1").select("id")
+    hung = ways.filter("n = 1").select("id", "above", F.lit(1).cast("long").alias("steps"))
+    at, rounds = _to_ends(materialize(_mark_ends(hung, single), "pointers"), few)
     ended = at.filter("ended").drop("ended")
 
     # Ways between the pages that pointers end at: from the one above, and how far.
-    owned = hops.join(unseen(hops.select("website", F.col("to_url").alias("url")).distinct(), key, single).withColumnRenamed("url", "to_url"), ["website", "to_url"])
-    above = ended.select("website", F.col("url").alias("from_url"), "above", "steps")
-    ways = owned.join(above, ["website", "from_url"], "left").join(
-        at.filter("NOT ended").select("website", F.col("url").alias("from_url")), ["website", "from_url"], "left_anti"
-    )
-    ways = ways.groupBy("website", F.coalesce("above", "from_url").alias("from_url"), "to_url").agg(
-        F.min(F.coalesce("steps", F.lit(0)) + 1).alias("steps")
-    )
-    ways = materialize_bucketed(ways, "ways", ["website", "from_url"])
+    owned = hops.join(ways.filter("n > 1").select(F.col("id").alias("to")), "to", "left_semi")
+    ways = owned.join(at.withColumnRenamed("id", "from"), "from", "left").filter(F.coalesce("ended", F.lit(True)))
+    ways = ways.groupBy(F.coalesce("above", "from").alias("from"), "to").agg(F.min(F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
+    ways = materialize_bucketed(ways, "ways", ["from"])
 
     known = materialize(seeds.withColumn("depth", F.lit(0).cast("long")), "walked")
     level = known
     while not level.isEmpty():
-        step = level.select("website", F.col("url").alias("from_url"), "depth").join(ways, ["website", "from_url"])
-        found = step.groupBy("website", F.col("to_url").alias("url")).agg(F.min(F.col("depth") + F.col("steps")).alias("found"))
-        met = materialize(found.join(known, key, "left"), "met")
-        level = materialize(met.filter("depth IS NULL OR found < depth").select(*key, F.col("found").alias("depth")), "level")
-        known = materialize(known.unionByName(level).groupBy(*key).agg(F.min("depth").alias("depth")), "walked")
+        step = level.withColumnRenamed("id", "from").join(ways, "from")
+        found = step.groupBy(F.col("to").alias("id")).agg(F.min(F.col("depth") + F.col("steps")).alias("found"))
+        met = materialize(found.join(known, "id", "left"), "met")
+        level = materialize(met.filter("depth IS NULL OR found < depth").select("id", F.col("found").alias("depth")), "level")
+        known = materialize(known.unionByName(level).groupBy("id").agg(F.min("depth").alias("depth")), "walked")
         rounds += 1
-    tails = ended.join(known.select("website", F.col("url").alias("above"), "depth"), ["website", "above"])
-    tails = tails.select(*key, (F.col("depth") + F.col("steps")).alias("depth"))
-    return Walk(known.unionByName(tails).select(*key, F.col("depth").cast("int").alias("depth")), rounds)
+    tails = ended.join(known.withColumnRenamed("id", "above"), "above")
+    tails = tails.select("id", (F.col("depth") + F.col("steps")).alias("depth"))
+    depths = known.unionByName(tails).withColumn("depth", F.col("depth").cast("int"))
+    return Walk(pages.join(depths, "id").select(*key, "depth"), rounds)
 
 
 def _mark_ends(pointers: DataFrame, single: DataFrame) -> DataFrame:
     """Add ``ended``: whether the page that a pointer leads to has several ways in, or none."""
-    more = single.select("website", F.col("url").alias("above"), F.lit(False).alias("_ends"))
-    return pointers.join(more, ["website", "above"], "left").withColumn("ended", F.coalesce("_ends", F.lit(True))).drop("_ends")
+    more = single.select(F.col("id").alias("above"), F.lit(False).alias("_ends"))
+    return pointers.join(more, "above", "left").select("id", "above", "steps", F.coalesce("_ends", F.lit(True)).alias("ended"))
+
+
+def _to_ends(at: DataFrame, few: int) -> tuple[DataFrame, int]:
+    """Pointers (id, above, steps, ended) -> each page's pointer to its end, and the rounds that it took.
+
+    Pointer jumping moves all pointers in every round. So while there are many of them,
+    every round takes out the pages that a coin picks, but not the page above, and those
+    that pointed to them point to where they did: a quarter of the pages, so all rounds
+    together move a few times as many rows as there are pages. The ``few`` that are left
+    jump, every round doubling the distance that a pointer spans; then the pages that were taken out
+    follow, the last ones first. Pointers that lead round in a circle never end, and
+    pages hung on them neither.
+    """
+    rounds, taken, left = 0, [], at.count()
+    while left > few:
+        coin = lambda c, n=rounds: F.pmod(F.xxhash64(F.lit(n), c), F.lit(2)) == 1
+        out = coin("id") & (F.col("ended") | ~coin("above"))
+        split = materialize(at.withColumns({"out": out, "ask": ~out & ~F.col("ended") & coin("above")}), "split")
+        gone, kept = split.filter("out").drop("out", "ask"), split.filter("NOT out")
+        over = gone.select(F.col("id").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"), F.col("ended").alias("last"))
+        moved = kept.filter("ask").join(over, "above", "left").select(
+            "id",
+            F.coalesce("next", "above").alias("above"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.coalesce("last", "ended").alias("ended"),
+        )
+        at = materialize(kept.filter("NOT ask").drop("out", "ask").unionByName(moved), "pointers")
+        taken.append(gone)
+        before, left = left, at.count()
+        rounds += 1
+        if left > 0.9 * before:  # what is left are circles mostly
+            break
+
+    open_ = at.filter("NOT ended").count()
+    rounds += 1
+    while open_:
+        over = at.select(F.col("id").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"), F.col("ended").alias("last"))
+        moved = at.filter("NOT ended").join(over, "above").select(
+            "id", F.col("next").alias("above"), (F.col("steps") + F.col("more")).alias("steps"), F.col("last").alias("ended")
+        )
+        at = materialize(at.filter("ended").unionByName(moved), "pointers")
+        before, open_ = open_, at.filter("NOT ended").count()
+        rounds += 1
+        if open_ == before:
+            break
+
+    for gone in reversed(taken):
+        over = at.select(F.col("id").alias("above"), F.col("above").alias("next"), F.col("steps").alias("more"), F.col("ended").alias("last"))
+        moved = gone.filter("NOT ended").join(over, "above").select(
+            "id", F.col("next").alias("above"), (F.col("steps") + F.col("more")).alias("steps"), F.col("last").alias("ended")
+        )
+        at = materialize(at.unionByName(gone.filter("ended")).unionByName(moved), "pointers")
+        rounds += 1
+    return at, rounds

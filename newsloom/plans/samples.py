@@ -129,6 +129,11 @@ def doc_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as markup, spread for reading; see ``as_pages``."""
+    return as_pages(spread(documents_of_sites(spark, sf_dir), read_partitions(spark), "doc_id"))
+
+
+def as_pages(docs: DataFrame) -> DataFrame:
     """Documents as markup: ``page_id``, ``website``, ``url``, ``html``.
 
     Short documents have no date, documents with a bar have an impossible one.
@@ -136,7 +141,6 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     parent; German pages do not link to their children. Some pages end in markup that
     is nested 2,000 deep, some in 600 paragraphs that each leave a tag open.
     """
-    docs = spread(documents_of_sites(spark, sf_dir), read_partitions(spark), "doc_id")
     title, lang = escape_markup(F.col("title")), F.col("lang")
     place = F.floor(F.col("doc_id") / DOC_SITES)
     member = F.col("doc_id") % DOC_SITES
@@ -222,39 +226,58 @@ def doc_archives(spark: SparkSession, sf_dir: str, pages_each: int) -> tuple[Dat
     middle (3).
     """
     docs = documents_of_sites(spark, sf_dir).select("website", "doc_id", "url")
-    pages = docs.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(pages_each - 1))))
-    # Places by site: documents are ranked, and each has as many pages.
+    # Places by site: documents are ranked, and each has as many pages. Documents are joined, and
+    # their pages follow from that in place.
     ranked = docs.withColumn("rank", F.row_number().over(Window.partitionBy("website").orderBy("doc_id")) - 1)
-    pages = pages.join(ranked.select("doc_id", "rank"), "doc_id")
-    placed = pages.select("website", F.concat("url", F.lit("?page="), "p").alias("url"), (F.col("rank") * pages_each + F.col("p")).alias("place"))
-    placed = materialize(placed, "archive")
-    ends = placed.groupBy("website").agg(F.count("*").alias("n"))
+    ranked = docs.join(ranked.select("doc_id", "rank"), "doc_id").select("website", "url", F.col("rank").cast("long").alias("rank"))
+    ranked = materialize(ranked, "archive")
+    ends = ranked.groupBy("website").agg((F.count("*") * pages_each).alias("n"))
     kind, half = F.substring("website", 4, 10).cast("int") % 4, F.floor(F.col("n") / 2)
-    steps = placed.join(ends, "website").select(
+    page = lambda url, p: F.concat(url, F.lit("?page="), p.cast("string"))
+    steps = ranked.join(ends, "website").select(
         "website",
-        F.col("url").alias("from_url"),
-        F.explode(
-            F.concat(
-                F.when((kind == 2) & (F.col("place") == half - 1), F.array().cast("array<bigint>")).otherwise(F.array((F.col("place") + 1).cast("bigint"))),
-                F.when((kind == 1) & (F.col("place") == 0) | (kind == 3) & (F.col("place") == F.col("n") - 1), F.array(half)).otherwise(
-                    F.array().cast("array<bigint>")
-                ),
-            )
-        ).alias("place"),
+        "url",
+        "rank",
+        F.when(kind == 2, half - 1).alias("last"),
+        F.when(kind == 1, F.lit(0)).when(kind == 3, F.col("n") - 1).alias("leap"),
+        half.alias("half"),
+    )
+    to = ranked.select("website", F.col("url").alias("to"), F.col("rank").alias("to_rank"))
+    following = (
+        steps.withColumn("to_rank", F.explode(F.array("rank", F.col("rank") + 1)))
+        .join(to, ["website", "to_rank"])
+        .withColumn(
+            "p",
+            F.explode(
+                F.when(F.col("to_rank") > F.col("rank"), F.array(F.lit(pages_each - 1))).otherwise(
+                    F.slice(F.sequence(F.lit(0), F.lit(pages_each - 1)), 1, pages_each - 1)
+                )
+            ),
+        )
+        .filter(~F.coalesce(F.col("rank") * pages_each + F.col("p") == F.col("last"), F.lit(False)))
+        .select("website", page(F.col("url"), F.col("p")).alias("from_url"), page(F.col("to"), (F.col("p") + 1) % pages_each).alias("to_url"))
     )
-    to = placed.select("website", F.col("place").cast("bigint").alias("place"), F.col("url").alias("to_url"))
-    edges = steps.join(to, ["website", "place"]).select("website", "from_url", "to_url")
-    first = placed.filter("place = 0").select("website", F.col("url").alias("start_point"))
-    return with_rules(first), edges, placed.select("website", "url")
+    leaps = (
+        steps.filter(F.floor(F.col("leap") / pages_each) == F.col("rank"))
+        .withColumn("to_rank", F.floor(F.col("half") / pages_each))
+        .join(to, ["website", "to_rank"])
+        .select(
+            "website", page(F.col("url"), F.col("leap") % pages_each).alias("from_url"), page(F.col("to"), F.col("half") % pages_each).alias("to_url")
+        )
+    )
+    first = ranked.filter("rank = 0").select("website", page(F.col("url"), F.lit(0)).alias("start_point"))
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(pages_each - 1)))
+    pages = ranked.withColumn("p", numbers).select("website", page(F.col("url"), F.col("p")).alias("url"))
+    return with_rules(first), following.unionByName(leaps), pages
 
 
 def doc_pages_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document pages plus a second copy of every Spanish page under another URL."""
-    pages = doc_pages(spark, sf_dir)
-    spanish = table(spark, sf_dir, "documents").filter(F.col("lang") == "es").select(
-        F.col("doc_id").alias("page_id")
-    )
-    copies = pages.join(spanish, "page_id", "left_semi").select(
+    # A run spreads the pages that it reads: here the scan's own splits do, and no text is shuffled.
+    docs = documents_of_sites(spark, sf_dir)
+    spanish = table(spark, sf_dir, "documents").filter(F.col("lang") == "es").select("doc_id")
+    pages = as_pages(docs)
+    copies = as_pages(docs.join(spanish, "doc_id", "left_semi")).select(
         (F.col("page_id") + (1 << 40)).alias("page_id"),
         "website",
         F.concat("url", F.lit("?copy=1#top")).alias("url"),
