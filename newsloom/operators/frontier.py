@@ -78,12 +78,13 @@ def unseen_rows(rows: DataFrame, keys: list[str], stored: DataFrame, order: str
     """``unseen`` for rows of which many may share a key.
 
     The keys are made distinct before they are looked up, and the stored ones meet
-    their rows under ``SALTS`` keys each, so copies of one URL go to many tasks.
+    their rows under the salts that these have, so copies of one URL go to at most
+    ``SALTS`` tasks and a key of one row is there once.
     """
-    known = already_there(rows.select(*keys).distinct(), keys, stored).distinct()
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)).cast("int"))
-    return salted.join(known.select(*keys, salts), [*keys, "_salt"], "left_anti").drop("_salt")
+    used = salted.select(*keys, "_salt").distinct()
+    known = already_there(rows.select(*keys).distinct(), keys, stored).distinct()
+    return salted.join(used.join(known, keys, "left_semi"), [*keys, "_salt"], "left_anti").drop("_salt")
 
 
 def check(pages: DataFrame, enter_start: bool = False) -> DataFrame:

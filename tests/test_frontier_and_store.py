@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import frontier, store
+from newsloom.plans import samples
 from newsloom.plans.samples import with_rules
 from newsloom.sources.articles import ARTICLES_DDL, ParquetStore
 
@@ -152,3 +153,23 @@ def test_latest_n_against_brute_force(spark):
     assert plan.count("WindowGroupLimit") >= 2 and "AS content" not in plan
     with pytest.raises(ValueError):
         store.latest_n(rows, 0)
+
+
+def test_stored_urls_meet_rows_under_the_salts_that_these_have(spark):
+    rows = spark.createDataFrame([(i, "w", f"u{i % 300 if i < 600 else 7}") for i in range(1_000)], "page_id long, website string, canonical_url string")
+    stored = spark.createDataFrame([("w", f"u{i}") for i in range(0, 400, 7)], "website string, url string")
+    found = frontier.unseen_rows(rows, ["website", "canonical_url"], stored)
+    assert {r.page_id for r in found.collect()} == {i for i in range(600) if i % 300 % 7}
+    # Only salts that occur: none are made up for each stored URL.
+    assert "Generate" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_pages_of_runs_are_not_shuffled_before_the_run_spreads_them(spark, tmp_path):
+    docs = [(i, f"Title {i}\nbody", ("en", "es", "de", None)[i % 4], f"src{i % 3}", 10 + i) for i in range(40)] + [(None, "x", "es", "src1", 1)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    pages = samples.doc_pages_with_copies(spark, str(tmp_path))
+    assert "REPARTITION_BY" not in pages._jdf.queryExecution().executedPlan().toString()
+    spread = [tuple(r) for r in samples.doc_pages(spark, str(tmp_path)).collect()]
+    copies = [(i + (1 << 40), w, f"{u}?copy=1#top", h) for i, w, u, h in spread if i is not None and i % 4 == 1]
+    assert sorted(map(str, pages.collect())) == sorted(map(str, pages.sparkSession.createDataFrame(spread + copies, pages.schema).collect()))
