@@ -15,7 +15,7 @@ from newsloom.functions import urls
 
 # Hex digits of the URL hash that split one site and depth into buckets.
 BUCKET_DIGITS = 3
-# Keys that a stored URL is copied to before it meets rows that may all have that URL.
+# Keys that rows of one URL are dealt to before they meet what is known of that URL.
 SALTS = 32
 
 
@@ -120,10 +120,15 @@ def page_key() -> Column:
 
 
 def mark_seen(checked: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Checked pages whose key isn't among the ``fresh`` ones (website, key) fail as seen."""
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    """Checked pages whose key isn't among the ``fresh`` ones (website, key) fail as seen.
+
+    Fresh keys meet their pages under the salts that these have, as in ``unseen_rows``.
+    """
+    place = ["website", "key", "_salt"]
     salted = checked.withColumns({"key": page_key(), "_salt": F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")})
-    joined = salted.join(fresh.select("website", "key", F.lit(True).alias("_fresh"), salts), ["website", "key", "_salt"], "left")
+    used = salted.select(*place).distinct()
+    marks = used.join(fresh.select("website", "key"), ["website", "key"], "left_semi").withColumn("_fresh", F.lit(True))
+    joined = salted.join(marks, place, "left")
     seen = F.when(F.col("_fresh").isNull(), F.coalesce("failed", F.lit("seen"))).otherwise(F.col("failed"))
     return joined.withColumn("failed", seen).select(*checked.columns)
 

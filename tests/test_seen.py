@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.operators import frontier
 from newsloom.plans import ingest
 from newsloom.scratch import child_names, scratch_root
 from newsloom.sources.articles import ParquetStore
@@ -51,3 +52,15 @@ def test_forgotten_without_remember(spark, tmp_path):
         ingest_landing(spark, str(tmp_path / "in"), sites, articles, str(tmp_path / "r"), str(tmp_path / "c"), "unseen")
     assert reads(spark, "unseen") == ["http://zeta.tld/a"] * 2
     assert spark.read.parquet(str(tmp_path / "r")).filter(F.col("reason") == "seen").isEmpty()
+
+
+def test_fresh_keys_meet_pages_under_the_salts_that_these_have(spark):
+    rows = [(i, "w", f"u{i % 50}", None, "restrict" if i == 3 else None) for i in range(200)] + [(500, "w", None, None, None), (501, None, "u1", None, None)]
+    checked = spark.createDataFrame(rows, "page_id long, website string, url string, canonical_url string, failed string")
+    fresh = spark.createDataFrame([("w", f"u{i}") for i in range(0, 80, 2)] + [("w", "")], "website string, key string")
+    marked = frontier.mark_seen(checked, fresh)
+    told = {r.page_id: r.failed for r in marked.collect()}
+    wanted = {i: "restrict" if i == 3 else "seen" if i % 2 else None for i in range(200)}
+    assert told == {**wanted, 500: None, 501: "seen"} and marked.count() == 202
+    # Copies of every fresh key for all salts hide from the planner how large that side is.
+    assert "Generate" not in marked._jdf.queryExecution().analyzed().toString()
