@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.ranks import with_rank
-from newsloom.llm.words import slices
+from newsloom.llm.words import give_back, slices
 from newsloom.scratch import materialize
 
 SEQUENCE_TOKENS = 4096
@@ -45,6 +45,8 @@ FULL = 0.999
 SEPARATOR = "\ue000"
 #: Words that go to the tokenizer in one call; its own results take many times the room of the ids.
 WORDS_AT_ONCE = 2048
+#: Bytes of text that a worker codes at once: its arrays take some forty times as much.
+CODED_BYTES = 1 << 20
 #: Words whose ids a worker remembers.
 REMEMBERED_WORDS = 600_000
 
@@ -199,7 +201,9 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and threads keep memory
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    found = Tokenizer.from_file(path)
+    give_back()  # what reading the file took
+    return found
 
 
 @cache
@@ -335,7 +339,7 @@ def token_pieces(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_words(tokenizer_path)
-        for rows in slices(batches, "text", 4 << 20):
+        for rows in slices(batches, "text", CODED_BYTES):
             ids, at = words.of_texts(rows.column("text"))
             per = -(-np.diff(at) // capacity)
             doc = np.repeat(np.arange(len(per)), per)

@@ -167,3 +167,13 @@ def test_empty_and_query(spark, path):
             expected[i, n, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == expected
     assert check_packed(got, 4096) <= 1.01 * -(-sum(r.length for r in got) // 4096) + 1
+
+
+def test_texts_are_coded_in_small_slices(spark, monkeypatch, path):
+    seen, whole = [], WordIds.of_texts
+    texts = ["word and more. " * 40_000] * 4
+    monkeypatch.setattr(WordIds, "of_texts", lambda self, t: seen.append(t.nbytes) or whole(self, t))
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(4)), "text": texts})
+    for part in packing.slices([rows], "text", packing.CODED_BYTES):
+        WordIds(path).of_texts(part.column("text"))
+    assert len(seen) == 4 and max(seen) <= 1 << 20
