@@ -28,7 +28,7 @@ from newsloom.operators import extract, frontier, links, reports, store
 from newsloom.operators.frontier import unseen
 from newsloom.operators.latest import LatestArticles
 from newsloom.operators.link_state import LinkState, schema_text
-from newsloom.scratch import path_exists, scratch_root
+from newsloom.scratch import materialize, path_exists, scratch_root
 from newsloom.sources.pages import assign_sites, join_rules
 
 # Distinct date layouts up to which each gets a branch of its own with a literal pattern, which
@@ -260,8 +260,10 @@ def run_ingest(
         decisions = stages.once("budgeted", lambda: frontier.apply_budget(decided))
 
     def read(taken: DataFrame) -> DataFrame:
-        # rules join the narrow side; page_id is unique, so this join has no hot key
-        ruled = pages.select("page_id", "html").join(with_reading_rules(taken, sites), "page_id")
+        # rules join the narrow side; page_id is unique, so this join has no hot key. That side is written,
+        # so that its real size decides: markup isn't shuffled to meet the few pages of a level.
+        narrow = materialize(with_reading_rules(taken, sites), "ruled")
+        ruled = pages.select("page_id", "html").join(narrow, "page_id")
         tasks = read_partitions or reading_tasks(taken)
         keep_links = follow_links and (limited or link_state is not None)
         return read_articles(ruled, text_mode, on_bad_date, keep_links, tasks, layouts)
