@@ -1,3 +1,4 @@
+import sys
 import time
 
 import pytest
@@ -131,3 +132,20 @@ def test_reading_time_is_linear(piece):
     except ValueError:
         pass
     assert time.perf_counter() - start < 20
+
+
+def test_an_end_tag_looks_no_list_of_scopes_through():
+    """Calls made for a page: before, each end tag asked for the place of every tag that ends a scope."""
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    source = "<div>" + "<span>x</span><p>y" * 200
+    sys.setprofile(count)
+    try:
+        found = markup.Page(source).select("span")
+    finally:
+        sys.setprofile(None)
+    assert len(found) == 200 and calls < 100 * 200
