@@ -63,7 +63,7 @@ class LinkState:
         return self.spark.read.schema(f"{schema}, bucket int").parquet(path)
 
     def _folders(self, table: str, runs, buckets: set[int]) -> list[str]:
-        """Folders of these buckets that runs have written, in all rounds."""
+        """Folders of these buckets that runs have written, in all rounds; the folder above where it has no others."""
         found = []
         for run in runs:
             top = f"{self.path}/{table}/run={run}"
@@ -71,7 +71,9 @@ class LinkState:
             levels = [f"{top}/{n}" for n in names if n.startswith("round=")] or [top]
             for level in levels:
                 inside = names if level == top else child_names(self.spark, level)
-                found += [f"{level}/{n}" for n in inside if n.startswith("bucket=") and int(n[7:]) in buckets]
+                inside = [n for n in inside if n.startswith("bucket=")]
+                wanted = [n for n in inside if int(n[7:]) in buckets]
+                found += [level] if wanted == inside and inside else [f"{level}/{n}" for n in wanted]
         return found
 
     def _read(self, table: str, schema: str, folders: list[str]) -> DataFrame:
@@ -99,7 +101,11 @@ class LinkState:
 
     def landed_among(self, keys: DataFrame, before: int) -> DataFrame:
         """(website, url, landed): which of these pages landed in runs before ``before``, and when."""
-        pages = self._read("pages", PAGES, self._folders("pages", range(1, before), self._buckets(keys)))
+        return self._landed_in(self._buckets(keys), keys, before)
+
+    def _landed_in(self, buckets: set[int], keys: DataFrame, before: int) -> DataFrame:
+        """``landed_among`` for pages that fall in these buckets."""
+        pages = self._read("pages", PAGES, self._folders("pages", range(1, before), buckets))
         return pages.withColumnRenamed("run", "landed").join(keys.select(*KEY), KEY, "left_semi")
 
     def articles_of(self, reached: DataFrame, schema: str) -> DataFrame:
@@ -137,8 +143,9 @@ class LinkState:
             depth += 1
             targets = self._once(f"targets/run={run}/round={depth}", PAGES, found).select(*KEY)
             # Of the targets of reached pages: which have landed, and which of these are new.
-            known = self.landed_among(targets, run + 1)
-            before = self._read("reached", PAGES, self._folders("reached", range(1, run + 1), self._buckets(targets)))
+            among = self._buckets(targets)
+            known = self._landed_in(among, targets, run + 1)
+            before = self._read("reached", PAGES, self._folders("reached", range(1, run + 1), among))
             self._once(f"wanted/run={run}/round={depth}", PAGES, lambda: unseen(targets, KEY, known))  # noqa: B023
             level = self._once(f"reached/run={run}/round={depth}", REACHED, lambda: unseen(known, KEY, before))  # noqa: B023
         return self.reached_in(run)

@@ -31,9 +31,9 @@ def harvest(read: DataFrame) -> DataFrame:
     )
     listed = pages.withColumn("href", F.explode("links"))
     target = urls.resolve(F.col("base"), urls.trimmed(F.col("href")))
-    return listed.select(
-        "website", "from_url", "href", urls.strip_fragment(target).alias("to_url")
-    ).filter(urls.has_article_scheme(F.col("to_url")))
+    # generated, so that filters on the target, here and later, don't resolve the link once more
+    found = F.explode(F.array(urls.strip_fragment(target))).alias("to_url")
+    return listed.select("website", "from_url", "href", found).filter(urls.has_article_scheme(F.col("to_url")))
 
 
 def same_host(url: Column, start_point: Column) -> Column:

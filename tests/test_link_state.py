@@ -3,6 +3,9 @@ import re
 
 import pytest
 
+from newsloom.functions import urls
+from newsloom.operators import links
+from newsloom.operators.link_state import PAGES as PAGE_COLUMNS
 from newsloom.operators.link_state import LinkState, bucket_of
 from newsloom.plans.ingest import run_ingest
 from newsloom.sources.articles import IndexedStore, ParquetStore
@@ -107,3 +110,27 @@ def test_in_a_stream_and_replayed(spark, tmp_path, monkeypatch):
         call()
     assert stored(articles) == whole(spark, tmp_path, once)
     assert len(articles.read().collect()) == len(stored(articles))
+
+
+def test_a_table_of_which_all_buckets_are_read_is_one_folder(spark, tmp_path):
+    state = LinkState(spark, str(tmp_path / "s"), 4)
+    rows = [("a", f"https://a.tld/{i}") for i in range(40)]
+    for place in ("pages/run=1", "reached/run=1/round=0", "reached/run=1/round=1"):
+        state._once(place, PAGE_COLUMNS, lambda: spark.createDataFrame(rows, PAGE_COLUMNS))
+    for table, levels in (("pages", 1), ("reached", 2)):
+        whole, some = state._folders(table, [1], {0, 1, 2, 3}), state._folders(table, [1], {1, 3})
+        assert len(whole) == levels and len(some) == 2 * levels
+        assert sorted(state._read(table, PAGE_COLUMNS, whole).select("website", "url", "run").collect()) == sorted((*r, 1) for r in rows * levels)
+        parts = {r[0] for r in state._read(table, PAGE_COLUMNS, some).select(bucket_of("url", 4)).distinct().collect()}
+        assert parts == {1, 3}
+
+
+def test_a_link_is_resolved_once(spark):
+    """Filters on the target repeat neither its resolution nor what it is made from."""
+    read = spark.range(2).selectExpr(
+        "'a' AS website", "concat('https://a.tld/x/', id) AS url", "array('/1#b', '../c', 'mailto:d', '%zz', null) AS links"
+    )
+    found = links.harvest(read)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(urls.PLAIN_ABSOLUTE) == 1
+    assert sorted(r.to_url for r in found.collect()) == ["https://a.tld/1"] * 2 + ["https://a.tld/c"] * 2
