@@ -5,7 +5,6 @@ import pytest
 
 from newsloom.functions import urls
 from newsloom.operators import links
-from newsloom.operators.link_state import PAGES as PAGE_COLUMNS
 from newsloom.operators.link_state import LinkState, bucket_of
 from newsloom.plans.ingest import run_ingest
 from newsloom.sources.articles import IndexedStore, ParquetStore
@@ -112,17 +111,15 @@ def test_in_a_stream_and_replayed(spark, tmp_path, monkeypatch):
     assert len(articles.read().collect()) == len(stored(articles))
 
 
-def test_a_table_of_which_all_buckets_are_read_is_one_folder(spark, tmp_path):
+def test_a_round_asks_once_for_the_buckets_of_its_targets(spark, tmp_path, monkeypatch):
     state = LinkState(spark, str(tmp_path / "s"), 4)
-    rows = [("a", f"https://a.tld/{i}") for i in range(40)]
-    for place in ("pages/run=1", "reached/run=1/round=0", "reached/run=1/round=1"):
-        state._once(place, PAGE_COLUMNS, lambda: spark.createDataFrame(rows, PAGE_COLUMNS))
-    for table, levels in (("pages", 1), ("reached", 2)):
-        whole, some = state._folders(table, [1], {0, 1, 2, 3}), state._folders(table, [1], {1, 3})
-        assert len(whole) == levels and len(some) == 2 * levels
-        assert sorted(state._read(table, PAGE_COLUMNS, whole).select("website", "url", "run").collect()) == sorted((*r, 1) for r in rows * levels)
-        parts = {r[0] for r in state._read(table, PAGE_COLUMNS, some).select(bucket_of("url", 4)).distinct().collect()}
-        assert parts == {1, 3}
+    row = lambda *names: spark.createDataFrame([("w", n) for n in names], "website string, url string")
+    edges = spark.createDataFrame([("w", "s", "a"), ("w", "a", "b")], "website string, from_url string, to_url string")
+    asked, buckets = [], state._buckets
+    monkeypatch.setattr(state, "_buckets", lambda rows: asked.append(1) or buckets(rows))
+    assert sorted(r.url for r in state.advance(1, row("s", "a", "b"), edges, row("s")).collect()) == ["a", "b", "s"]
+    # three rounds, and the pages that landed
+    assert len(asked) == 4
 
 
 def test_a_link_is_resolved_once(spark):
