@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import urls
 from newsloom.functions.dates import translate_layout
 from newsloom.functions.text import escape_markup, first_line, trim_field
-from newsloom.plans.ingest import spread
+from newsloom.plans.ingest import reading_tasks, spread
 from newsloom.scratch import materialize
 
 DOC_SITES = 20
@@ -129,8 +129,9 @@ def doc_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as markup, spread for reading; see ``as_pages``."""
-    return as_pages(spread(documents_of_sites(spark, sf_dir), read_partitions(spark), "doc_id"))
+    """Documents as markup, spread for reading since the tables are few files; see ``as_pages``."""
+    docs = documents_of_sites(spark, sf_dir)
+    return as_pages(spread(docs, reading_tasks(docs), "doc_id"))
 
 
 def as_pages(docs: DataFrame) -> DataFrame:

@@ -173,3 +173,11 @@ def test_pages_of_runs_are_not_shuffled_before_the_run_spreads_them(spark, tmp_p
     spread = [tuple(r) for r in samples.doc_pages(spark, str(tmp_path)).collect()]
     copies = [(i + (1 << 40), w, f"{u}?copy=1#top", h) for i, w, u, h in spread if i is not None and i % 4 == 1]
     assert sorted(map(str, pages.collect())) == sorted(map(str, pages.sparkSession.createDataFrame(spread + copies, pages.schema).collect()))
+
+
+def test_document_pages_are_dealt_to_tasks_by_their_number(spark, tmp_path):
+    docs = spark.range(30).selectExpr("id AS doc_id", "'en' AS lang", "'site1' AS source", "'a text' AS text", "6L AS n_chars")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    dealt = samples.doc_pages(spark, str(tmp_path))
+    assert dealt.rdd.getNumPartitions() == 2
+    assert dealt.count() == 30

@@ -149,3 +149,20 @@ def test_an_end_tag_looks_no_list_of_scopes_through():
     finally:
         sys.setprofile(None)
     assert len(found) == 200 and calls < 100 * 200
+
+
+@pytest.mark.parametrize(
+    "source, split",
+    [
+        ("<title>t</title><p id=a>x<table><td>1</table><h1>y<ul><li>z", False),
+        ("<p><b><i><u>a<p>b<p>c", False),
+        ("<p><b><i><u>a<p>b</i>c<p>d", True),
+    ],
+)
+def test_elements_are_listed_as_they_are_made(source, split):
+    built = markup._build(source)
+    assert built.split == split
+    if not split:
+        assert built.elements == [built.root, *built.root.walk()]
+    page = markup.Page(source)
+    assert page.elements == [page.root, *page.root.walk()]
