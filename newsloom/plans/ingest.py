@@ -89,6 +89,15 @@ def reading_tasks(taken: DataFrame) -> int:
     return max(1, -(-n // PAGES_A_TASK), min(-(-n // LEAST_PAGES_A_TASK), cores))
 
 
+def markup_of(pages: DataFrame, taken: DataFrame, partitions: int) -> DataFrame:
+    """Rows of ``taken`` with their markup, for reading in so many partitions.
+
+    Where the taken rows are too many to broadcast, markup comes to them in the
+    partitions that read it, so ``spread`` has nothing left to shuffle.
+    """
+    return pages.select("page_id", "html").join(taken.repartition(partitions, "page_id"), "page_id")
+
+
 def with_reading_rules(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """Attach the selectors and the date layout; meant for rows without markup."""
     return join_rules(rows, sites.select("website", *READING_RULES), "website", F.col("page_id"))
@@ -133,8 +142,8 @@ def _follow_all(stages: _Stages, pages: DataFrame, decisions: DataFrame, sites:
 
     def read_links() -> DataFrame:
         taken = _taken(decisions)
-        markup = pages.select("page_id", "html").join(taken, "page_id")
-        return extract.read_pages_job(spread(markup, partitions or reading_tasks(taken))).select("website", "url", "links")
+        tasks = partitions or reading_tasks(taken)
+        return extract.read_pages_job(spread(markup_of(pages, taken, tasks), tasks)).select("website", "url", "links")
 
     edges = links.site_edges(links.harvest(stages.once("links", read_links)), sites, one_host)
     reached = stages.once("reached", lambda: links.reachable(edges, sites, _taken(decisions)))
@@ -263,10 +272,9 @@ def run_ingest(
         # rules join the narrow side; page_id is unique, so this join has no hot key. That side is written,
         # so that its real size decides: markup isn't shuffled to meet the few pages of a level.
         narrow = materialize(with_reading_rules(taken, sites), "ruled")
-        ruled = pages.select("page_id", "html").join(narrow, "page_id")
         tasks = read_partitions or reading_tasks(taken)
         keep_links = follow_links and (limited or link_state is not None)
-        return read_articles(ruled, text_mode, on_bad_date, keep_links, tasks, layouts)
+        return read_articles(markup_of(pages, narrow, tasks), text_mode, on_bad_date, keep_links, tasks, layouts)
 
     if follow_links:
         number = link_state.number(run_id) if link_state is not None else None

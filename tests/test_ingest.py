@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.operators import extract, links
-from newsloom.plans.ingest import run_ingest
+from newsloom.plans.ingest import markup_of, run_ingest, spread
 from newsloom.scratch import scratch_root
 from newsloom.sources.articles import ParquetStore
 from newsloom.sources.config import Site, sites_table
@@ -284,3 +284,17 @@ def test_contents_are_not_shuffled_after_reading(spark, tmp_path):
     run_ingest(spark, pages(spark), sites, articles, str(tmp_path / "r"), follow_links=True)
     exchanges = [block for block in articles.plan.split("\n\n") if re.search(r"\) (Shuffle)?Exchange\b", block)]
     assert stored(articles) and not any("content" in block for block in exchanges)
+
+
+def test_markup_is_shuffled_once_to_be_read(spark):
+    landed = spark.createDataFrame([(i, "w", "u", "<p>") for i in range(40)], "page_id bigint, website string, url string, html string")
+    taken = landed.select("page_id", "website", "url")
+    with_few = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = extract.read_pages_job(spread(markup_of(landed, taken, 12), 12))
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(page_id") == 2
+        assert read.count() == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_few)
