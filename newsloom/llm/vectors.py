@@ -19,7 +19,7 @@ follows the vectors, not the pairs of intervals.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,7 +46,7 @@ FAN = 32
 STRIP_BYTES = 32 << 20
 #: Share of pairs that may pass the leading dimensions without being linked.
 PASSED = 1e-4
-#: Links of a piece that are computed anew at once; share of a piece's pairs beyond which all of it is.
+#: Bytes of the vectors that are compared anew at once; share of two pieces' pairs beyond which all of them are.
 EXACT_BYTES = 8 << 20
 WHOLE_SHARE = 0.05
 #: Room for rounding in box distances and before a cosine is computed anew.
@@ -273,7 +273,7 @@ class Rows:
     high: np.ndarray
 
 
-def prepared(ids: list[int], names: list[bytes], sizes: list[bytes], rows: list[bytes], turned: np.ndarray, leading: int, kind: type) -> Rows:
+def prepared(ids: Sequence[int], names: Sequence[bytes], sizes: Sequence[bytes], rows: Sequence[bytes], turned: np.ndarray, leading: int, kind: type) -> Rows:
     x = unit(np.frombuffer(b"".join(rows), kind).reshape(-1, len(turned)))
     at, first, last, of = 0, [], [], []
     for i, held in zip(ids, names, strict=True):
@@ -433,6 +433,12 @@ def strips(cut: DataFrame, per: int) -> list[tuple[int, int]]:
     return found
 
 
+def sent_strip(intervals: DataFrame) -> Broadcast:
+    """(ids, nodes, sizes, rows) of a strip's intervals in their order."""
+    held = sorted(intervals.select("id", "nodes", "sizes", "rows").collect())
+    return intervals.sparkSession.sparkContext.broadcast(tuple(zip(*held, strict=True)))
+
+
 def linked_intervals(
     cut: DataFrame, boxes: DataFrame, pairs: DataFrame, turned: np.ndarray, leading: int, cosine: float, element: str
 ) -> DataFrame:
@@ -445,10 +451,9 @@ def linked_intervals(
     none.write.parquet(path)
     for first, last in strips(cut, STRIP_BYTES // (np.dtype(kind).itemsize * len(turned))):
         inside = named.filter(F.col("part").between(first, last))
-        strip = content.filter(F.col("part").between(first, last)).join(F.broadcast(inside), ["part", "place"])
-        held = sorted(strip.select("id", "nodes", "sizes", "rows").collect())
-        sent = spark.sparkContext.broadcast(tuple(list(c) if k == 0 else [bytes(v) for v in c] for k, c in enumerate(zip(*held, strict=True))))
-        partners = pairs.filter(F.col("a").between(held[0].id, held[-1].id)).groupBy("b").agg(F.collect_list("a").alias("partners"))
+        sent = sent_strip(content.filter(F.col("part").between(first, last)).join(F.broadcast(inside), ["part", "place"]))
+        of_strip = pairs.join(F.broadcast(inside.select(F.col("id").alias("a"))), "a")
+        partners = of_strip.groupBy("b").agg(F.collect_list("a").alias("partners"))
         wanted = named.join(F.broadcast(partners), named.id == partners.b).select("id", "part", "place", "partners")
         dealt = content.filter(F.col("part") >= first).join(F.broadcast(wanted), ["part", "place"])
         links = links_with_strip(dealt.select("id", "partners", "nodes", "sizes", "rows"), sent, turned, leading, cosine, kind)
